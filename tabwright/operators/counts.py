@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tabwright.sources.local import small_table
 from tabwright.functions.exprs import col, is_fractional
 
 
@@ -20,7 +21,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     Keyed by column and value and combined before the shuffle, so a frequent value costs one row per task.
     """
     if not columns:
-        return df.sparkSession.createDataFrame([], "column string, value string, count bigint")
+        return small_table(df.sparkSession, [], "column string, value string, count bigint")
     return long_text(df, columns).groupBy("column", "value").agg(F.count("*").alias("count"))
 
 
@@ -36,15 +37,15 @@ def _families(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, n_unique) without missing values; values keep their type family, so 64-bit integers stay exact."""
-    out = df.sparkSession.createDataFrame([], "column string, n_unique bigint")
+    out = None
     for kind, members in _families(df, columns).items():
         value = (lambda c: col(c).cast("double") + F.lit(0.0)) if kind == "double" else (lambda c: col(c).cast(kind))
         cells = df.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), value(c).alias("value")) for c in members])))
         distinct = cells.where("value is not null").groupBy("column", "value").agg(F.lit(1).alias("_one"))
         found = distinct.groupBy("column").agg(F.count("*").alias("n_unique"))
-        out = out.unionAll(found)
-    return out
+        out = found if out is None else out.unionAll(found)
+    return out if out is not None else small_table(df.sparkSession, [], "column string, n_unique bigint")
 
 
 def top_values(counts: DataFrame, n: int) -> DataFrame:

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tabwright.sources.local import small_table
 from tabwright.functions.exprs import col, row_hash
 from tabwright.sources.shared import durable
 
@@ -137,11 +138,11 @@ def running_totals(df: DataFrame, order: str, weight: str, by: list[str] | None
             .drop("_part", "_local", "_offset"))
 
 
-def hash_cuts(df: DataFrame, ids: list[str], ranks: dict, cls: str | None, seed: int,
+def hash_cuts(df: DataFrame, ids: list[str], ranks: dict, cls: str | None, seed: int, largest: int,
               bucket_rows: int = 500_000) -> dict:
     """The row key `(h, *ids)` at the given 0-based ranks of each class in hash order.
 
-    `ranks` maps a class to a list of ranks; the result maps (class, rank) to the key. The hash is uniform, so
+    `largest` is the row count of the largest class. `ranks` maps a class to a list of ranks; the result maps (class, rank) to the key. The hash is uniform, so
     its leading bits narrow every rank to a bucket of bounded size before anything is sorted.
     """
     targets = [(c, r) for c, rs in ranks.items() for r in rs]
@@ -155,10 +156,9 @@ def hash_cuts(df: DataFrame, ids: list[str], ranks: dict, cls: str | None, seed:
     cls_type = keyed.schema["_cls"].dataType.simpleString()
     state = {t: (0, 0, t[1]) for t in targets}  # (bits used, prefix, rank inside the prefix)
     bits = 0
-    total = keyed.groupBy("_cls").count().agg(F.max("count")).first()[0] or 0
-    while total / (1 << bits) > bucket_rows and bits < 32:
+    while largest / (1 << bits) > bucket_rows and bits < 32:
         step = 8
-        seekers = spark.createDataFrame(
+        seekers = small_table(spark, 
             [(t[0], t[1], prefix, rank) for t, (_, prefix, rank) in state.items()],
             f"_cls {cls_type}, _target bigint, _prefix bigint, _rank bigint")
         rest = 32 - bits - step
@@ -172,7 +172,7 @@ def hash_cuts(df: DataFrame, ids: list[str], ranks: dict, cls: str | None, seed:
                 .select("_cls", "_target", "_next", (F.col("_rank") - F.col("_start")).alias("_left")).collect())
         bits += step
         state = {(r["_cls"], r["_target"]): (bits, r["_next"], r["_left"]) for r in hits}
-    seekers = spark.createDataFrame(
+    seekers = small_table(spark, 
         [(t[0], t[1], prefix, rank) for t, (_, prefix, rank) in state.items()],
         f"_cls {cls_type}, _target bigint, _prefix bigint, _rank bigint")
     inside = (keyed.withColumn("_prefix", F.shiftright("_h", 32 - bits) if bits else F.lit(0).cast("bigint"))

@@ -6,6 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tabwright.sources.local import small_table
 from tabwright.functions.exprs import col, is_numeric, nan_to_null, text_to_number
 from tabwright.operators.coltypes import resolve_profile_types
 from tabwright.operators.counts import per_column, top_values, value_counts
@@ -53,7 +54,7 @@ def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int =
     columns, _ = capped(columns or numeric_columns(df), max_features, "Correlation")
     pairs = _pairs(columns)
     if not pairs:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, n bigint, corr double")
+        return small_table(df.sparkSession, [], "col_a string, col_b string, n bigint, corr double")
     first = df.agg(F.count("*").alias("n"), *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)],
                    *[F.avg(col(c)).cast("double").alias(f"m{i}") for i, c in enumerate(columns)]).first()
     at = {c: i for i, c in enumerate(columns)}
@@ -109,7 +110,7 @@ def _pair_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def _pair_names(df: DataFrame, columns: list[str]) -> DataFrame:
     names = [(k, a, b) for k, (a, b) in enumerate(_pairs(columns))]
-    return F.broadcast(df.sparkSession.createDataFrame(names, "pair int, col_a string, col_b string"))
+    return F.broadcast(small_table(df.sparkSession, names, "pair int, col_a string, col_b string"))
 
 
 def spearman(df: DataFrame, columns: list[str] | None = None, max_features: int = 30) -> DataFrame:
@@ -213,7 +214,7 @@ def outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float = 1.5, zs
     if method not in ("iqr", "z", "zscore", "z-score"):
         raise ValueError("Outlier method must be 'iqr' or 'zscore'.")
     if not columns:
-        return df.sparkSession.createDataFrame(
+        return small_table(df.sparkSession, 
             [], "column string, method string, non_null_count bigint, outlier_count bigint, outlier_percent double")
     tests: dict[str, Column] = {}
     if method == "iqr":
@@ -264,7 +265,7 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 30, m
     columns, _ = capped(columns if columns is not None else numeric_columns(df), max_columns, "Distributions")
     bounds = {c: (lo, hi) if lo < hi else (lo - 0.5, hi + 0.5) for c, (lo, hi) in value_bounds(df, columns).items()}
     if not bounds:
-        return df.sparkSession.createDataFrame(
+        return small_table(df.sparkSession, 
             [], "column string, bin int, lower double, upper double, count bigint")
 
     def place(c: str) -> Column:
@@ -275,7 +276,7 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 30, m
     placed = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), place(c).alias("bin")) for c in bounds]))).where("bin is not null")
     counts = placed.groupBy("column", "bin").agg(F.count("*").alias("count"))
-    grid = df.sparkSession.createDataFrame(
+    grid = small_table(df.sparkSession, 
         [(c, b, lo + (hi - lo) / bins * b, lo + (hi - lo) / bins * (b + 1))
          for c, (lo, hi) in bounds.items() for b in range(bins)],
         "column string, bin int, lower double, upper double")
@@ -339,7 +340,7 @@ def kde(df: DataFrame, column: str, grid_points: int = 50, bins: int = 200) -> D
     row = df.agg(F.count(col(column)).alias("n"), F.stddev_samp(col(column)).alias("s")).first()
     n, spread = row["n"], row["s"]
     if not n or not spread:
-        return df.sparkSession.createDataFrame([], "x double, density double")
+        return small_table(df.sparkSession, [], "x double, density double")
     width = spread * n ** (-0.2)
     lo, hi = value_bounds(df, [column])[column]
     cells = histogram(df, [column], bins).select(((F.col("lower") + F.col("upper")) / 2).alias("c"), "count")

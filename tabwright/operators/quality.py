@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from tabwright.sources.local import small_table
 from tabwright.functions.exprs import col, is_date_text, is_numeric, nan_to_null, row_hash, text_to_number
 from tabwright.operators.coltypes import class_distribution
 from tabwright.operators.counts import distinct_counts, per_column, value_counts
@@ -163,7 +164,7 @@ def estimate_thresholds(df: DataFrame, target: str | None = None, types: dict[st
 
 def thresholds_table(df: DataFrame, target: str | None = None, types: dict[str, str] | None = None) -> DataFrame:
     found = estimate_thresholds(df, target, types)
-    return df.sparkSession.createDataFrame([(k, float(v)) for k, v in found.items()], "name string, value double")
+    return small_table(df.sparkSession, [(k, float(v)) for k, v in found.items()], "name string, value double")
 
 
 def issues(df: DataFrame, target: str, types: dict[str, str] | None = None, thresholds: dict | None = None) -> DataFrame:
@@ -188,7 +189,7 @@ def schema_violations(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     rows = [(c, "missing", t, None) for c, t in expected.items() if c not in actual]
     rows += [(c, "type_mismatch", t, actual[c]) for c, t in expected.items() if c in actual and actual[c] != t]
     rows += [(c, "unexpected", None, t) for c, t in actual.items() if c not in expected]
-    table = df.sparkSession.createDataFrame(rows, "column string, status string, expected string, actual string")
+    table = small_table(df.sparkSession, rows, "column string, status string, expected string, actual string")
     present = [r[0] for r in rows if r[0] in actual]
     if not present:
         return table.withColumn("non_null", F.lit(None).cast("bigint"))
