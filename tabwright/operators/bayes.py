@@ -60,7 +60,8 @@ def scoring_column(models: dict, smoothings: list[float], group: Column | None =
         prior = np.log(np.where(present, m.counts, 1) / m.counts.sum())
         scaled = [m.variances + s * m.largest_variance() for s in smoothings]
         ready[g] = (m.means, scaled, [prior - 0.5 * np.log(2 * np.pi * v).sum(axis=1) for v in scaled], present)
-    single = next(iter(ready)) if group is None else None
+    grouped = group is not None  # the batch function must not capture a column
+    single = None if grouped else next(iter(ready))
 
     def batch(x: np.ndarray, g) -> list[np.ndarray]:
         means, variances, base, present = ready[g]
@@ -82,9 +83,9 @@ def scoring_column(models: dict, smoothings: list[float], group: Column | None =
         result: list = [None] * len(v)
         for value in pd.unique(g):
             at = np.flatnonzero(groups == value)
-            per_model = batch(x[at], single if group is None else value)
+            per_model = batch(x[at], value if grouped else single)
             for j, i in enumerate(at):
                 result[i] = [{"winner": int(w[j]), "probability": p[j]} for w, p in per_model]
         return pd.Series(result)
 
-    return score(vector_to_array(F.col("features")), group if group is not None else F.lit(0))
+    return score(vector_to_array(F.col("features")), group if grouped else F.lit(0))

@@ -163,22 +163,32 @@ def neighbours(train: DataFrame, queries: DataFrame, key: str, k: int, p: int =
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def votes(near: DataFrame, k: int, n_classes: int, weights: str = "uniform", by: list[str] | None = None) -> DataFrame:
-    """(query, winner, probability): vote shares of the k nearest; ties go to the first class.
+def vote_grid(near: DataFrame, settings: list[tuple[int, str]], n_classes: int) -> DataFrame:
+    """(query, votes): per setting (k, weights) a struct of winner and class shares, all from one pass.
 
-    With distance weights a vote counts 1/d, and exact matches, if any, take all of it.
+    Ties go to the first class. With distance weights a vote counts 1/d, and exact matches, if any, take all of it.
     """
-    if weights not in ("uniform", "distance"):
-        raise ValueError("weights must be 'uniform' or 'distance'")
-    rows = near.where(F.col("rank") <= k)
-    if weights == "uniform":
-        rows = rows.withColumn("w", F.lit(1.0))
-    else:
-        exact = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy(*(by or []), "query"))
-        rows = rows.withColumn("_e", exact).withColumn(
-            "w", F.when(F.col("_e") == 1, (F.col("dist") == 0).cast("double")).otherwise(1.0 / F.col("dist")))
-    shares = [F.sum(F.when(F.col("label") == c, F.col("w")).otherwise(0.0)) for c in range(n_classes)]
-    voted = rows.groupBy(*(by or []), "query").agg(F.array(*shares).alias("_v"), F.sum("w").alias("_w"))
-    return voted.select(*(by or []), "query",
-                        (F.array_position("_v", F.array_max("_v")) - 1).cast("int").alias("winner"),
-                        F.transform("_v", lambda v: v / F.col("_w")).alias("probability"))
+    for _, weights in settings:
+        if weights not in ("uniform", "distance"):
+            raise ValueError("weights must be 'uniform' or 'distance'")
+    dist = F.round("dist", DIGITS)
+    rows = near.withColumn("_exact", F.min(dist).over(Window.partitionBy("query")) == 0)
+    inverse = F.when(F.col("_exact"), (dist == 0).cast("double")).otherwise(1.0 / F.col("dist"))
+    shares = []
+    for i, (k, weights) in enumerate(settings):
+        weight = F.when(F.col("rank") <= k, F.lit(1.0) if weights == "uniform" else inverse).otherwise(0.0)
+        shares.append(F.array(*[F.sum(F.when(F.col("label") == c, weight).otherwise(0.0)) for c in range(n_classes)])
+                      .alias(f"v{i}"))
+    voted = rows.groupBy("query").agg(*shares)
+
+    def outcome(i: int) -> Column:
+        total = F.aggregate(f"v{i}", F.lit(0.0), lambda a, v: a + v)
+        return F.struct((F.array_position(f"v{i}", F.array_max(f"v{i}")) - 1).cast("int").alias("winner"),
+                        F.transform(f"v{i}", lambda v: v / total).alias("probability"))
+
+    return voted.select("query", F.array(*[outcome(i) for i in range(len(settings))]).alias("votes"))
+
+
+def votes(near: DataFrame, k: int, n_classes: int, weights: str = "uniform") -> DataFrame:
+    """(query, winner, probability) from the k nearest."""
+    return vote_grid(near, [(k, weights)], n_classes).select("query", F.inline("votes"))

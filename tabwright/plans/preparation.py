@@ -289,7 +289,7 @@ def feature_names(spark, sf):
 @query("prep_vector", f"""
     with {split_sql('dirty_orders', 'target').strip()},
     wide as ({('with dummy as (select 1), ' + prepared_sql('').strip())})
-    select id, split, round({' + '.join(f'{c} * {i + 1}' for i, c in enumerate(SCALED))}, 4) as numeric_part,
+    select id, split, round({' + '.join(f'{c} * {i + 1}' for i, c in enumerate(SCALED))}, 6) as numeric_part,
       {' + '.join(f'"priority_{v}" * {i + 6}' for i, v in enumerate(PRIORITIES))}
       + flag_false * 11 + flag_true * 12 as category_part, cast(12 as integer) as width
     from wide""")
@@ -302,4 +302,4 @@ def prep_vector(spark, sf):
     v = both.withColumn("v", vector_to_array("features"))
     weighted = lambda lo, hi: sum((F.round(F.col("v")[i], 6) * (i + 1) for i in range(lo, hi)), F.lit(0.0))
     return rounded(v.select("id", "split", weighted(0, 4).alias("numeric_part"), weighted(5, 12).alias("category_part"),
-                            F.size("v").alias("width")), "numeric_part", digits=4)
+                            F.size("v").alias("width")), "numeric_part")
