@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tabwright.functions.exprs import col, is_fractional, is_numeric, near_integer
 from tabwright.operators.counts import distinct_counts, per_column
 from tabwright.operators.table import require
+from tabwright.sources.local import small_table
 
 MAX_CLASSES = 200
 
@@ -113,6 +114,8 @@ def target_candidates(df: DataFrame, max_classes: int = MAX_CLASSES) -> DataFram
 def integer_like(df: DataFrame) -> DataFrame:
     """Which fractional columns hold whole numbers within tolerance."""
     columns = [f.name for f in df.schema if is_fractional(f.dataType)]
+    if not columns:
+        return small_table(df.sparkSession, [], "column string, non_null bigint, near_whole boolean")
     return column_facts(df, columns).select("column", "non_null", "near_whole")
 
 

@@ -183,10 +183,20 @@ def hash_cuts(df: DataFrame, ids: list[str], ranks: dict, cls: str | None, seed:
     return {(r["_cls"], r["_target"]): (r["_h"], *[r[i] for i in ids]) for r in rows}
 
 
-def not_after(ids: list[str], seed: int, key: tuple) -> Column:
-    """True for rows at or before `key` in hash order."""
+def not_after(ids: list[str], seed: int, cuts: dict, cls: str | None = None) -> Column:
+    """True for rows at or before the cut key of their class in hash order; False for a class without a cut."""
+    def cut(i: int) -> Column:
+        if cls is None:
+            return F.lit(next(iter(cuts.values()))[i])
+        chain = F
+        for c, key in cuts.items():
+            chain = chain.when(col(cls) == F.lit(c), F.lit(key[i]))
+        return chain
+
+    if not cuts:
+        return F.lit(False)
     values = [row_hash(ids, seed), *[col(i) for i in ids]]
-    test = values[-1] <= F.lit(key[-1])
-    for v, k in zip(reversed(values[:-1]), reversed(key[:-1])):
-        test = (v < F.lit(k)) | ((v == F.lit(k)) & test)
-    return test
+    test = values[-1] <= cut(len(ids))
+    for i in range(len(ids) - 1, -1, -1):
+        test = (values[i] < cut(i)) | ((values[i] == cut(i)) & test)
+    return F.coalesce(test, F.lit(False))

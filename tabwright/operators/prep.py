@@ -18,7 +18,7 @@ from tabwright.operators.coltypes import resolve_types
 from tabwright.operators.counts import long_text
 from tabwright.operators.lookup import SMALL_TABLE_ROWS, left_lookup
 from tabwright.operators.ordered import exact_quantiles, running_totals
-from tabwright.operators.split import SEED, train_test_split
+from tabwright.operators.split import SEED, mark_test
 from tabwright.operators.table import features_of, tabular
 from tabwright.sources.shared import durable
 
@@ -304,7 +304,7 @@ class Prepared:
 
 
 def split_raw(df: DataFrame, config: PrepConfig, ids: list[str], types: dict[str, str] | None = None):
-    """Outlier removal and split: (train, test, numeric, categorical, removed, dropped)."""
+    """Outlier removal and split: (rows marked `is_test`, numeric, categorical, removed, dropped)."""
     features = features_of(df.drop(*ids), config.target, config.feature_columns)
     resolved = resolve_types(features, types)
     stored = {f.name: f.dataType for f in df.schema}
@@ -316,17 +316,17 @@ def split_raw(df: DataFrame, config: PrepConfig, ids: list[str], types: dict[str
     rows, removed = df, 0
     if config.outlier_handling == "remove":
         rows, removed = remove_outlier_rows(df, numeric, config.iqr_multiplier)
-    train, test, dropped = train_test_split(rows, ids, config.target, config.test_size, config.stratify, SEED)
-    return train, test, numeric, categorical, removed, dropped
+    marked, dropped = mark_test(rows, ids, config.target, config.test_size, config.stratify, SEED)
+    return marked, numeric, categorical, removed, dropped
 
 
 def preprocess(df: DataFrame, config: PrepConfig, ids: list[str], types: dict[str, str] | None = None) -> Prepared:
     """Subset, type, remove, split, fit on the training rows, apply to both sides.
 
-    Both sides are written to the shared folder, since every model reads them many times.
+    Both sides are written to the shared folder in one pass, a folder each, since models read them many times.
     """
-    train, test, numeric, categorical, removed, dropped = split_raw(df, config, ids, types)
-    fitted = Preparation.fit(train, config, numeric, categorical)
-    keep = [*ids, config.target]
-    return Prepared(durable(fitted.transform(train, keep), "train"), durable(fitted.transform(test, keep), "test"),
+    marked, numeric, categorical, removed, dropped = split_raw(df, config, ids, types)
+    fitted = Preparation.fit(marked.where(~F.col("is_test")), config, numeric, categorical)
+    ready = durable(fitted.transform(marked, [*ids, config.target, "is_test"]), "prepared", ["is_test"])
+    return Prepared(ready.where(~F.col("is_test")).drop("is_test"), ready.where("is_test").drop("is_test"),
                     fitted, removed, dropped)

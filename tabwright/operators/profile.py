@@ -121,6 +121,8 @@ def spearman(df: DataFrame, columns: list[str] | None = None, max_features: int
     """
     df = nan_to_null(df)
     columns, _ = capped(columns or numeric_columns(df), max_features, "Correlation")
+    if len(columns) < 2:
+        return small_table(df.sparkSession, [], "col_a string, col_b string, corr double")
     cells = durable(_pair_counts(df, columns), "pairs")
 
     def ranks(side: str) -> DataFrame:
@@ -148,6 +150,8 @@ def kendall(df: DataFrame, columns: list[str] | None = None, max_features: int =
     """
     df = nan_to_null(df)
     columns, _ = capped(columns or numeric_columns(df), max_features, "Correlation")
+    if len(columns) < 2:
+        return small_table(df.sparkSession, [], "col_a string, col_b string, corr double")
     cells = durable(_pair_counts(df, columns), "pairs")
     y_values = cells.groupBy("pair", "y").agg(F.sum("n").alias("w")).withColumn("one", F.lit(1))
     y_ranks = durable(running_totals(y_values, "y", "one", ["pair"])
@@ -241,6 +245,8 @@ def numeric_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """n, mean, population std, min and max per numeric column."""
     df = nan_to_null(df)
     columns = columns if columns is not None else numeric_columns(df)
+    if not columns:
+        return small_table(df.sparkSession, [], "column string, n bigint, mean double, std double, min double, max double")
     return per_column(df, columns, {
         "n": lambda c: F.count(col(c)),
         "mean": lambda c: F.avg(col(c)).cast("double"),
@@ -305,6 +311,10 @@ def box_stats(df: DataFrame, columns: list[str] | None = None, multiplier: float
     five = {c: q for c, q in exact_quantiles(df, {c: [0.0, 0.25, 0.5, 0.75, 1.0] for c in columns}).items()
             if q[0] is not None}
 
+    if not five:
+        return small_table(df.sparkSession, [], "column string, min double, q1 double, median double, q3 double, "
+                                                "max double, whisker_low double, whisker_high double")
+
     def fence(c: str, side: int) -> float:
         _, q1, _, q3, _ = five[c]
         return q1 - multiplier * (q3 - q1) if side < 0 else q3 + multiplier * (q3 - q1)
@@ -320,6 +330,9 @@ def column_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     """Count, mean, sample std, min, quartiles and max per numeric column."""
     df = nan_to_null(df)
     columns = columns or numeric_columns(df)
+    if not columns:
+        return small_table(df.sparkSession, [], "column string, count bigint, mean double, std double, min double, "
+                                                "q1 double, median double, q3 double, max double")
     quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns})
     return per_column(df, columns, {
         "count": lambda c: F.count(col(c)),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tabwright.functions.exprs import col
 from tabwright.operators.coltypes import MAX_CLASSES
@@ -42,20 +42,9 @@ def test_quotas(sizes: dict, test_size: float) -> dict:
     return quotas
 
 
-def _first_rows(df: DataFrame, ids: list[str], quotas: dict, cls: str | None, seed: int, largest: int) -> Column:
-    ranks = {c: [q - 1] for c, q in quotas.items() if q > 0}
-    cuts = hash_cuts(df, ids, ranks, cls, seed, largest)
-    chosen = F.lit(False)
-    for (c, _), key in cuts.items():
-        inside = not_after(ids, seed, key)
-        chosen = chosen | ((col(cls) == F.lit(c)) & inside if cls else inside)
-    return chosen
-
-
-def train_test_split(df: DataFrame, ids: list[str], target: str, test_size: float = 0.2, stratify: bool = True,
-                     seed: int = SEED) -> tuple[DataFrame, DataFrame, int]:
-    """(train, test, dropped): exact sizes, per class if stratified. Rows without a target are dropped and counted."""
-    known = df.where(col(target).isNotNull())
+def mark_test(df: DataFrame, ids: list[str], target: str, test_size: float = 0.2, stratify: bool = True,
+              seed: int = SEED, flag: str = "is_test") -> tuple[DataFrame, int]:
+    """Rows with a target and their side, exact in size, per class if stratified; and how many had no target."""
     if stratify:
         sizes, missing = class_sizes_and_missing(df, target)
         if sizes and min(sizes.values()) < 2:
@@ -65,8 +54,16 @@ def train_test_split(df: DataFrame, ids: list[str], target: str, test_size: floa
         row = df.agg(F.count(col(target)).alias("n"), F.count_if(col(target).isNull()).alias("missing")).first()
         largest, missing = row["n"], row["missing"]
         quotas, cls = {0: math.ceil(test_size * largest)}, None
-    is_test = _first_rows(known, ids, quotas, cls, seed, largest)
-    return known.where(~is_test), known.where(is_test), missing
+    known = df.where(col(target).isNotNull())
+    found = hash_cuts(known, ids, {c: [q - 1] for c, q in quotas.items() if q > 0}, cls, seed, largest)
+    return known.withColumn(flag, not_after(ids, seed, {c: key for (c, _), key in found.items()}, cls)), missing
+
+
+def train_test_split(df: DataFrame, ids: list[str], target: str, test_size: float = 0.2, stratify: bool = True,
+                     seed: int = SEED) -> tuple[DataFrame, DataFrame, int]:
+    """(train, test, dropped)."""
+    marked, missing = mark_test(df, ids, target, test_size, stratify, seed, "_test")
+    return marked.where(~F.col("_test")).drop("_test"), marked.where("_test").drop("_test"), missing
 
 
 def fold_sizes(sizes: dict, k: int) -> dict:
@@ -90,10 +87,9 @@ def stratified_folds(df: DataFrame, ids: list[str], target: str, k: int = 5, see
         ends[c] = [sum(counts[:f + 1]) - 1 for f in range(k - 1)]
     cuts = hash_cuts(df, ids, {c: sorted({r for r in rs if r >= 0}) for c, rs in ends.items()}, target, seed,
                      max(sizes.values(), default=0))
-    fold = F.lit(None).cast("int")
-    for c, ranks in ends.items():
-        place = F.lit(0)
-        for r in ranks:
-            place = place + (F.when(not_after(ids, seed, cuts[c, r]), 0).otherwise(1) if r >= 0 else F.lit(1))
-        fold = F.when(col(target) == F.lit(c), place).otherwise(fold)
-    return df.withColumn("fold", fold)
+    # a row moves on one fold for every cut of its class that it lies behind
+    fold = F.lit(0)
+    for f in range(k - 1):
+        here = {c: cuts[c, ranks[f]] for c, ranks in ends.items() if ranks[f] >= 0}
+        fold = fold + F.when(not_after(ids, seed, here, target), 0).otherwise(1)
+    return df.withColumn("fold", F.when(col(target).isNotNull(), fold))

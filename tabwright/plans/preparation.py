@@ -253,25 +253,25 @@ PREP_ALL = f"with {split_sql('dirty_orders', 'target').strip()}, {prepared_sql('
 
 
 def prepared_columns(spark, sf):
-    df = load(spark, sf, "dirty_orders")
-    train, test, numeric, categorical, _, _ = prep.split_raw(df, CONFIG, ["id"])
-    p = Preparation.fit(train, CONFIG, numeric, categorical)
-    keep = ["id", "target"]
-    return p, p.to_columns(train, keep), p.to_columns(test, keep)
+    """Named feature columns of all rows with a target, marked by side."""
+    marked, numeric, categorical, _, _ = prep.split_raw(load(spark, sf, "dirty_orders"), CONFIG, ["id"])
+    p = Preparation.fit(marked.where(~F.col("is_test")), CONFIG, numeric, categorical)
+    return rounded(p.to_columns(marked, ["id", "target", "is_test"]), *SCALED)
+
+
+def side(flag):
+    return F.when(flag, "test").otherwise("train").alias("split")
 
 
 @query("prep_all", PREP_ALL)
 def prep_all(spark, sf):
-    _, train, test = prepared_columns(spark, sf)
-    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    return rounded(both, *SCALED)
+    return prepared_columns(spark, sf).withColumn("split", side(F.col("is_test"))).drop("is_test")
 
 
 @query("prep_export", PREP_ALL)
 def prep_export(spark, sf):
     """Both sides written partitioned by split, and read back in row order."""
-    _, train, test = prepared_columns(spark, sf)
-    path = sinks.write_prepared(rounded(train, *SCALED), rounded(test, *SCALED))
+    path = sinks.write_prepared(prepared_columns(spark, sf), "is_test")
     return sinks.read_prepared(spark, path, ["id"])
 
 
@@ -282,8 +282,8 @@ def prep_export(spark, sf):
     where exists (select 1 from orders)""")
 def feature_names(spark, sf):
     df = load(spark, sf, "dirty_orders")
-    train, _, numeric, categorical, _, _ = prep.split_raw(df, CONFIG, ["id"])
-    return Preparation.fit(train, CONFIG, numeric, categorical).feature_names(spark)
+    marked, numeric, categorical, _, _ = prep.split_raw(df, CONFIG, ["id"])
+    return Preparation.fit(marked.where(~F.col("is_test")), CONFIG, numeric, categorical).feature_names(spark)
 
 
 @query("prep_vector", f"""

@@ -8,11 +8,11 @@ from tabwright.functions.exprs import col
 from tabwright.sources.shared import fresh_path
 
 
-def write_prepared(train: DataFrame, test: DataFrame, path: str | None = None, format: str = "parquet") -> str:
-    """Training and test rows side by side, one folder per side."""
-    path = path or fresh_path(train.sparkSession, "prepared")
-    for name, df in (("train", train), ("test", test)):
-        df.write.format(format).option("header", True).mode("overwrite").save(f"{path}/split={name}")
+def write_prepared(prepared: DataFrame, flag: str, path: str | None = None, format: str = "parquet") -> str:
+    """Training and test rows in one pass, a folder per side."""
+    path = path or fresh_path(prepared.sparkSession, "prepared")
+    (prepared.withColumn("split", F.when(col(flag), "test").otherwise("train")).drop(flag)
+     .write.format(format).partitionBy("split").option("header", True).mode("overwrite").save(path))
     return path
 
 

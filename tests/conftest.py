@@ -1,18 +1,14 @@
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, "/root/repo")
 
 
-def make_session() -> SparkSession:
-    spark = (SparkSession.builder.master("local[8]").appName("tabwright-tests")
-             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-             .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
-             .config("spark.sql.execution.arrow.pyspark.enabled", "true").getOrCreate())
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+def make_session():
+    from tabwright.sources.session import local_session
+
+    return local_session(8, "tabwright-tests")
 
 
 @pytest.fixture(scope="session")
