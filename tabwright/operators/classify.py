@@ -19,11 +19,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabwright.sources.local import small_table
 from tabwright.functions.exprs import col
 from tabwright.operators.bayes import Moments, class_moments, scoring_column
 from tabwright.operators.neighbors import neighbours, votes
 from tabwright.operators.split import SEED, class_sizes
+from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable
 
 MAX_DEPTH = 30       # deepest tree the library grows; stands for "unlimited"
@@ -157,7 +157,7 @@ class Classifier:
         elif self.name == "Decision Tree":
             # a tree's leaf number looks up the class counts of its (possibly collapsed) node
             self.model.setLeafCol("_leaf").setPredictionCol("_p").setProbabilityCol("").setRawPredictionCol("")
-            counts = F.array(*[F.array(*[F.lit(float(v)) for v in leaf]) for leaf in self.state["leaves"]])
+            counts = F.from_json(F.lit(json.dumps(self.state["leaves"])), "array<array<double>>")  # folded once
             out = self.model.transform(df).withColumn("_n", F.get(counts, F.col("_leaf").cast("int")))
             total = F.aggregate("_n", F.lit(0.0), lambda a, v: a + v)
             out = out.withColumn("probability", F.transform("_n", lambda v: v / total))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tabwright.functions.exprs import col, is_fractional, is_numeric, near_integer
 from tabwright.operators.counts import distinct_counts, per_column
@@ -145,5 +145,4 @@ def class_distribution(df: DataFrame, target: str, dropna: bool = False) -> Data
     require(df, [target], "Target column")
     rows = df.where(col(target).isNotNull()) if dropna else df
     counts = rows.groupBy(col(target).cast("string").alias("class")).agg(F.count("*").alias("count"))
-    everything = Window.partitionBy(F.lit(0))  # one row per class
-    return counts.withColumn("proportion", F.col("count") / F.sum("count").over(everything))
+    return counts.withColumn("proportion", F.col("count") / rows.agg(F.count("*")).scalar())

@@ -68,26 +68,9 @@ def _pick(table: dict[int, int], size: int) -> Column:
     return F.get(F.array(*[F.lit(int(table.get(c, 0))) for c in range(size)]), F.col("cell"))
 
 
-def neighbours(train: DataFrame, queries: DataFrame, key: str, k: int, p: int = 2, group: str | None = None,
-               block_rows: int | None = None) -> DataFrame:
-    """(query, neighbour, label, dist, rank): the k nearest training rows of every query, ties by row key.
-
-    `train` has `key`, `label` and `features`, `queries` has `key` and `features`. With `group`, rows of the query's own
-    group are no neighbours. Each `key` is unique within its table.
-    """
-    arrays = lambda df, *more: df.select(col(key).alias("key"), *more, vector_to_array("features").alias("v"),
-                                         (col(group) if group else F.lit(0)).cast("int").alias("g"))
-    # of identical rows only the first k by key can be neighbours; the rank filter drops copies before the shuffle
-    copies = Window.partitionBy("g", "v").orderBy("key")
-    kept = durable(arrays(train, col("label").cast("int").alias("label"))
-                   .withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k).drop("_c"), "points")
-    facts = kept.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
-    n, d = facts["n"], facts["d"] or 1
-    if not n:
-        raise ValueError("no training rows")
-    block = block_rows or max(1, min(BLOCK_ROWS, BLOCK_CELLS // d))
-    n_pivots = max(1, min(MAX_PIVOTS, BLOCK_CELLS // d, n // block))
-    pivots = _matrix(pd.Series([r["v"] for r in kept.orderBy(row_hash(["key"], 0), "key").limit(n_pivots).collect()]))
+def _grouped(kept: DataFrame, points: DataFrame, pivots: np.ndarray, k: int, p: int, by_group: bool):
+    """Training rows with their group, queries with the groups they cannot rule out, and rows and visits per group."""
+    n_pivots = len(pivots)
 
     @F.pandas_udf("struct<cell:int,far:double>")
     def place(v: pd.Series) -> pd.DataFrame:
@@ -109,7 +92,6 @@ def neighbours(train: DataFrame, queries: DataFrame, key: str, k: int, p: int =
         sizes[r["cell"]] = sizes.get(r["cell"], 0) + r["n"]
         members[r["cell"]] += r["n"]
         own.setdefault(r["g"], np.zeros(n_pivots))[r["cell"]] += r["n"]
-    by_group = group is not None
 
     @F.pandas_udf("array<int>")
     def reach(v: pd.Series, g: pd.Series) -> pd.Series:
@@ -128,11 +110,47 @@ def neighbours(train: DataFrame, queries: DataFrame, key: str, k: int, p: int =
             out.append(np.flatnonzero(live & (best <= bound * (1 + 1e-9) + 1e-6)).astype("int32"))
         return pd.Series(out)
 
-    reached = durable(arrays(queries).withColumn("cells", reach("v", "g")), "reach")
+    reached = durable(points.withColumn("cells", reach("v", "g")), "reach")
     visits = {r["cell"]: r["count"] for r in
               reached.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()}
+    return placed, reached, sizes, visits
+
+
+def neighbours(train: DataFrame, queries: DataFrame, key: str, k: int, p: int = 2, group: str | None = None,
+               block_rows: int | None = None) -> DataFrame:
+    """(query, neighbour, label, dist, rank): the k nearest training rows of every query, ties by row key.
+
+    `train` has `key`, `label` and `features`, `queries` has `key` and `features`. With `group`, rows of the query's own
+    group are no neighbours. Each `key` is unique within its table.
+    """
+    arrays = lambda df, *more: df.select(col(key).alias("key"), *more, vector_to_array("features").alias("v"),
+                                         (col(group) if group else F.lit(0)).cast("int").alias("g"))
+    # of identical rows only the first k by key can be neighbours; the rank filter drops copies before the shuffle
+    copies = Window.partitionBy("g", "v").orderBy("key")
+    kept = durable(arrays(train, col("label").cast("int").alias("label"))
+                   .withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k).drop("_c"), "points")
+    facts = kept.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
+    n, d = facts["n"], facts["d"] or 1
+    if not n:
+        raise ValueError("no training rows")
+    block = block_rows or max(1, min(BLOCK_ROWS, BLOCK_CELLS // d))
+    n_pivots = max(1, min(MAX_PIVOTS, BLOCK_CELLS // d, n // block))
+    by_group = group is not None
+    points = arrays(queries)
+    if n_pivots == 1:  # few enough rows that no group can be ruled out
+        placed, reached = kept.withColumn("cell", F.lit(0)), points.withColumn("cells", F.array(F.lit(0)))
+        sizes, visits = {0: n}, {0: queries.count()}
+    else:
+        pivots = _matrix(pd.Series(
+            [r["v"] for r in kept.orderBy(row_hash(["key"], 0), "key").limit(n_pivots).collect()]))
+        placed, reached, sizes, visits = _grouped(kept, points, pivots, k, p, by_group)
+    # small inputs still make a few blocks per core, since the work per byte is large
+    spark = train.sparkSession
+    q_block = max(1, min(block, math.ceil(sum(visits.values()) / (4 * spark.sparkContext.defaultParallelism))))
     t_blocks = {c: math.ceil(m / block) for c, m in sizes.items()}
-    q_blocks = {c: math.ceil(m / block) for c, m in visits.items()}
+    q_blocks = {c: math.ceil(m / q_block) for c, m in visits.items()}
+    meetings = sum(t_blocks.get(c, 0) * q_blocks.get(c, 0) for c in visits)
+    tasks = max(1, min(meetings, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     blocked = lambda df, table, name: df.withColumn(
         name, F.pmod(F.xxhash64("key"), F.greatest(_pick(table, n_pivots), F.lit(1))).cast("int"))
     copied = lambda df, table, name: df.where(_pick(table, n_pivots) > 0).withColumn(
@@ -157,16 +175,19 @@ def neighbours(train: DataFrame, queries: DataFrame, key: str, k: int, p: int =
             "neighbour": t_keys[at], "label": labels[at], "dist": np.concatenate([x for _, _, x in found])})
 
     block_key = ["cell", "tb", "qb"]
-    near = t_rows.groupBy(*block_key).cogroup(q_rows.groupBy(*block_key)).applyInPandas(
+    # a fixed number of tasks: by bytes alone, adaptive execution would merge this work into a few
+    spread = lambda df: df.repartition(tasks, *block_key)
+    near = spread(t_rows).groupBy(*block_key).cogroup(spread(q_rows).groupBy(*block_key)).applyInPandas(
         meet, f"query {key_type}, neighbour {key_type}, label int, dist double")
     best = Window.partitionBy("query").orderBy(F.round("dist", DIGITS), "neighbour")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def vote_grid(near: DataFrame, settings: list[tuple[int, str]], n_classes: int) -> DataFrame:
-    """(query, votes): per setting (k, weights) a struct of winner and class shares, all from one pass.
+    """(query, setting, winner, probability): the vote under each setting (k, weights), all from one pass.
 
     Ties go to the first class. With distance weights a vote counts 1/d, and exact matches, if any, take all of it.
+    The neighbours of a query already share a task, so neither aggregate shuffles again.
     """
     for _, weights in settings:
         if weights not in ("uniform", "distance"):
@@ -174,21 +195,20 @@ def vote_grid(near: DataFrame, settings: list[tuple[int, str]], n_classes: int)
     dist = F.round("dist", DIGITS)
     rows = near.withColumn("_exact", F.min(dist).over(Window.partitionBy("query")) == 0)
     inverse = F.when(F.col("_exact"), (dist == 0).cast("double")).otherwise(1.0 / F.col("dist"))
-    shares = []
-    for i, (k, weights) in enumerate(settings):
-        weight = F.when(F.col("rank") <= k, F.lit(1.0) if weights == "uniform" else inverse).otherwise(0.0)
-        shares.append(F.array(*[F.sum(F.when(F.col("label") == c, weight).otherwise(0.0)) for c in range(n_classes)])
-                      .alias(f"v{i}"))
-    voted = rows.groupBy("query").agg(*shares)
-
-    def outcome(i: int) -> Column:
-        total = F.aggregate(f"v{i}", F.lit(0.0), lambda a, v: a + v)
-        return F.struct((F.array_position(f"v{i}", F.array_max(f"v{i}")) - 1).cast("int").alias("winner"),
-                        F.transform(f"v{i}", lambda v: v / total).alias("probability"))
-
-    return voted.select("query", F.array(*[outcome(i) for i in range(len(settings))]).alias("votes"))
+    ballots = rows.select("query", "label", "rank", inverse.alias("_inverse")).select(
+        "query", "label", "rank", F.inline(F.array(*[
+            F.struct(F.lit(i).alias("setting"), F.lit(k).alias("k"),
+                     (F.lit(1.0) if weights == "uniform" else F.col("_inverse")).alias("w"))
+            for i, (k, weights) in enumerate(settings)]))).where("rank <= k")
+    sums = ballots.groupBy("query", "setting", "label").agg(F.sum("w").alias("w"))
+    won = sums.groupBy("query", "setting").agg(
+        F.max_by("label", F.struct(F.round("w", DIGITS), -F.col("label"))).alias("winner"),
+        F.map_from_entries(F.collect_list(F.struct("label", "w"))).alias("_by"), F.sum("w").alias("_all"))
+    shares = F.transform(F.sequence(F.lit(0), F.lit(n_classes - 1)),
+                         lambda c: F.coalesce(F.try_element_at("_by", c) / F.col("_all"), F.lit(0.0)))
+    return won.select("query", "setting", "winner", shares.alias("probability"))
 
 
 def votes(near: DataFrame, k: int, n_classes: int, weights: str = "uniform") -> DataFrame:
     """(query, winner, probability) from the k nearest."""
-    return vote_grid(near, [(k, weights)], n_classes).select("query", F.inline("votes"))
+    return vote_grid(near, [(k, weights)], n_classes).drop("setting")

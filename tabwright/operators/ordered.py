@@ -6,8 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabwright.sources.local import small_table
 from tabwright.functions.exprs import col, row_hash
+from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable
 
 DIRECT_CELLS = 4_000_000   # rows x columns up to which the built-in exact percentile is used
@@ -15,11 +15,11 @@ BRACKET_ROWS = 20_000      # rows of one open bracket that may be sorted in a ta
 CUTS = 400                 # sketch cut points per column and pass
 
 
-def exact_quantiles(df: DataFrame, probs: dict[str, list[float]], *, direct_cells: int = DIRECT_CELLS,
-                    bracket_rows: int = BRACKET_ROWS) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, probs: dict[str, list[float]], *, counts: dict[str, int] | None = None,
+                    direct_cells: int = DIRECT_CELLS, bracket_rows: int = BRACKET_ROWS) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of numeric columns, exact at any size.
 
-    Counts first. A table small enough for the built-in `percentile` uses it; its per-task map of
+    Non-null counts first, unless given. A table small enough for the built-in `percentile` uses it; its per-task map of
     values has a known bound then. Otherwise every wanted rank is enclosed in a bracket of values,
     which each pass over the columns narrows with a sketch and proves with counts, until few
     rows are left inside. No data row is shuffled; a pass moves one small row per task.
@@ -27,8 +27,10 @@ def exact_quantiles(df: DataFrame, probs: dict[str, list[float]], *, direct_cell
     columns = list(probs)
     if not columns:
         return {}
-    counted = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    n = {c: counted[f"n{i}"] for i, c in enumerate(columns)}
+    if counts is None:
+        row = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+        counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    n = {c: counts[c] for c in columns}
     if sum(n.values()) <= direct_cells:
         row = df.agg(*[
             F.percentile(col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs[c]])).alias(f"q{i}")
@@ -57,7 +59,7 @@ def exact_quantiles(df: DataFrame, probs: dict[str, list[float]], *, direct_cell
 def _order_statistics(df: DataFrame, n: dict[str, int], found: dict[tuple[str, int], float | None],
                       bracket_rows: int) -> None:
     """Fill `found[(column, rank)]` by narrowing value brackets."""
-    cut_probs = F.array(*[F.lit(i / CUTS) for i in range(CUTS + 1)])
+    cut_probs = F.expr(f"array({', '.join(f'{i / CUTS}D' for i in range(CUTS + 1))})")
 
     def sketch(c: str, inside: Column | None) -> Column:
         v = col(c).cast("double")
@@ -74,18 +76,19 @@ def _order_statistics(df: DataFrame, n: dict[str, int], found: dict[tuple[str, i
                 at = key[1] / max(n[c] - 1, 1) * CUTS
                 ends[key] = (cuts[max(0, math.floor(at) - 1)], cuts[min(CUTS, math.ceil(at) + 1)])
     while ends:
-        keys = list(ends)
+        # neighbouring ranks mostly share a bracket, which is then measured once
+        brackets = {(key[0], *ends[key]): j for j, key in enumerate(ends)}
         exprs = []
-        for j, key in enumerate(keys):
-            v, (low, high) = col(key[0]).cast("double"), ends[key]
+        for (c, low, high), j in brackets.items():
+            v = col(c).cast("double")
             inside = (v > F.lit(low)) & (v < F.lit(high))
             exprs += [F.count_if(v < F.lit(low)).alias(f"b{j}"), F.count_if(v == F.lit(low)).alias(f"l{j}"),
                       F.count_if(inside).alias(f"i{j}"), F.count_if(v == F.lit(high)).alias(f"h{j}"),
-                      F.min(v).alias(f"mn{j}"), F.max(v).alias(f"mx{j}"), sketch(key[0], inside).alias(f"c{j}")]
+                      F.min(v).alias(f"mn{j}"), F.max(v).alias(f"mx{j}"), sketch(c, inside).alias(f"c{j}")]
         row = df.agg(*exprs).first()
         ready, after = {}, {}
-        for j, key in enumerate(keys):
-            low, high = ends[key]
+        for key, (low, high) in ends.items():
+            j = brackets[key[0], low, high]
             below, at_low, inner, at_high = (row[f"{x}{j}"] for x in "blih")
             rank = key[1] - below
             if rank < 0:                      # the sketch missed: widen to the proven side
@@ -95,7 +98,7 @@ def _order_statistics(df: DataFrame, n: dict[str, int], found: dict[tuple[str, i
             elif low != high and rank < at_low + inner:
                 rank -= at_low
                 if inner <= bracket_rows:
-                    ready[key] = (low, high, rank)
+                    ready.setdefault((key[0], low, high), []).append((key, rank))
                 else:
                     cuts, at = list(row[f"c{j}"]), rank / inner * CUTS
                     after[key] = (cuts[max(0, math.floor(at) - 1)], cuts[min(CUTS, math.ceil(at) + 1)])
@@ -107,13 +110,14 @@ def _order_statistics(df: DataFrame, n: dict[str, int], found: dict[tuple[str, i
                 after[key] = (high, row[f"mx{j}"])
         if ready:
             picks = []
-            for j, (key, (low, high, rank)) in enumerate(ready.items()):
-                v = col(key[0]).cast("double")
-                kept = F.collect_list(F.when((v > F.lit(low)) & (v < F.lit(high)), v))
-                picks.append(F.get(F.sort_array(kept), F.lit(rank)).alias(f"v{j}"))
+            for j, ((c, low, high), wanted) in enumerate(ready.items()):
+                v = col(c).cast("double")
+                kept = F.sort_array(F.collect_list(F.when((v > F.lit(low)) & (v < F.lit(high)), v)))
+                picks += [F.get(kept, F.lit(rank)).alias(f"v{j}_{m}") for m, (_, rank) in enumerate(wanted)]
             row = df.agg(*picks).first()
-            for j, key in enumerate(ready):
-                found[key] = row[f"v{j}"]
+            for j, wanted in enumerate(ready.values()):
+                for m, (key, _) in enumerate(wanted):
+                    found[key] = row[f"v{j}_{m}"]
         ends = after
 
 

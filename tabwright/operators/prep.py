@@ -7,19 +7,21 @@ vocabulary table, kept as a table because nothing bounds its size.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tabwright.sources.local import small_table
 from tabwright.functions.exprs import col, is_numeric, nan_to_null
 from tabwright.operators.coltypes import resolve_types
 from tabwright.operators.counts import long_text
 from tabwright.operators.lookup import SMALL_TABLE_ROWS, left_lookup
 from tabwright.operators.ordered import exact_quantiles, running_totals
+from tabwright.operators.profile import Facts, measure
 from tabwright.operators.split import SEED, mark_test
 from tabwright.operators.table import features_of, tabular
+from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable
 
 INLINE_CODES = 64      # vocabularies up to this size become part of the expression
@@ -61,22 +63,30 @@ def numeric_modes(df: DataFrame, columns: list[str]) -> dict[str, float]:
     return {r["column"]: r["mode"] for r in best.collect()}
 
 
-def numeric_fills(df: DataFrame, columns: list[str], strategy: str, constant: float = 0.0) -> dict[str, float]:
+def numeric_fills(df: DataFrame, columns: list[str], strategy: str, facts: Facts, constant: float = 0.0
+                  ) -> dict[str, float]:
     """Replacement for missing values per column; a column without values has none and is left out."""
-    if not columns:
-        return {}
     if strategy == "most_frequent":
         return numeric_modes(df, columns)
     if strategy == "median":
-        found = {c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in columns}).items()}
+        found = {c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in columns}, counts=facts.count).items()}
     else:
-        row = df.agg(*[F.avg(col(c)).cast("double").alias(f"m{i}") for i, c in enumerate(columns)]).first()
-        found = {c: row[f"m{i}"] for i, c in enumerate(columns)}
-        if strategy == "constant":
-            found = {c: constant for c in columns}
+        found = {c: constant if strategy == "constant" else facts.mean[c] for c in columns}
     return {c: v for c, v in found.items() if v is not None}
 
 
+def filled_scale(facts: Facts, c: str, fill: float, scaler: str) -> tuple[float, float]:
+    """(offset, divisor) of a column after its gaps are filled, worked out from the figures before."""
+    n, gaps = facts.count[c], facts.rows - facts.count[c]
+    if scaler == "minmax":
+        ends = [v for v in (facts.low[c], facts.high[c], fill if gaps else None) if v is not None]
+        return min(ends), max(ends) - min(ends)
+    mean, std = facts.mean[c] or 0.0, facts.std[c] or 0.0
+    centre = (n * mean + gaps * fill) / facts.rows
+    variance = (n * (std ** 2 + (mean - centre) ** 2) + gaps * (fill - centre) ** 2) / facts.rows
+    return centre, math.sqrt(variance)
+
+
 def value_table(df: DataFrame, columns: list[str], numeric: list[str] | None = None) -> DataFrame:
     """(column, value, n, _order): distinct values with their counts, written to the shared folder.
 
@@ -121,20 +131,19 @@ class Preparation:
     @classmethod
     def fit(cls, train: DataFrame, config: PrepConfig, numeric: list[str], categorical: list[str]) -> Preparation:
         train = nan_to_null(tabular(train))
-        fills = numeric_fills(train, numeric, config.numeric_imputer, config.numeric_fill)
+        facts = measure(train.select(*[col(c).cast("double").alias(c) for c in numeric])) if numeric else None
+        fills = numeric_fills(train, numeric, config.numeric_imputer, facts, config.numeric_fill) if numeric else {}
         self = cls([c for c in numeric if c in fills], [], config, fills=fills)
         if config.outlier_handling == "cap" and self.numeric:
             filled = train.select(*[self.number(c).alias(c) for c in self.numeric])
-            for c, (q1, q3) in exact_quantiles(filled, {c: [0.25, 0.75] for c in self.numeric}).items():
+            rows = {c: facts.rows for c in self.numeric}
+            for c, (q1, q3) in exact_quantiles(filled, {c: [0.25, 0.75] for c in self.numeric}, counts=rows).items():
                 reach = config.iqr_multiplier * (q3 - q1)
                 self.caps[c] = (q1 - reach, q3 + reach)
-        if config.scaler != "none" and self.numeric:
-            low, width = ((F.avg, F.stddev_pop) if config.scaler == "standard"
-                          else (F.min, lambda v: F.max(v) - F.min(v)))
-            capped = train.select(*[self.number(c).alias(f"v{i}") for i, c in enumerate(self.numeric)])
-            row = capped.agg(*[f(F.col(f"v{i}")).alias(f"{t}{i}") for i in range(len(self.numeric))
-                               for t, f in (("a", low), ("b", width))]).first()
-            self.scales = {c: (row[f"a{i}"], row[f"b{i}"]) for i, c in enumerate(self.numeric)}
+            # capping changes the figures, so they are taken again
+            facts = measure(train.select(*[self.number(c).alias(c) for c in self.numeric]))
+        if config.scaler != "none":
+            self.scales = {c: filled_scale(facts, c, fills[c], config.scaler) for c in self.numeric}
         if categorical:
             self._learn_categories(train, categorical)
         return self

@@ -2,24 +2,58 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tabwright.sources.local import small_table
 from tabwright.functions.exprs import col, is_numeric, nan_to_null, text_to_number
 from tabwright.operators.coltypes import resolve_profile_types
 from tabwright.operators.counts import per_column, top_values, value_counts
+from tabwright.operators.lookup import left_lookup
 from tabwright.operators.ordered import exact_quantiles, running_totals
 from tabwright.operators.table import capped, numeric_columns
+from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable
 
 
-def missing_values(df: DataFrame) -> DataFrame:
-    """column, missing_count, missing_percent; an empty table has 0 percent."""
+@dataclass(frozen=True)
+class Facts:
+    """What one pass over a table tells about its columns: rows, and per column count, mean, spread and ends."""
+
+    rows: int
+    count: dict[str, int]
+    mean: dict[str, float | None]
+    std: dict[str, float | None]
+    low: dict[str, float | None]
+    high: dict[str, float | None]
+
+
+def measure(df: DataFrame) -> Facts:
+    """The figures that missing values, statistics, correlations, outliers and histograms share, in one aggregate."""
     df = nan_to_null(df)
-    rows = per_column(df, df.columns, {"missing_count": lambda c: F.count_if(col(c).isNull())},
-                      {"n_rows": F.count("*")})
+    numeric = set(numeric_columns(df))
+    aggs = [F.count("*").alias("rows")]
+    for i, c in enumerate(df.columns):
+        aggs.append(F.count(col(c)).alias(f"count{i}"))
+        if c in numeric:
+            aggs += [F.avg(col(c)).cast("double").alias(f"mean{i}"), F.stddev_pop(col(c)).alias(f"std{i}"),
+                     F.min(col(c)).cast("double").alias(f"low{i}"), F.max(col(c)).cast("double").alias(f"high{i}")]
+    row = df.agg(*aggs).first()
+    take = lambda name: {c: row[f"{name}{i}"] for i, c in enumerate(df.columns) if name == "count" or c in numeric}
+    return Facts(row["rows"], *[take(name) for name in ("count", "mean", "std", "low", "high")])
+
+
+def missing_values(df: DataFrame, facts: Facts | None = None) -> DataFrame:
+    """column, missing_count, missing_percent; an empty table has 0 percent."""
+    if facts:
+        rows = small_table(df.sparkSession, [(c, facts.rows - n, facts.rows) for c, n in facts.count.items()],
+                           "column string, missing_count bigint, n_rows bigint")
+    else:
+        df = nan_to_null(df)
+        rows = per_column(df, df.columns, {"missing_count": lambda c: F.count_if(col(c).isNull())},
+                          {"n_rows": F.count("*")})
     percent = F.coalesce(100.0 * F.try_divide(F.col("missing_count"), F.col("n_rows")), F.lit(0.0))
     return rows.select("column", "missing_count", percent.alias("missing_percent")).orderBy(
         F.desc("missing_percent"), F.desc("missing_count"), "column")
@@ -44,7 +78,8 @@ def _pairs(columns: list[str]) -> list[tuple[str, str]]:
     return list(combinations(columns, 2))
 
 
-def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int = 30, per_pass: int = 120) -> DataFrame:
+def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int = 30, per_pass: int = 120,
+            facts: Facts | None = None) -> DataFrame:
     """(col_a, col_b, n, corr) over rows where both are present; constant columns give NULL.
 
     Columns are first shifted by their mean, so plain sums are stable. A pass then needs one sum per pair plus
@@ -55,12 +90,12 @@ def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int =
     pairs = _pairs(columns)
     if not pairs:
         return small_table(df.sparkSession, [], "col_a string, col_b string, n bigint, corr double")
-    first = df.agg(F.count("*").alias("n"), *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-                   *[F.avg(col(c)).cast("double").alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    if facts is None:
+        facts = measure(df.select(*[col(c) for c in columns]))
     at = {c: i for i, c in enumerate(columns)}
-    shifted = df.select(*[(col(c).cast("double") - F.lit(first[f"m{i}"] or 0.0)).alias(f"x{i}")
-                          for c, i in at.items()])
-    full = {i for i in at.values() if first[f"n{i}"] == first["n"]}
+    centre = [facts.mean[c] or 0.0 for c in columns]
+    shifted = df.select(*[(col(c).cast("double") - F.lit(centre[i])).alias(f"x{i}") for c, i in at.items()])
+    full = {i for c, i in at.items() if facts.count[c] == facts.rows}
     parts = []
     for start in range(0, len(pairs), per_pass):
         chunk = [(at[a], at[b]) for a, b in pairs[start:start + per_pass]]
@@ -86,7 +121,7 @@ def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int =
             var = {k: F.col(f"q{k}{tag}") / n - mean[k] * mean[k] for k in (i, j)}
             cov = F.col(f"xy_{i}_{j}") / n - mean[i] * mean[j]
             # a variance that is rounding dust of the shifted squares belongs to a constant column
-            flat = [var[k] <= F.lit(1e-24) * (F.col(f"q{k}{tag}") / n + F.lit(abs(first[f"m{k}"] or 0.0) ** 2))
+            flat = [var[k] <= F.lit(1e-24) * (F.col(f"q{k}{tag}") / n + F.lit(centre[k] ** 2))
                     for k in (i, j)]
             return F.when(~(flat[0] | flat[1]), F.try_divide(cov, F.sqrt(var[i] * var[j])))
 
@@ -100,16 +135,16 @@ def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int =
     return out
 
 
-def _pair_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+def _pair_counts(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Distinct (pair, x, y) with their row count; the starting point of the rank correlations."""
     structs = [F.struct(F.lit(k).alias("pair"), col(a).cast("double").alias("x"), col(b).cast("double").alias("y"))
-               for k, (a, b) in enumerate(_pairs(columns))]
+               for k, (a, b) in enumerate(pairs)]
     return (df.select(F.inline(F.array(*structs))).where("x is not null and y is not null")
             .groupBy("pair", "x", "y").agg(F.count("*").alias("n")))
 
 
-def _pair_names(df: DataFrame, columns: list[str]) -> DataFrame:
-    names = [(k, a, b) for k, (a, b) in enumerate(_pairs(columns))]
+def _pair_names(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    names = [(k, a, b) for k, (a, b) in enumerate(pairs)]
     return F.broadcast(small_table(df.sparkSession, names, "pair int, col_a string, col_b string"))
 
 
@@ -117,13 +152,48 @@ def spearman(df: DataFrame, columns: list[str] | None = None, max_features: int
     """(col_a, col_b, corr): Pearson over average ranks, ranked within each pair's complete rows.
 
     Ranks come from running totals over distinct values, never from a sort of all rows in one task.
-    The totals of a side come back to the pairs by pair and value; equal values were combined first.
+    Columns without gaps have the same ranks in every pair of them, so these are looked up once per column;
+    a pair with gaps is ranked on its own.
     """
     df = nan_to_null(df)
     columns, _ = capped(columns or numeric_columns(df), max_features, "Correlation")
     if len(columns) < 2:
         return small_table(df.sparkSession, [], "col_a string, col_b string, corr double")
-    cells = durable(_pair_counts(df, columns), "pairs")
+    first = df.agg(F.count("*").alias("n"), *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    full = [c for i, c in enumerate(columns) if first[f"n{i}"] == first["n"]]
+    parts = []
+    if len(full) > 1:
+        parts.append(_spearman_complete(df, full, first["n"]))
+    rest = [(a, b) for a, b in _pairs(columns) if not (a in full and b in full)]
+    if rest:
+        parts.append(_spearman_pairs(df, rest))
+    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+
+
+def _spearman_complete(df: DataFrame, columns: list[str], n: int) -> DataFrame:
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("c"), col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
+    counts = cells.groupBy("c", "v").agg(F.count("*").alias("w"))
+    centre = (n + 1) / 2
+    ranks = running_totals(counts, "v", "w", ["c"]).withColumn(
+        "r", F.col("before") + (F.col("w") + 1) / 2 - F.lit(centre))
+    ranks = durable(ranks.select("c", "v", "w", "r"), "ranks", ["c"])
+    sizes = {r["c"]: r["count"] for r in ranks.groupBy("c").count().collect()}  # a row per column
+    rows = df.select(*[col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    for i in range(len(columns)):
+        table = ranks.where(F.col("c") == i).select(F.col("v").alias(f"v{i}"), F.col("r").alias(f"r{i}"), "w")
+        rows = left_lookup(rows, table, f"v{i}", f"r{i}", "w", sizes[i], n).drop(f"v{i}")
+    at = _pairs([str(i) for i in range(len(columns))])
+    sums = rows.agg(*[F.sum(F.col(f"r{i}") * F.col(f"r{i}")).alias(f"q{i}") for i in range(len(columns))],
+                    *[F.sum(F.col(f"r{i}") * F.col(f"r{j}")).alias(f"x{i}_{j}") for i, j in at])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(columns[int(i)]).alias("col_a"), F.lit(columns[int(j)]).alias("col_b"),
+                 F.try_divide(F.col(f"x{i}_{j}"), F.nullif(F.sqrt(F.col(f"q{i}") * F.col(f"q{j}")), F.lit(0.0)))
+                 .alias("corr")) for i, j in at])))
+
+
+def _spearman_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    cells = durable(_pair_counts(df, pairs), "pairs")
 
     def ranks(side: str) -> DataFrame:
         totals = cells.groupBy("pair", side).agg(F.sum("n").alias("w"))
@@ -131,14 +201,15 @@ def spearman(df: DataFrame, columns: list[str] | None = None, max_features: int
         return placed.select("pair", side, (F.col("before") + (F.col("w") + 1) / 2).alias(f"r{side}"))
 
     ranked = cells.join(ranks("x"), ["pair", "x"]).join(ranks("y"), ["pair", "y"])
-    # centre on the known mean rank (N + 1) / 2
+    # centre on the known mean rank (N + 1) / 2; one row per pair
     size = cells.groupBy("pair").agg(((F.sum("n") + 1) / 2).alias("mid"))
     centred = ranked.join(F.broadcast(size), "pair").select(
         "pair", "n", (F.col("rx") - F.col("mid")).alias("dx"), (F.col("ry") - F.col("mid")).alias("dy"))
     sums = centred.groupBy("pair").agg(
         *[F.sum(F.col("n") * F.col(a) * F.col(b)).alias(a + b) for a, b in (("dx", "dx"), ("dx", "dy"), ("dy", "dy"))])
     corr = F.try_divide(F.col("dxdy"), F.nullif(F.sqrt(F.col("dxdx") * F.col("dydy")), F.lit(0.0)))
-    return sums.join(_pair_names(df, columns), "pair").select("col_a", "col_b", corr.alias("corr"))
+    # a pair without complete rows still has its line
+    return (_pair_names(df, pairs).join(sums, "pair", "left").select("col_a", "col_b", corr.alias("corr")))
 
 
 def kendall(df: DataFrame, columns: list[str] | None = None, max_features: int = 30) -> DataFrame:
@@ -152,7 +223,7 @@ def kendall(df: DataFrame, columns: list[str] | None = None, max_features: int =
     columns, _ = capped(columns or numeric_columns(df), max_features, "Correlation")
     if len(columns) < 2:
         return small_table(df.sparkSession, [], "col_a string, col_b string, corr double")
-    cells = durable(_pair_counts(df, columns), "pairs")
+    cells = durable(_pair_counts(df, _pairs(columns)), "pairs")
     y_values = cells.groupBy("pair", "y").agg(F.sum("n").alias("w")).withColumn("one", F.lit(1))
     y_ranks = durable(running_totals(y_values, "y", "one", ["pair"])
                       .select("pair", "y", "w", F.col("before").alias("rank")), "ranks")
@@ -184,13 +255,14 @@ def kendall(df: DataFrame, columns: list[str] | None = None, max_features: int =
     total = n * (n - 1) / 2
     score = F.col("agree") - (F.col("all") - F.col("agree") - F.col("level"))
     scale = F.sqrt((total - F.col("tx")) * (total - F.col("ty")))
-    return table.join(_pair_names(df, columns), "pair").select(
+    return _pair_names(df, _pairs(columns)).join(table, "pair", "left").select(
         "col_a", "col_b", F.try_divide(score, F.nullif(scale, F.lit(0.0))).alias("corr"))
 
 
-def correlations(df: DataFrame, method: str = "pearson", max_features: int = 30) -> DataFrame:
+def correlations(df: DataFrame, method: str = "pearson", max_features: int = 30, facts: Facts | None = None
+                 ) -> DataFrame:
     if method == "pearson":
-        return pearson(df, max_features=max_features).drop("n")
+        return pearson(df, max_features=max_features, facts=facts).drop("n")
     if method == "spearman":
         return spearman(df, max_features=max_features)
     if method == "kendall":
@@ -198,16 +270,18 @@ def correlations(df: DataFrame, method: str = "pearson", max_features: int = 30)
     raise ValueError("Correlation method must be 'pearson', 'spearman' or 'kendall'.")
 
 
-def iqr_bounds(df: DataFrame, columns: list[str], multiplier: float = 1.5) -> dict[str, tuple[float, float] | None]:
+def iqr_bounds(df: DataFrame, columns: list[str], multiplier: float = 1.5, facts: Facts | None = None
+               ) -> dict[str, tuple[float, float] | None]:
     """Lower and upper fence per column; None for a column without values."""
     out = {}
-    for c, (q1, q3) in exact_quantiles(df, {c: [0.25, 0.75] for c in columns}).items():
+    counts = facts.count if facts else None
+    for c, (q1, q3) in exact_quantiles(df, {c: [0.25, 0.75] for c in columns}, counts=counts).items():
         out[c] = None if q1 is None else (q1 - multiplier * (q3 - q1), q3 + multiplier * (q3 - q1))
     return out
 
 
 def outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float = 1.5, zscore_threshold: float = 3.0,
-             columns: list[str] | None = None, max_columns: int = 30) -> DataFrame:
+             columns: list[str] | None = None, max_columns: int = 30, facts: Facts | None = None) -> DataFrame:
     """column, outlier_count, outlier_percent of the non-null rows; zero spread means no outliers.
 
     Pass one learns bounds, a few numbers per column; pass two counts with them as constants.
@@ -222,15 +296,14 @@ def outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float = 1.5, zs
             [], "column string, method string, non_null_count bigint, outlier_count bigint, outlier_percent double")
     tests: dict[str, Column] = {}
     if method == "iqr":
-        for c, b in iqr_bounds(df, columns, iqr_multiplier).items():
+        for c, b in iqr_bounds(df, columns, iqr_multiplier, facts).items():
             if b is not None and b[0] < b[1]:
                 tests[c] = (col(c) < F.lit(b[0])) | (col(c) > F.lit(b[1]))
     else:
-        row = df.agg(*[F.avg(col(c)).cast("double").alias(f"m{i}") for i, c in enumerate(columns)],
-                     *[F.stddev_pop(col(c)).alias(f"s{i}") for i, c in enumerate(columns)]).first()
-        for i, c in enumerate(columns):
-            if row[f"s{i}"]:
-                tests[c] = F.abs((col(c) - F.lit(row[f"m{i}"])) / F.lit(row[f"s{i}"])) > F.lit(zscore_threshold)
+        facts = facts or measure(df.select(*[col(c) for c in columns]))
+        for c in columns:
+            if facts.std[c]:
+                tests[c] = F.abs((col(c) - F.lit(facts.mean[c])) / F.lit(facts.std[c])) > F.lit(zscore_threshold)
     table = per_column(df, columns, {
         "non_null_count": lambda c: F.count(col(c)),
         "outlier_count": lambda c: F.count_if(tests.get(c, F.lit(False))),
@@ -241,35 +314,26 @@ def outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float = 1.5, zs
                                                                   "column")
 
 
-def numeric_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def numeric_stats(df: DataFrame, columns: list[str] | None = None, facts: Facts | None = None) -> DataFrame:
     """n, mean, population std, min and max per numeric column."""
     df = nan_to_null(df)
     columns = columns if columns is not None else numeric_columns(df)
-    if not columns:
-        return small_table(df.sparkSession, [], "column string, n bigint, mean double, std double, min double, max double")
-    return per_column(df, columns, {
-        "n": lambda c: F.count(col(c)),
-        "mean": lambda c: F.avg(col(c)).cast("double"),
-        "std": lambda c: F.stddev_pop(col(c)),
-        "min": lambda c: F.min(col(c)).cast("double"),
-        "max": lambda c: F.max(col(c)).cast("double"),
-    }).drop("position")
-
-
-def value_bounds(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """Smallest and largest value per column that has any."""
-    if not columns:
-        return {}
-    row = df.agg(*[f(col(c)).cast("double").alias(f"{t}{i}") for i, c in enumerate(columns)
-                   for t, f in (("lo", F.min), ("hi", F.max))]).first()
-    return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns) if row[f"lo{i}"] is not None}
+    if columns and facts is None:
+        facts = measure(df.select(*[col(c) for c in columns]))
+    rows = [(c, *[f[c] for f in (facts.count, facts.mean, facts.std, facts.low, facts.high)]) for c in columns]
+    return small_table(df.sparkSession, rows,
+                       "column string, n bigint, mean double, std double, min double, max double")
 
 
-def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 30, max_columns: int = 20) -> DataFrame:
+def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 30, max_columns: int = 20,
+              facts: Facts | None = None) -> DataFrame:
     """(column, bin, lower, upper, count) over equal widths; empty bins included, the last one closed."""
     df = nan_to_null(df)
     columns, _ = capped(columns if columns is not None else numeric_columns(df), max_columns, "Distributions")
-    bounds = {c: (lo, hi) if lo < hi else (lo - 0.5, hi + 0.5) for c, (lo, hi) in value_bounds(df, columns).items()}
+    if columns and facts is None:
+        facts = measure(df.select(*[col(c) for c in columns]))
+    ends = {c: (facts.low[c], facts.high[c]) for c in columns if facts.count[c]}
+    bounds = {c: (lo, hi) if lo < hi else (lo - 0.5, hi + 0.5) for c, (lo, hi) in ends.items()}
     if not bounds:
         return small_table(df.sparkSession, 
             [], "column string, bin int, lower double, upper double, count bigint")
@@ -350,13 +414,13 @@ def kde(df: DataFrame, column: str, grid_points: int = 50, bins: int = 200) -> D
     Only the bins, whose number is fixed, meet the grid.
     """
     df = nan_to_null(df)
-    row = df.agg(F.count(col(column)).alias("n"), F.stddev_samp(col(column)).alias("s")).first()
-    n, spread = row["n"], row["s"]
-    if not n or not spread:
+    facts = measure(df.select(col(column)))
+    n = facts.count[column]
+    if n < 2 or not facts.std[column]:
         return small_table(df.sparkSession, [], "x double, density double")
-    width = spread * n ** (-0.2)
-    lo, hi = value_bounds(df, [column])[column]
-    cells = histogram(df, [column], bins).select(((F.col("lower") + F.col("upper")) / 2).alias("c"), "count")
+    width = facts.std[column] * math.sqrt(n / (n - 1)) * n ** (-0.2)
+    lo, hi = facts.low[column], facts.high[column]
+    cells = histogram(df, [column], bins, facts=facts).select(((F.col("lower") + F.col("upper")) / 2).alias("c"), "count")
     grid = F.array(*[F.lit(lo + (hi - lo) * i / (grid_points - 1)) for i in range(grid_points)])
     z = (F.col("x") - F.col("c")) / F.lit(width)
     weight = F.col("count") * F.exp(-z * z / 2) / F.lit(n * width * 2.5066282746310002)
@@ -366,8 +430,9 @@ def kde(df: DataFrame, column: str, grid_points: int = 50, bins: int = 200) -> D
 def profile(df: DataFrame, target: str | None = None, declared: dict[str, str] | None = None,
             correlation_method: str = "pearson", outlier_method: str = "iqr", bins: int = 30
             ) -> dict[str, DataFrame | list]:
-    """All profile tables of one dataset, with the warnings."""
+    """All profile tables of one dataset, with the warnings. One pass supplies the figures they share."""
     df = nan_to_null(df)
+    facts = measure(df)
     types = resolve_profile_types(df, declared, target)
     stored = {f.name: f.dataType for f in df.schema}
     numeric = [c for c, t in types.items() if t == "numeric"]
@@ -382,10 +447,10 @@ def profile(df: DataFrame, target: str | None = None, declared: dict[str, str] |
     features = df.select(*[col(c) for c in measured]) if measured else df.select()
     return {
         "warnings": warnings, "numeric_columns": numeric, "categorical_columns": categorical,
-        "missing": missing_values(df),
-        "correlations": correlations(features, correlation_method),
-        "outliers": outliers(df, outlier_method, columns=measured),
-        "histograms": histogram(df, shown, bins),
-        "numeric_stats": numeric_stats(df, shown),
+        "missing": missing_values(df, facts),
+        "correlations": correlations(features, correlation_method, facts=facts),
+        "outliers": outliers(df, outlier_method, columns=measured, facts=facts),
+        "histograms": histogram(df, shown, bins, facts=facts),
+        "numeric_stats": numeric_stats(df, shown, facts),
         "category_counts": category_counts(df, capped(categorical, 20, "")[0]),
     }

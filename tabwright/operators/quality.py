@@ -6,12 +6,12 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tabwright.sources.local import small_table
 from tabwright.functions.exprs import col, is_date_text, is_numeric, nan_to_null, row_hash, text_to_number
 from tabwright.operators.coltypes import class_distribution
 from tabwright.operators.counts import distinct_counts, per_column, value_counts
-from tabwright.operators.profile import convertible_fractions, high_missing, missing_values
+from tabwright.operators.profile import high_missing
 from tabwright.operators.table import capped, require
+from tabwright.sources.local import small_table
 
 
 def imbalance(df: DataFrame, target: str, min_share: float = 0.20, min_ratio: float = 0.50) -> DataFrame:
@@ -134,10 +134,12 @@ def _quantile(values: list[float], q: float, empty: float) -> float:
 def estimate_thresholds(df: DataFrame, target: str | None = None, types: dict[str, str] | None = None) -> dict:
     """Starting values for the quality rules. Spark reduces the rows; one figure per column comes back."""
     df = nan_to_null(df)
-    missing = missing_values(df).withColumn("rate", F.col("missing_percent") / 100.0).collect()
-    rates = [r["rate"] for r in missing]
-    n = max(df.count(), 1)
-    convertible = [r["convertible"] for r in convertible_fractions(df).collect()]
+    per = per_column(df, df.columns, {
+        "filled": lambda c: F.count(col(c)), "numbers": lambda c: F.count(text_to_number(col(c))),
+    }, {"n_rows": F.count("*")}).collect()  # a row per column
+    n = max(per[0]["n_rows"], 1)
+    rates = [(r["n_rows"] - r["filled"]) / n for r in per]
+    convertible = [r["numbers"] / r["filled"] if r["filled"] else 0.0 for r in per]
     columns = categorical_scope(df, types, target)
     ratios = [r["n_unique"] / n for r in distinct_counts(df, columns).collect()] if columns else []
     ratios += [0.0] * (len(columns) - len(ratios))

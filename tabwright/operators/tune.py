@@ -129,7 +129,9 @@ def _bayes_predictions(folded: DataFrame, candidates: list, n_classes: int) -> D
     per_fold = class_moments(folded, n_classes, "fold")
     models = {f: Moments.merged([m for g, m in per_fold.items() if g != f]) for f in per_fold}
     outcome = scoring_column(models, [p["var_smoothing"] for _, p in candidates], F.col("fold"))
-    return _spread(folded.withColumn("votes", outcome), candidates)
+    places = F.array(*[F.lit(i) for i, _ in candidates])
+    rows = folded.select("fold", F.col("label").cast("int").alias("label"), F.posexplode(outcome).alias("_at", "_v"))
+    return rows.select("fold", "label", F.get(places, F.col("_at")).alias("candidate"), "_v.winner")
 
 
 def _neighbour_predictions(folded: DataFrame, candidates: list, n_classes: int, key: str) -> DataFrame:
@@ -140,18 +142,14 @@ def _neighbour_predictions(folded: DataFrame, candidates: list, n_classes: int,
         most = max(c["n_neighbors"] for _, c in own)
         near = neighbours(folded, folded, key, most, p, group="fold")
         won = vote_grid(near, [(c["n_neighbors"], c["weights"]) for _, c in own], n_classes)
-        rows = _spread(folded.join(won, col(key) == F.col("query")), own)
+        places = F.array(*[F.lit(i) for i, _ in own])
+        rows = folded.join(won, col(key) == F.col("query")).select(
+            "fold", F.col("label").cast("int").alias("label"), F.get(places, F.col("setting")).alias("candidate"),
+            "winner")
         out = rows if out is None else out.unionAll(rows)
     return out
 
 
-def _spread(df: DataFrame, candidates: list) -> DataFrame:
-    """One row per candidate from the `votes` array."""
-    places = F.array(*[F.lit(i) for i, _ in candidates])
-    return df.select("fold", F.col("label").cast("int").alias("label"), F.posexplode("votes").alias("_at", "_v")).select(
-        "fold", "label", F.get(places, F.col("_at")).alias("candidate"), F.col("_v.winner").alias("winner"))
-
-
 def _fitted_scores(name: str, folded: DataFrame, target: str, key: str, candidates: list, cv: int, measure: str,
                    parallelism: int) -> list[tuple]:
     """Fit and score candidate by fold; a few run side by side, each as ordinary Spark jobs."""

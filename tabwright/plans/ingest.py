@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabwright.plans.catalog import load, query
 from tabwright.sources.csv import read_csv, read_scoring_csv
-from tabwright.sources.local import small_table
 from tabwright.sources.shared import fresh_path
 
 

@@ -12,12 +12,11 @@ from tabwright.operators.prep import PrepConfig, preprocess
 from tabwright.operators.score import Scorer, scoring_columns
 from tabwright.operators.split import SEED, train_test_split
 from tabwright.plans.catalog import load, query, rounded
-from tabwright.plans.preparation import PRIORITIES, fill_sql, folds_sql, hash_sql, onehot_sql, split_sql
+from tabwright.plans.preparation import PRIORITIES, fill_sql, folds_sql, onehot_sql, split_sql
 from tabwright.sources import sinks
 from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable, fresh_path
 
-LANGS_SQL = "select distinct lang from doc_model order by 1"
 DOC = PrepConfig(target="label", feature_columns=["n_chars", "n_words", "lang"])
 
 

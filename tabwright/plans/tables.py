@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from tabwright.functions.exprs import col
 from tabwright.operators import coltypes, table
 from tabwright.plans.catalog import load, query, rounded, union_of
 

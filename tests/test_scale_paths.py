@@ -140,9 +140,7 @@ def test_neighbours_in_blocks_equal_brute_force(spark, p, group):
     queries = [(1000 + i, ([1.0, 2.0, 3.0] if i % 5 == 0 else (centres[i % 6] + rng.normal(0, 2, 3)).tolist()),
                 i % 3 if group else 0) for i in range(60)]
     t = spark.createDataFrame([(i, Vectors.dense(v), c, g) for i, v, c, g in train],
-                              "id bigint, features vector, label int, fold int".replace("vector", "string")
-                              ) if False else spark.createDataFrame(
-        [(i, Vectors.dense(v), c, g) for i, v, c, g in train], ["id", "features", "label", "fold"])
+                              ["id", "features", "label", "fold"])
     q = spark.createDataFrame([(i, Vectors.dense(v), g) for i, v, g in queries], ["id", "features", "fold"])
     near = neighbors.neighbours(t, q, "id", 5, p, "fold" if group else None, block_rows=16)
     got = {}
