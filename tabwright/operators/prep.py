@@ -82,9 +82,10 @@ def filled_scale(facts: Facts, c: str, fill: float, scaler: str) -> tuple[float,
         ends = [v for v in (facts.low[c], facts.high[c], fill if gaps else None) if v is not None]
         return min(ends), max(ends) - min(ends)
     mean, std = facts.mean[c] or 0.0, facts.std[c] or 0.0
-    centre = (n * mean + gaps * fill) / facts.rows
-    variance = (n * (std ** 2 + (mean - centre) ** 2) + gaps * (fill - centre) ** 2) / facts.rows
-    return centre, math.sqrt(variance)
+    centre = mean if not gaps or fill == mean else (n * mean + gaps * fill) / facts.rows
+    variance = (n * (std ** 2 + (mean - centre) ** 2) + gaps * (fill - centre) ** 2) / max(facts.rows, 1)
+    spread = math.sqrt(variance)
+    return centre, 0.0 if spread <= 1e-13 * abs(centre) else spread  # rounding dust of a constant is no spread
 
 
 def value_table(df: DataFrame, columns: list[str], numeric: list[str] | None = None) -> DataFrame:
