@@ -11,6 +11,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+DENSE_WIDTH = 1_000  # widest feature vectors scored as dense batches
+
+
 @dataclass
 class Moments:
     """Rows, means and population variances per class: classes x features numbers."""
@@ -53,7 +56,11 @@ def class_moments(df: DataFrame, n_classes: int, by: str | None = None) -> dict:
 
 
 def scoring_column(models: dict, smoothings: list[float], group: Column | None = None) -> Column:
-    """array of struct(winner, probability), one per smoothing; `group` picks the model of a row."""
+    """array of struct(winner, probability), one per smoothing; `group` picks the model of a row.
+
+    Narrow features are scored as dense batches. Wide ones, mostly zeros of one-hot columns, start from the score of an
+    all-zero row and correct it for the entries that are there.
+    """
     ready = {}
     for g, m in models.items():
         present = m.counts > 0
@@ -63,29 +70,53 @@ def scoring_column(models: dict, smoothings: list[float], group: Column | None =
     grouped = group is not None  # the batch function must not capture a column
     single = None if grouped else next(iter(ready))
 
-    def batch(x: np.ndarray, g) -> list[np.ndarray]:
-        means, variances, base, present = ready[g]
-        out = []
-        for v, b in zip(variances, base):
-            log = np.stack([b[c] - 0.5 * ((x - means[c]) ** 2 / v[c]).sum(axis=1) if present[c]
-                            else np.full(len(x), -np.inf) for c in range(len(b))], axis=1)
-            top = log.max(axis=1, keepdims=True)
-            share = np.exp(log - top)
-            out.append((log.argmax(axis=1), share / share.sum(axis=1, keepdims=True)))
-        return out
+    def outcome(log: np.ndarray, present: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        log = np.where(present, log, -np.inf)
+        share = np.exp(log - log.max(axis=1, keepdims=True))
+        return log.argmax(axis=1), share / share.sum(axis=1, keepdims=True)
 
-    @F.pandas_udf("array<struct<winner:int,probability:array<double>>>")
-    def score(v: pd.Series, g: pd.Series) -> pd.Series:
-        if not len(v):
-            return pd.Series([], dtype=object)
-        x = np.stack(v.to_numpy())
-        groups = g.to_numpy()
-        result: list = [None] * len(v)
+    def emit(g: pd.Series, size: int, score) -> pd.Series:
+        groups, result = g.to_numpy(), [None] * size
         for value in pd.unique(g):
             at = np.flatnonzero(groups == value)
-            per_model = batch(x[at], value if grouped else single)
+            per_model = score(at, value if grouped else single)
             for j, i in enumerate(at):
                 result[i] = [{"winner": int(w[j]), "probability": p[j]} for w, p in per_model]
-        return pd.Series(result)
+        return pd.Series(result, dtype=object)
+
+    @F.pandas_udf("array<struct<winner:int,probability:array<double>>>")
+    def dense(v: pd.Series, g: pd.Series) -> pd.Series:
+        rows = v.to_numpy()
+
+        def score(at, key):
+            x = np.stack(rows[at])
+            means, variances, base, present = ready[key]
+            return [outcome(np.stack([b[c] - 0.5 * ((x - means[c]) ** 2 / s[c]).sum(axis=1) for c in range(len(b))],
+                                     axis=1), present) for s, b in zip(variances, base)]
+
+        return emit(g, len(v), score)
+
+    @F.pandas_udf("array<struct<winner:int,probability:array<double>>>")
+    def sparse(places: pd.Series, values: pd.Series, g: pd.Series) -> pd.Series:
+        def score(at, key):
+            means, variances, base, present = ready[key]
+            out = []
+            for s, b in zip(variances, base):
+                zero = b - 0.5 * (means ** 2 / s).sum(axis=1)
+                log = np.empty((len(at), len(b)))
+                for j, i in enumerate(at):
+                    x = np.asarray(values.iloc[i], dtype=float)
+                    # a row that was stored dense lists no places
+                    p = np.arange(len(x)) if places.iloc[i] is None else np.asarray(places.iloc[i], dtype=int)
+                    log[j] = zero - 0.5 * (((x - means[:, p]) ** 2 - means[:, p] ** 2) / s[:, p]).sum(axis=1)
+                out.append(outcome(log, present))
+            return out
+
+        return emit(g, len(g), score)
 
-    return score(vector_to_array(F.col("features")), group if grouped else F.lit(0))
+    key = group if grouped else F.lit(0)
+    width = next(iter(models.values())).means.shape[1]
+    if width <= DENSE_WIDTH:
+        return dense(vector_to_array(F.col("features")), key)
+    stored = F.unwrap_udt(F.col("features"))
+    return sparse(stored["indices"], stored["values"], key)

@@ -23,8 +23,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tabwright-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; its DataFrames are unusable afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(df: DataFrame, label: str = "stage", by: list[str] | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -53,7 +54,7 @@ def main(names):
     from tests.conftest import make_session
 
     spark = make_session()
-    sf = "/root/testdata/sf0.01"
+    sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     con = connect(sf)
     queries, oracles = entry.queries(), entry.oracle_sql()
     for name, fn in queries.items():

@@ -65,7 +65,7 @@ def test_bad_options_are_refused():
 def write(spark, data: bytes) -> str:
     import os
 
-    folder = fresh_path(spark, "csv").replace("file:", "")
+    folder = fresh_path(spark, "csv")
     os.makedirs(folder)
     with open(f"{folder}/a.csv", "wb") as f:
         f.write(data)

@@ -91,6 +91,15 @@ def test_bayes_matches_library(docs):
     assert ours.join(theirs.select("id", "p"), "id").where("prediction <> p").count() == 0
 
 
+def test_wide_bayes_scoring_equals_dense(docs, monkeypatch):
+    model = Classifier.fit("Naive Bayes", docs.train, "label", "id")
+    dense = {r["id"]: r for r in model.score(docs.test).collect()}
+    monkeypatch.setattr("tabwright.operators.bayes.DENSE_WIDTH", 1)
+    for r in model.score(docs.test).collect():
+        assert r["prediction"] == dense[r["id"]]["prediction"]
+        assert r["probability"] == pytest.approx(dense[r["id"]]["probability"], abs=1e-6)
+
+
 def test_metrics_match_library(docs):
     scored = Classifier.fit("K-Nearest Neighbors", docs.train, "label", "id").score(docs.test).select(
         F.col("label").cast("double").alias("label"), F.col("prediction").cast("double").alias("prediction"))
