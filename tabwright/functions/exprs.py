@@ -71,9 +71,9 @@ def near_integer(c: Column) -> Column:
 
 
 def row_hash(ids: list[str], seed: int) -> Column:
-    """32 bits of an md5 over seed and row key: the same for a row under any plan."""
+    """Eight hex digits of an md5 over seed and row key: the same for a row under any plan."""
     key = F.concat_ws("|", F.lit(str(seed)), *[col(i).cast("string") for i in ids])
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return F.substring(F.md5(key), 1, 8)
 
 
 def tidy(c: Column, digits: int = 6) -> Column:

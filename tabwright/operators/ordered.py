@@ -11,7 +11,7 @@ from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable
 
 DIRECT_CELLS = 4_000_000   # rows x columns up to which the built-in exact percentile is used
-BRACKET_ROWS = 20_000      # rows of one open bracket that may be sorted in a task
+BRACKET_ROWS = 100_000     # rows of one open bracket that may be sorted in a task
 CUTS = 400                 # sketch cut points per column and pass
 
 
@@ -69,6 +69,7 @@ def _order_statistics(df: DataFrame, n: dict[str, int], found: dict[tuple[str, i
     row = df.agg(*[sketch(c, None).alias(f"s{i}") for i, c in enumerate(columns)]).first()
     # per target: closed ends low and high (data values that enclose the rank)
     ends = {}
+    proven = dict.fromkeys(found, (None, None))  # values known to lie at or outside the rank; None is open
     for i, c in enumerate(columns):
         cuts = list(row[f"s{i}"])
         for key in found:
@@ -91,12 +92,15 @@ def _order_statistics(df: DataFrame, n: dict[str, int], found: dict[tuple[str, i
             j = brackets[key[0], low, high]
             below, at_low, inner, at_high = (row[f"{x}{j}"] for x in "blih")
             rank = key[1] - below
-            if rank < 0:                      # the sketch missed: widen to the proven side
-                after[key] = (row[f"mn{j}"], low)
+            least, most = proven[key]
+            if rank < 0:                      # the sketch missed: widen, no further than what is proven
+                proven[key] = (least, low)
+                after[key] = (row[f"mn{j}"] if least is None else least, low)
             elif rank < at_low:
                 found[key] = low
             elif low != high and rank < at_low + inner:
                 rank -= at_low
+                proven[key] = (low, high)
                 if inner <= bracket_rows:
                     ready.setdefault((key[0], low, high), []).append((key, rank))
                 else:
@@ -107,7 +111,8 @@ def _order_statistics(df: DataFrame, n: dict[str, int], found: dict[tuple[str, i
             elif low != high and rank < at_low + inner + at_high:
                 found[key] = high
             else:
-                after[key] = (high, row[f"mx{j}"])
+                proven[key] = (high, most)
+                after[key] = (high, row[f"mx{j}"] if most is None else most)
         if ready:
             picks = []
             for j, ((c, low, high), wanted) in enumerate(ready.items()):
@@ -158,49 +163,49 @@ def hash_cuts(df: DataFrame, ids: list[str], ranks: dict, cls: str | None, seed:
         targets = [(0, r) for _, r in targets]
     spark = df.sparkSession
     cls_type = keyed.schema["_cls"].dataType.simpleString()
-    state = {t: (0, 0, t[1]) for t in targets}  # (bits used, prefix, rank inside the prefix)
-    bits = 0
-    while largest / (1 << bits) > bucket_rows and bits < 32:
-        step = 8
-        seekers = small_table(spark, 
-            [(t[0], t[1], prefix, rank) for t, (_, prefix, rank) in state.items()],
-            f"_cls {cls_type}, _target bigint, _prefix bigint, _rank bigint")
-        rest = 32 - bits - step
-        buckets = (keyed.withColumn("_prefix", F.shiftright("_h", 32 - bits))
-                   .join(F.broadcast(seekers.select("_cls", "_prefix").distinct()), ["_cls", "_prefix"], "left_semi")
-                   .groupBy("_cls", "_prefix", F.shiftright("_h", rest).alias("_next")).count())
+    state = {t: ("", t[1]) for t in targets}  # hash prefix, rank among the rows that have it
+    digits = 0
+
+    def seekers() -> DataFrame:  # a row per class and rank
+        return small_table(spark, [(t[0], t[1], prefix, rank) for t, (prefix, rank) in state.items()],
+                           f"_cls {cls_type}, _target bigint, _prefix string, _rank bigint")
+
+    def candidates(sought: DataFrame) -> DataFrame:
+        return keyed.withColumn("_prefix", F.substring("_h", 1, digits) if digits else F.lit("")).join(
+            F.broadcast(sought.select("_cls", "_prefix").distinct()), ["_cls", "_prefix"], "left_semi")
+
+    while largest / 16 ** digits > bucket_rows and digits < 8:
+        sought = seekers()
+        buckets = candidates(sought).groupBy(
+            "_cls", "_prefix", F.substring("_h", 1, digits + 2).alias("_next")).count()
         w = Window.partitionBy("_cls", "_prefix").orderBy("_next")  # at most 256 rows
         spans = buckets.withColumn("_end", F.sum("count").over(w)).withColumn("_start", F.col("_end") - F.col("count"))
-        hits = (spans.join(F.broadcast(seekers), ["_cls", "_prefix"])
+        hits = (spans.join(F.broadcast(sought), ["_cls", "_prefix"])
                 .where("_start <= _rank and _rank < _end")
                 .select("_cls", "_target", "_next", (F.col("_rank") - F.col("_start")).alias("_left")).collect())
-        bits += step
-        state = {(r["_cls"], r["_target"]): (bits, r["_next"], r["_left"]) for r in hits}
-    seekers = small_table(spark, 
-        [(t[0], t[1], prefix, rank) for t, (_, prefix, rank) in state.items()],
-        f"_cls {cls_type}, _target bigint, _prefix bigint, _rank bigint")
-    inside = (keyed.withColumn("_prefix", F.shiftright("_h", 32 - bits) if bits else F.lit(0).cast("bigint"))
-              .join(F.broadcast(seekers.select("_cls", "_prefix").distinct()), ["_cls", "_prefix"], "left_semi"))
+        digits += 2
+        state = {(r["_cls"], r["_target"]): (r["_next"], r["_left"]) for r in hits}
+    sought = seekers()
     w = Window.partitionBy("_cls", "_prefix").orderBy("_h", *[col(i) for i in ids])
-    rows = (inside.withColumn("_rank", F.row_number().over(w).cast("bigint") - 1)
-            .join(F.broadcast(seekers), ["_cls", "_prefix", "_rank"]).collect())
+    rows = (candidates(sought).withColumn("_rank", F.row_number().over(w).cast("bigint") - 1)
+            .join(F.broadcast(sought), ["_cls", "_prefix", "_rank"]).collect())
     return {(r["_cls"], r["_target"]): (r["_h"], *[r[i] for i in ids]) for r in rows}
 
 
-def not_after(ids: list[str], seed: int, cuts: dict, cls: str | None = None) -> Column:
-    """True for rows at or before the cut key of their class in hash order; False for a class without a cut."""
-    def cut(i: int) -> Column:
-        if cls is None:
-            return F.lit(next(iter(cuts.values()))[i])
-        chain = F
-        for c, key in cuts.items():
-            chain = chain.when(col(cls) == F.lit(c), F.lit(key[i]))
-        return chain
+def not_after(ids: list[str], seed: int, cuts: dict, cls: str | None = None, hashed: Column | None = None) -> Column:
+    """True for rows at or before the cut key of their class in hash order; False for a class without a cut.
 
+    The hash is computed once per row, or taken from `hashed`.
+    """
     if not cuts:
         return F.lit(False)
-    values = [row_hash(ids, seed), *[col(i) for i in ids]]
-    test = values[-1] <= cut(len(ids))
-    for i in range(len(ids) - 1, -1, -1):
-        test = (values[i] < cut(i)) | ((values[i] == cut(i)) & test)
-    return F.coalesce(test, F.lit(False))
+    pack = lambda h, values: F.struct(h.alias("h"), *[v.alias(f"k{i}") for i, v in enumerate(values)])
+    literal = lambda key: pack(F.lit(key[0]), [F.lit(v) for v in key[1:]])
+    if cls is None:
+        cut = literal(next(iter(cuts.values())))
+    else:
+        cut = F
+        for c, key in cuts.items():
+            cut = cut.when(col(cls) == F.lit(c), literal(key))
+    mine = pack(hashed if hashed is not None else row_hash(ids, seed), [col(i) for i in ids])
+    return F.coalesce(mine <= cut, F.lit(False))

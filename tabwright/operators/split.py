@@ -10,7 +10,7 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabwright.functions.exprs import col
+from tabwright.functions.exprs import col, row_hash
 from tabwright.operators.coltypes import MAX_CLASSES
 from tabwright.operators.ordered import hash_cuts, not_after
 
@@ -91,5 +91,6 @@ def stratified_folds(df: DataFrame, ids: list[str], target: str, k: int = 5, see
     fold = F.lit(0)
     for f in range(k - 1):
         here = {c: cuts[c, ranks[f]] for c, ranks in ends.items() if ranks[f] >= 0}
-        fold = fold + F.when(not_after(ids, seed, here, target), 0).otherwise(1)
-    return df.withColumn("fold", F.when(col(target).isNotNull(), fold))
+        fold = fold + F.when(not_after(ids, seed, here, target, F.col("_h")), 0).otherwise(1)
+    hashed = df.withColumn("_h", row_hash(ids, seed))
+    return hashed.withColumn("fold", F.when(col(target).isNotNull(), fold)).drop("_h")

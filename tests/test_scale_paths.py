@@ -30,6 +30,14 @@ def test_quantiles_by_narrowing_equal_numpy(spark):
         assert got[c] == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
 
 
+def test_quantiles_survive_a_poor_sketch(spark, monkeypatch):
+    """With few cut points the guesses are wide or miss; the counts must notice."""
+    monkeypatch.setattr(ordered, "CUTS", 3)
+    df, data = skewed(spark, 900)
+    got = ordered.exact_quantiles(df, {"a": [0.3, 0.77]}, direct_cells=0, bracket_rows=9)
+    assert got["a"] == pytest.approx(list(np.quantile([r[1] for r in data], [0.3, 0.77])), rel=1e-12)
+
+
 def test_quantiles_of_empty_and_constant_columns(spark):
     df = spark.range(100).select(F.lit(None).cast("double").alias("none"), F.lit(3.0).alias("same"))
     for direct in (0, 10**6):
