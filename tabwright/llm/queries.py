@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import hyperminhash, suffix_dedup
+from tabwright.llm import hyperminhash, pitman_yor, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,11 @@ def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+@query
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(read(spark, sf_dir, "documents"))
+
+
 @query
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_kept=False)
