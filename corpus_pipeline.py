@@ -3,18 +3,65 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from tabwright.llm import decontamination, hyperminhash, langid, line_dedup, sentencepiece_codec
+from tabwright.llm.documents import quoted
+from tabwright.sources.shared import durable
 
-# The stages hold models, sampled seating and a tokenizer, which SQL cannot express; tests hold them against plain Python.
+#: A document goes if its language cannot be told: no letters, or no language that holds half of the probability.
+LEAST_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language is recognised; the languages are learned from the labelled documents of the input."""
+    trees = langid.train(docs.select("text", "lang"))
+    return langid.predict(docs, trees, docs.columns).where(f"lang_pred <> '{langid.NONE}' and score >= {LEAST_SCORE}").select(*map(quoted, docs.columns))
+
+
+def _one_each(docs: DataFrame) -> DataFrame:
+    """Documents with an id, one row each, as the operators see them; the texts are only shuffled if an id repeats."""
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.where("doc_id is not null")
+    first = F.min(F.struct(F.col("text").isNotNull(), *map(quoted, ["text", *(c for c in docs.columns if c not in ("doc_id", "text"))])))
+    return docs.where("doc_id is not null").groupBy("doc_id").agg(first.alias("least")).select(*(F.col("doc_id") if c == "doc_id" else F.col("least").getField(c).alias(c) for c in docs.columns))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Delete blocks of lines that earlier documents have; documents without any word left go."""
+    docs = _one_each(docs)
+    kept = line_dedup.dedup_lines(docs).select(F.col("doc_id").alias("_of"), F.col("text").alias("_kept"))
+    out = docs.join(kept, F.col("_of") == F.col("doc_id")).where(r"_kept rlike '[^\\s]'")
+    changed = {"text": F.col("_kept"), "n_chars": F.char_length("_kept").cast(docs.schema["n_chars"].dataType)}
+    return out.select(*(changed[c].alias(c) if c in changed else quoted(c) for c in docs.columns))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that five-word shingles link at 0.8 or more, directly or over others, the one with the least id stays."""
+    docs = _one_each(docs)
+    gone = hyperminhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_of"))
+    return docs.join(gone, F.col("_of") == F.col("doc_id"), "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage like a benchmark item go."""
+    return decontamination.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with the ids of their tokens."""
+    return sentencepiece_codec.encode(docs)
+
+
+STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("tokenize", tokenize)]
+
+# Alignment, fingerprints, trained trees and a tokenizer are beyond SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
-    from tabwright.sources.shared import durable
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabwright.llm import hyperminhash, pitman_yor, suffix_dedup
+from tabwright.llm import decontamination, hyperminhash, langid, line_dedup, pitman_yor, sentencepiece_codec, suffix_dedup
+from tabwright.llm.documents import HELD_OUT_HASH
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +23,30 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digests(read(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return lines.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.expr(HELD_OUT_HASH.format(id="doc_id") + " % 3 = 1"), F.lit(False))
+    trees = langid.train(docs.where(~held_out & F.col("doc_id").isNotNull()).select("text", "lang"))
+    return langid.predict(docs, trees, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 @query
 def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2, percent=80)
