@@ -7,9 +7,9 @@ Bands of registers propose candidates. The share of equal registers, corrected f
 wrong ones; the rest is confirmed on the full shingle sets.
 
 Equal sets are one class from the start; only class representatives are compared. Within a band, members are first compared with the
-least one only. Then components are formed, and what is left to compare are members of one band that are in different components:
-those outside its largest component against all. Every pair that shares a band is so linked, refuted or already in one
-component, and no group is ever expanded into all its pairs.
+least one only. Then components are formed, and what is left to compare are members of one band that are in different components. Those outside
+its largest component meet a few members of that, in turns, as long as this links any; who is then still outside meets all members of its bands. Every
+pair that shares a band is so linked, refuted or already in one component, and a group that hangs together is never expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -173,15 +173,25 @@ def _both(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
     return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "value_a", "value_b")
 
 
-def _links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs that are linked: first by their registers, well below the threshold, then by their full sets."""
-    threshold = percent / 100
-    margin = 6 * math.sqrt(threshold * (1 - threshold) / REGISTERS)
-    likely = durable(_both(pairs, reps, "registers").mapInArrow(_likely_batches(threshold - margin), "a long, b long"), "likely")
-    asked = likely.select(F.explode(F.array("a", "b")).alias("asked")).distinct()
-    texts = docs.join(asked, F.col("asked") == F.col("doc_id"), "left_semi")
-    sets = durable(texts.mapInArrow(_set_batches(size), "doc_id long, shingles binary"), "shingles")
-    return _both(likely, sets, "shingles").mapInArrow(_confirm_batches(percent), "a long, b long")
+class _Confirm:
+    """Confirms pairs; shingle sets that one round has worked out serve the next."""
+
+    def __init__(self, docs: DataFrame, reps: DataFrame, size: int, percent: int):
+        self.docs, self.reps, self.size, self.percent, self.sets = docs, reps, size, percent, None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are linked: first by their registers, well below the threshold, then by their full sets."""
+        threshold = self.percent / 100
+        margin = 6 * math.sqrt(threshold * (1 - threshold) / REGISTERS)
+        likely = durable(_both(pairs, self.reps, "registers").mapInArrow(_likely_batches(threshold - margin), "a long, b long"), "likely")
+        asked = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "asked")
+        if self.sets is not None:
+            asked = asked.join(self.sets.select("doc_id"), F.col("doc_id") == F.col("asked"), "left_anti")
+        # the ids may be many or few: texts are always dealt by id, so that the cost is the same share at any size
+        texts = self.docs.join(asked.hint("merge"), F.col("asked") == F.col("doc_id"), "left_semi")
+        new = durable(texts.mapInArrow(_set_batches(self.size), "doc_id long, shingles binary"), "shingles")
+        self.sets = new if self.sets is None else self.sets.union(new)
+        return durable(_both(likely, self.sets, "shingles").mapInArrow(_confirm_batches(self.percent), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -204,13 +214,21 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
         lambda it, run=_band_batches(band_rows(percent / 100)): run(it), "band long, doc_id long")
     hubs = bands.groupBy(F.col("band").alias("of")).agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = durable(bands.join(hubs, F.col("of") == F.col("band")).where("doc_id <> hub").select("band", "doc_id", "hub"), "bands")
-    links = durable(_links(docs, reps, members.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(), shingle, percent), "links")
+    confirm = _Confirm(docs, reps, shingle, percent)
+    links = confirm.links(members.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
     found = durable(components(links), "components")
-
-    more = _links(docs, reps, _across(members, found), shingle, percent)
-    more = durable(more, "links")
-    if not more.isEmpty():
-        found = components(links.union(more))
+    turn = 0
+    while not (open_ := _open(members, found)).isEmpty():
+        # members outside a band's largest component meet a few of its members, as long as that links any
+        more = confirm.links(_some(open_, turn))
+        if last := more.isEmpty():  # what is left meets everything in its band, which settles it
+            more = confirm.links(_all(open_))
+        if not more.isEmpty():
+            links = links.union(more)
+            found = durable(components(links), "components")
+        if last:
+            break
+        turn += 1
     grouped = classes.join(found, F.col("node") == F.col("rep"), "left").select(
         *(F.col(c).alias("of_" + c) for c in same), F.coalesce("component", "rep").alias("component"))
     return (sketches.drop("registers").join(grouped, [F.col(c) == F.col("of_" + c) for c in same], "left")
@@ -218,13 +236,28 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
             .withColumn("kept", F.expr("doc_id = component_id")))
 
 
-def _across(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs that share a band but no component, none of them the band's hub: all outside its largest component against all."""
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of bands with several components, with their label, the label of the band's largest component (main) and its size."""
     labelled = members.join(found, F.col("node") == F.col("doc_id"), "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("label"))
     sizes = labelled.groupBy("band", "label").agg(F.count("*").alias("n"))
     open_ = sizes.groupBy("band").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
     open_ = open_.select(F.col("band").alias("of"), F.col("main.label").alias("main"))
-    inside = durable(labelled.join(open_, F.col("of") == F.col("band")).drop("of"), "open")
-    outside = inside.where("label <> main").select(F.col("band").alias("of"), F.col("doc_id").alias("x"), F.col("label").alias("label_x"))
-    return (inside.join(outside, F.col("of") == F.col("band")).where("label <> label_x")
-            .select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")).distinct())
+    return durable(labelled.join(open_, F.col("of") == F.col("band")).drop("of"), "open")
+
+
+def _pairs(x: str, y: str):
+    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+
+def _some(open_: DataFrame, turn: int) -> DataFrame:
+    """Each member outside its band's largest component with two members of that, others in every turn."""
+    draw = F.xxhash64("doc_id", F.lit(turn))
+    chosen = open_.where("label = main").groupBy(F.col("band").alias("of")).agg(F.array(F.min_by("doc_id", draw), F.max_by("doc_id", draw)).alias("of_main"))
+    outside = open_.where("label <> main").join(chosen, F.col("of") == F.col("band"))
+    return outside.select("doc_id", F.explode("of_main").alias("x")).select(*_pairs("doc_id", "x")).distinct()
+
+
+def _all(open_: DataFrame) -> DataFrame:
+    """All pairs of a band that are in different components, at least one of the two outside the largest."""
+    outside = open_.where("label <> main").select(F.col("band").alias("of"), F.col("doc_id").alias("x"), F.col("label").alias("label_x"))
+    return open_.join(outside, F.col("of") == F.col("band")).where("label <> label_x").select(*_pairs("doc_id", "x")).distinct()
