@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontamination, hyperminhash, langid, line_dedup, pii, pitman_yor, quality_rules, sentencepiece_codec, suffix_dedup
+from tabwright.llm import decontamination, hyperminhash, langid, line_dedup, pii, pitman_yor, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup
 from tabwright.llm.documents import HELD_OUT_HASH
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(read(spark, sf_dir, "documents"), ["doc_id"])
 
 
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
