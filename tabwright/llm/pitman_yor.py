@@ -41,6 +41,26 @@ def _uniform(seed: np.ndarray, step: int) -> np.ndarray:
     return (mix(seed + np.uint64(step * int(_GOLDEN) % (1 << 64))) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
 
 
+def _binomial(n: np.ndarray, p: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Binomial draws from uniform ones: by the distribution function, beyond a mean of twenty by the normal one."""
+    mean = n * p
+    out = np.zeros(len(n))
+    some = np.flatnonzero(mean <= 20)
+    k, chance = 0, np.exp(n[some] * np.log1p(-np.minimum(p[some], 1 - 1e-12)))
+    below, ratio = chance.copy(), p[some] / np.maximum(1 - p[some], 1e-12)
+    while len(go := np.flatnonzero((u[some] >= below) & (k < n[some]))):
+        some, chance, below, ratio = some[go], chance[go], below[go], ratio[go]
+        chance = chance * (n[some] - k) / (k + 1) * ratio
+        below, k = below + chance, k + 1
+        out[some] = k
+        if k > 200:
+            break
+    many = np.flatnonzero(mean > 20)
+    z = np.sqrt(-2 * np.log(np.maximum(u[many], 1e-300))) * np.cos(2 * np.pi * v[many])
+    out[many] = np.clip(np.floor(mean[many] + np.sqrt(mean[many] * (1 - p[many])) * z + 0.5), 0, n[many])
+    return out
+
+
 def seat(customers: np.ndarray, opening: np.ndarray, discount: float, seed: np.ndarray) -> np.ndarray:
     """Tables of each dish after seating its customers one after the other; opening: weight of a new table."""
     tables = (customers > 0).astype(np.float64)
@@ -53,9 +73,7 @@ def seat(customers: np.ndarray, opening: np.ndarray, discount: float, seed: np.n
         u = _uniform(s, 2 * step)
         new = (u < p).astype(np.float64)
         if (many := size > 1).any():
-            z = np.sqrt(-2 * np.log(np.maximum(u[many], 1e-300))) * np.cos(2 * np.pi * _uniform(s[many], 2 * step + 1))
-            mean = size[many] * p[many]
-            new[many] = np.clip(np.floor(mean + np.sqrt(mean * (1 - p[many])) * z + 0.5), 0, size[many])
+            new[many] = _binomial(size[many], p[many], u[many], _uniform(s[many], 2 * step + 1))
         t, n, step = t + new, n + size, step + 1
         if (done := n >= c).any():
             tables[at[done]] = t[done]
@@ -272,7 +290,7 @@ def _score_batches(codes: np.ndarray, base: np.ndarray, logp: np.ndarray, seen:
                 known, base_sum, sum_ = (np.bincount(doc[hit], w[at[hit]], len(chunk)) for w in (seen, base, logp))
                 own = ids[chunk.first:chunk.last]
                 key = pa.array([b" %d" % i for i in own], pa.binary())  # a document's own row has a key that is no word
-                yield _score_rows(key, own, np.diff(first), known.astype(np.int64), base_sum, sum_, np.zeros(len(own), np.int64))
+                yield _score_rows(key, own, np.diff(first), known.astype(np.int64), base_sum.astype(float), sum_.astype(float), np.zeros(len(own), np.int64))
                 rare = np.flatnonzero(~hit)
                 order = rare[np.lexsort((code[rare], doc[rare]))]
                 new = np.ones(len(order), bool)
