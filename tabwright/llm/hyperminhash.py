@@ -8,8 +8,10 @@ wrong ones; the rest is confirmed on the full shingle sets.
 
 Equal sets are one class from the start; only class representatives are compared. Within a band, members are first compared with the
 least one only. Then components are formed, and what is left to compare are members of one band that are in different components. Those outside
-its largest component meet a few members of that, in turns, as long as this links any; who is then still outside meets all members of its bands. Every
-pair that shares a band is so linked, refuted or already in one component, and a group that hangs together is never expanded into its pairs.
+its largest component meet a few members of that, which links almost all that can be linked. Who is then still outside is compared with all members in
+blocks of bounded size that only put out links. Every pair that shares a band is so linked, refuted or already in one component, and no
+group is ever expanded into its pairs. A group with many members that are similar to each other but not linked is the costly case: its undecided
+members are compared with all of it, which is what losing no link takes.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from tabwright.sources.shared import durable
 
 REGISTERS = 256
 MANTISSA = 10
+BLOCK = 512
 _RANDOM = np.random.Generator(np.random.PCG64(7))
 _BUCKET_FACTORS = _RANDOM.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_FACTORS = _RANDOM.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -173,25 +176,12 @@ def _both(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
     return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "value_a", "value_b")
 
 
-class _Confirm:
-    """Confirms pairs; shingle sets that one round has worked out serve the next."""
-
-    def __init__(self, docs: DataFrame, reps: DataFrame, size: int, percent: int):
-        self.docs, self.reps, self.size, self.percent, self.sets = docs, reps, size, percent, None
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are linked: first by their registers, well below the threshold, then by their full sets."""
-        threshold = self.percent / 100
-        margin = 6 * math.sqrt(threshold * (1 - threshold) / REGISTERS)
-        likely = durable(_both(pairs, self.reps, "registers").mapInArrow(_likely_batches(threshold - margin), "a long, b long"), "likely")
-        asked = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "asked")
-        if self.sets is not None:
-            asked = asked.join(self.sets.select("doc_id"), F.col("doc_id") == F.col("asked"), "left_anti")
-        # the ids may be many or few: texts are always dealt by id, so that the cost is the same share at any size
-        texts = self.docs.join(asked.hint("merge"), F.col("asked") == F.col("doc_id"), "left_semi")
-        new = durable(texts.mapInArrow(_set_batches(self.size), "doc_id long, shingles binary"), "shingles")
-        self.sets = new if self.sets is None else self.sets.union(new)
-        return durable(_both(likely, self.sets, "shingles").mapInArrow(_confirm_batches(self.percent), "a long, b long"), "links")
+def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are linked: first by their registers, well below the threshold, then by their full sets."""
+    threshold = percent / 100
+    margin = 6 * math.sqrt(threshold * (1 - threshold) / REGISTERS)
+    likely = _both(pairs, reps, "registers").mapInArrow(_likely_batches(threshold - margin), "a long, b long")
+    return durable(_both(likely, sets, "shingles").mapInArrow(_confirm_batches(percent), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -214,21 +204,20 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
         lambda it, run=_band_batches(band_rows(percent / 100)): run(it), "band long, doc_id long")
     hubs = bands.groupBy(F.col("band").alias("of")).agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = durable(bands.join(hubs, F.col("of") == F.col("band")).where("doc_id <> hub").select("band", "doc_id", "hub"), "bands")
-    confirm = _Confirm(docs, reps, shingle, percent)
-    links = confirm.links(members.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
+    asked = members.select(F.explode(F.array("hub", "doc_id")).alias("asked")).distinct()
+    # the ids may be many or few: texts are always dealt by id, so that the cost is the same share at any size
+    texts = docs.join(asked.hint("merge"), F.col("asked") == F.col("doc_id"), "left_semi")
+    sets = durable(texts.mapInArrow(_set_batches(shingle), "doc_id long, shingles binary"), "shingles")
+    links = _links(members.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(), reps, sets, percent)
     found = durable(components(links), "components")
-    turn = 0
-    while not (open_ := _open(members, found)).isEmpty():
-        # members outside a band's largest component meet a few of its members, as long as that links any
-        more = confirm.links(_some(open_, turn))
-        if last := more.isEmpty():  # what is left meets everything in its band, which settles it
-            more = confirm.links(_all(open_))
+    for resolve in (_meet_some, _meet_all):
+        open_ = _open(members, found)
+        if open_.isEmpty():
+            break
+        more = resolve(open_, reps, sets, percent)
         if not more.isEmpty():
             links = links.union(more)
             found = durable(components(links), "components")
-        if last:
-            break
-        turn += 1
     grouped = classes.join(found, F.col("node") == F.col("rep"), "left").select(
         *(F.col(c).alias("of_" + c) for c in same), F.coalesce("component", "rep").alias("component"))
     return (sketches.drop("registers").join(grouped, [F.col(c) == F.col("of_" + c) for c in same], "left")
@@ -249,15 +238,59 @@ def _pairs(x: str, y: str):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def _some(open_: DataFrame, turn: int) -> DataFrame:
-    """Each member outside its band's largest component with two members of that, others in every turn."""
-    draw = F.xxhash64("doc_id", F.lit(turn))
-    chosen = open_.where("label = main").groupBy(F.col("band").alias("of")).agg(F.array(F.min_by("doc_id", draw), F.max_by("doc_id", draw)).alias("of_main"))
-    outside = open_.where("label <> main").join(chosen, F.col("of") == F.col("band"))
-    return outside.select("doc_id", F.explode("of_main").alias("x")).select(*_pairs("doc_id", "x")).distinct()
+def _meet_some(open_: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of members outside their band's largest component with four members of that."""
+    draws = [F.xxhash64("doc_id", F.lit(i)) for i in (0, 1)]
+    chosen = F.array(*(f("doc_id", d) for d in draws for f in (F.min_by, F.max_by)))
+    of_main = open_.where("label = main").groupBy(F.col("band").alias("of")).agg(chosen.alias("of_main"))
+    outside = open_.where("label <> main").join(of_main, F.col("of") == F.col("band"))
+    return _links(outside.select("doc_id", F.explode("of_main").alias("x")).select(*_pairs("doc_id", "x")).distinct(), reps, sets, percent)
 
 
-def _all(open_: DataFrame) -> DataFrame:
-    """All pairs of a band that are in different components, at least one of the two outside the largest."""
-    outside = open_.where("label <> main").select(F.col("band").alias("of"), F.col("doc_id").alias("x"), F.col("label").alias("label_x"))
-    return open_.join(outside, F.col("of") == F.col("band")).where("label <> label_x").select(*_pairs("doc_id", "x")).distinct()
+def _meet_all(open_: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of members outside a component with all that share a band with some of it, compared in blocks of 512 by 512.
+
+    Only links come out, one for each member and component it is linked with. A block is a matrix product of who has which shingle.
+    """
+    every = durable(open_.select("main", "doc_id", "label").distinct(), "undecided")
+    sizes = every.groupBy(F.col("main").alias("of")).agg(F.ceil(F.count_if(F.expr("label <> main")) / BLOCK).alias("rows"), F.ceil(F.count("*") / BLOCK).alias("columns"))
+    placed = every.join(sizes, F.col("of") == F.col("main"))
+    split = lambda n: F.expr(f"pmod(xxhash64(doc_id), {n})")
+    fill = lambda n: F.explode(F.expr(f"sequence(0L, {n} - 1)"))
+    left = placed.where("label <> main").select("main", "doc_id", "label", F.lit(True).alias("is_row"), split("rows").alias("i"), fill("columns").alias("j"))
+    right = placed.where("rows > 0").select("main", "doc_id", "label", F.lit(False).alias("is_row"), fill("rows").alias("i"), split("columns").alias("j"))
+    full = left.union(right).join(sets.withColumnRenamed("doc_id", "of"), F.col("of") == F.col("doc_id")).drop("of")
+    return durable(full.groupBy("main", "i", "j").applyInArrow(_block(percent), "a long, b long"), "links")
+
+
+def _block(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        is_row = table["is_row"].to_numpy()
+        docs, labels = table["doc_id"].to_numpy(), table["label"].to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+        n = np.array([len(x) for x in sets], np.int64)
+        sides = [np.flatnonzero(is_row), np.flatnonzero(~is_row)]
+        flat = [np.concatenate([sets[k] for k in side] or [np.zeros(0, np.uint64)]) for side in sides]
+        common = np.intersect1d(*flat)
+        both = np.zeros((len(sides[0]), len(sides[1])))
+        places = []
+        for side, values in zip(sides, flat, strict=True):
+            at = np.searchsorted(common, values)
+            hit = (at < len(common)) & (common[np.minimum(at, max(len(common) - 1, 0))] == values) if len(common) else np.zeros(len(values), bool)
+            order = np.argsort(at[hit], kind="stable")
+            places.append((at[hit][order], np.repeat(np.arange(len(side)), n[side])[hit][order]))
+        for lo in range(0, len(common), 4096):  # columns of the two matrices, some at a time
+            parts = []
+            for side, (at, who) in zip(sides, places, strict=True):
+                x, y = np.searchsorted(at, [lo, lo + 4096])
+                m = np.zeros((len(side), min(4096, len(common) - lo)), np.float32)
+                m[who[x:y], at[x:y] - lo] = 1
+                parts.append(m)
+            both += parts[0] @ parts[1].T
+        rows, columns = sides
+        linked = (both * (100 + percent) >= percent * (n[rows][:, None] + n[columns][None, :]) - 1e-6) & (labels[rows][:, None] != labels[columns][None, :])
+        r, c = np.nonzero(linked)
+        _, first = np.unique(np.stack([r, labels[columns][c]]), axis=1, return_index=True)  # one link to each component
+        a, b = docs[rows][r[first]], docs[columns][c[first]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+    return run
