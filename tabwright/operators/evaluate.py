@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tabwright.functions.exprs import col
 from tabwright.operators.ordered import running_totals
@@ -42,10 +42,11 @@ def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
     return metrics_from(confusion(df, label, prediction, by), by)
 
 
-def compare_models(results: dict[str, DataFrame | str], seconds: dict[str, dict[str, float]] | None = None) -> DataFrame:
-    """One row per model: its metrics, or the error that kept it from having any."""
-    spark = next(r for r in results.values() if isinstance(r, DataFrame)).sparkSession
-    rows = None
+def compare_models(results: dict[str, DataFrame | str], seconds: dict[str, dict[str, float]] | None = None,
+                   spark: SparkSession | None = None) -> DataFrame:
+    """One row per model: its metrics, or the error that kept it from having any; metrics are null if no model has some."""
+    spark = spark or SparkSession.active()
+    rows = small_table(spark, [], "model string, " + ", ".join(f"{m} double" for m in METRICS))
     for model, result in results.items():
         if isinstance(result, DataFrame):
             row = result.select(F.lit(model).alias("model"), *METRICS)
@@ -53,7 +54,7 @@ def compare_models(results: dict[str, DataFrame | str], seconds: dict[str, dict[
             row = small_table(spark, [(model, str(result))], "model string, error string")
         for name, value in (seconds or {}).get(model, {}).items():
             row = row.withColumn(name, F.lit(float(value)))
-        rows = row if rows is None else rows.unionByName(row, allowMissingColumns=True)
+        rows = rows.unionByName(row, allowMissingColumns=True)
     return rows
 
 

@@ -10,19 +10,18 @@ from tabwright.functions.exprs import col, row_hash
 from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable
 
-DIRECT_CELLS = 4_000_000   # rows x columns up to which the built-in exact percentile is used
-BRACKET_ROWS = 100_000     # rows of one open bracket that may be sorted in a task
+BRACKET_ROWS = 2_000       # rows of one open bracket that may be sorted in a task
 CUTS = 400                 # sketch cut points per column and pass
+COLUMNS_AT_ONCE = 20       # columns whose sketches share an aggregate
 
 
 def exact_quantiles(df: DataFrame, probs: dict[str, list[float]], *, counts: dict[str, int] | None = None,
-                    direct_cells: int = DIRECT_CELLS, bracket_rows: int = BRACKET_ROWS) -> dict[str, list[float | None]]:
+                    bracket_rows: int = BRACKET_ROWS) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of numeric columns, exact at any size.
 
-    Non-null counts first, unless given. A table small enough for the built-in `percentile` uses it; its per-task map of
-    values has a known bound then. Otherwise every wanted rank is enclosed in a bracket of values,
-    which each pass over the columns narrows with a sketch and proves with counts, until few
-    rows are left inside. No data row is shuffled; a pass moves one small row per task.
+    Non-null counts first, unless given. Every wanted rank is enclosed in a bracket of values, which each pass over the
+    columns narrows with a sketch and proves with counts, until few rows are left inside. No data row is shuffled; a
+    pass moves one small row per task. Between two equal values, infinite ones too, a quantile is that value.
     """
     columns = list(probs)
     if not columns:
@@ -31,27 +30,24 @@ def exact_quantiles(df: DataFrame, probs: dict[str, list[float]], *, counts: dic
         row = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
         counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
     n = {c: counts[c] for c in columns}
-    if sum(n.values()) <= direct_cells:
-        row = df.agg(*[
-            F.percentile(col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs[c]])).alias(f"q{i}")
-            for i, c in enumerate(columns)
-        ]).first()
-        return {c: list(row[f"q{i}"]) if n[c] else [None] * len(probs[c]) for i, c in enumerate(columns)}
-
     wanted: dict[tuple[str, int], float | None] = {}
     for c in columns:
         for p in probs[c] if n[c] else []:
             pos = p * (n[c] - 1)
             wanted[c, math.floor(pos)] = None
             wanted[c, math.ceil(pos)] = None
-    _order_statistics(df, n, wanted, bracket_rows)
+    for at in range(0, len(columns), COLUMNS_AT_ONCE):
+        some = {key: None for key in wanted if key[0] in columns[at:at + COLUMNS_AT_ONCE]}
+        if some:
+            _order_statistics(df, n, some, bracket_rows)
+            wanted.update(some)
 
     def value(c: str, p: float) -> float | None:
         if not n[c]:
             return None
         pos = p * (n[c] - 1)
         low, high = wanted[c, math.floor(pos)], wanted[c, math.ceil(pos)]
-        return low + (high - low) * (pos - math.floor(pos))
+        return low if low == high else low + (high - low) * (pos - math.floor(pos))
 
     return {c: [value(c, p) for p in probs[c]] for c in columns}
 
@@ -148,7 +144,7 @@ def running_totals(df: DataFrame, order: str, weight: str, by: list[str] | None
 
 
 def hash_cuts(df: DataFrame, ids: list[str], ranks: dict, cls: str | None, seed: int, largest: int,
-              bucket_rows: int = 500_000) -> dict:
+              bucket_rows: int = 10_000) -> dict:
     """The row key `(h, *ids)` at the given 0-based ranks of each class in hash order.
 
     `largest` is the row count of the largest class. `ranks` maps a class to a list of ranks; the result maps (class, rank) to the key. The hash is uniform, so

@@ -323,7 +323,8 @@ def split_raw(df: DataFrame, config: PrepConfig, ids: list[str], types: dict[str
     text = [c for c, t in resolved.items() if t == "numeric" and not is_numeric(stored[c])]
     if text:
         raise TypeError("declared numeric but stored as text: " + ", ".join(text))
-    rows, removed = df, 0
+    # what is neither key, target nor feature is not read, whatever its type
+    rows, removed = df.select(*[col(c) for c in dict.fromkeys([*ids, config.target, *features.columns])]), 0
     if config.outlier_handling == "remove":
         rows, removed = remove_outlier_rows(df, numeric, config.iqr_multiplier)
     marked, dropped = mark_test(rows, ids, config.target, config.test_size, config.stratify, SEED)

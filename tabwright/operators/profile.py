@@ -78,7 +78,7 @@ def _pairs(columns: list[str]) -> list[tuple[str, str]]:
     return list(combinations(columns, 2))
 
 
-def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int = 30, per_pass: int = 120,
+def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int | None = None, per_pass: int = 120,
             facts: Facts | None = None) -> DataFrame:
     """(col_a, col_b, n, corr) over rows where both are present; constant columns give NULL.
 
@@ -148,7 +148,7 @@ def _pair_names(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return F.broadcast(small_table(df.sparkSession, names, "pair int, col_a string, col_b string"))
 
 
-def spearman(df: DataFrame, columns: list[str] | None = None, max_features: int = 30) -> DataFrame:
+def spearman(df: DataFrame, columns: list[str] | None = None, max_features: int | None = None) -> DataFrame:
     """(col_a, col_b, corr): Pearson over average ranks, ranked within each pair's complete rows.
 
     Ranks come from running totals over distinct values, never from a sort of all rows in one task.
@@ -212,7 +212,7 @@ def _spearman_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return (_pair_names(df, pairs).join(sums, "pair", "left").select("col_a", "col_b", corr.alias("corr")))
 
 
-def kendall(df: DataFrame, columns: list[str] | None = None, max_features: int = 30) -> DataFrame:
+def kendall(df: DataFrame, columns: list[str] | None = None, max_features: int | None = None) -> DataFrame:
     """(col_a, col_b, corr): Kendall's tau-b without comparing all pairs of rows.
 
     Two different ranks of y share a leading part and then differ in one bit. So for every bit, pairs that
@@ -259,7 +259,7 @@ def kendall(df: DataFrame, columns: list[str] | None = None, max_features: int =
         "col_a", "col_b", F.try_divide(score, F.nullif(scale, F.lit(0.0))).alias("corr"))
 
 
-def correlations(df: DataFrame, method: str = "pearson", max_features: int = 30, facts: Facts | None = None
+def correlations(df: DataFrame, method: str = "pearson", max_features: int | None = None, facts: Facts | None = None
                  ) -> DataFrame:
     if method == "pearson":
         return pearson(df, max_features=max_features, facts=facts).drop("n")
@@ -281,7 +281,7 @@ def iqr_bounds(df: DataFrame, columns: list[str], multiplier: float = 1.5, facts
 
 
 def outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float = 1.5, zscore_threshold: float = 3.0,
-             columns: list[str] | None = None, max_columns: int = 30, facts: Facts | None = None) -> DataFrame:
+             columns: list[str] | None = None, max_columns: int | None = None, facts: Facts | None = None) -> DataFrame:
     """column, outlier_count, outlier_percent of the non-null rows; zero spread means no outliers.
 
     Pass one learns bounds, a few numbers per column; pass two counts with them as constants.
@@ -302,7 +302,7 @@ def outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float = 1.5, zs
     else:
         facts = facts or measure(df.select(*[col(c) for c in columns]))
         for c in columns:
-            if facts.std[c]:
+            if facts.std[c] and not math.isnan(facts.std[c]):  # infinite values have no spread to measure by
                 tests[c] = F.abs((col(c) - F.lit(facts.mean[c])) / F.lit(facts.std[c])) > F.lit(zscore_threshold)
     table = per_column(df, columns, {
         "non_null_count": lambda c: F.count(col(c)),
@@ -325,7 +325,7 @@ def numeric_stats(df: DataFrame, columns: list[str] | None = None, facts: Facts
                        "column string, n bigint, mean double, std double, min double, max double")
 
 
-def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 30, max_columns: int = 20,
+def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 30, max_columns: int | None = None,
               facts: Facts | None = None) -> DataFrame:
     """(column, bin, lower, upper, count) over equal widths; empty bins included, the last one closed."""
     df = nan_to_null(df)
@@ -428,9 +428,14 @@ def kde(df: DataFrame, column: str, grid_points: int = 50, bins: int = 200) -> D
 
 
 def profile(df: DataFrame, target: str | None = None, declared: dict[str, str] | None = None,
-            correlation_method: str = "pearson", outlier_method: str = "iqr", bins: int = 30
-            ) -> dict[str, DataFrame | list]:
-    """All profile tables of one dataset, with the warnings. One pass supplies the figures they share."""
+            correlation_method: str = "pearson", outlier_method: str = "iqr", bins: int = 30, iqr_multiplier: float = 1.5,
+            zscore_threshold: float = 3.0, max_corr_features: int | None = None, max_columns: int | None = None,
+            distribution_columns: list[str] | None = None) -> dict[str, DataFrame | list]:
+    """All profile tables of one dataset, with the warnings. One pass supplies the figures they share.
+
+    Without limits every column is looked at; what a given limit leaves out is named in the warnings. `distribution_columns`
+    chooses the columns of histograms, statistics and category counts.
+    """
     df = nan_to_null(df)
     facts = measure(df)
     types = resolve_profile_types(df, declared, target)
@@ -439,18 +444,22 @@ def profile(df: DataFrame, target: str | None = None, declared: dict[str, str] |
     categorical = [c for c, t in types.items() if t == "categorical"]
     # with no column typed numeric, correlations and outliers fall back to what is stored as numbers
     measured = [c for c in (numeric or types) if is_numeric(stored[c])]
-    warnings = capped(measured, 30, "Outlier scan")[1]
-    warnings += capped(numeric, 20, "Numeric distributions")[1] + capped(categorical, 20, "Categorical distributions")[1]
+    shown, counted = numeric, categorical
+    if distribution_columns is not None:
+        shown, counted = ([c for c in cs if c in distribution_columns] for cs in (numeric, categorical))
+    correlated, warnings = capped(measured, max_corr_features, "Correlation")
+    for columns, what in ((measured, "Outlier scan"), (shown, "Numeric distributions"), (counted, "Categorical distributions")):
+        warnings += capped(columns, max_columns, what)[1]
     if not numeric:
         warnings.append("No numeric columns detected; correlation, distribution and outlier tables may be limited.")
-    shown = [c for c in capped(numeric, 20, "")[0] if is_numeric(stored[c])]
-    features = df.select(*[col(c) for c in measured]) if measured else df.select()
+    shown = [c for c in capped(shown, max_columns, "")[0] if is_numeric(stored[c])]
+    features = df.select(*[col(c) for c in correlated]) if correlated else df.select()
     return {
         "warnings": warnings, "numeric_columns": numeric, "categorical_columns": categorical,
         "missing": missing_values(df, facts),
         "correlations": correlations(features, correlation_method, facts=facts),
-        "outliers": outliers(df, outlier_method, columns=measured, facts=facts),
+        "outliers": outliers(df, outlier_method, iqr_multiplier, zscore_threshold, measured, max_columns, facts),
         "histograms": histogram(df, shown, bins, facts=facts),
         "numeric_stats": numeric_stats(df, shown, facts),
-        "category_counts": category_counts(df, capped(categorical, 20, "")[0]),
+        "category_counts": category_counts(df, capped(counted, max_columns, "")[0]),
     }

@@ -44,7 +44,7 @@ def categorical_scope(df: DataFrame, types: dict[str, str] | None, target: str |
 
 
 def high_cardinality(df: DataFrame, types: dict[str, str] | None = None, target: str | None = None,
-                     threshold: int = 50, max_columns: int = 50) -> DataFrame:
+                     threshold: int = 50, max_columns: int | None = None) -> DataFrame:
     """Categorical columns with more distinct values than the threshold, with their extremes.
 
     One shuffle of combined counts by column and value serves every figure.

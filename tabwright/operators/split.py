@@ -8,25 +8,36 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tabwright.functions.exprs import col, row_hash
-from tabwright.operators.coltypes import MAX_CLASSES
 from tabwright.operators.ordered import hash_cuts, not_after
 
 SEED = 42
+COPY = "_copy"
 
 
-def class_sizes(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> dict:
-    """Rows per class in class order. More classes than a valid target has are an error."""
-    return class_sizes_and_missing(df, target, max_classes)[0]
+def distinct_keys(df: DataFrame, ids: list[str]) -> tuple[DataFrame, list[str]]:
+    """The table and its row keys; where keys repeat, a counter among rows of one key is added to them.
 
+    Only the keys are counted. The counter follows the order of the rows' contents, so it is the same under any plan.
+    """
+    hashed = df.select(F.xxhash64(*[col(i) for i in ids]).alias("h"))
+    if hashed.groupBy("h").count().where("count > 1").isEmpty():
+        return df, ids
+    rest = [c for c in df.columns if c not in ids]
+    w = Window.partitionBy(*[col(i) for i in ids]).orderBy(F.xxhash64(*[col(c) for c in rest]) if rest else F.lit(0), *[col(c) for c in rest])
+    return df.withColumn(COPY, F.row_number().over(w)), [*ids, COPY]
 
-def class_sizes_and_missing(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> tuple[dict, int]:
-    rows = df.groupBy(col(target).alias("c")).agg(F.count("*").alias("n")).limit(max_classes + 2).collect()
+
+def class_sizes(df: DataFrame, target: str) -> dict:
+    """Rows per class in class order."""
+    return class_sizes_and_missing(df, target)[0]
+
+
+def class_sizes_and_missing(df: DataFrame, target: str) -> tuple[dict, int]:
+    rows = df.groupBy(col(target).alias("c")).agg(F.count("*").alias("n")).collect()  # one row per class
     known = [r for r in rows if r["c"] is not None]
-    if len(known) > max_classes:
-        raise ValueError(f"Target {target!r} has more than {max_classes} classes.")
     missing = sum(r["n"] for r in rows if r["c"] is None)
     return {r["c"]: r["n"] for r in sorted(known, key=lambda r: r["c"])}, missing
 
@@ -54,9 +65,10 @@ def mark_test(df: DataFrame, ids: list[str], target: str, test_size: float = 0.2
         row = df.agg(F.count(col(target)).alias("n"), F.count_if(col(target).isNull()).alias("missing")).first()
         largest, missing = row["n"], row["missing"]
         quotas, cls = {0: math.ceil(test_size * largest)}, None
-    known = df.where(col(target).isNotNull())
+    known, ids = distinct_keys(df.where(col(target).isNotNull()), ids)
     found = hash_cuts(known, ids, {c: [q - 1] for c, q in quotas.items() if q > 0}, cls, seed, largest)
-    return known.withColumn(flag, not_after(ids, seed, {c: key for (c, _), key in found.items()}, cls)), missing
+    marked = known.withColumn(flag, not_after(ids, seed, {c: key for (c, _), key in found.items()}, cls))
+    return marked.drop(COPY), missing
 
 
 def train_test_split(df: DataFrame, ids: list[str], target: str, test_size: float = 0.2, stratify: bool = True,
@@ -79,6 +91,7 @@ def stratified_folds(df: DataFrame, ids: list[str], target: str, k: int = 5, see
     """`df` with a column `fold` in 0..k-1: consecutive stretches of each class's hash order."""
     if not 2 <= k <= 10:
         raise ValueError("The number of folds must be between 2 and 10.")
+    df, ids = distinct_keys(df, ids)
     sizes = class_sizes(df, target)
     if sizes and k > max(sizes.values()):
         raise ValueError("More folds than rows in every class.")
@@ -93,4 +106,4 @@ def stratified_folds(df: DataFrame, ids: list[str], target: str, k: int = 5, see
         here = {c: cuts[c, ranks[f]] for c, ranks in ends.items() if ranks[f] >= 0}
         fold = fold + F.when(not_after(ids, seed, here, target, F.col("_h")), 0).otherwise(1)
     hashed = df.withColumn("_h", row_hash(ids, seed))
-    return hashed.withColumn("fold", F.when(col(target).isNotNull(), fold)).drop("_h")
+    return hashed.withColumn("fold", F.when(col(target).isNotNull(), fold)).drop("_h", COPY)

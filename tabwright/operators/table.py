@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabwright.functions.exprs import col, coerce_value, is_numeric, is_tabular, stripped
+from tabwright.functions.exprs import col, coerce_value, is_numeric, is_tabular
 
 
 def tabular(df: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def preview(df: DataFrame, order: list[str], n: int = 5, tail: bool = False) ->
 def require(df: DataFrame, wanted: list[str], what: str) -> None:
     missing = [c for c in wanted if c not in df.columns]
     if missing:
-        raise KeyError(f"{what} not found in dataset: " + ", ".join(missing[:30]) + (" …" if len(missing) > 30 else ""))
+        raise KeyError(f"{what} not found in dataset: " + ", ".join(missing))
 
 
 def features_of(df: DataFrame, target: str, wanted: list[str] | None = None) -> DataFrame:
@@ -89,14 +89,15 @@ def coerce_columns(df: DataFrame, numeric: list[str], text: list[str]) -> DataFr
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-free signature of every row and the schema."""
-    cells = [F.coalesce(stripped(col(c)), F.lit("\0")) for c in df.columns]
-    digest = F.md5(F.concat_ws("\x1f", *cells))
+    """Order-free signature of every row, cell for cell with its length, and the schema."""
+    text = lambda c: col(c).cast("string")
+    cells = [F.coalesce(F.concat(F.char_length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in df.columns]
+    digest = F.md5(F.concat_ws(",", *cells))
     words = [F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint") for at in (1, 9)]
     hashed = df.select(words[0].alias("w0"), words[1].alias("w1"))
     return hashed.agg(
         F.count("*").alias("n_rows"), F.coalesce(F.bit_xor("w0"), F.lit(0)).alias("xor_hash"),
-        F.coalesce(F.sum(F.col("w1") % 1_000_003), F.lit(0)).alias("sum_hash"),
+        F.coalesce(F.sum(F.col("w1").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("sum_hash"),
     ).withColumn("schema", F.lit(", ".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema)))
 
 

@@ -93,6 +93,7 @@ def search(name: str, train: DataFrame, target: str, key: str, method: str = "gr
            parallelism: int = 4) -> Search:
     """Cross-validate candidates on prepared training rows; folds do not refit the preparation."""
     start = time.perf_counter()
+    train = train.where(col(target).isNotNull())
     if scoring not in SCORERS:
         raise ValueError(f"scoring must be one of {', '.join(SCORERS)}")
     space = space or SPACES[name]

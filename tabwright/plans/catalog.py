@@ -42,6 +42,14 @@ VIEWS = {
           case when event_id % 25 = 0 then cast('NaN' as double)
                when event_id % 40 = 1 then null else value end as value
         from events""",
+    "inf_events": """
+        select event_id as id, case when event_id % 997 = 0 then cast('Infinity' as double) else value end as value,
+          value as plain
+        from events""",
+    "many_classes": """
+        select o_orderkey as id, concat('c', cast(o_custkey % 250 as string)) as target from orders""",
+    "wide_orders": "select o_orderkey as id, " + ", ".join(
+        f"cast((o_orderkey * {k} + o_custkey) % {89 + k} as double) as m{k}" for k in range(1, 33)) + " from orders",
     "ties": """
         select n_nationkey as id, n_regionkey as num_tie, cast(n_regionkey as string) as str_tie from nation""",
     "doc_model": """

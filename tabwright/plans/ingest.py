@@ -67,6 +67,30 @@ def csv_bad_rows(spark, sf):
     return table.rows.withColumn("skipped", F.lit(skipped).cast("bigint"))
 
 
+@query("csv_long_integers", """
+    select o_orderkey as key, 1234567890123456789 + o_orderkey as big, o_custkey * 1e20 as beyond from orders""")
+def csv_long_integers(spark, sf):
+    """Whole numbers of nineteen digits keep every digit; longer ones are doubles."""
+    lines = load(spark, sf, "orders").select(F.expr(
+        "concat(o_orderkey, ',', 1234567890123456789 + o_orderkey, ',', o_custkey, '00000000000000000000')").alias("line"))
+    return read_csv(spark, write_lines(lines, "key,big,beyond")).rows
+
+
+@query("csv_scoring_bad_rows", """
+    select count(*) filter (o_orderkey % 10 = 7) || ' rows to score have more cells than the header has names.' as error,
+      count(*) as source_rows from orders""")
+def csv_scoring_bad_rows(spark, sf):
+    """A file to score with rows that are too long is refused, and says how many."""
+    orders = load(spark, sf, "orders")
+    lines = orders.select(F.expr("concat(o_orderkey, ',', o_orderstatus, if(o_orderkey % 10 = 7, ',more', ''))").alias("line"))
+    try:
+        read_scoring_csv(spark, write_lines(lines, "id,status"), {"id": "bigint"})
+        error = ""
+    except ValueError as e:
+        error = str(e)
+    return orders.agg(F.lit(error).alias("error"), F.count("*").alias("source_rows"))
+
+
 @query("csv_encoding", """
     select c_custkey as key, c_mktsegment || ' é ü' as segment, true as latin from customer""")
 def csv_encoding(spark, sf):

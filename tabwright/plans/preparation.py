@@ -200,6 +200,25 @@ def split_stratified(spark, sf):
     return _sides(train, test, "id", "target")
 
 
+@query("split_many_classes", f"""
+    with {split_sql('many_classes', 'target').strip()}
+    select id, target, case when is_test then 'test' else 'train' end as split from parted""")
+def split_many_classes(spark, sf):
+    """A text target with 250 classes."""
+    train, test, _ = split.train_test_split(load(spark, sf, "many_classes"), ["id"], "target")
+    return _sides(train, test, "id", "target")
+
+
+@query("split_lineitem", """
+    select count(*) as n, ceil(0.25 * count(*))::bigint as n_test, true as whole from lineitem""")
+def split_lineitem(spark, sf):
+    """Two columns that are no key of the table: rows of one key are told apart, and the sides are exact and whole."""
+    lines = load(spark, sf, "lineitem")
+    train, test, _ = split.train_test_split(lines, ["l_orderkey", "l_shipdate"], "l_returnflag", 0.25, stratify=False)
+    return train.select(F.lit(0).alias("t")).unionAll(test.select(F.lit(1).alias("t"))).agg(
+        F.count("*").alias("n"), F.sum("t").alias("n_test")).withColumn("whole", F.lit(train.columns == lines.columns))
+
+
 @query("split_plain", f"""
     select id, case when row_number() over (order by {hash_sql('id')}, id) <= ceil(0.25 * count(*) over ())
       then 'test' else 'train' end as split

@@ -66,6 +66,12 @@ def corr_pearson(spark, sf):
     return rounded(profile.correlations(load(spark, sf, "lineitem").select(*MEASURES)), "corr")
 
 
+@query("corr_many_columns", corr_sql("wide_orders", [f"m{k}" for k in range(1, 33)]))
+def corr_many_columns(spark, sf):
+    """No column is left out unless a limit is asked for."""
+    return rounded(profile.correlations(load(spark, sf, "wide_orders").drop("id")), "corr")
+
+
 GAPPY = ["price", "spiky", "custkey", "constant_num", "mostly_zero"]
 
 
@@ -138,6 +144,17 @@ def outliers_zscore(spark, sf):
     return rounded(profile.outliers(load(spark, sf, "documents").select("n_chars"), "zscore"), "outlier_percent")
 
 
+@query("outliers_zscore_inf", """
+    select c as "column", 'zscore' as method, n as non_null_count, o as outlier_count, round(100.0 * o / n, 6) as outlier_percent
+    from (select 'value' as c, count(*) as n, 0::bigint as o from events union all
+          select 'plain', count(*), count(case when abs((value - m) / s) > 2 then 1 end)
+          from events, (select avg(value) as m, stddev_pop(value) as s from events))""")
+def outliers_zscore_inf(spark, sf):
+    """Infinite values leave a column without a spread, hence without outliers."""
+    found = profile.outliers(load(spark, sf, "inf_events").drop("id"), "zscore", zscore_threshold=2.0)
+    return rounded(found, "outlier_percent")
+
+
 # --- distributions --------------------------------------------------------------------------------
 
 def histogram_sql(source: str, columns: list[str], bins: int) -> str:

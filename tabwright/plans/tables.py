@@ -105,10 +105,11 @@ def coerce_values(spark, sf):
 
 
 @query("fingerprint", """
-    with d as (select md5(concat_ws(chr(31), cast(o_orderkey as varchar), cast(o_custkey as varchar), o_orderstatus,
-                                    o_orderpriority)) as m from orders)
+    with t as (select cast(o_orderkey as varchar) as a, cast(o_custkey as varchar) as b, o_orderstatus as c, o_orderpriority as d from orders),
+    d as (select md5(concat_ws(',', coalesce(length(a) || ':' || a, '-'), coalesce(length(b) || ':' || b, '-'),
+                               coalesce(length(c) || ':' || c, '-'), coalesce(length(d) || ':' || d, '-'))) as m from t)
     select count(*) as n_rows, bit_xor(('0x' || substr(m, 1, 8))::bigint) as xor_hash,
-      cast(sum(('0x' || substr(m, 9, 8))::bigint % 1000003) as bigint) as sum_hash,
+      cast(sum(('0x' || substr(m, 9, 8))::bigint) as varchar) as sum_hash,
       'o_orderkey:bigint, o_custkey:bigint, o_orderstatus:string, o_orderpriority:string' as schema
     from d""")
 def fingerprint(spark, sf):

@@ -12,7 +12,8 @@ OVERFLOW = "_overflow"
 # Texts that stand for a missing cell.
 NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
                "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
-WHOLE_TEXT = r"^[+-]?\d{1,18}$"
+WHOLE_TEXT = r"^[+-]?\d+$"
+SPANS = r"""(^|[,;|\t])\s*"[^"]*("{2}[^"]*)*$"""
 TRUE_FALSE = ["True", "TRUE", "true", "False", "FALSE", "false"]
 
 
@@ -29,11 +30,19 @@ class CsvTable:
 def text_facts(spark: SparkSession, path: str) -> tuple[bool, bool]:
     """(cells span lines, bytes are UTF-8), from one splittable pass over the raw lines.
 
-    A quoted cell that spans lines leaves an odd number of quotes on its first and last line.
+    A quoted cell that spans lines begins as a cell does, after a separator or line start, and leaves an odd number of quotes on its first line.
+    Every file of a folder must have the header line of the first; one without it is an error, since its cells would land in wrong columns.
     """
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
-    row = spark.read.text(path).agg(F.bool_or(quotes % 2 == 1).alias("span"),
-                                    F.bool_and(F.is_valid_utf8("value")).alias("utf8")).first()
+    lines = spark.read.text(path)
+    first = lines.first()
+    head = F.col("value") == F.lit(first[0] if first else "")
+    files = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.bool_or((quotes % 2 == 1) & F.col("value").rlike(SPANS)).alias("span"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(head).alias("head"))
+    row = files.agg(F.bool_or("span").alias("span"), F.bool_and("utf8").alias("utf8"),
+                    F.min(F.when(~F.col("head"), F.col("file"))).alias("other")).first()
+    if row["other"] is not None:
+        raise CsvError(f"{row['other']} does not have the header line of the other files.")
     return bool(row["span"]), row["utf8"] is not False
 
 
@@ -83,7 +92,7 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",", multi_line: b
     checks = []
     for i, n in enumerate(open_names):
         text = F.when(good, F.btrim(col(n), F.lit(BLANKS)))
-        checks += [F.bool_and(text.rlike(WHOLE_TEXT)).alias(f"whole{i}"), F.bool_and(text.rlike(NUMBER_TEXT)).alias(f"number{i}"),
+        checks += [F.bool_and(F.when(text.isNotNull(), text.rlike(WHOLE_TEXT) & text.try_cast("bigint").isNotNull())).alias(f"whole{i}"), F.bool_and(text.rlike(NUMBER_TEXT)).alias(f"number{i}"),
                    F.bool_and(text.isin(TRUE_FALSE)).alias(f"truth{i}")]
     found = rows.agg(F.count_if(~good).alias("long"), F.count_if(good).alias("rows"), *checks).first()
     if found["long"]:
@@ -99,11 +108,19 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",", multi_line: b
 
 
 def read_scoring_csv(spark: SparkSession, path: str, schema: dict[str, str], separator: str = ",") -> DataFrame:
-    """Rows to score, in the types of the training table; columns it does not know stay text."""
-    span, _ = text_facts(spark, path)
+    """Rows to score, in the types of the training table; columns it does not know stay text.
+
+    Scores must belong to whole rows, so a file with longer rows than its header, or with bytes that are not UTF-8, is refused.
+    """
+    span, utf8 = text_facts(spark, path)
+    if not utf8:
+        raise CsvError("The file to score is not valid UTF-8.")
     options = _options(separator, "UTF-8", span)
     names = header(spark, path, options)
     rows = _null_tokens(_raw(spark, path, names, options), names)
+    long = rows.where(col(OVERFLOW).isNotNull()).count()
+    if long:
+        raise CsvError(f"{long} rows to score have more cells than the header has names.")
     return rows.select(*[_typed(n, schema.get(n, "string")) for n in names])
 
 

@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.operators import coltypes, profile, quality, table
+from tabwright.operators import coltypes, evaluate, ordered, prep, profile, quality, split, table
 from tabwright.operators.prep import PrepConfig, Preparation
-from tabwright.sources.csv import CsvError, read_csv
+from tabwright.sources.csv import CsvError, read_csv, read_scoring_csv
 from tabwright.sources.shared import fresh_path
 
 
@@ -110,3 +110,56 @@ def test_type_mismatch_on_sample_is_reproducible(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") % 2 == 0, "x").otherwise("1").alias("c"))
     a = quality.type_mismatch(df, {"c": "numeric"}, ids=["id"], sample_size=100).collect()
     assert a == quality.type_mismatch(df.repartition(5), {"c": "numeric"}, ids=["id"], sample_size=100).collect()
+
+
+def test_infinite_values(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(99)] + [(float("inf"),)], "a double")
+    assert profile.outliers(df, "zscore").first()["outlier_count"] == 0
+    many = spark.createDataFrame([(float(i),) for i in range(10)] + [(float("inf"),)] * 30, "a double")
+    assert ordered.exact_quantiles(many, {"a": [0.0, 0.1, 0.75, 1.0]})["a"] == pytest.approx([0.0, 3.9, float("inf"), float("inf")])
+
+
+def test_comparison_without_any_success(spark):
+    rows = evaluate.rank_models(evaluate.compare_models({"a": "broke", "b": "broke too"}), "accuracy").collect()
+    assert [(r["model"], r["error"], r["accuracy"]) for r in rows] == [("a", "broke", None), ("b", "broke too", None)]
+
+
+def test_unused_array_column_is_no_obstacle(spark):
+    df = spark.createDataFrame([(i, float(i), [i], "xy"[i % 2]) for i in range(40)], "id int, n double, arr array<int>, t string")
+    ready = prep.preprocess(df, PrepConfig(target="t", feature_columns=["n"]), ["id"])
+    assert ready.train.count() + ready.test.count() == 40
+
+
+def test_repeated_keys_are_told_apart(spark):
+    df = spark.range(1000).selectExpr("id % 10 as key", "id % 7 as v", "id % 2 as t")
+    train, test, _ = split.train_test_split(df, ["key"], "t", 0.25)
+    assert (train.count(), test.count()) == (750, 250) and train.columns == df.columns
+    folds = split.stratified_folds(df, ["key"], "t", 5).groupBy("fold").count().collect()
+    assert [r["count"] for r in folds] == [200] * 5
+
+
+def test_fingerprint_sees_white_space_and_cell_borders(spark):
+    prints = [tuple(table.fingerprint(spark.createDataFrame([row], "a string, b string")).first())
+              for row in [(" a ", "b"), ("a", "b"), ("a", None), ("a", "-"), ("a,1:b", ""), ("a", "1:b,")]]
+    assert len(set(prints)) == len(prints)
+
+
+def test_files_of_one_folder_share_their_header(spark):
+    path = fresh_path(spark, "csv")
+    spark.createDataFrame([("1,2",)], "`id,v` string").coalesce(1).write.options(header=True, sep="\x01", quote="").csv(path)
+    spark.createDataFrame([("3,4",)], "`v,id` string").coalesce(1).write.mode("append").options(header=True, sep="\x01", quote="").csv(path)
+    with pytest.raises(CsvError, match="header line"):
+        read_csv(spark, path)
+
+
+def test_scoring_refuses_other_encodings_and_stray_quotes_split(spark):
+    path = fresh_path(spark, "csv")
+    spark.createDataFrame([("1,é",)], "`id,v` string").write.options(header=True, sep="\x01", quote="", encoding="ISO-8859-1").csv(path)
+    with pytest.raises(CsvError, match="UTF-8"):
+        read_scoring_csv(spark, path, {"id": "bigint"})
+    from tabwright.sources.csv import text_facts
+
+    path = fresh_path(spark, "csv")
+    spark.createDataFrame([('1,a 5" pipe',), ("2,b",)], "`id,v` string").coalesce(1).write.options(header=True, sep="\x01", quote="").csv(path)
+    assert text_facts(spark, path) == (False, True)
+    assert read_csv(spark, path).rows.count() == 2

@@ -24,7 +24,7 @@ PROBS = [0.0, 0.1, 0.25, 1 / 3, 0.5, 0.75, 0.999, 1.0]
 
 def test_quantiles_by_narrowing_equal_numpy(spark):
     df, rows = skewed(spark)
-    got = ordered.exact_quantiles(df, {"a": PROBS, "b": PROBS}, direct_cells=0, bracket_rows=7)
+    got = ordered.exact_quantiles(df, {"a": PROBS, "b": PROBS}, bracket_rows=7)
     for j, c in ((1, "a"), (2, "b")):
         values = [r[j] for r in rows if r[j] is not None]
         assert got[c] == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
@@ -34,14 +34,14 @@ def test_quantiles_survive_a_poor_sketch(spark, monkeypatch):
     """With few cut points the guesses are wide or miss; the counts must notice."""
     monkeypatch.setattr(ordered, "CUTS", 3)
     df, data = skewed(spark, 900)
-    got = ordered.exact_quantiles(df, {"a": [0.3, 0.77]}, direct_cells=0, bracket_rows=9)
+    got = ordered.exact_quantiles(df, {"a": [0.3, 0.77]}, bracket_rows=9)
     assert got["a"] == pytest.approx(list(np.quantile([r[1] for r in data], [0.3, 0.77])), rel=1e-12)
 
 
 def test_quantiles_of_empty_and_constant_columns(spark):
     df = spark.range(100).select(F.lit(None).cast("double").alias("none"), F.lit(3.0).alias("same"))
     for direct in (0, 10**6):
-        got = ordered.exact_quantiles(df, {"none": [0.5], "same": [0.1, 0.9]}, direct_cells=direct)
+        got = ordered.exact_quantiles(df, {"none": [0.5], "same": [0.1, 0.9]}, bracket_rows=direct + 1)
         assert got == {"none": [None], "same": [3.0, 3.0]}
 
 
