@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontamination, hyperminhash, langid, line_dedup, pii, pitman_yor, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup
+from tabwright.llm import decontamination, hyperminhash, langid, line_dedup, oracles, pii, pitman_yor, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup
 from tabwright.llm.documents import HELD_OUT_HASH
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(read(spark, sf_dir, "documents"), ["doc_id"])
 
 
-@query
+@query(sql=oracles.PII)
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(read(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -62,43 +62,12 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, trees, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-# Words and lines as lists; a window of three words repeats if its text is found twice or more.
-QUALITY_SQL = r"""
-with w as (
-  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
-  from documents
-), windows as (
-  select doc_id, i, words[i:i+2] as g from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from w)
-), twice as (
-  select doc_id, i from windows qualify count(*) over (partition by doc_id, g) > 1
-), inside as (
-  select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from twice) group by doc_id
-), per_word as (
-  select doc_id, count(*) as k from (select doc_id, unnest(words) as x from w) group by doc_id, x
-), top as (
-  select doc_id, max(k) as most, count(*) as distinct_words from per_word group by doc_id
-), counts as (
-  select w.doc_id, len(words)::bigint as n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
-         len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, len(lines) as n_lines,
-         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(inside.n, 0)::bigint as n_repeat_words,
-         len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) as lettered, coalesce(most, 0) as most, coalesce(distinct_words, 0) as distinct_words
-  from w left join inside using (doc_id) left join top using (doc_id)
-), judged as (
-  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts
-)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and word_chars between 2 * n_words and 15 * n_words and 10 * n_symbols <= n_words and 2 * n_dup_lines <= n_lines
-       and 10 * lettered >= 8 * n_words and 10 * most <= 3 * n_words and 20 * distinct_words >= n_words as kept
-from judged"""
-
-
-@query(sql=QUALITY_SQL)
+@query(sql=oracles.QUALITY)
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), ["doc_id"]).drop("rejected_by")
 
 
-@query
+@query(sql=oracles.NEAR)
 def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2, percent=80)
 
@@ -108,6 +77,6 @@ def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(read(spark, sf_dir, "documents"))
 
 
-@query
+@query(sql=oracles.REPEATS)
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_kept=False)
