@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HELD_OUT_HASH = "crc32(cast({id} as string))"
@@ -23,3 +25,9 @@ def one_row_per_id(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     if two.groupBy("doc_id").count().where("count > 1").isEmpty():
         return two
     return two.groupBy("doc_id").agg(F.min(F.struct(F.col("text").isNotNull(), "text")).alias("least")).select("doc_id", "least.text")
+
+
+def let_go(spark: SparkSession) -> None:
+    """Before a large shuffle, let the files of finished ones go: Spark deletes them when nothing in the driver refers to them any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

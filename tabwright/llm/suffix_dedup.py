@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.llm.bytesvec import chunks, gram_hash, mix, prefix_hash, segment_hash, signed, sliding_min
-from tabwright.llm.documents import one_row_per_id
+from tabwright.llm.documents import let_go, one_row_per_id
 from tabwright.sources.shared import durable
 
 LENGTH = 100
@@ -164,17 +164,21 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     if not 2 <= length // 2 <= length or not 8 <= seed <= length:
         raise ValueError("length must be 4 or more, and seed between 8 and length")
     docs = one_row_per_id(docs, id, text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    anchors = docs.mapInArrow(_anchor_batches(length, seed), _ANCHORS)
-    kinds = Window.partitionBy("seed")
-    sorted_ = (anchors
-               .withColumn("turn", F.row_number().over(Window.partitionBy("seed", "around").orderBy("doc_id", "start")))
-               .withColumn("several", F.min("around").over(kinds) < F.max("around").over(kinds))
-               .withColumn("known", F.expr("known or turn > 1"))
-               .where("known or several").select("doc_id", "start", "span", "known"))
-    ranked = durable(sorted_, "anchors")
+    ranked = durable(_ranked(docs, length, seed), "anchors")
+    let_go(docs.sparkSession)
     return _cut(docs, ranked, length, with_kept)
 
 
+def _ranked(docs: DataFrame, length: int, seed: int) -> DataFrame:
+    """(doc_id, start, span, known): neighbourhoods that repeat as a whole (known), and those whose positions go on to the second round."""
+    kinds = Window.partitionBy("seed")
+    return (docs.mapInArrow(_anchor_batches(length, seed), _ANCHORS)
+            .withColumn("turn", F.row_number().over(Window.partitionBy("seed", "around").orderBy("doc_id", "start")))
+            .withColumn("several", F.min("around").over(kinds) < F.max("around").over(kinds))
+            .withColumn("known", F.expr("known or turn > 1"))
+            .where("known or several").select("doc_id", "start", "span", "known"))
+
+
 def _cut(docs: DataFrame, ranked: DataFrame, length: int, with_kept: bool) -> DataFrame:
     lists = ranked.groupBy("doc_id").agg(
         F.collect_list(F.expr("case when not known then struct(start, span) end")).alias("check"),
