@@ -24,7 +24,7 @@ from tabwright.operators.bayes import Moments, class_moments, scoring_column
 from tabwright.operators.neighbors import neighbours, votes
 from tabwright.operators.split import SEED, class_sizes
 from tabwright.sources.local import small_table
-from tabwright.sources.shared import durable
+from tabwright.sources.shared import durable, fresh_path
 
 MAX_DEPTH = 30       # deepest tree the library grows; stands for "unlimited"
 RBF_FEATURES = 512   # random Fourier features per kernel map
@@ -33,8 +33,10 @@ RBF_FEATURES = 512   # random Fourier features per kernel map
 DEFAULTS = {
     "Logistic Regression": {"C": 1.0, "class_weight": None, "max_iter": 1000},
     "K-Nearest Neighbors": {"n_neighbors": 5, "weights": "uniform", "p": 2},
-    "Support Vector Machine": {"C": 1.0, "kernel": "rbf", "gamma": "scale", "class_weight": None},
-    "Decision Tree": {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "criterion": "gini"},
+    "Support Vector Machine": {"C": 1.0, "kernel": "rbf", "gamma": "scale", "class_weight": None,
+                               "max_iter": 100},
+    "Decision Tree": {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "criterion": "gini",
+                      "max_bins": 128},
     "Naive Bayes": {"var_smoothing": 1e-9},
 }
 
@@ -104,7 +106,7 @@ class Classifier:
             self.state["dims"] = len(mean)
             self.state["gamma"] = (1.0 / (len(mean) * total) if total else 1.0) if p["gamma"] == "scale" else 1.0 / len(mean)
         mapped = durable(self._mapped(rows).withColumn("weight", class_weights(sizes, p["class_weight"])), "mapped")
-        svc = LinearSVC(regParam=1.0 / (p["C"] * n), standardization=False, maxIter=100, weightCol="weight")
+        svc = LinearSVC(regParam=1.0 / (p["C"] * n), standardization=False, maxIter=p["max_iter"], weightCol="weight")
         if len(self.classes) == 2:
             self.model = svc.fit(mapped)
         else:
@@ -130,9 +132,10 @@ class Classifier:
     def _fit_tree(self, rows: DataFrame, sizes: dict) -> None:
         p = self.params
         self.model = DecisionTreeClassifier(
-            maxDepth=min(p["max_depth"] or MAX_DEPTH, MAX_DEPTH), impurity=p["criterion"], maxBins=128, seed=SEED,
+            maxDepth=min(p["max_depth"] or MAX_DEPTH, MAX_DEPTH), impurity=p["criterion"], maxBins=p["max_bins"], seed=SEED,
             minInstancesPerNode=p["min_samples_leaf"]).fit(rows)
-        self.state["leaves"] = tree_leaves(self.model, p["min_samples_split"])
+        # every node that splits has two rows, so up to that limit the library's own leaves are the result
+        self.state["leaves"] = leaf_counts(rows.sparkSession, self.model, p["min_samples_split"]) if p["min_samples_split"] > 2 else None
 
     def _fit_bayes(self, rows: DataFrame, sizes: dict) -> None:
         m = class_moments(rows, len(self.classes))[None]
@@ -155,17 +158,21 @@ class Classifier:
             out = out.withColumn("probability", F.col("_s.probability"))
             winner = F.col("_s.winner")
         elif self.name == "Decision Tree":
-            # a tree's leaf number looks up the class counts of its (possibly collapsed) node
-            self.model.setLeafCol("_leaf").setPredictionCol("_p").setProbabilityCol("").setRawPredictionCol("")
-            counts = F.from_json(F.lit(json.dumps(self.state["leaves"])), "array<array<double>>")  # folded once
-            out = self.model.transform(df).withColumn("_n", F.get(counts, F.col("_leaf").cast("int")))
-            total = F.aggregate("_n", F.lit(0.0), lambda a, v: a + v)
-            out = out.withColumn("probability", F.transform("_n", lambda v: v / total))
-            winner = F.array_position("_n", F.array_max("_n")) - 1
+            model = self.model.copy()
+            model.setLeafCol("_leaf").setPredictionCol("_p").setProbabilityCol("_probability").setRawPredictionCol("")
+            out = model.transform(df)
+            if self.state["leaves"] is None:
+                out, winner = out.withColumn("probability", vector_to_array("_probability")), F.col("_p").cast("int")
+            else:  # a leaf's number looks up the class counts of the node that it is collapsed into
+                table = small_table(df.sparkSession, [(float(i), n) for i, n in enumerate(self.state["leaves"])], "_at double, _n array<double>")
+                out = out.join(table, F.col("_at") == F.col("_leaf"), "left")
+                total = F.aggregate("_n", F.lit(0.0), lambda a, v: a + v)
+                out = out.withColumn("probability", F.transform("_n", lambda v: v / total))
+                winner = F.array_position("_n", F.array_max("_n")) - 1
         else:
             linear = self.name == "Logistic Regression"
             ready = df if linear else self._mapped(df)
-            out = self.model.setPredictionCol("_p").transform(ready)
+            out = self.model.copy().setPredictionCol("_p").transform(ready)
             out = out.withColumn("probability", vector_to_array("probability") if linear
                                  else F.lit(None).cast("array<double>"))
             winner = F.col("_p").cast("int")
@@ -210,24 +217,23 @@ FAMILIES = {"Logistic Regression": "_fit_logistic", "K-Nearest Neighbors": "_fit
             "Support Vector Machine": "_fit_svm", "Decision Tree": "_fit_tree", "Naive Bayes": "_fit_bayes"}
 
 
-def tree_leaves(model: DecisionTreeClassificationModel, min_split: int) -> list[list[float]]:
+def leaf_counts(spark: SparkSession, model: DecisionTreeClassificationModel, min_split: int) -> list[list[float]]:
     """Class counts by leaf number. Nodes below `min_split` rows act as leaves, so their leaves share their counts.
 
-    Splits further down do not influence splits elsewhere, so the collapsed tree is the one that
-    growing with the limit would give.
+    Splits further down do not influence splits elsewhere, so the collapsed tree is the one that growing with the limit would
+    give. The stored node table lists every node after its parent and leaves in their order; it is read in one job.
     """
-    leaves: list[list[float]] = []
-
-    def walk(node, collapsed: list[float] | None) -> None:
-        counts = collapsed or list(node.impurityStats().stats())
-        if node.subtreeDepth() == 0:
-            leaves.append(counts)
-            return
-        held = collapsed or (counts if sum(counts) < min_split else None)
-        walk(node.leftChild(), held)
-        walk(node.rightChild(), held)
-
-    walk(model._call_java("rootNode"), None)
+    path = fresh_path(spark, "tree")
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("id", "leftChild", "rightChild", "impurityStats").orderBy("id").toArrow()
+    held: dict[int, list[float] | None] = {}
+    leaves = []
+    for node, left, right, counts in zip(*(c.to_pylist() for c in nodes.columns), strict=True):
+        above = held.get(node)
+        if left < 0:
+            leaves.append(above or counts)
+        else:
+            held[left] = held[right] = above or (counts if sum(counts) < min_split else None)
     return leaves
 
 
