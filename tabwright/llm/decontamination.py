@@ -79,27 +79,17 @@ class _OfSize:
     def __init__(self, size: int, ids: list[int], shingles: list[np.ndarray], radius: int):
         self.words, self.size, self.ids, self.shingles, self.radius = size, min(size, SHINGLE), ids, shingles, radius
         self.prints = np.concatenate([_packed(_bits(s).sum(0, keepdims=True)) for s in shingles])
-        # for every value of a block the items whose block differs in radius / blocks bits at most
-        self.near = []
-        every = np.arange(1 << 16, dtype=np.uint16)
-        for b in range(_BLOCKS):
-            block = ((self.prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.uint16)
-            values, where = np.unique(block, return_inverse=True)
-            lists = defaultdict(list)
-            for v in range(len(values)):
-                members = np.flatnonzero(where == v)
-                for x in every[_COUNTS[every ^ values[v]] <= radius // _BLOCKS].tolist():
-                    lists[x].append(members)
-            self.near.append({x: np.concatenate(m) for x, m in lists.items()})
+        # the distinct values of every block, and which of them each item has
+        blocks = [((self.prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.uint16) for b in range(_BLOCKS)]
+        self.values = [np.unique(x, return_inverse=True) for x in blocks]
 
     def within(self, print_: int) -> np.ndarray:
-        """All items within the radius of a fingerprint."""
-        found = [self.near[b].get(print_ >> 16 * b & 0xFFFF) for b in range(_BLOCKS)]
-        found = [f for f in found if f is not None]
-        if not found:
-            return np.zeros(0, np.int64)
-        at = np.unique(np.concatenate(found))
-        apart = (self.prints[at] ^ np.uint64(print_)).view(np.uint16).reshape(-1, 4)
+        """All items within the radius of a fingerprint: in some block they are near it, and then they are compared as a whole."""
+        some = np.zeros(len(self.prints), bool)
+        for b, (values, of) in enumerate(self.values):
+            some |= (_COUNTS[values ^ np.uint16(print_ >> 16 * b & 0xFFFF)] <= self.radius // _BLOCKS)[of]
+        at = np.flatnonzero(some)
+        apart = (self.prints[at] ^ np.uint64(print_)).view(np.uint16).reshape(-1, _BLOCKS)
         return at[_COUNTS[apart].sum(1) <= self.radius]
 
 
