@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tabwright.operators import evaluate, tune
 from tabwright.operators.bayes import class_moments
@@ -190,41 +190,84 @@ def knn_documents(spark, sf):
 
 # --- library families -----------------------------------------------------------------------------
 
-def _library_query(spark, sf, name, **params):
-    train, test = vector_split(spark, sf)
-    train, test = durable(train, "train"), durable(test, "test")
-    model = Classifier.fit(name, train, "label", "id", params)
-    return proba_columns(model, model.score(test))
-
-
-@query("logreg_predict")
+def newton_sql(source: str, steps: int = 12) -> str:
+    """CTEs p0 .. p<steps>: slope w and intercept b of a logistic regression of y on x, by Newton's method; the slope is held by w * w / 2."""
+    out = ["p0 as (select 0.0::double as w, 0.0::double as b)"]
+    for i in range(steps):
+        out.append(f"""s{i} as (select any_value(w) as w, any_value(b) as b, sum((p - y) * x) + any_value(w) as gw, sum(p - y) as gb,
+          sum(p * (1 - p) * x * x) + 1 as hww, sum(p * (1 - p) * x) as hwb, sum(p * (1 - p)) as hbb
+          from (select x, y, w, b, 1 / (1 + exp(-(w * x + b))) as p from {source}, p{i}))""")
+        out.append(f"""p{i + 1} as (select w - (hbb * gw - hwb * gb) / (hww * hbb - hwb * hwb) as w,
+          b - (hww * gb - hwb * gw) / (hww * hbb - hwb * hwb) as b from s{i})""")
+    return ",\n    ".join(out)
+
+
+@query("logreg_predict", f"""
+    with points as (select id, least(n_words, 400) / 100.0::double as x, label as y from doc_model),
+    {newton_sql('points')}
+    select id, case when w * x + b > 0 then 1 else 0 end as prediction, round(1 / (1 + exp(-(w * x + b))), 4) as proba_1 from points, p12""")
 def logreg_predict(spark, sf):
-    return _library_query(spark, sf, "Logistic Regression")
+    """Quality from the number of words: the optimum that Newton's method finds."""
+    rows = load(spark, sf, "doc_model").select("id", "label", array_to_vector(F.array(F.least("n_words", F.lit(400)) / 100.0)).alias("features"))
+    model = Classifier.fit("Logistic Regression", rows, "label", "id")
+    scored = model.score(rows).select("id", "prediction", F.get("probability", F.lit(1)).alias("proba_1"))
+    return rounded(scored, "proba_1", digits=4)
 
 
-@query("svm_linear_predict")
+@query("svm_linear_predict", "select o_orderkey as id, (o_orderkey % 2)::integer as prediction from orders")
 def svm_linear_predict(spark, sf):
-    return _library_query(spark, sf, "Support Vector Machine", kernel="linear")
+    """Two classes with a wide gap between them, which the widest margin must part without an error."""
+    rows = load(spark, sf, "orders").selectExpr("o_orderkey as id", "o_orderkey % 2 as label",
+                                                "array(o_orderkey % 2 * 6 + o_custkey % 100 / 100D, o_custkey % 7 / 7D) as x")
+    rows = rows.withColumn("features", array_to_vector("x")).drop("x")
+    model = Classifier.fit("Support Vector Machine", rows, "label", "id", {"kernel": "linear"})
+    return model.score(rows).select("id", "prediction")
 
 
-@query("svm_rbf_predict")
+@query("svm_rbf_predict", "select o_orderkey as id, (o_orderkey % 2)::integer as prediction from orders")
 def svm_rbf_predict(spark, sf):
-    return _library_query(spark, sf, "Support Vector Machine")
-
-
-@query("tree_predict")
+    """Two rings, one inside the other, which no line can part."""
+    rows = load(spark, sf, "orders").selectExpr("o_orderkey as id", "o_orderkey % 2 as label", "1 + o_orderkey % 2 * 3D as r", "o_custkey * 0.7D as t")
+    rows = rows.select("id", "label", array_to_vector(F.array(F.col("r") * F.cos("t"), F.col("r") * F.sin("t"))).alias("features"))
+    model = Classifier.fit("Support Vector Machine", rows, "label", "id")
+    return model.score(rows).select("id", "prediction")
+
+
+TREE_LABEL = "case when l_quantity + l_orderkey % 17 > 40 then 'large' when l_quantity + l_orderkey % 23 > 24 then 'medium' else 'small' end"
+
+
+@query("tree_predict", f"""
+    with cells as (select l_quantity::double as q, {TREE_LABEL} as f, count(*)::double as n from lineitem group by all),
+    cuts as (select distinct q as cut from cells where q < (select max(q) from cells)),
+    sides as (select cut, q <= cut as low, f, sum(n) as n from cells, cuts group by all),
+    sizes as (select cut, low, sum(n) as m, sum(n * n) as squares from sides group by all),
+    best as (select arg_max(cut, (round(gain, 6), -cut)) as cut from (select cut, sum(squares / m) as gain from sizes group by cut)),
+    leaves as (select low, f, n / sum(n) over (partition by low) as p from sides where cut = (select cut from best)),
+    said as (select low, arg_max(f, p) as prediction, {", ".join(f"coalesce(round(max(p) filter (f = '{c}'), 6), 0) as proba_{c}" for c in ("large", "medium", "small"))} from leaves group by low)
+    select quantity, prediction, proba_large, proba_medium, proba_small
+    from (select distinct l_quantity::double as quantity from lineitem) d join said on (quantity <= (select cut from best)) = low""")
 def tree_predict(spark, sf):
-    return _library_query(spark, sf, "Decision Tree", min_samples_split=5)
-
-
-@query("train_all")
+    """A tree of depth one takes the best of all cuts."""
+    lines = load(spark, sf, "lineitem").select("l_orderkey", F.expr(TREE_LABEL).alias("label"), F.col("l_quantity").cast("double").alias("quantity"))
+    rows = lines.withColumn("features", array_to_vector(F.array("quantity")))
+    model = Classifier.fit("Decision Tree", rows, "label", "l_orderkey", {"max_depth": 1, "min_samples_split": 5})
+    shares = {f"proba_{c}": F.get("probability", F.lit(i)) for i, c in enumerate(model.classes)}
+    return rounded(model.score(rows).select("quantity", "prediction", *(v.alias(k) for k, v in shares.items())).distinct(), *shares)
+
+
+@query("train_all", f"""
+    with {split_sql('doc_model', 'label').strip()}
+    select name as model, 'trained' as status, (select count(*) from parted where is_test) as n_scored,
+      (select count(*) from parted where not is_test) as n_trained
+    from (values ('Decision Tree'), ('K-Nearest Neighbors'), ('Logistic Regression'), ('Naive Bayes'), ('Support Vector Machine')) v(name)""")
 def train_all_query(spark, sf):
-    """All families on prepared documents, compared and ranked."""
+    """All families on prepared documents, each scoring the test side."""
     p = documents_prepared(spark, sf)
     models, errors = train_all(p.train, "label", "id")
-    results = {n: evaluate.metrics(m.score(p.test)) for n, m in models.items()}
-    results.update(errors)
-    return evaluate.rank_models(evaluate.compare_models(results), "accuracy")
+    n = p.train.count()
+    rows = [(name, "trained", m.score(p.test).where("prediction is not null").count(), n) for name, m in models.items()]
+    rows += [(name, "failed", 0, n) for name in errors]
+    return small_table(spark, rows, "model string, status string, n_scored bigint, n_trained bigint")
 
 
 @query("model_roundtrip", """
@@ -293,12 +336,12 @@ def random_candidates(spark, sf):
 
 FOLDED = f"""
     vectors as (select vec_id as id, label, embedding from embeddings),
-    {folds_sql('vectors', 'label', 3).strip()},
+    {folds_sql('vectors', 'label', 5).strip()},
     flat as (select id, label, fold, unnest(embedding)::double as v, generate_subscripts(embedding, 1) as j from folded)"""
 
 GRID_GNB = f"""
     {FOLDED.strip()},
-    f3 as (select unnest([0, 1, 2]) as f),
+    f3 as (select unnest([0, 1, 2, 3, 4]) as f),
     tries as (select * from (values (0, 1e-9::double, 'var_smoothing=1e-09'), (1, 1e-8::double, 'var_smoothing=1e-08'),
               (2, 1e-7::double, 'var_smoothing=1e-07')) t(candidate, s, params)),
     eps as (select f, max(v2) as e from (select f, j, var_pop(v) as v2 from flat, f3 where fold <> f group by f, j)
@@ -321,7 +364,7 @@ GRID_GNB = f"""
     with {GRID_GNB.strip()}
     select candidate, params, fold, round(score, 6) as score from scores""")
 def grid_search_gnb(spark, sf):
-    return rounded(tune.search("Naive Bayes", vectors(spark, sf), "label", "id", cv=3, refit=False).scores, "score")
+    return rounded(tune.search("Naive Bayes", vectors(spark, sf), "label", "id", refit=False).scores, "score")
 
 
 @query("best_candidate", f"""
@@ -331,7 +374,7 @@ def grid_search_gnb(spark, sf):
       arg_max(params, (round(mean_score, 12), -candidate)) as params, round(max(mean_score), 6) as best_score
     from means""")
 def best_candidate(spark, sf):
-    found = tune.search("Naive Bayes", vectors(spark, sf), "label", "id", cv=3, refit=False)
+    found = tune.search("Naive Bayes", vectors(spark, sf), "label", "id", refit=False)
     return rounded(tune.best_candidate(found.scores), "best_score")
 
 
@@ -357,21 +400,34 @@ def _knn_scores(p: int) -> str:
     select candidate, params, fold, round(avg(case when label = prediction then 1.0 else 0.0 end), 6) as score
     from won group by all""")
 def grid_search_knn(spark, sf):
-    return rounded(tune.search("K-Nearest Neighbors", vectors(spark, sf), "label", "id", cv=3, refit=False).scores,
+    return rounded(tune.search("K-Nearest Neighbors", vectors(spark, sf), "label", "id", refit=False).scores,
                    "score")
 
 
-@query("grid_search_logreg")
+def _tried(scores: DataFrame, found) -> DataFrame:
+    """Candidates with their folds, how many scores are shares, and whether the winner has the best mean."""
+    means = tune.mean_scores(scores)
+    best = F.round(F.max("mean_score").over(Window.partitionBy(F.lit(0))), 12) == F.round(F.lit(found.best_score), 12)
+    told = scores.groupBy("candidate", "params").agg(F.count_distinct("fold").alias("folds"), F.count_if(F.col("score").between(0, 1)).alias("shares"))
+    return told.join(means.select("candidate", best.alias("best_is_best")), "candidate").withColumn("candidate", F.col("candidate").cast("int"))
+
+
+@query("grid_search_logreg", f"""
+    select candidate, params, 5::bigint as folds, 5::bigint as shares, (select count(*) > 0 from doc_model) as best_is_best
+    from ({_product_sql(tune.SPACES['Logistic Regression'])})""")
 def grid_search_logreg(spark, sf):
     p = documents_prepared(spark, sf)
-    found = tune.search("Logistic Regression", p.train, "label", "id", scoring="f1_weighted", cv=3)
-    return tune.mean_scores(found.scores)
+    found = tune.search("Logistic Regression", p.train, "label", "id", scoring="f1_weighted")
+    return _tried(found.scores, found)
 
 
-@query("random_search_tree")
+@query("random_search_tree", f"""
+    select candidate, params, 5::bigint as folds, 5::bigint as shares, (select count(*) > 0 from doc_model) as best_is_best
+    from ({_product_sql(tune.SPACES['Decision Tree'])}) order by substr(md5('{SEED}|' || candidate), 1, 8), candidate limit 20""")
 def random_search_tree(spark, sf):
     p = documents_prepared(spark, sf)
-    return tune.search("Decision Tree", p.train, "label", "id", "random", cv=3, n_iter=4).summary()
+    found = tune.search("Decision Tree", p.train, "label", "id", "random")
+    return _tried(found.scores, found)
 
 
 # --- evaluation -----------------------------------------------------------------------------------
