@@ -17,7 +17,7 @@ from tabwright.operators.evaluate import metrics
 from tabwright.operators.neighbors import neighbours, vote_grid
 from tabwright.operators.split import SEED, class_sizes, stratified_folds
 from tabwright.sources.local import small_table
-from tabwright.sources.shared import durable
+from tabwright.sources.shared import durable, temporary
 
 # The search spaces.
 SPACES = {
@@ -99,19 +99,20 @@ def search(name: str, train: DataFrame, target: str, key: str, method: str = "gr
     space = space or SPACES[name]
     candidates = list(enumerate(grid(space))) if method == "grid" else random_candidates(space, n_iter, seed)
     classes = list(class_sizes(train, target))
-    folded = durable(indexed(stratified_folds(train, [key], target, cv, seed), target, classes), "folds")
-    if name == "Naive Bayes":
-        predicted = _bayes_predictions(folded, candidates, len(classes))
-    elif name == "K-Nearest Neighbors":
-        predicted = _neighbour_predictions(folded, candidates, len(classes), key)
-    else:
-        predicted = None
     measure = SCORERS[scoring]
-    if predicted is not None:
-        rows = [(r["candidate"], r["fold"], r[measure]) for r in
-                metrics(predicted, "label", "winner", ["candidate", "fold"]).collect()]  # candidates x folds
-    else:
-        rows = _fitted_scores(name, folded, target, key, candidates, cv, measure, parallelism)
+    with temporary(train.sparkSession):  # only the scores come out
+        folded = durable(indexed(stratified_folds(train, [key], target, cv, seed), target, classes), "folds")
+        if name == "Naive Bayes":
+            predicted = _bayes_predictions(folded, candidates, len(classes))
+        elif name == "K-Nearest Neighbors":
+            predicted = _neighbour_predictions(folded, candidates, len(classes), key)
+        else:
+            predicted = None
+        if predicted is not None:
+            rows = [(r["candidate"], r["fold"], r[measure]) for r in
+                    metrics(predicted, "label", "winner", ["candidate", "fold"]).collect()]  # candidates x folds
+        else:
+            rows = _fitted_scores(name, folded, target, key, candidates, cv, measure, parallelism)
     texts = {i: text_of(p) for i, p in candidates}
     scores = small_table(train.sparkSession, [(i, texts[i], f, s) for i, f, s in rows],
                          "candidate int, params string, fold int, score double")

@@ -224,10 +224,10 @@ def svm_linear_predict(spark, sf):
     return model.score(rows).select("id", "prediction")
 
 
-@query("svm_rbf_predict", "select o_orderkey as id, (o_orderkey % 2)::integer as prediction from orders")
+@query("svm_rbf_predict", "select c_custkey as id, (c_custkey % 2)::integer as prediction from customer")
 def svm_rbf_predict(spark, sf):
     """Two rings, one inside the other, which no line can part."""
-    rows = load(spark, sf, "orders").selectExpr("o_orderkey as id", "o_orderkey % 2 as label", "1 + o_orderkey % 2 * 3D as r", "o_custkey * 0.7D as t")
+    rows = load(spark, sf, "customer").selectExpr("c_custkey as id", "c_custkey % 2 as label", "1 + c_custkey % 2 * 3D as r", "c_custkey * 0.7D as t")
     rows = rows.select("id", "label", array_to_vector(F.array(F.col("r") * F.cos("t"), F.col("r") * F.sin("t"))).alias("features"))
     model = Classifier.fit("Support Vector Machine", rows, "label", "id")
     return model.score(rows).select("id", "prediction")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,13 +30,41 @@ def _own_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def forget(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder; its DataFrames are unusable afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _own_folder(spark))
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Delete at the end what is written to the shared folder inside, once its results are collected or stored elsewhere.
+
+    Gives a function that writes a table which stays.
+    """
+    before, kept = len(_written), set()
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        out = durable(df, label)
+        kept.add(_written[-1])
+        return out
+
+    try:
+        yield keep
+    finally:
+        gone = [p for p in _written[before:] if p not in kept]
+        _written[before:] = [p for p in _written[before:] if p in kept]
+        for path in gone:
+            _delete(spark, path)
 
 
 def durable(df: DataFrame, label: str = "stage", by: list[str] | None = None) -> DataFrame:

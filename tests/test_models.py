@@ -155,3 +155,17 @@ def test_streamed_scores_equal_batch_scores(spark, sf, docs):
     batch = scorer.score(df).select("id", "prediction")
     assert spark.read.parquet(out).select("id", "prediction").exceptAll(batch).count() == 0
     assert spark.read.parquet(out).count() == df.count()
+
+
+def test_a_finished_search_leaves_no_stage_behind(docs):
+    from tabwright.sources import shared
+
+    spark = docs.train.sparkSession
+    before = list(shared._written)
+    tune.search("Decision Tree", docs.train, "label", "id", space={"max_depth": [2], "min_samples_split": [4]}, refit=False)
+    tune.search("Naive Bayes", docs.train, "label", "id", refit=False)
+    assert shared._written == before
+    with shared.temporary(spark) as keep:
+        gone, stays = shared.durable(spark.range(3), "gone"), keep(spark.range(4), "stays")
+        assert gone.count() == 3
+    assert stays.count() == 4 and len(shared._written) == len(before) + 1
