@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabwright.llm import decontamination, hyperminhash, langid, line_dedup, sentencepiece_codec
 from tabwright.llm.documents import quoted
-from tabwright.sources.shared import durable
+from tabwright.sources.shared import temporary
 
 #: A document goes if its language cannot be told: no letters, or no language that holds half of the probability.
 LEAST_SCORE = 0.5
@@ -63,5 +63,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), name)
+        with temporary(spark) as keep:  # what a stage writes on its way goes once its result is written
+            docs = keep(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
