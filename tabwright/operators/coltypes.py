@@ -82,13 +82,14 @@ def resolve_types(df: DataFrame, declared: dict[str, str] | None = None) -> dict
 
 
 def resolve_profile_types(df: DataFrame, declared: dict[str, str] | None, target: str | None) -> dict[str, str]:
-    """As `resolve_types`, with the profile rule for the undeclared columns only."""
+    """As `resolve_types`, with the profile rule for the undeclared columns only; what is no number needs no look at its values."""
     columns = [c for c in df.columns if c != target]
     open_columns = [c for c in columns if (declared or {}).get(c) not in ("numeric", "categorical")]
-    inferred = {}
-    if open_columns:
-        rows = profile_types(df.select(*[col(c) for c in open_columns])).collect()
-        inferred = {r["column"]: r["type"] for r in rows}
+    inferred = {f.name: "categorical" for f in df.schema if f.name in open_columns}
+    numbers = [f.name for f in df.schema if f.name in open_columns and is_numeric(f.dataType)]
+    if numbers:
+        rows = profile_types(df.select(*[col(c) for c in numbers])).collect()
+        inferred.update({r["column"]: r["type"] for r in rows})
     return declared_first(columns, declared or {}, inferred)
 
 
@@ -145,4 +146,4 @@ def class_distribution(df: DataFrame, target: str, dropna: bool = False) -> Data
     require(df, [target], "Target column")
     rows = df.where(col(target).isNotNull()) if dropna else df
     counts = rows.groupBy(col(target).cast("string").alias("class")).agg(F.count("*").alias("count"))
-    return counts.withColumn("proportion", F.col("count") / rows.agg(F.count("*")).scalar())
+    return counts.withColumn("proportion", F.col("count") / counts.agg(F.sum("count")).scalar())

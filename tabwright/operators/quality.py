@@ -58,8 +58,9 @@ def high_cardinality(df: DataFrame, types: dict[str, str] | None = None, target:
         F.min_by(F.struct(shown.alias("value"), "count"), F.struct(F.col("count"), shown)).alias("bottom"),
         F.sum("count").alias("n"))
     flagged = facts.where(F.col("unique_values") > threshold)
-    w = Window.partitionBy("column").orderBy("value")
-    samples = (counts.where("value is not null").withColumn("at", F.row_number().over(w)).where("at <= 5")
+    # missing values come last, so that the ranking reads the same exchange of counts as the figures
+    w = Window.partitionBy("column").orderBy(F.asc_nulls_last("value"))
+    samples = (counts.withColumn("at", F.row_number().over(w)).where("at <= 5 and value is not null")
                .groupBy("column").agg(F.array_join(F.sort_array(F.collect_list("value")), ", ").alias("sample_values")))
     share = lambda c: 100.0 * c / F.col("n")
     return flagged.join(samples, "column").select(
