@@ -72,6 +72,7 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         last = min(last, len(texts))
         yield Chunk(first, last, buf[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
         first = last
+    pa.default_memory_pool().release_unused()  # a worker is used again, and should not hold the memory of its largest batch
 
 
 def words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -24,8 +24,8 @@ from tabwright.llm.documents import quoted
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_LIMIT = 64 << 20
-CHUNK = 4 << 20
-CACHED = 500_000
+CHUNK = 1 << 20
+CACHED = 100_000
 BLANK = "▁"
 # Fixed values of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
@@ -132,7 +132,7 @@ class Codec:
         self.whole = build(self.model)
         self.parts = build(self.model, parts=True) if splits(self.model) else None
         self.plain = not self.model.charsmap and not self.model.squeeze
-        self.known: dict[str, tuple[list[int], bool]] = {}
+        self.known: dict[str, bytes] = {}  # ids, and a last byte for whether they decode to the word
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """First and last row, offsets and ids of their tokens, and whether decoding gives the normalised text."""
@@ -178,14 +178,14 @@ class Codec:
             part = new[i:i + (1 << 16)]
             ids = [e.ids for e in self.parts.encode_batch_fast(part, add_special_tokens=False)]
             texts = self.parts.decode_batch(ids, skip_special_tokens=False)
-            self.known.update((w, (x, t == w)) for w, x, t in zip(part, ids, texts, strict=True))
+            self.known.update((w, np.array(x, "<i4").tobytes() + (b"\1" if t == w else b"\0")) for w, x, t in zip(part, ids, texts, strict=True))
         got = [self.known[w] for w in words]
-        n = np.fromiter((len(x) for x, _ in got), np.int64, len(got))
-        flat = np.fromiter((i for x, _ in got for i in x), np.int32, int(n.sum()))
+        n = np.fromiter((len(x) // 4 for x in got), np.int64, len(got))
+        flat = np.frombuffer(b"".join([x[:-1] for x in got]), np.int32)
         begin, count = np.cumsum(n) - n, n[back]
         total = np.concatenate([[0], np.cumsum(count)])
         ids = flat[np.arange(total[-1]) + np.repeat(begin[back] - total[:-1], count)]
-        same = np.concatenate([[0], np.cumsum(~np.array([s for _, s in got], bool)[back])])
+        same = np.concatenate([[0], np.cumsum(~np.array([x[-1] == 1 for x in got], bool)[back])])
         edge = np.searchsorted(at, offsets)
         return total[edge], ids, same[edge[1:]] == same[edge[:-1]]
 
