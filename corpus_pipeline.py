@@ -16,7 +16,7 @@ LEAST_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is recognised; the languages are learned from the labelled documents of the input."""
     trees = langid.train(docs.select("text", "lang"))
-    return langid.predict(docs, trees, docs.columns).where(f"lang_pred <> '{langid.NONE}' and score >= {LEAST_SCORE}").select(*map(quoted, docs.columns))
+    return langid.recognised(docs, trees, LEAST_SCORE)
 
 
 def _one_each(docs: DataFrame) -> DataFrame:

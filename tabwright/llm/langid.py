@@ -182,7 +182,18 @@ def predict(docs: DataFrame, trees: Trees, keep: list[str], text: str = "text")
     A null text and a text without a letter are `und` with score 0, as is everything if no language was learned. Equal code lengths go to the
     language that sorts first. Rows that repeat are predicted each for itself, and alike. Only the text is looked at.
     """
+    out = _predicted(docs, trees, keep, text)
+    return out.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score", "bits_per_byte")
+
+
+def recognised(docs: DataFrame, trees: Trees, least_score: float, text: str = "text") -> DataFrame:
+    """The rows, all columns as they are, whose language is predicted with a score of at least `least_score`; those that are `und` go."""
+    out = _predicted(docs, trees, docs.columns, text).where(f"lang_pred <> '{NONE}' and score >= {least_score}")
+    return out.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
+def _predicted(docs: DataFrame, trees: Trees, keep: list[str], text: str) -> DataFrame:
+    """Kept columns by number, so that their names cannot clash, and the prediction."""
     rows = docs.select(quoted(text).alias("text"), F.coalesce(quoted(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"), *(quoted(c).alias(f"_{i}") for i, c in enumerate(keep)))
     kinds = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = rows.mapInArrow(_predict_batches(trees, len(keep)), kinds + ", lang_pred string, score double, bits_per_byte double")
-    return out.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score", "bits_per_byte")
+    return rows.mapInArrow(_predict_batches(trees, len(keep)), kinds + ", lang_pred string, score double, bits_per_byte double")

@@ -13,7 +13,8 @@ def documents(spark):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()
     leaks = [(60_000 + i, f"Some words first. {b.text} And some after it, different in each {i}.", "en") for i, b in enumerate(bench[:6])]
     near = [(61_000 + k, " ".join(f"only{k}" if i == 7 * k else f"own{i}" for i in range(90)), "en") for k in range(6)]
-    return frame(spark, sample(spark) + awkward() + leaks + near + test_line_dedup.planted())
+    docs = frame(spark, sample(spark) + awkward() + leaks + near + test_line_dedup.planted())
+    return docs.withColumn("score", docs.n_chars).withColumn("lang_pred", docs.lang)
 
 
 def test_each_stage_against_plain_python(spark, tmp_path):
