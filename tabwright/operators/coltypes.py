@@ -124,19 +124,19 @@ def validate_target(df: DataFrame, target: str, max_classes: int = MAX_CLASSES)
     """One row: usable or not, with the errors and warnings as text."""
     if target not in df.columns:
         return df.agg(F.lit(target).alias("target"), F.lit(False).alias("ok"),
-                      F.lit("Select a valid target column.").alias("errors"), F.lit("").alias("warnings"),
+                      F.lit(f"The table has no column {target}.").alias("errors"), F.lit("").alias("warnings"),
                       F.lit(0).cast("bigint").alias("n_classes"))
     facts = column_facts(df, [target])
     no_rows, single = F.col("n_rows") == 0, F.col("n_unique") < 2
     good = _is_candidate(max_classes)
-    errors = (F.when(no_rows, "No dataset loaded.")
-              .when(single, "Target must have at least 2 classes (unique values).")
-              .when(~good, F.format_string("Target column must be categorical for classification: %s looks continuous.",
-                                           F.lit(target)))
+    errors = (F.when(no_rows, "The table has no rows.")
+              .when(single, F.format_string("%s has %d distinct values; two are needed.", F.lit(target), F.col("n_unique")))
+              .when(~good, F.format_string("%s has %d distinct numbers or fractions, which are no classes.",
+                                           F.lit(target), F.col("n_unique")))
               .otherwise(""))
     warnings = F.when(good & (F.col("n_unique") > 50),
-                      F.format_string("Target has %d classes. This may reduce model quality and slow training.",
-                                      F.col("n_unique"))).otherwise("")
+                      F.format_string("%s has %d classes over %d rows.", F.lit(target),
+                                      F.col("n_unique"), F.col("n_rows"))).otherwise("")
     return facts.select(F.col("column").alias("target"), (~no_rows & good).alias("ok"), errors.alias("errors"),
                         warnings.alias("warnings"), F.col("n_unique").alias("n_classes"))
 

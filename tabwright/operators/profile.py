@@ -290,7 +290,7 @@ def outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float = 1.5, zs
     columns, _ = capped(columns if columns is not None else numeric_columns(df), max_columns, "Outlier scan")
     method = method.strip().lower()
     if method not in ("iqr", "z", "zscore", "z-score"):
-        raise ValueError("Outlier method must be 'iqr' or 'zscore'.")
+        raise ValueError(f"unknown outlier method {method!r}: iqr or zscore")
     if not columns:
         return small_table(df.sparkSession, 
             [], "column string, method string, non_null_count bigint, outlier_count bigint, outlier_percent double")
@@ -451,7 +451,7 @@ def profile(df: DataFrame, target: str | None = None, declared: dict[str, str] |
     for columns, what in ((measured, "Outlier scan"), (shown, "Numeric distributions"), (counted, "Categorical distributions")):
         warnings += capped(columns, max_columns, what)[1]
     if not numeric:
-        warnings.append("No numeric columns detected; correlation, distribution and outlier tables may be limited.")
+        warnings.append("No column is typed numeric: correlations and outliers take what is stored as numbers, histograms are empty.")
     shown = [c for c in capped(shown, max_columns, "")[0] if is_numeric(stored[c])]
     features = df.select(*[col(c) for c in correlated]) if correlated else df.select()
     return {

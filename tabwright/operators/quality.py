@@ -28,7 +28,7 @@ def imbalance(df: DataFrame, target: str, min_share: float = 0.20, min_ratio: fl
     return facts.withColumns({
         "imbalance_ratio": ratio,
         "is_imbalanced": F.coalesce(flag, F.lit(False)),
-        "reason": F.when(ratio.isNull(), "Target column has no non-null values.").otherwise(""),
+        "reason": F.when(ratio.isNull(), f"{target} is missing in every row.").otherwise(""),
     })
 
 

@@ -100,7 +100,7 @@ def csv_encoding(spark, sf):
     return table.rows.withColumn("latin", F.lit(any("latin-1" in w for w in table.warnings)))
 
 
-@query("csv_guard", "select 'CSV parsed successfully but contains no rows.' as error, count(*) as source_rows from nation")
+@query("csv_guard", "select 'The input has a header line and no rows.' as error, count(*) as source_rows from nation")
 def csv_guard(spark, sf):
     """A file with a header and no rows is refused."""
     df = load(spark, sf, "nation").select("n_nationkey", "n_name")

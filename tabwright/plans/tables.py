@@ -216,17 +216,17 @@ def integer_like(spark, sf):
 
 @query("target_validation", """
     select 'p_name' as target, count(distinct p_name) >= 2 as ok, '' as errors,
-      case when count(distinct p_name) > 50 then 'Target has ' || count(distinct p_name)
-        || ' classes. This may reduce model quality and slow training.' else '' end as warnings,
+      case when count(distinct p_name) > 50 then 'p_name has ' || count(distinct p_name)
+        || ' classes over ' || count(*) || ' rows.' else '' end as warnings,
       count(distinct p_name) as n_classes
     from part
     union all
     select 'p_retailprice', false,
-      'Target column must be categorical for classification: p_retailprice looks continuous.', '',
+      'p_retailprice has ' || count(distinct p_retailprice) || ' distinct numbers or fractions, which are no classes.', '',
       count(distinct p_retailprice)
     from part
     union all
-    select 'constant_num', false, 'Target must have at least 2 classes (unique values).', '',
+    select 'constant_num', false, 'constant_num has ' || count(distinct constant_num) || ' distinct values; two are needed.', '',
       count(distinct constant_num)
     from dirty_orders""")
 def target_validation(spark, sf):

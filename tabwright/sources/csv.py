@@ -55,7 +55,7 @@ def header(spark: SparkSession, path: str, options: dict) -> list[str]:
     """Column names from the first line; a repeated or empty name gets a number."""
     lines = spark.read.options(**options, header=False).csv(path).limit(1).collect()
     if not lines:
-        raise CsvError("CSV file is empty.")
+        raise CsvError("The input has no header line.")
     names: list[str] = []
     for i, raw in enumerate(lines[0]):
         base = raw if raw else f"Unnamed: {i}"
@@ -83,7 +83,7 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",", multi_line: b
         if encoding is None:
             encoding = "UTF-8" if utf8 else "ISO-8859-1"
             if not utf8:
-                warnings.append("Decoded CSV using 'latin-1' encoding.")
+                warnings.append("The bytes are not UTF-8; they are read as latin-1.")
     options = _options(separator, encoding, multi_line)
     names = header(spark, path, options)
     rows = _null_tokens(_raw(spark, path, names, options), names)
@@ -96,9 +96,9 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",", multi_line: b
                    F.bool_and(text.isin(TRUE_FALSE)).alias(f"truth{i}")]
     found = rows.agg(F.count_if(~good).alias("long"), F.count_if(good).alias("rows"), *checks).first()
     if found["long"]:
-        warnings.append(f"{found['long']} malformed rows were skipped while reading the CSV.")
+        warnings.append(f"{found['long']} rows have more cells than the header has names and are left out.")
     if not found["rows"]:
-        raise CsvError("CSV parsed successfully but contains no rows.")
+        raise CsvError("The input has a header line and no rows.")
     kinds = dict(schema or {})
     for i, n in enumerate(open_names):
         # a column without any value has no verdict and stays text
