@@ -6,6 +6,7 @@ not the batch. All hashes are 64 bits, equal on every machine and in every run.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,15 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def give_back() -> None:
+    """Return free memory to the system: a worker process is used again, and should not hold what its largest batch took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that spreads every bit over all others."""
     x = x ^ (x >> np.uint64(30))
@@ -72,7 +82,7 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         last = min(last, len(texts))
         yield Chunk(first, last, buf[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
         first = last
-    pa.default_memory_pool().release_unused()  # a worker is used again, and should not hold the memory of its largest batch
+    give_back()
 
 
 def words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -13,6 +13,7 @@ import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -129,11 +130,15 @@ class Codec:
 
     def __init__(self, data: bytes):
         self.model = parse(data)
-        self.whole = build(self.model)
         self.parts = build(self.model, parts=True) if splits(self.model) else None
         self.plain = not self.model.charsmap and not self.model.squeeze
         self.known: dict[str, bytes] = {}  # ids, and a last byte for whether they decode to the word
 
+    @cached_property
+    def whole(self):
+        """The tokenizer of whole texts, which encoding by words has no use for."""
+        return build(self.model)
+
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """First and last row, offsets and ids of their tokens, and whether decoding gives the normalised text."""
         if not self.plain and len(texts):
