@@ -3,15 +3,17 @@
 Documents that overlap are found through shared rare lines: lines of several words, and neighbouring lines as pairs, which hardly ever agree by accident.
 Every document is aligned with the first holder of each of its lines and pairs of lines, so that the work is linear in the
 lines and not in the pairs of holders; a copy meets the first of its kind. A patience diff aligns the two: lines that occur once
-in both, in the longest order that both follow, then the stretches between them again. Blocks of aligned lines that are long enough
+in both, in the longest order that both follow, then the stretches between them again. What it leaves of the later document, lines that
+repeat or stand in another order, is searched for all runs that the earlier one has. Blocks that are long enough
 are deleted from the later document. The first holder of a line never loses it, so one copy of everything stays.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -92,17 +94,48 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _minimal_runs(n_words: list[int], least: int) -> set[tuple[int, int]]:
+    """From every line the shortest run of lines that has `least` words, and to every line; ends are exclusive."""
+    runs, sums, start = set(), [0, *accumulate(n_words)], 0
+    for end in range(1, len(sums)):
+        while sums[end] - sums[start] >= least:
+            runs.add((start, end))  # the first end that a start reaches
+            start += 1
+        if start and (before := bisect_right(sums, sums[end] - least) - 1) >= 0:
+            runs.add((before, end))
+    return runs
+
+
+def _common_runs(a: list, b: list, n_words: list[int], least: int) -> set[int]:
+    """The lines of b in any run of lines that a has too and that has `least` words, at any place and in any order; lines without words do not part a run.
+
+    Every line of such a run is in a minimal run inside it, so the minimal runs are enough.
+    """
+    n = dict(zip(b, n_words, strict=True))
+    places = [j for j, x in enumerate(b) if n[x]]
+    a = [x for x in a if x]  # the key of a line without words is 0
+    have = {tuple(a[i:k]) for i, k in _minimal_runs([n.get(x, least) for x in a], least)}  # a line that b does not have counts as a run of its own
+    lines = [b[j] for j in places]
+    out: set[int] = set()
+    for i, k in _minimal_runs([n_words[j] for j in places], least):
+        if tuple(lines[i:k]) in have:
+            out.update(range(places[i], places[k - 1] + 1))
+    return out
+
+
 def common_blocks(a: list, b: list, n_words: list[int], least: int) -> list[int]:
-    """The lines of b in aligned blocks of at least `least` words."""
-    out, block, last = [], [], None
+    """The lines of b in blocks of at least `least` words that a has too: those of the alignment, then those that it leaves."""
+    out, block, last = set(), [], None
     for i, j in [*patience(a, b), (-9, -9)]:
         if last != (i - 1, j - 1):
             if sum(n_words[x] for x in block) >= least:
-                out += block
+                out.update(block)
             block = []
         block.append(j)
         last = (i, j)
-    return out
+    if any(n and j not in out for j, n in enumerate(n_words)):
+        out |= _common_runs(a, b, n_words, least)
+    return sorted(out)
 
 
 def _align_batches(least: int):

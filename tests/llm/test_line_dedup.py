@@ -62,3 +62,33 @@ def test_patience_aligns_equal_lines_in_order(a, b):
     assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
     if a == b:
         assert len(got) == len(a)
+
+
+def common_runs(a, b, n_words, least):
+    """Every pair of places, as far as both go on alike; lines without words left out."""
+    gone, b = set(), [(j, x) for j, x in enumerate(b) if n_words[j]]
+    a = [x for x in a if x]
+    for i in range(len(a)):
+        for j in range(len(b)):
+            k = 0
+            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k][1]:
+                k += 1
+            if sum(n_words[p] for p, _ in b[j:j + k]) >= least:
+                gone |= {p for p, _ in b[j:j + k]}
+    return gone
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=14), st.lists(st.integers(0, 5), max_size=14))
+def test_common_blocks_are_all_common_runs(a, b):
+    n_words = [[0, 9, 3, 4, 5, 1][x] for x in b]
+    got = L.common_blocks(a, b, n_words, 8)
+    assert {j for j in got if n_words[j]} == common_runs(a, b, n_words, 8)
+
+
+def test_lines_that_repeat_or_stand_in_another_order_go():
+    x, y, z = "xyz"
+    assert L.common_blocks([x, y], [y, x], [9, 9], 8) == [0, 1]
+    assert L.common_blocks([z, x, z], [x, y, x], [9, 9, 9], 8) == [0, 2]
+    assert L.common_blocks([x, y, x, z], [z, y, x], [9, 9, 9], 8) == [0, 1, 2]
+    assert L.common_blocks([x, 0, y], [z, x, y, z, x, y], [4, 4, 4, 4, 4, 4], 8) == [1, 2, 4, 5]
