@@ -114,6 +114,14 @@ def segment_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix(raw + (ends - starts).astype(np.uint64))
 
 
+def run_hash(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash per run of keys starts[i]:ends[i]; equal runs have equal hashes wherever they stand."""
+    powers, inverse = _power_tables(len(keys) + 1)
+    prefix = np.zeros(len(keys) + 1, np.uint64)
+    np.cumsum(keys * powers[:len(keys)], out=prefix[1:])
+    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def gram_hash(prefix: np.ndarray, size: int) -> np.ndarray:
     """The hash of every byte string of one size, by start."""
     n = len(prefix) - size

@@ -1,11 +1,11 @@
 """Line dedup by pairwise alignment.
 
-Documents that overlap are found through shared rare lines: lines of several words, and neighbouring lines as pairs, which hardly ever agree by accident.
-Every document is aligned with the first holder of each of its lines and pairs of lines, so that the work is linear in the
-lines and not in the pairs of holders; a copy meets the first of its kind. A patience diff aligns the two: lines that occur once
+Documents that overlap are found through shared runs of lines: from every line, and to every line, the shortest run that has the words of a block.
+Every document is aligned with the first holder of each of its runs, so that the work is linear in the
+lines and not in the pairs of holders; every block meets a document that has it whole. Lines without words do not count. A patience diff aligns the two: lines that occur once
 in both, in the longest order that both follow, then the stretches between them again. What it leaves of the later document, lines that
 repeat or stand in another order, is searched for all runs that the earlier one has. Blocks that are long enough
-are deleted from the later document. The first holder of a line never loses it, so one copy of everything stays.
+are deleted from the later document. The first holder of a run does not lose it for that run, so one copy of everything stays.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.bytesvec import chunks, prefix_hash, segment_hash, signed, words
+from tabwright.llm.bytesvec import chunks, prefix_hash, run_hash, segment_hash, signed, words
 from tabwright.llm.documents import one_row_per_id
 from tabwright.sources.shared import durable
 
@@ -147,14 +147,37 @@ def _align_batches(least: int):
     return run
 
 
+def _run_batches(least: int):
+    """The keys of every document's minimal runs: from each line with words, and to it, the shortest run that has `least` words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, n_words = batch.column(1), batch.column(2)
+            n = n_words.flatten().to_numpy()
+            key = lines.flatten().to_numpy().view(np.uint64)[n > 0]
+            doc = np.repeat(np.arange(batch.num_rows), lines.value_lengths().fill_null(0).to_numpy())[n > 0]
+            sums = np.concatenate([[0], np.cumsum(n[n > 0], dtype=np.int64)])
+            first = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            ends = np.searchsorted(sums, sums[:-1] + least)
+            starts = np.searchsorted(sums, sums[1:] - least, "right") - 1
+            from_, to = np.flatnonzero(ends <= first[doc + 1]), np.flatnonzero(starts >= first[doc])
+            start, end = np.concatenate([from_, starts[to]]), np.concatenate([ends[from_], to + 1])
+            code = signed(run_hash(key, start, end))
+            order = np.lexsort((code, doc[start]))
+            code, of = code[order], doc[start][order]
+            new = np.ones(len(code), bool)
+            new[1:] = (code[1:] != code[:-1]) | (of[1:] != of[:-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of[new])), pa.array(code[new])], names=["doc_id", "key"])
+    return run
+
+
 def repeated_lines(docs: DataFrame, line_words: int = LINE_WORDS, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
-    """Of a table (doc_id, text) with unique ids: the lines of every document, and (doc_id, gone), the places of the lines to delete."""
+    """Of a table (doc_id, text) with unique ids: the lines of every document, and (doc_id, gone), the places of the lines to delete.
+
+    line_words has no effect any more: what is looked up are runs of lines of block_words words, whatever the words of each line.
+    """
     table = durable(docs.mapInArrow(_line_batches, _LINES), "lines")
-    pair = ("transform(sequence(1, size(lines) - 1), i -> struct(if(lines[i - 1] = 0 or lines[i] = 0, 0L, xxhash64(lines[i - 1], lines[i])) as key, words[i - 1] + words[i] as n))")
-    single = "transform(arrays_zip(lines, words), x -> struct(x.lines as key, x.words as n))"
-    keys = (table.where("size(lines) > 0").selectExpr("doc_id", f"explode(concat({single}, if(size(lines) > 1, {pair}, cast(array() as array<struct<key:bigint,n:int>>)))) as k")
-            .where(f"k.n >= {line_words} and k.key <> 0").selectExpr("doc_id", "k.key").distinct())
-    owners = keys.groupBy(F.col("key").alias("of")).agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).where("n > 1").drop("n")
+    keys = table.mapInArrow(_run_batches(block_words), "doc_id long, key long")
+    owners = keys.groupBy(F.col("key").alias("of")).agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").drop("last")
     pairs = keys.join(owners, F.col("of") == F.col("key")).where("owner < doc_id").select("owner", "doc_id").distinct()
     later = table.select(F.col("doc_id").alias("b"), F.col("lines").alias("later"), "words")
     earlier = table.select(F.col("doc_id").alias("a"), F.col("lines").alias("earlier"))

@@ -92,3 +92,27 @@ def test_lines_that_repeat_or_stand_in_another_order_go():
     assert L.common_blocks([z, x, z], [x, y, x], [9, 9, 9], 8) == [0, 2]
     assert L.common_blocks([x, y, x, z], [z, y, x], [9, 9, 9], 8) == [0, 1, 2]
     assert L.common_blocks([x, 0, y], [z, x, y, z, x, y], [4, 4, 4, 4, 4, 4], 8) == [1, 2, 4, 5]
+
+
+def brute_runs(rows):
+    """Every pair of documents, without any candidates: the lines with words in common runs."""
+    strip = {d: [x.strip("\x20\t\n\x0b\x0c\r") for x in (t or "").split("\n")] for d, t, _ in rows}
+    out = {}
+    for d, b in strip.items():
+        n = [len(words(x)) for x in b]
+        out[d] = set().union(*(common_runs(a, b, n, L.BLOCK_WORDS) for e, a in strip.items() if e < d))
+    return out
+
+
+def test_blocks_of_short_lines_from_different_first_holders(spark):
+    p1, p2, p3 = "one two three four five", "six seven eight nine ten", "uno dos tres"
+    rows = [(1, p1 + "\nF", "en"), (2, p2 + "\nG", "en"), (3, f"{p1}\n\n{p2}", "en"), (4, f"{p1}\n\n{p2}", "en"), (5, f"{p1}\n{p2}", "en"),
+            (11, "a b c\nd e f\nx", "en"), (12, "d e f\n" + p3, "en"), (13, "a b c\nd e f\n" + p3, "en"), (14, "k\na b c\nd e f\n" + p3, "en")]
+    rng = random.Random(8)
+    short = [" ".join(f"w{k}_{i}" for i in range(n)) for k, n in enumerate([0, 0, 1, 2, 3, 3, 4, 5, 7, 9])]
+    rows += [(100 + d, "\n".join(rng.choice(short) for _ in range(rng.randrange(9))), "en") for d in range(60)]
+    rows += planted() + awkward()[:9]
+    got = {r.doc_id: r for r in L.dedup_lines(frame(spark, rows)).collect()}
+    assert got[4].text == "" and got[5].text == "" and got[14].text == "k" and got[3].n_removed == got[13].n_removed == 0
+    text = {d: (t or "").split("\n") for d, t, _ in rows}
+    assert {d: {j for j in r.removed if words(text[d][j])} for d, r in got.items()} == brute_runs(rows)
