@@ -1,16 +1,18 @@
 """Language-model scores from a hierarchical Pitman-Yor process.
 
-Tokens are words (A-Z in lower case) and one end per document. Words are customers of one restaurant. Each of its tables sends one customer
+Tokens are words (A-Z in lower case) and one end per document. Every token is a customer of the restaurant of the word before it (the first one:
+of the end). Each table there sends one customer to the restaurant of words, and each of its tables sends one
 to the spelling restaurants: one per context of up to four bytes. Contexts that end in the same bytes share the restaurant of these bytes as
-parent, down to the one without context above a uniform base. So an unseen word still has a probability from how it is spelled.
+parent, down to the one without context above a uniform base. So an unseen word still has a probability from how it is spelled, and a word
+never seen after another one from how often it opened tables elsewhere.
 
 Seating is sampled by Gibbs sweeps. A sweep takes all customers of a dish out of a restaurant and seats them again, each opening a table with
 its conditional probability given everything else; beyond forty customers those of the next five per cent are seated by one
-draw. Draws depend on the word and the sweep alone, so a lost task repeats the same seating. Predictive probabilities are averaged over the
-sweeps after burn-in. The word counts cover all training documents and stay a distributed table. The driver and the tasks hold spelling cells
-and frequent words, both bounded by shares: contexts of three and four bytes have a restaurant if they make up 1/65,536 of all spelled bytes,
-of two bytes always, so there are 65,536 of each at most; words go to the tasks if they make up 1/200,000 of all tokens. All
-rarer tokens meet their counts in a join.
+draw. Draws depend on the dish and the sweep alone, so a lost task repeats the same seating. Predictive probabilities are averaged over the
+sweeps after burn-in. Words, previous words and pairs of them cover all training documents and stay distributed tables, without a cut. The driver and
+the tasks hold spelling cells, frequent words and frequent pairs, all bounded by shares: contexts of three and four bytes have a restaurant if they
+make up 1/65,536 of all spelled bytes, of two bytes always, so there are 65,536 of each at most; words and pairs go to the tasks if
+they make up 1/200,000 of all tokens. All rarer ones meet their figures in joins, so no key of a join is hot.
 """
 
 from __future__ import annotations
@@ -193,13 +195,17 @@ class Seating:
         opening = (STRENGTH + self.discount * self.tables[sweep - 1]) * 10 ** spelled[sweep - 1]
         return seat(counts, opening, self.discount, mix(codes + np.uint64(sweep << 50)))
 
+    def probability(self, spelled: dict[int, np.ndarray], customers: np.ndarray, total: float, codes: np.ndarray, sweep: int) -> np.ndarray:
+        """Predictive probability of words in one sweep."""
+        own = customers - self.discount * self.tables_of(spelled, customers, codes, sweep)
+        return (own + (STRENGTH + self.discount * self.tables[sweep]) * 10 ** spelled[sweep]) / (total + STRENGTH)
+
     def log10(self, spelled: dict[int, np.ndarray], counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Averaged predictive probability of words."""
         total = 0.0
         for s in range(BURN_IN, SWEEPS):
-            own = counts - self.discount * self.tables_of(spelled, counts, codes, s)
-            total = total + own + (STRENGTH + self.discount * self.tables[s]) * 10 ** spelled[s]
-        return np.log10(total / (SWEEPS - BURN_IN) / (self.tokens + STRENGTH))
+            total = total + self.probability(spelled, counts, self.tokens, codes, s)
+        return np.log10(total / (SWEEPS - BURN_IN))
 
 
 def _codes(column: pa.Array) -> np.ndarray:
@@ -276,21 +282,130 @@ def _probability_batches(model: Seating):
     return run
 
 
-def _score_batches(codes: np.ndarray, base: np.ndarray, logp: np.ndarray, seen: np.ndarray):
-    """Per document its tokens and the sums over frequent words; besides, each rarer word with its count."""
+def _ids(often: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A number per word: its place among the frequent ones, or a negative one from its hash."""
+    at, hit = _find(often, codes)
+    return np.where(hit, at, (codes | np.uint64(1 << 63)).view(np.int64))
+
+
+def _hashes(often: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The hash behind a word's number, so that draws do not depend on which words are frequent."""
+    out = ids.view(np.uint64) | np.uint64(1 << 63)
+    out[ids >= 0] = often[ids[ids >= 0]] | np.uint64(1 << 63)
+    return out
+
+
+def _pair_code(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(mix(u.view(np.uint64) + _GOLDEN) + w.view(np.uint64))
+
+
+def _tokens(chunk, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, previous word and word of every token, each document's end included."""
+    low = lower(chunk.buf)
+    starts, ends, first = words(chunk)
+    code = segment_hash(prefix_hash(low), starts, ends)
+    end = _ids(often, _codes(pa.array([_END], pa.binary())))[0]
+    doc = np.repeat(np.arange(len(chunk)), np.diff(first) + 1)
+    w = np.full(len(code) + len(chunk), end)
+    w[np.arange(len(code)) + np.repeat(np.arange(len(chunk)), np.diff(first))] = _ids(often, code)
+    u = np.empty_like(w)
+    u[1:], u[:1] = w[:-1], end  # the token before a document is the end of the one before it
+    return doc, u, w
+
+
+def _id_batches(often: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_ids(often, _codes(batch.column(0)))), batch.column(0), batch.column(1)], names=["w", "word", "n"])
+    return run
+
+
+def _pair_sums(u, w, n):
+    order = np.lexsort((w, u))
+    u, w, n = u[order], w[order], n[order]
+    new = np.ones(len(u), bool)
+    new[1:] = (u[1:] != u[:-1]) | (w[1:] != w[:-1])
+    at = np.flatnonzero(new)
+    return u[at], w[at], np.add.reduceat(n, at) if len(at) else n
+
+
+def _pair_batches(often: np.ndarray):
+    """Every pair of neighbouring tokens with its count in training documents, summed up for some million tokens at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in _pair_sums(*map(np.concatenate, zip(*held)))], names=["u", "w", "n"])
+
+        for batch in batches:
+            learn = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for chunk in chunks(batch.column(0)):
+                doc, u, w = _tokens(chunk, often)
+                held.append(_pair_sums(u, w, learn[chunk.first:chunk.last][doc]))
+                size += len(held[-1][0])
+                if size > _FLUSH:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+    return run
+
+
+def _word_batches(model: Seating, sweep: int, total: float):
+    """Predictive probability of every word in one sweep, from its customers in that sweep."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column, c = batch.column(1), batch.column(2).to_numpy()
+            p = model.probability(model.spelled(column, range(max(sweep - 1, 0), sweep + 1)), c, total, _codes(column), sweep)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], names=["w", "p"])
+    return run
+
+
+def _pair_tables(code, n, opened, p, discount: float, sweep: int) -> np.ndarray:
+    """Tables of every pair in its context's restaurant; opened and p are those of the sweep before."""
+    if not sweep:
+        return (n > 0).astype(np.float64)
+    return seat(n, (STRENGTH + discount * opened) * p, discount, mix(code + np.uint64(sweep << 50)))
+
+
+def _draw_batches(often: np.ndarray, discount: float, sweep: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, w, n, opened, p = (batch.column(i).to_numpy() for i in range(5))
+            t = _pair_tables(_pair_code(_hashes(often, u), _hashes(often, w)), n, opened, p, discount, sweep)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(t.astype(np.int64))], names=["u", "w", "t"])
+    return run
+
+
+def _pair_probability_batches(often: np.ndarray, discount: float):
+    """Of (u, w, n, known, base, c, t0.., p0..) the averaged predictive probability."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, w, n = (batch.column(i).to_numpy() for i in range(3))
+            c = batch.column(5).to_numpy()
+            opened, p = ([batch.column(6 + k * SWEEPS + i).to_numpy() for i in range(SWEEPS)] for k in (0, 1))
+            code, sum_ = _pair_code(_hashes(often, u), _hashes(often, w)), np.zeros(len(u))
+            for i in range(BURN_IN, SWEEPS):
+                t = _pair_tables(code, n, opened[i - 1], p[i - 1], discount, i)
+                sum_ += (n - discount * t + (STRENGTH + discount * opened[i]) * p[i]) / (STRENGTH + c)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(np.log10(sum_ / (SWEEPS - BURN_IN)))], names=["u", "w", "n", "known", "base", "logp"])
+    return run
+
+
+def _score_batches(often: np.ndarray, codes: np.ndarray, base: np.ndarray, logp: np.ndarray, seen: np.ndarray):
+    """Per document its tokens and the sums over frequent pairs; besides, each rarer pair with its count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for chunk in chunks(batch.column(1)):
-                low = lower(chunk.buf)
-                starts, ends, first = words(chunk)
-                code = segment_hash(prefix_hash(low), starts, ends)
+                doc, u, w = _tokens(chunk, often)
+                code = _pair_code(u, w)
                 at, hit = _find(codes, code)
-                doc = np.repeat(np.arange(len(chunk)), np.diff(first))
-                known, base_sum, sum_ = (np.bincount(doc[hit], w[at[hit]], len(chunk)) for w in (seen, base, logp))
                 own = ids[chunk.first:chunk.last]
-                key = pa.array([b" %d" % i for i in own], pa.binary())  # a document's own row has a key that is no word
-                yield _score_rows(key, own, np.diff(first), known.astype(np.int64), base_sum.astype(float), sum_.astype(float), np.zeros(len(own), np.int64))
+                sums = (np.bincount(doc[hit], x[at[hit]], len(own)) for x in (seen, base, logp))
+                known, base_sum, sum_ = sums if len(codes) else [np.zeros(len(own))] * 3
+                none = np.zeros(len(own), np.int64)
+                yield _score_rows(own, np.full(len(own), _NO_WORD), own, np.bincount(doc, minlength=len(own)), known.astype(np.int64), base_sum.astype(float), sum_.astype(float), none)
                 rare = np.flatnonzero(~hit)
                 order = rare[np.lexsort((code[rare], doc[rare]))]
                 new = np.ones(len(order), bool)
@@ -298,15 +413,16 @@ def _score_batches(codes: np.ndarray, base: np.ndarray, logp: np.ndarray, seen:
                 place = np.flatnonzero(new)
                 n, order = np.diff(np.append(place, len(order))), order[place]
                 none = np.zeros(len(order), np.int64)
-                yield _score_rows(cut(low, starts[order], ends[order]), own[doc[order]], none, none, none * 0.0, none * 0.0, n)
+                yield _score_rows(u[order], w[order], own[doc[order]], none, none, none * 0.0, none * 0.0, n)
     return run
 
 
-_SCORES = "word binary, doc_id long, n_tokens long, n_known long, base double, score double, n long"
+_NO_WORD = np.int64(2 ** 62)  # a document's own row has a number that is no word's
+_SCORES = "u long, w long, doc_id long, n_tokens long, n_known long, base double, score double, n long"
 
 
 def _score_rows(*columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=[x.split()[0] for x in _SCORES.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[x.split()[0] for x in _SCORES.split(", ")])
 
 
 def _open_contexts(cells: DataFrame) -> dict[int, np.ndarray]:
@@ -321,25 +437,91 @@ def _open_contexts(cells: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+
+
+def _sweep(model: Seating, vocabulary: DataFrame, sweep: int) -> None:
+    """Seat the customers of a table (word, n), and those that their tables send to the spelling restaurants."""
+    cells = vocabulary.mapInArrow(_cell_batches(model, sweep), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    if not sweep:
+        model.contexts = _open_contexts(cells)
+        cells = vocabulary.mapInArrow(_cell_batches(model, sweep), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    table = cells.toArrow()
+    order = np.argsort(keys := table["cell"].to_numpy())
+    keys, n = keys[order], table["n"].to_numpy()[order].astype(np.float64)
+    has = int(len(keys) > 0 and keys[0] == -1)
+    model.tables.append(float(n[0]) if has else 0.0)
+    model.spelling.append(Spelling(keys[has:], n[has:], model.spelling[-1] if sweep else None, sweep))
+
+
+def _vocabulary(texts: DataFrame) -> DataFrame:
+    return durable(texts.mapInArrow(_count_batches, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+
+
+def _totals(table: DataFrame):
+    """Sum of n, and how many n are above 0, 1 and 2."""
+    all_, some, once, twice = table.agg(F.sum("n"), *(F.count_if(F.expr(x)) for x in ("n > 0", "n = 1", "n = 2"))).first()
+    return all_ or 0, some, once, twice
+
+
 def train(texts: DataFrame) -> tuple[Seating, DataFrame]:
-    """Learn from a table (text, learn). Returns the sampled model and the table (word, n, logp) of all words, n of those to learn from."""
-    vocabulary = durable(texts.mapInArrow(_count_batches, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
-    tokens, types, once, twice = vocabulary.agg(F.sum("n"), *(F.count_if(F.expr(x)) for x in ("n > 0", "n = 1", "n = 2"))).first()
-    model = Seating(tokens or 0, types, min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5, {})
+    """Learn words without previous words from a table (text, learn). Returns the sampled model and the table (word, n, logp) of all words, n of those to learn from."""
+    vocabulary = _vocabulary(texts)
+    tokens, types, once, twice = _totals(vocabulary)
+    model = Seating(tokens, types, _discount(once, twice), {})
     for sweep in range(SWEEPS):
-        cells = vocabulary.mapInArrow(_cell_batches(model, sweep), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-        if not sweep:
-            model.contexts = _open_contexts(cells)
-            cells = vocabulary.mapInArrow(_cell_batches(model, sweep), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-        table = cells.toArrow()
-        order = np.argsort(keys := table["cell"].to_numpy())
-        keys, n = keys[order], table["n"].to_numpy()[order].astype(np.float64)
-        has = int(len(keys) > 0 and keys[0] == -1)
-        model.tables.append(float(n[0]) if has else 0.0)
-        model.spelling.append(Spelling(keys[has:], n[has:], model.spelling[-1] if sweep else None, sweep))
+        _sweep(model, vocabulary, sweep)
     return model, durable(vocabulary.mapInArrow(_probability_batches(model), "word binary, n long, logp double"), "probabilities")
 
 
+def _joined(pairs: DataFrame, contexts: DataFrame, words_: DataFrame) -> DataFrame:
+    """Pairs with the figures of the previous word and of the word. Frequent ones, which are few and hot, are broadcast."""
+    out = None
+    for u_often in (True, False):
+        for w_often in (True, False):
+            part = pairs.where(("u >= 0" if u_often else "u < 0") + (" and w >= 0" if w_often else " and w < 0"))
+            of_u, of_w = contexts.where("u >= 0" if u_often else "u < 0"), words_.where("w >= 0" if w_often else "w < 0")
+            part = part.join(F.broadcast(of_u) if u_often else of_u, "u", "left").join(F.broadcast(of_w) if w_often else of_w, "w")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def train_pairs(texts: DataFrame) -> tuple[Seating, np.ndarray, DataFrame]:
+    """Learn from a table (text, learn). Returns the sampled model of words, the hashes of frequent words, and of all pairs of neighbouring tokens the table
+    (u, w, n, known, base, logp): previous word, word, count in what is to learn, whether the word is in it, its add-0.1 unigram, and the model's probability."""
+    vocabulary = _vocabulary(texts)
+    tokens, types, _, _ = _totals(vocabulary)
+    often = np.unique(_codes(vocabulary.where(f"n > 0 and n * {FREQUENT} >= {tokens}").select("word").toArrow().combine_chunks()["word"]))
+    pairs = durable(texts.mapInArrow(_pair_batches(often), "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "pairs")
+    _, _, once, twice = _totals(pairs)
+    discount = _discount(once, twice)
+    tables = (F.count("*").alias("t0"), F.count_if(F.col("n") == 1).alias("one"))
+    contexts = durable(pairs.where("n > 0").groupBy("u").agg(F.sum("n").alias("c"), *tables), "contexts")
+    customers = pairs.where("n > 0").groupBy(F.col("w").alias("of")).agg(*tables)
+    named = vocabulary.mapInArrow(_id_batches(often), "w long, word binary, n long")
+    words_ = durable(named.join(customers, F.col("of") == F.col("w"), "left").selectExpr("w", "word", "n as seen", "coalesce(t0, 0L) as n", "coalesce(one, 0L) as one"), "words")
+    total, _, once, twice = _totals(words_)
+    model = Seating(tokens, types, _discount(once, twice), {})
+    for sweep in range(SWEEPS):
+        if sweep:
+            several = _joined(pairs.where("n > 1"), contexts.select("u", f"t{sweep - 1}"), words_.select("w", f"p{sweep - 1}"))
+            several = several.selectExpr("u", "w", "n", f"cast(t{sweep - 1} as double)", f"p{sweep - 1}")
+            drawn = durable(several.mapInArrow(_draw_batches(often, discount, sweep), "u long, w long, t long"), "drawn")
+            of_u, of_w = (drawn.groupBy(F.col(x).alias("of")).agg(F.sum("t").alias("t")) for x in "uw")
+            contexts = durable(contexts.join(of_u, F.col("of") == F.col("u"), "left").select(*contexts.columns, F.expr(f"one + coalesce(t, 0L) as t{sweep}")), "contexts")
+            words_ = words_.drop("n").join(of_w, F.col("of") == F.col("w"), "left").select(*[c for c in words_.columns if c != "n"], F.expr("one + coalesce(t, 0L) as n"))
+            words_ = durable(words_, "words")
+            total = words_.agg(F.sum("n")).first()[0] or 0
+        _sweep(model, words_.select("word", "n"), sweep)
+        p = words_.select("w", "word", "n").mapInArrow(_word_batches(model, sweep, total), "w long, p double").withColumnsRenamed({"w": "of", "p": f"p{sweep}"})
+        words_ = durable(words_.join(p, F.col("of") == F.col("w")).drop("of"), "words")
+    figures = words_.selectExpr("w", "cast(seen > 0 as long) as known", f"log10((seen + 0.1D) / ({tokens} + 0.1D * ({types} + 1))) as base", *(f"p{i}" for i in range(SWEEPS)))
+    all_ = _joined(pairs, contexts.drop("one"), figures).selectExpr(
+        "u", "w", "n", "known", "base", "coalesce(c, 0L) as c", *(f"coalesce(cast(t{i} as double), 0D) as t{i}" for i in range(SWEEPS)), *(f"p{i}" for i in range(SWEEPS)))
+    return model, often, durable(all_.mapInArrow(_pair_probability_batches(often, discount), "u long, w long, n long, known long, base double, logp double"), "probabilities")
+
+
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 10) -> DataFrame:
     """Score every document; learn from those whose crc32(id as text) mod `folds` is not 0.
 
@@ -349,21 +531,15 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
     """
     docs = one_row_per_id(docs, id, text).withColumn("doc_id", F.col("doc_id").cast("long"))
     held_out = F.expr(f"{HELD_OUT_HASH.format(id='doc_id')} % {folds} = 0")
-    model, table = train(docs.select("text", (~held_out).alias("learn")))
-    total, types = model.tokens, model.types
-    table = table.selectExpr("word", "n as c", "logp", f"log10((n + 0.1D) / ({total} + 0.1D * ({types} + 1))) as base_logp")
-    often = f"c > 0 and c * {FREQUENT} >= {total}"
-    frequent = table.where(often).toArrow().combine_chunks()
-    codes = _codes(frequent["word"])
-    order = np.argsort(codes)
-    base, logp = (frequent[x].to_numpy()[order] for x in ("base_logp", "logp"))
-    parts = docs.mapInArrow(_score_batches(codes[order], base, logp, np.ones(len(order))), _SCORES)
-    end = table.where(F.col("word") == F.lit(_END)).first()
-    joined = parts.join(table.where(f"not ({often})").withColumnRenamed("word", "of"), F.col("of") == F.col("word"), "left")
-    sums = joined.groupBy("doc_id").agg(
-        F.expr("sum(n_tokens) + 1L").alias("n_tokens"), F.expr("sum(n_known) + sum(if(c > 0, n, 0L))").alias("n_known"),
-        F.expr("sum(base + n * coalesce(base_logp, 0D))").alias("base"), F.expr("sum(score + n * coalesce(logp, 0D))").alias("model"))
-    if end is None:  # an empty table
-        return sums.selectExpr("doc_id", "false as held_out", "n_tokens", "n_known", "0L as train_tokens", "base as base_score", "model as score")
-    return sums.select("doc_id", held_out.alias("held_out"), "n_tokens", (F.col("n_known") + int(end.c > 0)).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-                       (F.col("base") + end.base_logp).alias("base_score"), (F.col("model") + end.logp).alias("score"))
+    model, often, table = train_pairs(docs.select("text", (~held_out).alias("learn")))
+    hot = f"n > 0 and n * {FREQUENT} >= {model.tokens}"
+    frequent = table.where(hot).toArrow()
+    u, w, known, base, logp = (frequent[x].to_numpy() for x in ("u", "w", "known", "base", "logp"))
+    order = np.argsort(codes := _pair_code(u, w))
+    parts = docs.mapInArrow(_score_batches(often, codes[order], base[order], logp[order], known[order]), _SCORES)
+    rare = table.where(f"not ({hot})").selectExpr("u as of_u", "w as of_w", "known", "base as base_logp", "logp")
+    joined = parts.join(rare, (F.col("of_u") == F.col("u")) & (F.col("of_w") == F.col("w")), "left")
+    return joined.groupBy("doc_id").agg(
+        F.sum("n_tokens").alias("n_tokens"), F.expr("sum(n_known + n * coalesce(known, 0L))").alias("n_known"),
+        F.expr("sum(base + n * coalesce(base_logp, 0D))").alias("base_score"), F.expr("sum(score + n * coalesce(logp, 0D))").alias("score"),
+    ).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

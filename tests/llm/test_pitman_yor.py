@@ -85,3 +85,33 @@ def test_repeated_ids_and_empty_tables(spark):
     lone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     r = P.score(frame(spark, [(lone, "nothing to learn from", "en")])).first()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 5, 0, 0) and math.isclose(r.base_score, 0, abs_tol=1e-12) and math.isfinite(r.score)
+
+
+def test_word_order_counts(spark):
+    order = "the old man went down to the sea and looked at the boats for a long time".split()
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    rows = [(i, " ".join(order), "en") for i in range(60) if i not in held] + [(held[0], " ".join(order), "en"), (held[1], " ".join(sorted(order)), "en")]
+    got = {r.doc_id: r for r in P.score(frame(spark, rows)).collect()}
+    fluent, scrambled = (got[d] for d in held)
+    assert math.isclose(fluent.base_score, scrambled.base_score, rel_tol=1e-9) and fluent.score > scrambled.score + 5 and fluent.score > fluent.base_score
+
+
+def test_words_after_every_word_sum_to_one(spark):
+    texts = ["aa ab aa ba", "aa aa b b a ab", "b aa", None, "aa ab aa ab"]
+    seen = ["aa", "ab", "ba", "b", "a", "zz", ""]
+    everything = [f"{u} {w}" for u in seen for w in seen]
+    model, often, table = P.train_pairs(spark.createDataFrame([(t, True) for t in texts] + [(t, False) for t in everything], "text string, learn boolean"))
+    rows = table.collect()
+    id_of = dict(zip(["\n", *seen[:-1]], P._ids(often, P._codes(pa.array([b"\n", *(x.encode() for x in seen[:-1])], pa.binary()))).tolist()))
+    count = Counter((a, b) for t in texts for v in [["\n", *words(t), "\n"]] for a, b in zip(v, v[1:]))
+    got = {(r.u, r.w): r for r in rows}
+    assert len(got) == len(rows) and {k: got[id_of[k[0]], id_of[k[1]]].n for k in count} == dict(count)
+    # the mass that is left for unseen words is the back-off weight of the context times what the words' restaurant leaves
+    unseen = got[id_of["zz"], id_of["zz"]]
+    assert unseen.n == 0 and unseen.known == 0
+    # a context never seen gives the words' own probabilities, which any other context mixes with its own counts
+    back = {w: 10 ** got[id_of["zz"], i].logp for w, i in id_of.items()}
+    assert sum(back.values()) < 1
+    for u in ("aa", "ab", "b", "\n"):
+        total = sum(10 ** got[id_of[u], i].logp for i in id_of.values())
+        assert sum(back.values()) < total < 1
