@@ -74,7 +74,7 @@ def overview_sections(df: DataFrame, issues: DataFrame, config: PrepConfig, rank
     parts = [
         _section(shape(df), 1, "overview", ["n_rows"], None, F.lit("dataset"),
                  [("rows", F.col("n_rows"), None), ("columns", F.col("n_columns"), None)]),
-        _section(issues, 2, "issues", ["issue", "subject", "detail"], MAX_ROWS, F.col("subject"),
+        _section(issues, 2, "issues", ["issue", "subject", "detail"], None, F.col("subject"),
                  [("finding", F.col("value"), F.concat_ws(": ", "issue", "detail"))]),
         _section(planned, 3, "preparation", ["at"], None, F.col("step"), [("choice", None, F.col("choice"))]),
     ]

@@ -163,3 +163,12 @@ def test_scoring_refuses_other_encodings_and_stray_quotes_split(spark):
     spark.createDataFrame([('1,a 5" pipe',), ("2,b",)], "`id,v` string").coalesce(1).write.options(header=True, sep="\x01", quote="").csv(path)
     assert text_facts(spark, path) == (False, True)
     assert read_csv(spark, path).rows.count() == 2
+
+
+def test_overview_lists_all_issues(spark):
+    from tabwright.operators import report
+    from tabwright.operators.prep import PrepConfig
+
+    issues = spark.createDataFrame([("gaps", f"c{i:02}", "share", i / 100) for i in range(40)], "issue string, subject string, detail string, value double")
+    got = report.overview_sections(spark.createDataFrame([(1, 2)], "a int, b int"), issues, PrepConfig(target="b"), None).where("name = 'issues'").collect()
+    assert sorted(r.item for r in got) == [f"c{i:02}" for i in range(40)]
