@@ -143,6 +143,25 @@ def running_totals(df: DataFrame, order: str, weight: str, by: list[str] | None
             .drop("_part", "_local", "_offset"))
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add `name`: the place of every row, from 1, in the given order over the whole table.
+
+    Range partitions are sorted and written with their own numbering; one count per partition places them. Rows that tie
+    in all of `order` get their places in any order.
+    """
+    ranged = durable(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                     .withColumn("_at", F.monotonically_increasing_id()), "numbered")  # partition, then place inside it
+    sizes = ranged.groupBy(F.shiftright("_at", 33).alias("part")).count().orderBy("part").collect()
+    starts, before = [], 0
+    for r in sizes:
+        starts.append((r["part"], before))
+        before += r["count"]
+    offsets = F.broadcast(small_table(df.sparkSession, starts, "_part bigint, _before bigint"))
+    placed = ranged.join(offsets, F.shiftright("_at", 33) == F.col("_part"))
+    return placed.select(*[col(c) for c in df.columns],
+                         (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias(name))
+
+
 def hash_cuts(df: DataFrame, ids: list[str], ranks: dict, cls: str | None, seed: int, largest: int,
               bucket_rows: int = 10_000) -> dict:
     """The row key `(h, *ids)` at the given 0-based ranks of each class in hash order.
