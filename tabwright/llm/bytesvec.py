@@ -85,15 +85,15 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     give_back()
 
 
-def words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal runs of bytes that are no ASCII white space, and the first word of each document."""
+def spans(chunk: Chunk, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of bytes that `gap`, a flag per byte, leaves; and the first run of each document."""
     buf, offsets = chunk.buf, chunk.offsets
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    space = _SPACE[buf]
-    starts, ends = ~space, ~space
+    between = gap[buf]
+    starts, ends = ~between, ~between
     before, after = np.ones(len(buf), bool), np.ones(len(buf), bool)
-    before[1:], after[:-1] = space[:-1], space[1:]
+    before[1:], after[:-1] = between[:-1], between[1:]
     edges = offsets[1:-1]
     edges = edges[(edges > 0) & (edges < len(buf))]
     before[edges], after[edges - 1] = True, True
@@ -101,6 +101,11 @@ def words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, to, np.searchsorted(at, offsets)
 
 
+def words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of bytes that are no ASCII white space, and the first word of each document."""
+    return spans(chunk, _SPACE)
+
+
 def prefix_hash(buf: np.ndarray) -> np.ndarray:
     """h with h[i + 1] - h[i] the code of byte i times a power of the multiplier; see segment_hash."""
     out = np.zeros(len(buf) + 1, np.uint64)
