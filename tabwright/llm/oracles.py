@@ -110,3 +110,76 @@ select doc_id, n as n_bytes, coalesce(removed, 0) as n_removed, coalesce(k, 0) a
   sha256(unhex(case when k is null then h else array_to_string(list_transform(range(0, k + 1), lambda i: substr(h, (2 * (case when i = 0 then 0 else b[i] end) + 1)::bigint,
     (2 * ((case when i = k then n else a[i + 1] end) - (case when i = 0 then 0 else b[i] end)))::bigint)), '') end)) as kept_sha256
 from d left join per using (doc_id)"""
+
+# All phrases of up to three words by plain counting; products as hugeint.
+PHRASES = r"""
+with pieces as materialized (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from (
+    select coalesce(lang, 'und') as lang, unnest(ps) as piece from (
+      select lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as ps from documents))
+), grams as (
+  select lang, 1 as size, unnest(w) as phrase from pieces
+  union all select lang, 2, array_to_string(w[i:i+1], ' ') from (select lang, w, unnest(range(1, len(w))) as i from pieces)
+  union all select lang, 3, array_to_string(w[i:i+2], ' ') from (select lang, w, unnest(range(1, len(w) - 1)) as i from pieces)
+), f as materialized (
+  select lang, size, phrase, count(*) as f from grams group by all
+), n as (
+  select lang, sum(f)::bigint as n from f where size = 1 group by lang
+), candidates as materialized (
+  select lang, size, phrase, string_split(phrase, ' ') as w, f as a from f where size > 1 and f >= 10
+), halves as materialized (
+  select lang, phrase, a, k, lang || chr(10) || array_to_string(w[1:k], ' ') as p, lang || chr(10) || array_to_string(w[k+1:], ' ') as q from (select *, unnest(range(1, size)) as k from candidates)
+), keyed as materialized (
+  select lang || chr(10) || phrase as key, f from f
+), cuts as (
+  select h.lang, h.phrase, h.a, h.k, x.f as l, y.f as r, (1000000::hugeint * h.a * h.a) // (x.f::hugeint * y.f) as score
+  from halves h join keyed x on x.key = h.p join keyed y on y.key = h.q
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), covered as (
+  select lang, phrase, max(a) as most from (select lang, a, array_to_string(w[i:i+1], ' ') as phrase from (select *, unnest([1, 2]) as i from candidates where size = 3)) group by all
+)
+select l.lang, row_number() over (partition by l.lang order by score desc, a desc, encode(l.phrase)) as rank, l.phrase, a, l.l, l.r, n, score::bigint as score
+from lowest l join n on n.lang = l.lang left join covered c on c.lang = l.lang and c.phrase = l.phrase
+where most is null or 100 * most < 50 * a
+qualify rank <= 2000"""
+
+# CRC-32 of every different word, byte by byte over the usual table, which is made by its rule.
+_CRC_STEP = "case when {x} % 2 = 1 then xor({x} // 2, 3988292384) else {x} // 2 end"
+RESAMPLED = r"""
+with recursive steps as (
+  select i::bigint as i, i::bigint as v, 0 as round from range(256) t(i)
+  union all select i, """ + _CRC_STEP.format(x="v") + r""", round + 1 from steps where round < 8
+), crc_table as (
+  select list(v order by i) as t from steps where round = 8
+), d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), b as (
+  select regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), words as (
+  select doc_id, unnest(w) as x from d
+), wanted as (
+  select unnest(w) as x from b
+), per as (
+  select doc_id, x, count(*) as k from words group by all
+), places as (
+  select x, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, strlen(x) + 1), lambda i: ('0x' || substr(hex(encode(x)), 2 * i - 1, 2))::bigint)),
+    lambda c, y: xor(c // 256, t[xor(c, y) % 256 + 1])), 4294967295) % 10000 as bucket
+  from (select x from words union select x from wanted), crc_table
+), s as (
+  select bucket, sum(k) as s from per join places using (x) group by bucket
+), t as (
+  select bucket, count(*) as t from wanted join places using (x) group by bucket
+), gain as (
+  select bucket, floor(1000 * ln((coalesce(t, 0) + 1)::double * ((select count(*) from words) + 10000) / ((coalesce(s, 0) + 1)::double * ((select count(*) from wanted) + 10000)))) as gain
+  from (select distinct bucket from places) left join s using (bucket) left join t using (bucket)
+), weights as (
+  select doc_id, floor(sum(k * gain)::double / sum(k))::bigint as weight from per join places using (x) join gain using (bucket) group by doc_id
+), scored as (
+  select doc_id, len(w) as n_features, coalesce(weight, 0) as weight, len(w) >= 20 as able,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from d left join weights using (doc_id)
+), ranked as (
+  select *, row_number() over (partition by able order by score desc, doc_id) as r, count(*) over (partition by able) as n from scored
+)
+select doc_id, n_features::bigint as n_features, weight, score, case when able and r <= 10 * n // 100 then r end as rank from ranked"""

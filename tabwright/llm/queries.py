@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontamination, hyperminhash, langid, line_dedup, oracles, pii, pitman_yor, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup
+from tabwright.llm import (collocations, decontamination, hyperminhash, importance, langid, line_dedup, nearest, oracles, pii, pitman_yor, quality_rules, secret_scan,
+                           sentencepiece_codec, suffix_dedup)
 from tabwright.llm.documents import HELD_OUT_HASH
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +81,18 @@ def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql=oracles.REPEATS)
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_kept=False)
+
+
+@query
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(read(spark, sf_dir, "embeddings"))
+
+
+@query(sql=oracles.PHRASES)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+@query(sql=oracles.RESAMPLED)
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
