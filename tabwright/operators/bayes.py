@@ -1,122 +1,157 @@
-"""Gaussian naive Bayes: class moments by Spark, scoring in Arrow batches."""
+"""Gaussian naive Bayes over feature vectors of any width, as tables.
+
+What is learned is a table with a row per slot (place in the vector) that holds a number other than zero in some training row: the mean
+and the population variance of every class there. Zeros are counted, never stored. Scoring starts from the score of a row of zeros and
+corrects it for the numbers that are there, which are looked up by slot and added up per row. Only figures per class reach the driver.
+"""
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabwright.functions.exprs import col
+from tabwright.operators.lookup import left_lookup
+from tabwright.sources.shared import durable
+
+LEAST_VARIANCE = 1e-300  # stands for zero where nothing smooths it, so that a constant feature rules out other values
+CELLS_PER_ROW = 10       # a lookup row of more classes counts as several when its table is sized for a broadcast
+
+
+def entries(df: DataFrame, *keep: Column) -> DataFrame:
+    """`keep`, `slot` and `x` for every number other than zero in `features`, dense or sparse."""
+    v = F.unwrap_udt(F.col("features"))
+    places = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    cells = F.when(F.size(v["values"]) > 0, F.arrays_zip(places.alias("slot"), v["values"].alias("x")))
+    return df.select(*keep, F.inline(cells).alias("slot", "x")).where("x <> 0")
+
 
-DENSE_WIDTH = 1_000  # widest feature vectors scored as dense batches
+def _merged(parts: Column, mean: str = "mean", var: str = "var") -> tuple[Column, Column, Column]:
+    """Count, mean and variance of all rows of an array of struct(n, mean, var) together."""
+    total = lambda f: F.aggregate(parts, F.lit(0.0), lambda a, p: a + f(p))
+    n = total(lambda p: p["n"])
+    middle = total(lambda p: p["n"] * p[mean]) / n
+    return n, middle, total(lambda p: p["n"] * (p[var] + (p[mean] - middle) * (p[mean] - middle))) / n
 
 
 @dataclass
-class Moments:
-    """Rows, means and population variances per class: classes x features numbers."""
+class GaussianBayes:
+    """A fitted model, or one per group: `table` has (key, m, v, n), with key = slot * groups + group, means and variances by class."""
 
-    counts: np.ndarray
-    means: np.ndarray
-    variances: np.ndarray
+    table: DataFrame
+    sizes: list[list[int]]      # rows per group and class
+    width: int                  # length of the feature vectors
+    slots: list[int]            # slots with a row in the table, per group
+    entries: int                # stored numbers of the training rows of all groups
+    largest: list[float]        # largest variance of a feature over all classes, per group
 
     @classmethod
-    def merged(cls, parts: list[Moments]) -> Moments:
-        """Moments of the rows of all parts together."""
-        counts = sum(p.counts for p in parts)
-        safe = np.maximum(counts, 1)[:, None]
-        means = sum(p.counts[:, None] * p.means for p in parts) / safe
-        spread = sum(p.counts[:, None] * (p.variances + (p.means - means) ** 2) for p in parts)
-        return cls(counts, means, spread / safe)
-
-    def largest_variance(self) -> float:
-        """Largest population variance of a feature over all classes."""
-        share = self.counts[:, None] / self.counts.sum()
-        mean = (share * self.means).sum(axis=0)
-        return float((share * (self.variances + (self.means - mean) ** 2)).sum(axis=0).max())
-
-
-def class_moments(df: DataFrame, n_classes: int, by: str | None = None) -> dict:
-    """Moments per value of `by` (one entry under None without it); one combined row per class and group."""
-    keys = [by, "label"] if by else ["label"]
-    rows = df.groupBy(*keys).agg(
-        Summarizer.metrics("count", "mean", "variance").summary(F.col("features")).alias("s")).collect()
-    out: dict = {}
-    for r in rows:
-        mean = r["s"]["mean"].toArray()
-        group = r[by] if by else None
-        if group not in out:
-            out[group] = Moments(np.zeros(n_classes), np.zeros((n_classes, len(mean))), np.zeros((n_classes, len(mean))))
-        m, c, n = out[group], int(r["label"]), r["s"]["count"]
-        m.counts[c], m.means[c] = n, mean
-        m.variances[c] = r["s"]["variance"].toArray() * (n - 1) / n if n > 1 else 0.0
-    return out
-
-
-def scoring_column(models: dict, smoothings: list[float], group: Column | None = None) -> Column:
-    """array of struct(winner, probability), one per smoothing; `group` picks the model of a row.
-
-    Narrow features are scored as dense batches. Wide ones, mostly zeros of one-hot columns, start from the score of an
-    all-zero row and correct it for the entries that are there.
-    """
-    ready = {}
-    for g, m in models.items():
-        present = m.counts > 0
-        prior = np.log(np.where(present, m.counts, 1) / m.counts.sum())
-        scaled = [m.variances + s * m.largest_variance() for s in smoothings]
-        ready[g] = (m.means, scaled, [prior - 0.5 * np.log(2 * np.pi * v).sum(axis=1) for v in scaled], present)
-    grouped = group is not None  # the batch function must not capture a column
-    single = None if grouped else next(iter(ready))
-
-    def outcome(log: np.ndarray, present: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        log = np.where(present, log, -np.inf)
-        share = np.exp(log - log.max(axis=1, keepdims=True))
-        return log.argmax(axis=1), share / share.sum(axis=1, keepdims=True)
-
-    def emit(g: pd.Series, size: int, score) -> pd.Series:
-        groups, result = g.to_numpy(), [None] * size
-        for value in pd.unique(g):
-            at = np.flatnonzero(groups == value)
-            per_model = score(at, value if grouped else single)
-            for j, i in enumerate(at):
-                result[i] = [{"winner": int(w[j]), "probability": p[j]} for w, p in per_model]
-        return pd.Series(result, dtype=object)
-
-    @F.pandas_udf("array<struct<winner:int,probability:array<double>>>")
-    def dense(v: pd.Series, g: pd.Series) -> pd.Series:
-        rows = v.to_numpy()
-
-        def score(at, key):
-            x = np.stack(rows[at])
-            means, variances, base, present = ready[key]
-            return [outcome(np.stack([b[c] - 0.5 * ((x - means[c]) ** 2 / s[c]).sum(axis=1) for c in range(len(b))],
-                                     axis=1), present) for s, b in zip(variances, base)]
-
-        return emit(g, len(v), score)
-
-    @F.pandas_udf("array<struct<winner:int,probability:array<double>>>")
-    def sparse(places: pd.Series, values: pd.Series, g: pd.Series) -> pd.Series:
-        def score(at, key):
-            means, variances, base, present = ready[key]
-            out = []
-            for s, b in zip(variances, base):
-                zero = b - 0.5 * (means ** 2 / s).sum(axis=1)
-                log = np.empty((len(at), len(b)))
-                for j, i in enumerate(at):
-                    x = np.asarray(values.iloc[i], dtype=float)
-                    # a row that was stored dense lists no places
-                    p = np.arange(len(x)) if places.iloc[i] is None else np.asarray(places.iloc[i], dtype=int)
-                    log[j] = zero - 0.5 * (((x - means[:, p]) ** 2 - means[:, p] ** 2) / s[:, p]).sum(axis=1)
-                out.append(outcome(log, present))
-            return out
-
-        return emit(g, len(g), score)
-
-    key = group if grouped else F.lit(0)
-    width = next(iter(models.values())).means.shape[1]
-    if width <= DENSE_WIDTH:
-        return dense(vector_to_array(F.col("features")), key)
-    stored = F.unwrap_udt(F.col("features"))
-    return sparse(stored["indices"], stored["values"], key)
+    def fit(cls, rows: DataFrame, n_classes: int, fold: str | None = None, folds: int = 1) -> GaussianBayes:
+        """From `features` and `label` (a class index). With `fold`, group f learns from the rows of all folds but f."""
+        part = F.col(fold).cast("int") if fold else F.lit(0)
+        counted = rows.groupBy(part.alias("part"), F.col("label").cast("int").alias("label")).agg(
+            F.count("*").alias("n"), F.max(F.unwrap_udt(F.col("features"))["size"]).alias("sparse"),
+            F.max(F.size(F.unwrap_udt(F.col("features"))["values"])).alias("dense")).collect()
+        width = max((max(r["sparse"] or 0, r["dense"] or 0) for r in counted), default=0)
+        sizes = [[0] * n_classes for _ in range(folds)]
+        for r in counted:
+            for g in ([g for g in range(folds) if g != r["part"]] if fold else [0]):
+                sizes[g][r["label"]] += r["n"]
+        cells = entries(rows, part.alias("part"), F.col("label").cast("int").alias("label")).groupBy("part", "label", "slot").agg(
+            F.count("*").cast("double").alias("n"), F.avg("x").alias("mean"), F.var_pop("x").alias("var"))
+        if fold:
+            groups = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda g: g != F.col("part"))
+            spread = durable(cells, "moments").withColumn("group", F.explode(groups))
+            n, mean, var = _merged(F.col("parts"))
+            cells = spread.groupBy("group", "label", "slot").agg(F.collect_list(F.struct("n", "mean", "var")).alias("parts")).select(
+                "group", "label", "slot", n.alias("n"), mean.alias("mean"), var.alias("var"))  # a part per fold
+        else:
+            cells = cells.withColumnRenamed("part", "group")
+        rows_of = F.array(*[F.array(*[F.lit(float(n)) for n in s]) for s in sizes])
+        all_of = F.array(*[F.lit(float(sum(s))) for s in sizes])
+        # zeros join the stored numbers of a class
+        size = F.get(F.get(rows_of, F.col("group")), F.col("label"))
+        mean = F.col("n") * F.col("mean") / size
+        var = (F.col("n") * (F.col("var") + (F.col("mean") - mean) * (F.col("mean") - mean)) + (size - F.col("n")) * mean * mean) / size
+        cells = cells.select("group", "slot", F.struct("label", F.struct(size.alias("n"), mean.alias("mean"), var.alias("var"), F.col("n").alias("stored"))).alias("cell"))
+        # a row per slot: classes that store nothing there have mean and variance zero
+        by_slot = cells.groupBy("group", "slot").agg(F.collect_list("cell").alias("cells"))  # at most one per class
+        at = lambda c, f: F.coalesce(F.try_element_at(F.map_from_entries("cells"), c)[f], F.lit(0.0))
+        each = F.sequence(F.lit(0), F.lit(n_classes - 1))
+        parts = F.transform("cells", lambda c: c.getField("col2"))
+        everyone = F.get(all_of, F.col("group"))
+        shown = F.aggregate(parts, F.lit(0.0), lambda a, p: a + p["n"])
+        middle = F.aggregate(parts, F.lit(0.0), lambda a, p: a + p["n"] * p["mean"]) / everyone
+        spread = F.aggregate(parts, F.lit(0.0), lambda a, p: a + p["n"] * (p["var"] + (p["mean"] - middle) * (p["mean"] - middle)))
+        table = durable(by_slot.select(
+            (F.col("slot").cast("long") * folds + F.col("group")).alias("key"), "group",
+            F.transform(each, lambda c: at(c, "mean")).alias("m"), F.transform(each, lambda c: at(c, "var")).alias("v"),
+            F.aggregate(parts, F.lit(0.0), lambda a, p: a + p["stored"]).cast("long").alias("n"),
+            ((spread + (everyone - shown) * middle * middle) / everyone).alias("overall")), "slots")
+        facts = {r["group"]: r for r in table.groupBy("group").agg(
+            F.count("*").alias("slots"), F.sum("n").alias("stored"), F.max("overall").alias("largest")).collect()}
+        take = lambda g, f, none: facts[g][f] if g in facts else none
+        return cls(table, sizes, width, [take(g, "slots", 0) for g in range(folds)],
+                   sum(take(g, "stored", 0) for g in range(folds)) // max(folds - 1, 1), [take(g, "largest", 0.0) for g in range(folds)])
+
+    def moments(self) -> DataFrame:
+        """(class, slot, n, mean, variance) of the first group, for slots and classes with any row in the table."""
+        groups = len(self.sizes)
+        rows = self.table.where("group = 0").select((F.col("key") / groups).cast("int").alias("slot"), F.posexplode(F.arrays_zip("m", "v")).alias("class", "c"))
+        size = F.get(F.array(*[F.lit(n) for n in self.sizes[0]]), F.col("class"))
+        return rows.select("class", "slot", size.cast("long").alias("n"), F.col("c.m").alias("mean"), F.col("c.v").alias("variance"))
+
+    def _epsilon(self, smoothing: float) -> Column:
+        return F.get(F.array(*[F.lit(smoothing * v) for v in self.largest]), F.col("group"))
+
+    def baselines(self, smoothings: list[float]) -> list[list[list[float]]]:
+        """By smoothing, group and class: the log score of a row of zeros; a class without rows has minus infinity."""
+        variance = lambda v, s: F.greatest(v + self._epsilon(s), F.lit(LEAST_VARIANCE))
+        terms = {}
+        for i, s in enumerate(smoothings):
+            for c in range(len(self.sizes[0])):
+                m, v = F.get("m", F.lit(c)), variance(F.get("v", F.lit(c)), s)
+                terms[f"b{i}_{c}"] = F.sum(-0.5 * F.log(2 * math.pi * v) - m * m / (2 * v))
+        rows = {r["group"]: r for r in self.table.groupBy("group").agg(*[t.alias(k) for k, t in terms.items()]).collect()}
+        out = []
+        for i, s in enumerate(smoothings):
+            out.append([])
+            for g, sizes in enumerate(self.sizes):
+                rest = (self.width - self.slots[g]) * -0.5 * math.log(2 * math.pi * max(s * self.largest[g], LEAST_VARIANCE))
+                out[i].append([math.log(n / sum(sizes)) + rest + (rows[g][f"b{i}_{c}"] if g in rows else 0.0) if n else -math.inf for c, n in enumerate(sizes)])
+        return out
+
+    def score(self, df: DataFrame, smoothings: list[float], baselines: list[list[list[float]]], group: Column | None = None) -> DataFrame:
+        """`df` with `outcome`, an array of struct(winner, probability), one per smoothing; `group` picks the model of a row.
+
+        Ties go to the first class. Numbers beyond the trained width are not looked at, and neither is a slot that no training row fills.
+        """
+        groups, classes = len(self.sizes), range(len(self.sizes[0]))
+        g = group.cast("int") if group is not None else F.lit(0)
+        rows = durable(df.withColumn("_row", F.monotonically_increasing_id()).withColumn("group", g), "to_score")
+        cells = entries(rows, F.col("_row"), F.col("group")).where(F.col("slot") < self.width).select(
+            "_row", "group", "x", (F.col("slot").cast("long") * groups + F.col("group")).alias("key"))
+        table = self.table.select("key", F.struct("m", "v").alias("_of"), "n")
+        n_rows = sum(self.slots) * math.ceil(len(classes) / CELLS_PER_ROW)
+        found = left_lookup(cells, table, "key", "_of", "n", n_rows, max(self.entries, 1))
+        x = F.col("x")
+        sums = {}
+        for i, s in enumerate(smoothings):
+            for c in classes:
+                m, v = F.coalesce(F.get("_of.m", F.lit(c)), F.lit(0.0)), F.coalesce(F.get("_of.v", F.lit(c)), F.lit(0.0))
+                sums[f"s{i}_{c}"] = F.sum(x * (2 * m - x) / (2 * F.greatest(v + self._epsilon(s), F.lit(LEAST_VARIANCE))))
+        added = found.where("_of is not null").groupBy("_row").agg(*[t.alias(k) for k, t in sums.items()])
+        logs = F.array(*[F.array(*[
+            F.get(F.array(*[F.lit(b) for b in (baselines[i][k][c] for k in range(groups))]), F.col("group")) + F.coalesce(F.col(f"s{i}_{c}"), F.lit(0.0))
+            for c in classes]) for i in range(len(smoothings))])
+
+        def outcome(log: Column) -> Column:
+            top = F.array_max(log)
+            weights = F.transform(log, lambda v: F.exp(v - top))
+            total = F.aggregate(weights, F.lit(0.0), lambda a, v: a + v)
+            return F.struct((F.array_position(log, top) - 1).cast("int").alias("winner"), F.transform(weights, lambda v: v / total).alias("probability"))
+
+        out = rows.join(added, "_row", "left").withColumn("_logs", logs)
+        return out.select(*[col(c) for c in df.columns], F.transform("_logs", outcome).alias("outcome"))

@@ -20,7 +20,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabwright.functions.exprs import col
-from tabwright.operators.bayes import Moments, class_moments, scoring_column
+from tabwright.operators.bayes import GaussianBayes
 from tabwright.operators.neighbors import neighbours, votes
 from tabwright.operators.split import SEED, class_sizes
 from tabwright.sources.local import small_table
@@ -65,7 +65,7 @@ class Classifier:
     key: str                     # row key column
     state: dict = field(default_factory=dict)
     model: object = None         # library model
-    points: DataFrame | None = None  # training rows of the neighbour family
+    points: DataFrame | None = None  # training rows of the neighbour family, slots of naive Bayes
     train_seconds: float = 0.0
 
     @classmethod
@@ -138,8 +138,10 @@ class Classifier:
         self.state["leaves"] = leaf_counts(rows.sparkSession, self.model, p["min_samples_split"]) if p["min_samples_split"] > 2 else None
 
     def _fit_bayes(self, rows: DataFrame, sizes: dict) -> None:
-        m = class_moments(rows, len(self.classes))[None]
-        self.state = {"counts": m.counts.tolist(), "means": m.means.tolist(), "variances": m.variances.tolist()}
+        fitted = GaussianBayes.fit(rows, len(self.classes))
+        self.points = fitted.table
+        self.state = {k: getattr(fitted, k) for k in ("sizes", "width", "slots", "entries", "largest")}
+        self.state["baselines"] = fitted.baselines([self.params["var_smoothing"]])
 
     # --- scoring
 
@@ -153,8 +155,9 @@ class Classifier:
             out = df.select(*[col(c) for c in keep]).join(won.withColumnRenamed("query", self.key), self.key, "left")
             winner = F.col("winner")
         elif self.name == "Naive Bayes":
-            m = Moments(*[np.array(self.state[f]) for f in ("counts", "means", "variances")])
-            out = df.withColumn("_s", F.get(scoring_column({None: m}, [self.params["var_smoothing"]]), F.lit(0)))
+            facts = {k: v for k, v in self.state.items() if k != "baselines"}
+            scored = GaussianBayes(self.points, **facts).score(df, [self.params["var_smoothing"]], self.state["baselines"])
+            out = scored.withColumn("_s", F.get("outcome", F.lit(0)))
             out = out.withColumn("probability", F.col("_s.probability"))
             winner = F.col("_s.winner")
         elif self.name == "Decision Tree":
@@ -208,7 +211,7 @@ class Classifier:
                                            DecisionTreeClassificationModel)}
         if kind in readers:
             self.model = readers[kind].load(f"{path}/model")
-        if self.name == "K-Nearest Neighbors":
+        if self.name in ("K-Nearest Neighbors", "Naive Bayes"):
             self.points = spark.read.parquet(f"{path}/points")
         return self
 

@@ -11,7 +11,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark.sql import DataFrame, functions as F
 
 from tabwright.functions.exprs import col
-from tabwright.operators.bayes import Moments, class_moments, scoring_column
+from tabwright.operators.bayes import GaussianBayes
 from tabwright.operators.classify import Classifier, indexed
 from tabwright.operators.evaluate import metrics
 from tabwright.operators.neighbors import neighbours, vote_grid
@@ -103,7 +103,7 @@ def search(name: str, train: DataFrame, target: str, key: str, method: str = "gr
     with temporary(train.sparkSession):  # only the scores come out
         folded = durable(indexed(stratified_folds(train, [key], target, cv, seed), target, classes), "folds")
         if name == "Naive Bayes":
-            predicted = _bayes_predictions(folded, candidates, len(classes))
+            predicted = _bayes_predictions(folded, candidates, len(classes), cv)
         elif name == "K-Nearest Neighbors":
             predicted = _neighbour_predictions(folded, candidates, len(classes), key)
         else:
@@ -123,16 +123,16 @@ def search(name: str, train: DataFrame, target: str, key: str, method: str = "gr
                   time.perf_counter() - start)
 
 
-def _bayes_predictions(folded: DataFrame, candidates: list, n_classes: int) -> DataFrame:
+def _bayes_predictions(folded: DataFrame, candidates: list, n_classes: int, cv: int) -> DataFrame:
     """All smoothings and folds from one moments pass and one scoring pass.
 
     A fold's model is the merged moments of the other folds.
     """
-    per_fold = class_moments(folded, n_classes, "fold")
-    models = {f: Moments.merged([m for g, m in per_fold.items() if g != f]) for f in per_fold}
-    outcome = scoring_column(models, [p["var_smoothing"] for _, p in candidates], F.col("fold"))
+    models = GaussianBayes.fit(folded, n_classes, "fold", cv)
+    smoothings = [p["var_smoothing"] for _, p in candidates]
+    scored = models.score(folded.select("fold", "label", "features"), smoothings, models.baselines(smoothings), F.col("fold"))
     places = F.array(*[F.lit(i) for i, _ in candidates])
-    rows = folded.select("fold", F.col("label").cast("int").alias("label"), F.posexplode(outcome).alias("_at", "_v"))
+    rows = scored.select("fold", F.col("label").cast("int").alias("label"), F.posexplode("outcome").alias("_at", "_v"))
     return rows.select("fold", "label", F.get(places, F.col("_at")).alias("candidate"), "_v.winner")
 
 

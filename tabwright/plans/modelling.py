@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tabwright.operators import evaluate, tune
-from tabwright.operators.bayes import class_moments
+from tabwright.operators.bayes import GaussianBayes
 from tabwright.operators.classify import DEFAULTS, Classifier, train_all
 from tabwright.operators.prep import PrepConfig, preprocess
 from tabwright.operators.score import Scorer, scoring_columns
@@ -105,10 +105,10 @@ def proba_columns(model: Classifier, scored: DataFrame) -> DataFrame:
 def gnb_fit(spark, sf):
     train, _ = vector_split(spark, sf)
     classes = [r["label"] for r in train.select("label").distinct().orderBy("label").collect()]
-    m = class_moments(train, len(classes))[None]
-    rows = [(classes[c], j, int(m.counts[c]), round(float(m.means[c, j]), 6), round(float(m.variances[c, j]), 6))
-            for c in range(len(classes)) for j in range(m.means.shape[1])]
-    return small_table(spark, rows, "label int, position int, n bigint, mean double, variance double")
+    place = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("label")) - 1
+    table = GaussianBayes.fit(train.withColumn("label", place), len(classes)).moments()
+    named = F.get(F.array(*[F.lit(c) for c in classes]), F.col("class"))
+    return rounded(table.select(named.alias("label"), F.col("slot").alias("position"), "n", "mean", "variance"), "mean", "variance")
 
 
 @query("gnb_predict", f"""
@@ -132,6 +132,35 @@ def gnb_documents(spark, sf):
     return proba_columns(model, model.score(p.test))
 
 
+@query("gnb_wide", f"""
+    with customers as (select c_custkey as id, c_nationkey % 3 as label, c_name, c_acctbal from customer),
+    {split_sql('customers', 'label').strip()},
+    spread as (select avg(c_acctbal) as a, stddev_pop(c_acctbal) as s from parted where not is_test),
+    names as (select distinct c_name from parted where not is_test),
+    cells as (
+      select id, label, is_test, (c_acctbal - a) / s as v, '' as j from parted, spread
+      union all select id, label, is_test, 1.0::double, c_name from parted where c_name in (select c_name from names)),
+    width as (select count(*) + 1 as d from names),
+    classes as (select label as c, count(*) as n from parted where not is_test group by label),
+    own as (select label as c, j, count(*) as k, avg(v) as m, var_pop(v) as q from cells where not is_test group by label, j),
+    slots as (select c, j, n, coalesce(k * m / n, 0) as m, coalesce((k * (q + (m - k * m / n) ** 2) + (n - k) * (k * m / n) ** 2) / n, 0) as q
+              from (select distinct j from own) cross join classes left join own using (c, j)),
+    overall as (select j, sum(n * m) / sum(n) as mean from slots group by j),
+    eps as (select 1e-9 * max(s) as e from (select slots.j, sum(n * (q + (m - mean) ** 2)) / sum(n) as s from slots join overall on slots.j = overall.j group by slots.j)),
+    zeros as (select c, any_value(ln(n / (select sum(n) from classes))) + sum(-0.5 * ln(2 * pi() * (q + e)) - m * m / (2 * (q + e))) as z from slots, eps group by c),
+    logs as (select t.id, t.label, zeros.c, z + coalesce(sum(v * (2 * m - v) / (2 * (q + e))), 0) as g
+             from parted t cross join zeros cross join eps left join cells on cells.id = t.id left join slots on slots.c = zeros.c and slots.j = cells.j
+             where t.is_test group by t.id, t.label, zeros.c, z),
+    {gnb_shares().strip()}
+    select id, label, (select cast(d as bigint) from width) as n_features, arg_max(c, (g, -c)) as prediction from shares group by id, label""")
+def gnb_wide(spark, sf):
+    """A feature per customer name: as many as there are training rows."""
+    rows = load(spark, sf, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_nationkey") % 3).alias("label"), "c_name", "c_acctbal")
+    p = preprocess(rows, PrepConfig(target="label", feature_columns=["c_acctbal", "c_name"]), ["id"])
+    scored = Classifier.fit("Naive Bayes", p.train, "label", "id").score(p.test)
+    return scored.select("id", "label", F.lit(p.preparation.width()).cast("bigint").alias("n_features"), "prediction")
+
+
 # --- nearest neighbours ---------------------------------------------------------------------------
 
 def near_sql(k: int, p: int) -> str:

@@ -1,7 +1,7 @@
 """Score CSV files as they arrive.
 
-A fitted preparation and a fitted classifier work row by row, so the batch code also takes a stream. Exceptions are the
-neighbour family, which joins with its training rows, and vocabularies too large to be part of the expression.
+Every micro-batch is scored like any other table, joins with stored rows and long vocabularies included, and replaces its own folder, so
+that a batch that is repeated after a failure leaves its rows once.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tabwright.operators.score import Scorer
+from tabwright.sources.shared import temporary
 
 
 def read_stream(spark: SparkSession, folder: str, schema: dict[str, str], separator: str = ",") -> DataFrame:
@@ -18,10 +19,10 @@ def read_stream(spark: SparkSession, folder: str, schema: dict[str, str], separa
     return spark.readStream.schema(fields).options(header=True, sep=separator, escape='"').csv(folder)
 
 
-def score_stream(scorer: Scorer, stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append predictions of every batch to a parquet folder, each input row once."""
-    p = scorer.preparation
-    if scorer.model.name == "K-Nearest Neighbors" or any(c not in p.inline for c in p.categorical):
-        raise ValueError("this model needs a join with stored rows; score the files in batches instead")
-    return (scorer.score(stream).writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
+def score_stream(scorer: Scorer, stream: DataFrame, path: str, checkpoint: str, keep: list[str] | None = None) -> StreamingQuery:
+    """Predictions of every micro-batch as parquet under path/batch=<number>, each input row once."""
+    def write(batch: DataFrame, number: int) -> None:
+        with temporary(batch.sparkSession):  # what scoring stores on its way goes with the batch
+            scorer.score(batch, keep).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -91,13 +91,70 @@ def test_bayes_matches_library(docs):
     assert ours.join(theirs.select("id", "p"), "id").where("prediction <> p").count() == 0
 
 
-def test_wide_bayes_scoring_equals_dense(docs, monkeypatch):
-    model = Classifier.fit("Naive Bayes", docs.train, "label", "id")
-    dense = {r["id"]: r for r in model.score(docs.test).collect()}
-    monkeypatch.setattr("tabwright.operators.bayes.DENSE_WIDTH", 1)
-    for r in model.score(docs.test).collect():
-        assert r["prediction"] == dense[r["id"]]["prediction"]
-        assert r["probability"] == pytest.approx(dense[r["id"]]["probability"], abs=1e-6)
+def plain_bayes(train, test, smoothing=1e-9):
+    """Classes and shares by the usual formulas, dense."""
+    x, y, t = (np.array(v, dtype=float) for v in (train[0], train[1], test))
+    eps = smoothing * x.var(axis=0).max()
+    logs = []
+    for c in sorted(set(y)):
+        m, v = x[y == c].mean(axis=0), x[y == c].var(axis=0) + eps
+        logs.append(math.log((y == c).mean()) - 0.5 * np.log(2 * np.pi * v).sum() - ((t - m) ** 2 / (2 * v)).sum(axis=1))
+    logs = np.stack(logs, axis=1)
+    share = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return logs.argmax(axis=1), share / share.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("lookup_rows", [50_000, 0])
+def test_bayes_of_dense_and_sparse_rows(spark, monkeypatch, lookup_rows):
+    """Stored zeros, missing entries and dense rows are the same vector; hot slots are apart from the others in a long table."""
+    from pyspark.ml.linalg import Vectors
+
+    monkeypatch.setattr("tabwright.operators.lookup.SMALL_TABLE_ROWS", lookup_rows)
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random((300, 40)) < 0.2, rng.normal(2, 1, (300, 40)), 0.0)
+    x[:, 0], x[:, 1] = rng.normal(0, 1, 300), 0.0
+    y = rng.integers(0, 3, 300)
+    x[y == 2, 5] += 3
+
+    def vector(i):
+        if i % 3 == 0:
+            return Vectors.dense(x[i])
+        kept = np.flatnonzero(x[i] if i % 3 == 1 else np.ones(40))
+        return Vectors.sparse(40, kept.tolist(), x[i][kept].tolist())
+
+    df = spark.createDataFrame([(i, vector(i), int(y[i])) for i in range(300)], ["id", "features", "label"])
+    train, test = df.where("id < 200"), df.where("id >= 200").withColumn("extra", F.lit("x"))
+    model = Classifier.fit("Naive Bayes", train, "label", "id")
+    won, shares = plain_bayes((x[:200], y[:200]), x[200:])
+    got = {r["id"]: r for r in model.score(test).collect()}
+    assert len(got) == 100 and all(r["extra"] == "x" for r in got.values())
+    for i in range(100):
+        assert got[200 + i]["prediction"] == won[i]
+        assert got[200 + i]["probability"] == pytest.approx(shares[i].tolist(), abs=1e-6)
+
+
+def test_bayes_of_constants_and_absent_classes(spark):
+    from pyspark.ml.linalg import Vectors
+
+    same = spark.createDataFrame([(i, Vectors.dense([1.0, 0.0]), i % 2) for i in range(10)], ["id", "features", "label"])
+    model = Classifier.fit("Naive Bayes", same, "label", "id")
+    assert {tuple(r["probability"]) for r in model.score(same).collect()} == {(0.5, 0.5)}
+    zeros = spark.createDataFrame([(i, Vectors.sparse(5, {}), i % 3 // 2) for i in range(9)], ["id", "features", "label"])
+    only = Classifier.fit("Naive Bayes", zeros, "label", "id").score(zeros).collect()
+    assert {r["prediction"] for r in only} == {0} and only[0]["probability"] == pytest.approx([2 / 3, 1 / 3])
+    found = tune.search("Naive Bayes", zeros, "label", "id", cv=3, refit=False)
+    assert found.best_score == pytest.approx(2 / 3)
+
+
+def test_bayes_search_equals_separate_fits(docs):
+    found = tune.search("Naive Bayes", docs.train, "label", "id", cv=3, refit=False)
+    from tabwright.operators.split import stratified_folds
+
+    folded = durable(stratified_folds(docs.train, ["id"], "label", 3))
+    for f in range(3):
+        one = Classifier.fit("Naive Bayes", folded.where(f"fold <> {f}").drop("fold"), "label", "id", {"var_smoothing": 1e-8})
+        alone = accuracy(one, folded.where(f"fold = {f}").drop("fold"))
+        assert found.scores.where(f"candidate = 1 and fold = {f}").first()["score"] == pytest.approx(alone)
 
 
 def test_metrics_match_library(docs):
@@ -143,18 +200,34 @@ def test_scaled_train_has_mean_zero_and_spread_one(docs):
     assert row["m"] == pytest.approx(0, abs=1e-9) and row["s"] == pytest.approx(1, abs=1e-9)
 
 
-def test_streamed_scores_equal_batch_scores(spark, sf, docs):
-    df = load(spark, sf, "doc_model").select("id", "n_chars", "n_words", "lang")
-    scorer = Scorer(docs.preparation, Classifier.fit("Naive Bayes", docs.train, "label", "id"))
+def streamed(spark, scorer, df, schema):
     folder, out, state = (fresh_path(spark, n) for n in ("incoming", "scored", "state"))
     df.repartition(3).write.options(header=True).csv(folder)
-    stream = read_stream(spark, folder, {"id": "bigint", "n_chars": "bigint", "n_words": "bigint", "lang": "string"})
-    query = score_stream(scorer, stream, out, state)
-    query.awaitTermination(120)
-    assert query.exception() is None
-    batch = scorer.score(df).select("id", "prediction")
-    assert spark.read.parquet(out).select("id", "prediction").exceptAll(batch).count() == 0
-    assert spark.read.parquet(out).count() == df.count()
+    for _ in range(2):  # nothing new the second time
+        query = score_stream(scorer, read_stream(spark, folder, schema), out, state)
+        query.awaitTermination(120)
+        assert query.exception() is None
+    batch = scorer.score(df)
+    result = spark.read.parquet(out).select(*batch.columns)
+    assert result.count() == df.count()
+    both = result.join(batch.select("id", F.struct(*batch.columns).alias("b")), "id")
+    apart = [F.abs(F.col(c) - F.col(f"b.{c}")) > 1e-9 if c.startswith("proba_") else ~F.col(c).eqNullSafe(F.col(f"b.{c}")) for c in batch.columns]
+    assert both.where(F.exists(F.array(*apart), lambda v: v)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["Naive Bayes", "K-Nearest Neighbors", "Decision Tree"])
+def test_streamed_scores_equal_batch_scores(spark, sf, docs, name):
+    df = load(spark, sf, "doc_model").select("id", "n_chars", "n_words", "lang")
+    scorer = Scorer(docs.preparation, Classifier.fit(name, docs.train, "label", "id"))
+    streamed(spark, scorer, df, {"id": "bigint", "n_chars": "bigint", "n_words": "bigint", "lang": "string"})
+
+
+def test_a_stream_with_a_long_vocabulary(spark, sf):
+    df = load(spark, sf, "doc_model").selectExpr("id", "label", "n_chars", "concat('v', id % 70) as word")
+    ready = preprocess(df, PrepConfig(target="label", feature_columns=["n_chars", "word"]), ["id"])
+    assert ready.preparation.sizes["word"] > 64 and "word" not in ready.preparation.inline
+    scorer = Scorer(ready.preparation, Classifier.fit("Naive Bayes", ready.train, "label", "id"))
+    streamed(spark, scorer, df.drop("label"), {"id": "bigint", "n_chars": "bigint", "word": "string"})
 
 
 def test_a_finished_search_leaves_no_stage_behind(docs):
