@@ -76,12 +76,9 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """(score, tpr, fpr) at every distinct score, from running totals of the two classes; label is 0 or 1."""
     steps = df.groupBy(col(score).alias("score")).agg(
         F.sum(col(label).cast("bigint")).alias("pos"), F.sum(1 - col(label).cast("bigint")).alias("neg"))
-    packed = steps.withColumn("all", F.col("pos") + F.col("neg"))
-    ups = running_totals(packed, "score", "pos", descending=True).withColumnRenamed("before", "pos_before")
-    downs = running_totals(packed.select("score", "neg"), "score", "neg", descending=True).select(
-        "score", F.col("before").alias("neg_before"))
-    total = packed.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    return ups.join(downs, "score").select(
+    placed = running_totals(steps, "score", {"pos": "pos_before", "neg": "neg_before"}, descending=True)
+    total = placed.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    return placed.select(
         "score", "pos", "neg", "pos_before", "neg_before",
         F.try_divide(F.col("pos_before") + F.col("pos"), F.lit(total["P"])).alias("tpr"),
         F.try_divide(F.col("neg_before") + F.col("neg"), F.lit(total["N"])).alias("fpr"))

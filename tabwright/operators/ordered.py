@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabwright.functions.exprs import col, row_hash
@@ -122,25 +126,74 @@ def _order_statistics(df: DataFrame, n: dict[str, int], found: dict[tuple[str, i
         ends = after
 
 
-def running_totals(df: DataFrame, order: str, weight: str, by: list[str] | None = None,
+def _add_up(weights: list[str], before: list[str], by: list[str], at: list[int]):
+    """Running totals inside a sorted partition: sums of the rows before within the group, and which group of the partition it is."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        last, group, place, carried = None, -1, 0, [0] * len(weights)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, bool)
+            for i in at:
+                codes = batch.column(i).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                new[1:] |= codes[1:] != codes[:-1]
+            first = [batch.column(i)[0].as_py() for i in at]
+            new[0] = place == 0 or first != last
+            groups = group + np.cumsum(new)
+            starts = np.flatnonzero(new)
+            out = []
+            for k, w in enumerate(weights):
+                values = batch.column(batch.schema.get_field_index(w)).to_numpy(zero_copy_only=False)
+                sums = np.concatenate([[0], np.cumsum(values)])
+                base = np.zeros(n, sums.dtype)
+                base[starts] = np.diff(np.concatenate([[0], sums[starts]]))
+                carry = 0 if new[0] else carried[k]
+                local = sums[:-1] - np.cumsum(base)
+                open_ = slice(0, starts[0] if len(starts) else n)
+                local[open_] += carry
+                out.append(pa.array(local))
+                carried[k] = local[-1] + values[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out, pa.array(np.full(n, part, np.int32)), pa.array(groups.astype(np.int64)), pa.array(place + np.arange(n))],
+                                             names=[*batch.schema.names, *before, "_part", "_group", "_place"])
+            last, group, place = [batch.column(i)[n - 1].as_py() for i in at], int(groups[-1]), place + n
+    return run
+
+
+def running_totals(df: DataFrame, order: str, weight: str | dict[str, str], by: list[str] | None = None,
                    descending: bool = False) -> DataFrame:
-    """Add `before`: the weight of all smaller `order` values within `by`.
+    """Add `before`: the weight of all smaller `order` values within `by`; for several weights, a name for each.
 
-    `df` holds one row per (by, order). Rows are range-partitioned, so a partition sums only its own
-    rows; the totals of earlier partitions, one row per partition and group, come by an equi-join.
+    `df` holds one row per (by, order). One range shuffle sorts it; every range partition adds up its own rows. Only a
+    partition's first group can have begun earlier, so one figure per partition and weight, a constant, completes the sums.
     """
     by = by or []
+    named = {weight: "before"} if isinstance(weight, str) else weight
     key = col(order).desc() if descending else col(order).asc()
-    ranged = durable(
-        df.repartitionByRange(*[col(b) for b in by], key).withColumn("_part", F.spark_partition_id()), "ranged")
-    local = Window.partitionBy("_part", *by).orderBy(key)
-    rows = ranged.withColumn("_local", F.sum(weight).over(local) - F.col(weight))
-    earlier = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("_part", *by).agg(F.sum(weight).alias("_total"))
-    offsets = totals.select("_part", *by, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
-    return (rows.join(offsets, ["_part", *by])
-            .withColumn("before", F.col("_local") + F.col("_offset"))
-            .drop("_part", "_local", "_offset"))
+    keys = [*[col(b) for b in by], key]
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    sums = {w: "double" if kinds[w] == "double" else "bigint" for w in named}
+    ready = df.withColumns({w: col(w).cast(t) for w, t in sums.items()})
+    fields = [*[f"`{c}` {sums.get(c, t)}" for c, t in kinds.items()], *[f"`{b}` {sums[w]}" for w, b in named.items()],
+              "_part int", "_group bigint", "_place bigint"]
+    added = durable(ready.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(
+        _add_up(list(named), list(named.values()), by, [df.columns.index(b) for b in by]), ", ".join(fields)), "ranged")
+    group = F.struct(*[col(b) for b in by], F.lit(0).alias("_all"))
+    totals = F.struct("_group", *[(col(b) + col(w)).alias(w) for w, b in named.items()])
+    ends = added.groupBy("_part").agg(F.min_by(group, "_place").alias("first"), F.max_by(group, "_place").alias("last"),
+                                      F.max_by(totals, "_place").alias("total")).orderBy("_part").collect()  # a row per partition
+    offsets = {w: [0] * (max((r["_part"] for r in ends), default=0) + 1) for w in named}
+    carried, of = dict.fromkeys(named, 0), None
+    for r in ends:
+        goes_on = of is not None and r["first"] == of
+        for w in named:
+            offsets[w][r["_part"]] = carried[w] if goes_on else 0
+            carried[w] = r["total"][w] + (offsets[w][r["_part"]] if r["total"]["_group"] == 0 else 0)
+        of = r["last"]
+    whole = {b: col(b) + F.when(F.col("_group") == 0, F.get(F.array(*[F.lit(v).cast(sums[w]) for v in offsets[w]]), F.col("_part"))).otherwise(F.lit(0))
+             for w, b in named.items()}
+    return added.withColumns(whole).drop("_part", "_group", "_place")
 
 
 def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:

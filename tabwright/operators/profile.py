@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabwright.functions.exprs import col, is_numeric, nan_to_null, text_to_number
@@ -17,6 +21,8 @@ from tabwright.operators.table import capped, numeric_columns
 from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable
 
+SHORT_RANKS = 500_000  # ranks that travel to every task: 8 MB
+
 
 @dataclass(frozen=True)
 class Facts:
@@ -170,26 +176,63 @@ def spearman(df: DataFrame, columns: list[str] | None = None, max_features: int
     return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
+def _cross_products(width: int, short: list[int], tables):
+    """Sums of products of ranks over the rows of a task; `short` columns are ranked here, by values that all tasks have."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, known = np.zeros((width, width)), tables.value
+        for batch in batches:
+            ranks = np.empty((width, batch.num_rows))
+            for i in range(width):
+                ranks[i] = batch.column(i).to_numpy(zero_copy_only=False)
+                if i in known:
+                    values, r = known[i]
+                    ranks[i] = r[np.searchsorted(values, ranks[i])]
+            total += ranks @ ranks.T
+        at = np.arange(width * width)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel())], names=["cell", "s"])
+    return run
+
+
 def _spearman_complete(df: DataFrame, columns: list[str], n: int) -> DataFrame:
+    """Columns of few distinct values, together at most SHORT_RANKS, are ranked by a table that every task has. The cells of all others,
+    (row, column, value), find their ranks in one shuffle by value, hot values apart, and their rows in a second one."""
     cells = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("c"), col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
+        F.struct(F.lit(i).alias("c"), (col(c).cast("double") + F.lit(0.0)).alias("v")) for i, c in enumerate(columns)])))
     counts = cells.groupBy("c", "v").agg(F.count("*").alias("w"))
     centre = (n + 1) / 2
-    ranks = running_totals(counts, "v", "w", ["c"]).withColumn(
-        "r", F.col("before") + (F.col("w") + 1) / 2 - F.lit(centre))
-    ranks = durable(ranks.select("c", "v", "w", "r"), "ranks", ["c"])
+    ranks = running_totals(counts, "v", "w", ["c"]).select(
+        "c", "v", "w", (F.col("before") + (F.col("w") + 1) / 2 - F.lit(centre)).alias("r"))
     sizes = {r["c"]: r["count"] for r in ranks.groupBy("c").count().collect()}  # a row per column
-    rows = df.select(*[col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    for i in range(len(columns)):
-        table = ranks.where(F.col("c") == i).select(F.col("v").alias(f"v{i}"), F.col("r").alias(f"r{i}"), "w")
-        rows = left_lookup(rows, table, f"v{i}", f"r{i}", "w", sizes[i], n).drop(f"v{i}")
-    at = _pairs([str(i) for i in range(len(columns))])
-    sums = rows.agg(*[F.sum(F.col(f"r{i}") * F.col(f"r{i}")).alias(f"q{i}") for i in range(len(columns))],
-                    *[F.sum(F.col(f"r{i}") * F.col(f"r{j}")).alias(f"x{i}_{j}") for i, j in at])
-    return sums.select(F.inline(F.array(*[
-        F.struct(F.lit(columns[int(i)]).alias("col_a"), F.lit(columns[int(j)]).alias("col_b"),
-                 F.try_divide(F.col(f"x{i}_{j}"), F.nullif(F.sqrt(F.col(f"q{i}") * F.col(f"q{j}")), F.lit(0.0)))
-                 .alias("corr")) for i, j in at])))
+    short, held = [], 0
+    for c, size in sorted(sizes.items(), key=lambda x: (x[1], x[0])):
+        held += size
+        if held > SHORT_RANKS:
+            break
+        short.append(c)
+    table = ranks.where(F.col("c").isin(short)).select("c", "v", "r").toArrow() if short else None
+    known = {}
+    for c in short:
+        own = table.filter(pc.equal(table["c"], c))
+        v, r = own["v"].to_numpy(), own["r"].to_numpy()
+        known[c] = (np.sort(v), r[np.argsort(v)])
+    rows = df.select(*[(col(c).cast("double") + F.lit(0.0)).alias(f"v{i}") for i, c in enumerate(columns)])
+    long = [i for i in range(len(columns)) if i not in known]
+    if long:
+        rows = durable(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        key = F.struct(F.col("c"), F.col("v")).alias("key")
+        wide = rows.select("_row", F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"v{i}").alias("v")) for i in long]))).select("_row", "c", key)
+        found = left_lookup(wide, ranks.where(F.col("c").isin(long)).select(key, "r", "w"), "key", "r", "w", sum(sizes[i] for i in long), n * len(long))
+        by_row = found.groupBy("_row").agg(*[F.max(F.when(F.col("c") == i, F.col("r"))).alias(f"v{i}") for i in long])
+        rows = rows.select("_row", *[f"v{i}" for i in short]).join(by_row, "_row") if short else by_row
+    rows = rows.select(*[f"v{i}" for i in range(len(columns))])
+    shared = df.sparkSession.sparkContext.broadcast(known)
+    sums = rows.mapInArrow(_cross_products(len(columns), short, shared), "cell bigint, s double").groupBy("cell").agg(F.sum("s").alias("s")).collect()
+    s = {r["cell"]: r["s"] for r in sums}  # a number per pair of columns
+    k, out = len(columns), []
+    for i, j in combinations(range(k), 2):
+        scale = math.sqrt(s.get(i * k + i, 0.0) * s.get(j * k + j, 0.0))
+        out.append((columns[i], columns[j], s[i * k + j] / scale if scale else None))
+    return small_table(df.sparkSession, out, "col_a string, col_b string, corr double")
 
 
 def _spearman_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:

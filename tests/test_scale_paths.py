@@ -62,6 +62,49 @@ def test_running_totals_over_partitions(spark):
             assert down[g, v] == full - total
 
 
+def test_running_totals_of_several_weights_in_small_batches(spark):
+    rnd = random.Random(4)
+    rows = [(g, h, v, rnd.randint(0, 9), rnd.random()) for g, h in ((1, "a"), (1, None), (2, None), (2, "b")) for v in rnd.sample(range(9999), 400)]
+    rows += [(3 + i, "x", 1, 5, 0.5) for i in range(50)]  # groups of one row
+    df = spark.createDataFrame(rows, "g int, h string, v bigint, n bigint, x double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r["g"], r["h"], r["v"]): r for r in ordered.running_totals(df, "v", {"n": "nb", "x": "xb"}, ["g", "h"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for g, h in {(r[0], r[1]) for r in rows}:
+        n, x = 0, 0.0
+        for r in sorted(r for r in rows if r[:2] == (g, h)):
+            assert got[r[:3]]["nb"] == n and abs(got[r[:3]]["xb"] - x) < 1e-9
+            n, x = n + r[3], x + r[4]
+    assert ordered.running_totals(df.limit(0), "v", "n", ["g"]).count() == 0
+
+
+def test_numbered_rows(spark):
+    rows = [(i, i * 7919 % 501, i % 3) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, v int, extra int").repartition(5)
+    got = {r["id"]: r["place"] for r in ordered.numbered(df, [F.desc("v"), F.asc("id")], "place").collect()}
+    assert got == {r[0]: i + 1 for i, r in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
+    assert ordered.numbered(df.limit(0), [F.asc("id")], "place").count() == 0
+
+
+@pytest.mark.parametrize("short", [500_000, 40, 0])
+def test_spearman_of_long_and_short_columns(spark, monkeypatch, short):
+    import numpy as np
+    import pandas as pd
+
+    monkeypatch.setattr("tabwright.operators.profile.SHORT_RANKS", short)
+    monkeypatch.setattr("tabwright.operators.lookup.SMALL_TABLE_ROWS", 10)
+    rng = np.random.default_rng(8)
+    table = pd.DataFrame({"few": rng.integers(0, 5, 500), "hot": np.where(rng.random(500) < 0.5, 1.5, rng.normal(size=500)), "wide": rng.normal(size=500), "same": 3.0})
+    table["near"] = table["wide"] * 2 + table["few"]
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.spearman(spark.createDataFrame(table)).collect()}
+    want = table.corr(method="spearman")
+    assert len(got) == 10
+    for (a, b), c in got.items():
+        assert (c is None) == ("same" in (a, b)) and (c is None or abs(c - want.loc[a, b]) < 1e-12)
+
+
 def test_hash_cuts_by_radix_refinement(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "rare").otherwise("hot").alias("c"))
     ranks = {"hot": [0, 17, 999, 1999], "rare": [0, 500, 999]}
