@@ -8,6 +8,7 @@ corrects it for the numbers that are there, which are looked up by slot and adde
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,6 +37,11 @@ def _merged(parts: Column, mean: str = "mean", var: str = "var") -> tuple[Column
     return n, middle, total(lambda p: p["n"] * (p[var] + (p[mean] - middle) * (p[mean] - middle))) / n
 
 
+def _numbers(values: Iterable[float]) -> str:
+    """An array of doubles as SQL."""
+    return "array(" + ", ".join(f"{v!r}D" if math.isfinite(v) else f"double('{v}')" for v in map(float, values)) + ")"
+
+
 @dataclass
 class GaussianBayes:
     """A fitted model, or one per group: `table` has (key, m, v, n), with key = slot * groups + group, means and variances by class."""
@@ -48,17 +54,22 @@ class GaussianBayes:
     largest: list[float]        # largest variance of a feature over all classes, per group
 
     @classmethod
-    def fit(cls, rows: DataFrame, n_classes: int, fold: str | None = None, folds: int = 1) -> GaussianBayes:
-        """From `features` and `label` (a class index). With `fold`, group f learns from the rows of all folds but f."""
+    def fit(cls, rows: DataFrame, n_classes: int, fold: str | None = None, folds: int = 1, known: list[int] | None = None) -> GaussianBayes:
+        """From `features`, all of one length, and `label` (a class index). With `fold`, group f learns from the rows of all folds but f.
+
+        `known` has the rows per class where they are counted already.
+        """
         part = F.col(fold).cast("int") if fold else F.lit(0)
-        counted = rows.groupBy(part.alias("part"), F.col("label").cast("int").alias("label")).agg(
-            F.count("*").alias("n"), F.max(F.unwrap_udt(F.col("features"))["size"]).alias("sparse"),
-            F.max(F.size(F.unwrap_udt(F.col("features"))["values"])).alias("dense")).collect()
-        width = max((max(r["sparse"] or 0, r["dense"] or 0) for r in counted), default=0)
+        v = F.unwrap_udt(F.col("features"))
+        one = rows.select(F.coalesce(v["size"], F.size(v["values"])).alias("width")).first()
+        width = one["width"] if one else 0
         sizes = [[0] * n_classes for _ in range(folds)]
-        for r in counted:
-            for g in ([g for g in range(folds) if g != r["part"]] if fold else [0]):
-                sizes[g][r["label"]] += r["n"]
+        if known and not fold:
+            sizes = [list(known)]
+        else:
+            for r in rows.groupBy(part.alias("part"), F.col("label").cast("int").alias("label")).count().collect():
+                for g in ([g for g in range(folds) if g != r["part"]] if fold else [0]):
+                    sizes[g][r["label"]] += r["count"]
         cells = entries(rows, part.alias("part"), F.col("label").cast("int").alias("label")).groupBy("part", "label", "slot").agg(
             F.count("*").cast("double").alias("n"), F.avg("x").alias("mean"), F.var_pop("x").alias("var"))
         if fold:
@@ -77,9 +88,8 @@ class GaussianBayes:
         var = (F.col("n") * (F.col("var") + (F.col("mean") - mean) * (F.col("mean") - mean)) + (size - F.col("n")) * mean * mean) / size
         cells = cells.select("group", "slot", F.struct("label", F.struct(size.alias("n"), mean.alias("mean"), var.alias("var"), F.col("n").alias("stored"))).alias("cell"))
         # a row per slot: classes that store nothing there have mean and variance zero
-        by_slot = cells.groupBy("group", "slot").agg(F.collect_list("cell").alias("cells"))  # at most one per class
-        at = lambda c, f: F.coalesce(F.try_element_at(F.map_from_entries("cells"), c)[f], F.lit(0.0))
-        each = F.sequence(F.lit(0), F.lit(n_classes - 1))
+        by_slot = cells.groupBy("group", "slot").agg(F.collect_list("cell").alias("cells")).withColumn("by_class", F.map_from_entries("cells"))  # at most one per class
+        at = lambda f: F.expr(f"transform(sequence(0, {n_classes - 1}), c -> coalesce(try_element_at(by_class, c).{f}, 0D))")
         parts = F.transform("cells", lambda c: c.getField("col2"))
         everyone = F.get(all_of, F.col("group"))
         shown = F.aggregate(parts, F.lit(0.0), lambda a, p: a + p["n"])
@@ -87,7 +97,7 @@ class GaussianBayes:
         spread = F.aggregate(parts, F.lit(0.0), lambda a, p: a + p["n"] * (p["var"] + (p["mean"] - middle) * (p["mean"] - middle)))
         table = durable(by_slot.select(
             (F.col("slot").cast("long") * folds + F.col("group")).alias("key"), "group",
-            F.transform(each, lambda c: at(c, "mean")).alias("m"), F.transform(each, lambda c: at(c, "var")).alias("v"),
+            at("mean").alias("m"), at("var").alias("v"),
             F.aggregate(parts, F.lit(0.0), lambda a, p: a + p["stored"]).cast("long").alias("n"),
             ((spread + (everyone - shown) * middle * middle) / everyone).alias("overall")), "slots")
         facts = {r["group"]: r for r in table.groupBy("group").agg(
@@ -103,24 +113,23 @@ class GaussianBayes:
         size = F.get(F.array(*[F.lit(n) for n in self.sizes[0]]), F.col("class"))
         return rows.select("class", "slot", size.cast("long").alias("n"), F.col("c.m").alias("mean"), F.col("c.v").alias("variance"))
 
-    def _epsilon(self, smoothing: float) -> Column:
-        return F.get(F.array(*[F.lit(smoothing * v) for v in self.largest]), F.col("group"))
+    def _epsilon(self, smoothing: float) -> str:
+        return f"get({_numbers(smoothing * v for v in self.largest)}, group)"
 
     def baselines(self, smoothings: list[float]) -> list[list[list[float]]]:
         """By smoothing, group and class: the log score of a row of zeros; a class without rows has minus infinity."""
-        variance = lambda v, s: F.greatest(v + self._epsilon(s), F.lit(LEAST_VARIANCE))
-        terms = {}
+        cells = self.table.select("group", F.posexplode(F.arrays_zip("m", "v")).alias("class", "c")).select("group", "class", "c.m", "c.v")
+        terms = []
         for i, s in enumerate(smoothings):
-            for c in range(len(self.sizes[0])):
-                m, v = F.get("m", F.lit(c)), variance(F.get("v", F.lit(c)), s)
-                terms[f"b{i}_{c}"] = F.sum(-0.5 * F.log(2 * math.pi * v) - m * m / (2 * v))
-        rows = {r["group"]: r for r in self.table.groupBy("group").agg(*[t.alias(k) for k, t in terms.items()]).collect()}
+            var = f"greatest(v + {self._epsilon(s)}, {LEAST_VARIANCE!r}D)"
+            terms.append(F.expr(f"sum(-0.5D * ln({2 * math.pi!r}D * {var}) - m * m / (2D * {var}))").alias(f"b{i}"))
+        rows = {(r["group"], r["class"]): r for r in cells.groupBy("group", "class").agg(*terms).collect()}
         out = []
         for i, s in enumerate(smoothings):
             out.append([])
             for g, sizes in enumerate(self.sizes):
                 rest = (self.width - self.slots[g]) * -0.5 * math.log(2 * math.pi * max(s * self.largest[g], LEAST_VARIANCE))
-                out[i].append([math.log(n / sum(sizes)) + rest + (rows[g][f"b{i}_{c}"] if g in rows else 0.0) if n else -math.inf for c, n in enumerate(sizes)])
+                out[i].append([math.log(n / sum(sizes)) + rest + (rows[g, c][f"b{i}"] if (g, c) in rows else 0.0) if n else -math.inf for c, n in enumerate(sizes)])
         return out
 
     def score(self, df: DataFrame, smoothings: list[float], baselines: list[list[list[float]]], group: Column | None = None) -> DataFrame:
@@ -136,22 +145,13 @@ class GaussianBayes:
         table = self.table.select("key", F.struct("m", "v").alias("_of"), "n")
         n_rows = sum(self.slots) * math.ceil(len(classes) / CELLS_PER_ROW)
         found = left_lookup(cells, table, "key", "_of", "n", n_rows, max(self.entries, 1))
-        x = F.col("x")
-        sums = {}
-        for i, s in enumerate(smoothings):
-            for c in classes:
-                m, v = F.coalesce(F.get("_of.m", F.lit(c)), F.lit(0.0)), F.coalesce(F.get("_of.v", F.lit(c)), F.lit(0.0))
-                sums[f"s{i}_{c}"] = F.sum(x * (2 * m - x) / (2 * F.greatest(v + self._epsilon(s), F.lit(LEAST_VARIANCE))))
-        added = found.where("_of is not null").groupBy("_row").agg(*[t.alias(k) for k, t in sums.items()])
-        logs = F.array(*[F.array(*[
-            F.get(F.array(*[F.lit(b) for b in (baselines[i][k][c] for k in range(groups))]), F.col("group")) + F.coalesce(F.col(f"s{i}_{c}"), F.lit(0.0))
-            for c in classes]) for i in range(len(smoothings))])
-
-        def outcome(log: Column) -> Column:
-            top = F.array_max(log)
-            weights = F.transform(log, lambda v: F.exp(v - top))
-            total = F.aggregate(weights, F.lit(0.0), lambda a, v: a + v)
-            return F.struct((F.array_position(log, top) - 1).cast("int").alias("winner"), F.transform(weights, lambda v: v / total).alias("probability"))
-
+        added = found.where("_of is not null").groupBy("_row").agg(*[
+            F.expr(f"sum(x * (2D * get(_of.m, {c}) - x) / (2D * greatest(get(_of.v, {c}) + {self._epsilon(s)}, {LEAST_VARIANCE!r}D)))").alias(f"s{i}_{c}")
+            for i, s in enumerate(smoothings) for c in classes])
+        logs = F.expr("array(" + ", ".join("array(" + ", ".join(
+            f"get({_numbers(b[c] for b in baselines[i])}, group) + coalesce(s{i}_{c}, 0D)" for c in classes) + ")" for i in range(len(smoothings))) + ")")
+        outcome = F.expr("""transform(_logs, l -> transform(array(array_max(l)), top -> struct(
+            cast(array_position(l, top) - 1 as int) as winner,
+            transform(l, v -> exp(v - top) / aggregate(l, 0D, (a, w) -> a + exp(w - top))) as probability))[0])""")
         out = rows.join(added, "_row", "left").withColumn("_logs", logs)
-        return out.select(*[col(c) for c in df.columns], F.transform("_logs", outcome).alias("outcome"))
+        return out.select(*[col(c) for c in df.columns], outcome.alias("outcome"))

@@ -138,7 +138,7 @@ class Classifier:
         self.state["leaves"] = leaf_counts(rows.sparkSession, self.model, p["min_samples_split"]) if p["min_samples_split"] > 2 else None
 
     def _fit_bayes(self, rows: DataFrame, sizes: dict) -> None:
-        fitted = GaussianBayes.fit(rows, len(self.classes))
+        fitted = GaussianBayes.fit(rows, len(self.classes), known=list(sizes.values()))
         self.points = fitted.table
         self.state = {k: getattr(fitted, k) for k in ("sizes", "width", "slots", "entries", "largest")}
         self.state["baselines"] = fitted.baselines([self.params["var_smoothing"]])

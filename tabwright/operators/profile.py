@@ -21,7 +21,7 @@ from tabwright.operators.table import capped, numeric_columns
 from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable
 
-SHORT_RANKS = 500_000  # ranks that travel to every task: 8 MB
+SHORT_RANKS = 2_000_000  # ranks that travel to every task: 32 MB
 
 
 @dataclass(frozen=True)
