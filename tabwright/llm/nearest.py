@@ -363,7 +363,9 @@ def search(vectors: DataFrame, every: int = 20, most: int = 20, recall: float =
         right = _sliced(probes, blocks, "_queries", "_rows", "query", ["query", "vector", "buckets"])
         keys = ["t", "g", "i", "j"]
         met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_meet(most + 1), "query binary, found array<struct<down:double,id:bigint>>")
-        merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))), 1, most + 1)
+        # a row found in several tables has one score, so after sorting its copies are neighbours
+        once = F.transform(F.array(F.sort_array(F.flatten(F.collect_list("found")))), lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1))))
+        merged = F.slice(once[0], 1, most + 1)
         lists = durable(met.groupBy("query").agg(merged.alias("found")), "found")
         table = lists.join(distinct.select(F.col("key").alias("query"), F.col("queries").alias("w")), "query")
         asked = rows.where(F.pmod("id", F.lit(every)) == 0).select("id", F.col("key").alias("query"))
