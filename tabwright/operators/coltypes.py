@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tabwright.functions.exprs import col, is_fractional, is_numeric, near_integer
-from tabwright.operators.counts import distinct_counts, per_column
+from tabwright.operators.counts import distinct_counts, few_distinct, per_column
 from tabwright.operators.table import require
 from tabwright.sources.local import small_table
 
 MAX_CLASSES = 200
 
 
-def column_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per column: type, rows, non-null rows, distinct values, integer tests."""
+def column_facts(df: DataFrame, columns: list[str] | None = None, limits: dict[str, int] | None = None) -> DataFrame:
+    """Per column: type, rows, non-null rows, distinct values, integer tests.
+
+    With `limits`, distinct values of the columns named are counted exactly up to their limit and are NULL beyond; those of others are NULL.
+    """
     columns = columns or df.columns
     fields = {f.name: f.dataType for f in df.schema}
 
@@ -39,31 +42,49 @@ def column_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         "non_null": lambda c: F.count(col(c)), "whole": whole, "near_whole": near,
     }, {"n_rows": F.count("*")})
     kinds = F.create_map(*[F.lit(x) for c in columns for x in (c, kind(c))])
-    return (facts.withColumn("kind", kinds[F.col("column")])
-            .join(distinct_counts(df, columns), "column", "left")
-            .fillna({"n_unique": 0}))
+    facts = facts.withColumn("kind", kinds[F.col("column")])
+    if limits is not None:
+        return facts.join(few_distinct(df, {c: limits[c] for c in columns if c in limits}), "column", "left")
+    return facts.join(distinct_counts(df, columns), "column", "left").fillna({"n_unique": 0})
+
+
+def _decided(df: DataFrame, columns: list[str], most: int, share: float, whole_only: bool) -> DataFrame:
+    """Facts with distinct values counted as far as a type depends on them: up to `most`, beyond only where the share of rows decides.
+
+    Only numbers are looked at, and of those beyond `most` only columns whose rows could hold that many values: share * rows > most.
+    """
+    fields = {f.name: f.dataType for f in df.schema}
+    numbers = [c for c in columns if is_numeric(fields[c])]
+    facts = column_facts(df, columns, dict.fromkeys(numbers, most))
+    rows = facts.select("column", "n_rows", "non_null", "whole", "n_unique").where(F.col("column").isin(numbers)).collect()
+    open_columns = [r["column"] for r in rows if r["n_unique"] is None and share * r["n_rows"] > most and (r["whole"] or not whole_only)]
+    counted = distinct_counts(df, open_columns).withColumnRenamed("n_unique", "_counted")
+    return facts.join(counted, "column", "left").withColumn("n_unique", F.coalesce("n_unique", "_counted")).drop("_counted")
 
 
 def _unique_ratio():
     return F.col("n_unique") / F.greatest(F.col("n_rows"), F.lit(1))
 
 
-def upload_types(df: DataFrame, unique_threshold: int = 5, ratio_threshold: float = 0.005) -> DataFrame:
-    """Few distinct values make a numeric column categorical; other types always are."""
+def upload_types(df: DataFrame, unique_threshold: int = 5, ratio_threshold: float = 0.005, counts: bool = True) -> DataFrame:
+    """Few distinct values make a numeric column categorical; other types always are.
+
+    Without `counts`, n_unique is NULL where the type does not depend on it, and no text is shuffled.
+    """
     few = (F.col("n_unique") <= unique_threshold) | (_unique_ratio() <= ratio_threshold)
-    numeric = F.col("kind").isin("int", "float") & ~few
-    return column_facts(df).select(
-        "column", "position", "n_unique", F.when(numeric, "numeric").otherwise("categorical").alias("type"))
+    numeric = F.col("kind").isin("int", "float") & ~F.coalesce(few, F.lit(False))
+    facts = column_facts(df) if counts else _decided(df, df.columns, unique_threshold, ratio_threshold, False)
+    return facts.select("column", "position", "n_unique", F.when(numeric, "numeric").otherwise("categorical").alias("type"))
 
 
-def profile_types(df: DataFrame, target: str | None = None, max_unique: int = 20, unique_share: float = 0.10
+def profile_types(df: DataFrame, target: str | None = None, max_unique: int = 20, unique_share: float = 0.10, counts: bool = True
                   ) -> DataFrame:
-    """Whole numbers with few distinct values are categorical; the target is left out."""
+    """Whole numbers with few distinct values are categorical; the target is left out. `counts` as in `upload_types`."""
     few = (F.col("n_unique") <= max_unique) | (_unique_ratio() <= unique_share)
-    numeric = F.col("kind").isin("int", "float") & ~(F.col("whole") & few)
+    numeric = F.col("kind").isin("int", "float") & ~(F.col("whole") & F.coalesce(few, F.lit(False)))
     columns = [c for c in df.columns if c != target]
-    return column_facts(df, columns).select(
-        "column", "position", "n_unique", F.when(numeric, "numeric").otherwise("categorical").alias("type"))
+    facts = column_facts(df, columns) if counts else _decided(df, columns, max_unique, unique_share, True)
+    return facts.select("column", "position", "n_unique", F.when(numeric, "numeric").otherwise("categorical").alias("type"))
 
 
 def dtype_types(df: DataFrame) -> dict[str, str]:
@@ -88,7 +109,7 @@ def resolve_profile_types(df: DataFrame, declared: dict[str, str] | None, target
     inferred = {f.name: "categorical" for f in df.schema if f.name in open_columns}
     numbers = [f.name for f in df.schema if f.name in open_columns and is_numeric(f.dataType)]
     if numbers:
-        rows = profile_types(df.select(*[col(c) for c in numbers])).collect()
+        rows = profile_types(df.select(*[col(c) for c in numbers]), counts=False).collect()
         inferred.update({r["column"]: r["type"] for r in rows})
     return declared_first(columns, declared or {}, inferred)
 
@@ -108,8 +129,13 @@ def _is_candidate(max_classes: int):
         | ((F.col("kind") == "float") & few & F.col("near_whole")))
 
 
-def target_candidates(df: DataFrame, max_classes: int = MAX_CLASSES) -> DataFrame:
-    return column_facts(df).where(_is_candidate(max_classes)).select("column", "position", "kind", "n_unique")
+def target_candidates(df: DataFrame, max_classes: int = MAX_CLASSES, counts: bool = True) -> DataFrame:
+    """Columns that can be a target. Without `counts`, n_unique is exact up to `max_classes` and NULL beyond."""
+    if counts:
+        return column_facts(df).where(_is_candidate(max_classes)).select("column", "position", "kind", "n_unique")
+    facts = column_facts(df, limits=dict.fromkeys(df.columns, max_classes)).withColumn("_n", F.col("n_unique"))
+    more = facts.withColumn("n_unique", F.coalesce("n_unique", F.lit(max_classes + 1)))
+    return more.where(_is_candidate(max_classes)).select("column", "position", "kind", F.col("_n").alias("n_unique"))
 
 
 def integer_like(df: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabwright.functions.exprs import col, is_fractional
@@ -50,6 +54,41 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return distinct.groupBy("column").agg(F.count("*").alias("n_unique"))
 
 
+def _few_batches(limits: list[int]):
+    """Per column the distinct values of a task, as text, or one mark (null) as soon as there are more than its limit."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[pa.Array | None] = [None] * len(limits)
+        full = [False] * len(limits)
+        for batch in batches:
+            for i, limit in enumerate(limits):
+                if not full[i]:
+                    values = pc.drop_null(pc.unique(batch.column(i)))
+                    if pa.types.is_floating(values.type):
+                        values = pc.add(values, pa.scalar(0.0, values.type))  # no negative zero
+                    seen[i] = pc.unique(values if seen[i] is None else pa.concat_arrays([seen[i], values]))
+                    full[i] = len(seen[i]) > limit
+        for i, values in enumerate(seen):
+            if values is not None:
+                text = pa.nulls(1, pa.string()) if full[i] else pc.cast(values, pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([i] * len(text), pa.int32()), text], names=["at", "value"])
+    return run
+
+
+def few_distinct(df: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """(column, n_unique): distinct values without missing ones, exact up to the column's limit, NULL beyond it.
+
+    A task gives up on a column as soon as it has seen more, so at most `limit` values per task and column are shuffled.
+    """
+    if not limits:
+        return small_table(df.sparkSession, [], "column string, n_unique bigint")
+    found = df.select(*[col(c) for c in limits]).mapInArrow(_few_batches(list(limits.values())), "at int, value string")
+    per = found.groupBy("at", "value").agg(F.lit(1).alias("_one")).groupBy("at").agg(F.count("value").alias("n"), F.count_if(F.col("value").isNull()).alias("full"))
+    names = F.broadcast(small_table(df.sparkSession, [(i, c, m) for i, (c, m) in enumerate(limits.items())], "at int, column string, most bigint"))
+    n = F.coalesce("n", F.lit(0))
+    whole = F.when((F.coalesce("full", F.lit(0)) == 0) & (n <= F.col("most")), n)
+    return names.join(per, "at", "left").select("column", whole.alias("n_unique"))
+
+
 def top_values(counts: DataFrame, n: int) -> DataFrame:
     """The n most frequent values per column with their rank; ties go to the smaller value.
 

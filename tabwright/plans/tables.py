@@ -139,6 +139,15 @@ def types_upload(spark, sf):
     return coltypes.upload_types(lines(spark, sf))
 
 
+@query("types_upload_decided", f"""
+    select "column", position, case when kind = 'num' and (n_unique <= 5 or 0.005 * n_rows > 5) then n_unique end as n_unique,
+      case when kind = 'num' and n_unique > 5 and n_unique / n_rows > 0.005 then 'numeric' else 'categorical' end as type
+    from ({LINE_FACTS})""")
+def types_upload_decided(spark, sf):
+    """Types with distinct values counted only as far as they decide."""
+    return coltypes.upload_types(lines(spark, sf), counts=False)
+
+
 _profile_rule = """case when kind = 'num' and not (whole and (n_unique <= 20 or n_unique / n_rows <= 0.10))
     then 'numeric' else 'categorical' end"""
 
@@ -207,6 +216,13 @@ def target_candidates(spark, sf):
     return coltypes.target_candidates(load(spark, sf, "dirty_orders"))
 
 
+@query("target_candidates_decided", f"""
+    select "column", position, kind, case when n_unique <= 200 then n_unique end as n_unique from ({DIRTY_FACTS}) where {_candidate}""")
+def target_candidates_decided(spark, sf):
+    """Candidates with classes counted up to the most that are allowed."""
+    return coltypes.target_candidates(load(spark, sf, "dirty_orders"), counts=False)
+
+
 @query("integer_like", union_of(
     "select '{c}' as \"column\", count({c}) as non_null, {near} as near_whole from dirty_orders",
     [c for c in DIRTY if _dirty_kind[c] == "float"], near=_dirty_near))

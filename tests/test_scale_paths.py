@@ -105,6 +105,29 @@ def test_spearman_of_long_and_short_columns(spark, monkeypatch, short):
         assert (c is None) == ("same" in (a, b)) and (c is None or abs(c - want.loc[a, b]) < 1e-12)
 
 
+def test_few_distinct_values_stop_at_the_limit(spark):
+    from tabwright.operators import coltypes, counts
+
+    rows = [(i, i % 3, f"t{i % 7}" if i % 5 else None, [0.0, -0.0, 1.5][i % 3], bool(i % 2), None) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id bigint, few int, word string, x double, flag boolean, gone double").repartition(6)
+    limits = {"id": 10, "few": 3, "word": 7, "x": 1, "flag": 5, "gone": 5}
+    got = {r["column"]: r["n_unique"] for r in counts.few_distinct(df, limits).collect()}
+    assert got == {"id": None, "few": 3, "word": 7, "x": None, "flag": 2, "gone": 0}
+    # every task sees few values, all together have many
+    own = spark.range(4000).repartitionByRange(8, "id").select((F.col("id") / 500).cast("int").alias("block"))
+    assert counts.few_distinct(own, {"block": 7}).first()["n_unique"] is None
+    assert counts.few_distinct(own, {"block": 8}).first()["n_unique"] == 8
+    assert counts.few_distinct(df.limit(0), {"few": 2}).first()["n_unique"] == 0
+    for counted, decided in ((coltypes.upload_types(df), coltypes.upload_types(df, counts=False)), (coltypes.profile_types(df), coltypes.profile_types(df, counts=False)),
+                             (coltypes.target_candidates(df), coltypes.target_candidates(df, counts=False))):
+        last = counted.columns[3] if "type" in counted.columns else "kind"
+        want = {r["column"]: (r[last], r["n_unique"]) for r in counted.collect()}
+        for r in decided.collect():
+            kind, n = want.pop(r["column"])
+            assert r[last] == kind and r["n_unique"] in (None, n)
+        assert not want
+
+
 def test_hash_cuts_by_radix_refinement(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "rare").otherwise("hot").alias("c"))
     ranks = {"hot": [0, 17, 999, 1999], "rare": [0, 500, 999]}
