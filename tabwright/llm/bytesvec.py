@@ -12,8 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from xxhash import xxh3_64_intdigest
 
 CHUNK_BYTES = 1 << 20
+LONG = 256  # bytes beyond which a string is hashed as a whole
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20260101)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -113,18 +115,31 @@ def prefix_hash(buf: np.ndarray) -> np.ndarray:
     return out
 
 
-def segment_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One hash per byte string starts[i]:ends[i]; equal strings have equal hashes wherever they stand."""
+def segment_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, buf: np.ndarray) -> np.ndarray:
+    """One hash per byte string buf[starts[i]:ends[i]]; equal strings have equal hashes wherever they stand.
+
+    Prefix sums modulo 2^64 have strings of structure (Thue-Morse, from about 1,000 bytes) that collide under every multiplier, so
+    strings of more than LONG bytes are hashed by XXH3 instead.
+    """
     raw = (prefix[ends] - prefix[starts]) * _power_tables(len(prefix))[1][starts]
-    return mix(raw + (ends - starts).astype(np.uint64))
+    return _hash_long(mix(raw + (ends - starts).astype(np.uint64)), buf, starts, ends)
 
 
 def run_hash(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One hash per run of keys starts[i]:ends[i]; equal runs have equal hashes wherever they stand."""
+    """One hash per run of keys starts[i]:ends[i]; equal runs have equal hashes wherever they stand. Long ones as in segment_hash."""
     powers, inverse = _power_tables(len(keys) + 1)
     prefix = np.zeros(len(keys) + 1, np.uint64)
     np.cumsum(keys * powers[:len(keys)], out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    out = mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return _hash_long(out, np.ascontiguousarray(keys).view(np.uint8), starts * 8, ends * 8)
+
+
+def _hash_long(out: np.ndarray, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    at = np.flatnonzero(ends - starts > LONG)
+    if len(at):
+        data = memoryview(np.ascontiguousarray(buf))
+        out[at] = [xxh3_64_intdigest(data[a:b]) for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+    return out
 
 
 def gram_hash(prefix: np.ndarray, size: int) -> np.ndarray:

@@ -44,7 +44,7 @@ def _parsed(column: pa.Array, window: int, period: int) -> Iterator[tuple[Chunk,
         if not len(starts):
             continue
         doc = np.repeat(np.arange(len(chunk)), np.diff(first))
-        code = segment_hash(prefix_hash(buf), starts, ends)
+        code = segment_hash(prefix_hash(buf), starts, ends, buf)
         opens = np.zeros(len(starts), bool)
         opens[first[:-1][np.diff(first) > 0]] = True
         if len(starts) >= window:
@@ -96,7 +96,7 @@ def _salted(code: np.ndarray, langs: pa.Array) -> np.ndarray:
 def _filter_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk in chunks(batch.column(1)):
-            code = segment_hash(prefix_hash(chunk.buf), chunk.offsets[:-1], chunk.offsets[1:])
+            code = segment_hash(prefix_hash(chunk.buf), chunk.offsets[:-1], chunk.offsets[1:], chunk.buf)
             at = np.unique(_places(_salted(code, batch.column(0).slice(chunk.first, len(chunk)))))
             yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
 
@@ -149,7 +149,7 @@ def _gram_batches(size: int, parts_seen):
                 same = (doc[:n] == doc[size - 1:]) & (piece[:n] == piece[size - 1:])
                 if flags is not None:
                     shorter = np.flatnonzero((doc[:n + 1] == doc[size - 2:]) & (piece[:n + 1] == piece[size - 2:]))
-                    code = _salted(segment_hash(prefix_hash(line), new_starts[shorter], new_ends[shorter + size - 2]), langs.take(pa.array(doc[shorter])))
+                    code = _salted(segment_hash(prefix_hash(line), new_starts[shorter], new_ends[shorter + size - 2], line), langs.take(pa.array(doc[shorter])))
                     where = _places(code)
                     some = np.zeros(n + 1, bool)
                     some[shorter] = flags[where >> 3] >> (7 - (where & 7)).astype(np.uint8) & 1

@@ -42,7 +42,7 @@ def _words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     here, before = inside[1:], inside[:-1]
     starts = np.flatnonzero(here & (~before | edge[1:]))
     ends = np.flatnonzero(before & (~here | edge[1:]))
-    return segment_hash(prefix_hash(chunk.buf), starts, ends), np.searchsorted(starts, chunk.offsets)
+    return segment_hash(prefix_hash(chunk.buf), starts, ends, chunk.buf), np.searchsorted(starts, chunk.offsets)
 
 
 def _shingles(words: np.ndarray, size: int) -> np.ndarray:

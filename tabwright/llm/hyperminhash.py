@@ -56,7 +56,8 @@ def shingle_sets(chunk: Chunk, size: int) -> tuple[np.ndarray, np.ndarray]:
     A shingle is `size` words (A-Z in lower case); a document with fewer words has its whole sequence as its only one.
     """
     starts, ends, first = words(chunk)
-    code = segment_hash(prefix_hash(lower(chunk.buf)), starts, ends)
+    low = lower(chunk.buf)
+    code = segment_hash(prefix_hash(low), starts, ends, low)
     n_words = np.diff(first)
     sets, bounds = [], np.zeros(len(chunk) + 1, np.int64)
     factors = np.array([pow(_WORD_FACTOR, j, 1 << 64) for j in range(size)], np.uint64)

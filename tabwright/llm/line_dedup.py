@@ -50,7 +50,7 @@ def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             has = n > 0
             # a line's key leaves out white space around it
             key = np.zeros(len(starts), np.uint64)
-            key[has] = segment_hash(prefix_hash(chunk.buf), at[lo[has]], to[hi[has] - 1])
+            key[has] = segment_hash(prefix_hash(chunk.buf), at[lo[has]], to[hi[has] - 1], chunk.buf)
             offsets = pa.array(first, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(chunk.first, len(chunk)), pa.ListArray.from_arrays(offsets, pa.array(signed(key))), pa.ListArray.from_arrays(offsets, pa.array(n))],

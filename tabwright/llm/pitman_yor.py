@@ -210,7 +210,7 @@ class Seating:
 
 def _codes(column: pa.Array) -> np.ndarray:
     """A hash per word, for its draws."""
-    out = [segment_hash(prefix_hash(c.buf), c.offsets[:-1], c.offsets[1:]) for c in chunks(column)]
+    out = [segment_hash(prefix_hash(c.buf), c.offsets[:-1], c.offsets[1:], c.buf) for c in chunks(column)]
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -234,7 +234,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for chunk in chunks(batch.column(0)):
             low = lower(chunk.buf)
             starts, ends, first = words(chunk)
-            code, at, back = np.unique(segment_hash(prefix_hash(low), starts, ends), return_index=True, return_inverse=True)
+            code, at, back = np.unique(segment_hash(prefix_hash(low), starts, ends, low), return_index=True, return_inverse=True)
             n = np.bincount(back, np.repeat(learn[chunk.first:chunk.last], np.diff(first)), len(code))
             held.append((code, n, cut(low, starts[at], ends[at])))
             size += len(code)
@@ -303,7 +303,7 @@ def _tokens(chunk, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     """Document, previous word and word of every token, each document's end included."""
     low = lower(chunk.buf)
     starts, ends, first = words(chunk)
-    code = segment_hash(prefix_hash(low), starts, ends)
+    code = segment_hash(prefix_hash(low), starts, ends, low)
     end = _ids(often, _codes(pa.array([_END], pa.binary())))[0]
     doc = np.repeat(np.arange(len(chunk)), np.diff(first) + 1)
     w = np.full(len(code) + len(chunk), end)

@@ -35,7 +35,7 @@ class Texts:
         self.starts, self.ends, self.first = words(chunk)
         self.n_words = np.diff(self.first)
         self.prefix = prefix_hash(buf)
-        self.codes = segment_hash(self.prefix, self.starts, self.ends)
+        self.codes = segment_hash(self.prefix, self.starts, self.ends, buf)
         self.doc = np.repeat(np.arange(len(chunk)), self.n_words)
         points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
         self.word_chars = np.bincount(self.doc, points[self.ends] - points[self.starts], len(chunk)).astype(np.int64)
@@ -53,7 +53,7 @@ class Texts:
         starts, ends = starts[has], ends[has]
         doc = np.searchsorted(offsets, starts, "right") - 1
         self.n_lines = np.bincount(doc, minlength=len(self.chunk))
-        distinct = np.unique(np.stack([doc.astype(np.uint64), segment_hash(self.prefix, starts, ends)]), axis=1)[0] if len(doc) else doc
+        distinct = np.unique(np.stack([doc.astype(np.uint64), segment_hash(self.prefix, starts, ends, buf)]), axis=1)[0] if len(doc) else doc
         self.n_dup_lines = self.n_lines - np.bincount(distinct.astype(np.int64), minlength=len(self.chunk))
 
     def _repeats(self) -> np.ndarray:

@@ -174,7 +174,7 @@ class Codec:
         start[offsets[:-1][sizes > 0]] = True
         at = np.flatnonzero(start)
         ends = np.append(at[1:], len(buf))
-        _, first, back = np.unique(segment_hash(prefix_hash(buf), at, ends), return_index=True, return_inverse=True)
+        _, first, back = np.unique(segment_hash(prefix_hash(buf), at, ends, buf), return_index=True, return_inverse=True)
         words = cut(buf, at[first], ends[first]).cast(pa.string()).to_pylist()
         if len(self.known) > CACHED:
             self.known.clear()

@@ -51,7 +51,7 @@ def _anchors(chunk, length: int, seed: int):
     new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
     at = np.flatnonzero(new)
     first, last = start[at], start[np.append(at[1:], len(doc)) - 1]
-    return grams[anchor[at]], segment_hash(prefix, first, last + length), doc[at], first - offsets[doc[at]], last - first
+    return grams[anchor[at]], segment_hash(prefix, first, last + length, buf), doc[at], first - offsets[doc[at]], last - first
 
 
 def _settled(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -110,7 +110,7 @@ def _pair_batches(length: int):
                 start, doc = np.repeat(starts[lo:hi], n) + within, np.repeat(doc, n)
                 p = start + chunk.offsets[doc]
                 prefix = prefix_hash(chunk.buf)
-                found.append((segment_hash(prefix, p, p + half), segment_hash(prefix, p + half, p + length), ids[chunk.first:chunk.last][doc], start))
+                found.append((segment_hash(prefix, p, p + half, chunk.buf), segment_hash(prefix, p + half, p + length, chunk.buf), ids[chunk.first:chunk.last][doc], start))
             left, right, doc, start = (np.concatenate(x) for x in zip(*found, strict=True))
             known = _settled(np.lexsort((start, doc, right, left)), left, right)
             left = np.where(known, _own_key(doc, start), left)
