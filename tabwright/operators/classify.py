@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -55,6 +55,14 @@ def class_weights(sizes: dict, balanced: str | None) -> Column:
     return F.get(F.array(*[F.lit(n / (k * m)) for m in sizes.values()]), F.col("label").cast("int"))
 
 
+def fit_key(name: str, params: dict) -> tuple:
+    """What of the parameters changes the fit. A tree is grown in full and cut back to min_samples_split; a line has no gamma."""
+    unused = {"min_samples_split"} if name == "Decision Tree" else set()
+    if name == "Support Vector Machine" and params.get("kernel") == "linear":
+        unused = {"gamma"}
+    return tuple(sorted((k, str(v)) for k, v in params.items() if k not in unused and k != "solver"))
+
+
 @dataclass
 class Classifier:
     """A fitted classifier of one family."""
@@ -137,6 +145,16 @@ class Classifier:
         # every node that splits has two rows, so up to that limit the library's own leaves are the result
         self.state["leaves"] = leaf_counts(rows.sparkSession, self.model, p["min_samples_split"]) if p["min_samples_split"] > 2 else None
 
+    def sharing(self, spark: SparkSession, params: dict) -> Classifier:
+        """This fit under other parameters that do not change it: the same `fit_key`."""
+        if fit_key(self.name, {**self.params, **params}) != fit_key(self.name, self.params):
+            raise ValueError(f"{self.name} has to be fitted anew for {params}")
+        out = replace(self, params={**self.params, **params}, state=dict(self.state))
+        if self.name == "Decision Tree":
+            least = out.params["min_samples_split"]
+            out.state["leaves"] = leaf_counts(spark, self.model, least) if least > 2 else None
+        return out
+
     def _fit_bayes(self, rows: DataFrame, sizes: dict) -> None:
         fitted = GaussianBayes.fit(rows, len(self.classes), known=list(sizes.values()))
         self.points = fitted.table
@@ -255,6 +273,19 @@ def train_all(train: DataFrame, target: str, key: str, names: list[str] | None =
     return models, errors
 
 
+def score_all(models: dict[str, Classifier], test: DataFrame) -> tuple[dict[str, DataFrame | str], dict[str, dict[str, float]]]:
+    """Stored predictions of every model, or the error that kept it from any, with the seconds training and prediction took."""
+    results, seconds = {}, {}
+    for name, model in models.items():
+        start = time.perf_counter()
+        try:
+            results[name] = durable(model.score(test), "scored")
+            seconds[name] = {"train_seconds": model.train_seconds, "predict_seconds": time.perf_counter() - start}
+        except Exception as e:  # one model's failure leaves the others
+            results[name] = str(e)
+    return results, seconds
+
+
 def training_table(spark: SparkSession, models: dict[str, Classifier], errors: dict[str, str]) -> DataFrame:
     rows = [(n, "trained", None, m.train_seconds) for n, m in models.items()]
     rows += [(n, "failed", e, None) for n, e in errors.items()]

@@ -45,7 +45,7 @@ def preview(df: DataFrame, order: list[str], n: int = 5, tail: bool = False) ->
 def require(df: DataFrame, wanted: list[str], what: str) -> None:
     missing = [c for c in wanted if c not in df.columns]
     if missing:
-        raise KeyError(f"{what} not found in dataset: " + ", ".join(missing))
+        raise KeyError(f"{what}: no {', '.join(missing)} among {', '.join(df.columns)}")
 
 
 def features_of(df: DataFrame, target: str, wanted: list[str] | None = None) -> DataFrame:

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabwright.functions.exprs import col
 from tabwright.operators.bayes import GaussianBayes
-from tabwright.operators.classify import Classifier, indexed
+from tabwright.operators.classify import DEFAULTS, Classifier, fit_key, indexed
 from tabwright.operators.evaluate import metrics
 from tabwright.operators.neighbors import neighbours, vote_grid
 from tabwright.operators.split import SEED, class_sizes, stratified_folds
@@ -66,6 +66,7 @@ class Search:
     best_score: float
     best: Classifier | None
     elapsed_seconds: float
+    errors: dict[int, str] = field(default_factory=dict)  # by candidate: why it has folds without a score
 
     def summary(self) -> DataFrame:
         return small_table(
@@ -77,7 +78,9 @@ class Search:
 
 
 def mean_scores(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("candidate", "params").agg(F.avg("score").alias("mean_score"))
+    """Per candidate; NULL if it failed on any fold."""
+    whole = F.count("score") == F.count("*")
+    return scores.groupBy("candidate", "params").agg(F.when(whole, F.avg("score")).alias("mean_score"))
 
 
 def best_candidate(scores: DataFrame) -> DataFrame:
@@ -91,7 +94,10 @@ def best_candidate(scores: DataFrame) -> DataFrame:
 def search(name: str, train: DataFrame, target: str, key: str, method: str = "grid", scoring: str = "accuracy",
            cv: int = 5, n_iter: int = 20, seed: int = SEED, space: dict | None = None, refit: bool = True,
            parallelism: int = 4) -> Search:
-    """Cross-validate candidates on prepared training rows; folds do not refit the preparation."""
+    """Cross-validate candidates on prepared training rows; folds do not refit the preparation.
+
+    Candidates that differ only in what does not change the fit share it. A candidate that fails has no score, and its error is kept.
+    """
     start = time.perf_counter()
     train = train.where(col(target).isNotNull())
     if scoring not in SCORERS:
@@ -99,7 +105,7 @@ def search(name: str, train: DataFrame, target: str, key: str, method: str = "gr
     space = space or SPACES[name]
     candidates = list(enumerate(grid(space))) if method == "grid" else random_candidates(space, n_iter, seed)
     classes = list(class_sizes(train, target))
-    measure = SCORERS[scoring]
+    measure, errors = SCORERS[scoring], {}
     with temporary(train.sparkSession):  # only the scores come out
         folded = durable(indexed(stratified_folds(train, [key], target, cv, seed), target, classes), "folds")
         if name == "Naive Bayes":
@@ -112,15 +118,46 @@ def search(name: str, train: DataFrame, target: str, key: str, method: str = "gr
             rows = [(r["candidate"], r["fold"], r[measure]) for r in
                     metrics(predicted, "label", "winner", ["candidate", "fold"]).collect()]  # candidates x folds
         else:
-            rows = _fitted_scores(name, folded, target, key, candidates, cv, measure, parallelism)
+            rows, errors = _fitted_scores(name, folded, target, key, candidates, cv, measure, parallelism)
     texts = {i: text_of(p) for i, p in candidates}
     scores = small_table(train.sparkSession, [(i, texts[i], f, s) for i, f, s in rows],
                          "candidate int, params string, fold int, score double")
     top = best_candidate(scores).first()
+    if top["best_score"] is None:
+        raise ValueError(f"no candidate of {name} could be scored: {next(iter(errors.values()), 'there are no rows')}")
     params = dict(candidates)[top["candidate"]]
     best = Classifier.fit(name, train, target, key, params) if refit else None
     return Search(name, method, scoring, cv, candidates, scores, params, top["best_score"], best,
-                  time.perf_counter() - start)
+                  time.perf_counter() - start, errors)
+
+
+def search_families(names: list[str], train: DataFrame, target: str, key: str, **how) -> tuple[dict[str, Search], dict[str, str]]:
+    """Search the chosen families one after the other: (searches, errors). A failure stops only its own family.
+
+    `space` in `how` has a space per family.
+    """
+    spaces = how.pop("space", None) or {}
+    found, errors = {}, {}
+    for name in names:
+        try:
+            if name not in SPACES:
+                raise KeyError(f"{name} is not one of {', '.join(SPACES)}")
+            found[name] = search(name, train, target, key, space=spaces.get(name), **how)
+        except Exception as e:  # recorded per family, as the caller shows it beside the others
+            errors[name] = e.args[0] if isinstance(e, KeyError) else str(e)
+    return found, errors
+
+
+def search_table(spark: SparkSession, found: dict[str, Search], errors: dict[str, str]) -> DataFrame:
+    """(model, status, best_params, best_score, candidates, failed_candidates, error), one row per family."""
+    rows = [(n, "searched", text_of(s.best_params), s.best_score, len(s.candidates), len(s.errors), None) for n, s in found.items()]
+    rows += [(n, "failed", None, None, None, None, e) for n, e in errors.items()]
+    return small_table(spark, rows, "model string, status string, best_params string, best_score double, candidates int, failed_candidates int, error string")
+
+
+def adopted(models: dict[str, Classifier], found: dict[str, Search]) -> dict[str, Classifier]:
+    """The models with every refitted winner in the place of its family's."""
+    return {**models, **{n: s.best for n, s in found.items() if s.best is not None}}
 
 
 def _bayes_predictions(folded: DataFrame, candidates: list, n_classes: int, cv: int) -> DataFrame:
@@ -153,16 +190,28 @@ def _neighbour_predictions(folded: DataFrame, candidates: list, n_classes: int,
 
 
 def _fitted_scores(name: str, folded: DataFrame, target: str, key: str, candidates: list, cv: int, measure: str,
-                   parallelism: int) -> list[tuple]:
-    """Fit and score candidate by fold; a few run side by side, each as ordinary Spark jobs."""
+                   parallelism: int) -> tuple[list[tuple], dict[int, str]]:
+    """Scores (candidate, fold, score) and errors by candidate. One fit for all candidates that share it; a few fits run side by side, each as
+    ordinary Spark jobs."""
     plain = folded.drop("label") if target != "label" else folded
+    shared: dict[tuple, list] = {}
+    for i, params in candidates:
+        shared.setdefault(fit_key(name, {**DEFAULTS[name], **params}), []).append((i, params))
 
     def run(task):
-        (i, params), fold = task
-        fitted = Classifier.fit(name, plain.where(F.col("fold") != fold), target, key, params)
-        scored = fitted.score(plain.where(F.col("fold") == fold))
-        return i, fold, metrics(scored, target, "prediction").first()[measure]
-
-    tasks = [(c, f) for c in candidates for f in range(cv)]
+        members, fold = task
+        out, fitted = [], None
+        for i, params in members:
+            try:
+                if fitted is None:
+                    fitted = Classifier.fit(name, plain.where(F.col("fold") != fold), target, key, params)
+                scored = fitted.sharing(plain.sparkSession, params).score(plain.where(F.col("fold") == fold))
+                out.append((i, fold, metrics(scored, target, "prediction").first()[measure], None))
+            except Exception as e:  # this candidate has no score on this fold
+                out.append((i, fold, None, str(e)))
+        return out
+
+    tasks = [(members, f) for members in shared.values() for f in range(cv)]
     with ThreadPool(parallelism) as pool:
-        return pool.map(run, tasks, chunksize=1)
+        rows = [r for part in pool.map(run, tasks, chunksize=1) for r in part]
+    return [r[:3] for r in rows], {r[0]: r[3] for r in reversed(rows) if r[3] is not None}

@@ -407,6 +407,21 @@ def best_candidate(spark, sf):
     return rounded(tune.best_candidate(found.scores), "best_score")
 
 
+@query("search_families", f"""
+    with {GRID_GNB.strip()},
+    means as (select candidate, params, avg(score) as mean_score from scores group by all)
+    select 'Naive Bayes' as model, 'searched' as status, arg_max(params, (round(mean_score, 12), -candidate)) as best_params,
+      round(max(mean_score), 6) as best_score, 3::integer as candidates, 0::integer as failed_candidates, true as adopted from means
+    union all select 'No Such Model', 'failed', null, null, null, null, false""")
+def search_families(spark, sf):
+    """Two families asked for, one of which does not exist; the other's winner takes its model's place."""
+    rows = vectors(spark, sf)
+    found, errors = tune.search_families(["Naive Bayes", "No Such Model"], rows, "label", "id")
+    models = tune.adopted({}, found)
+    table = tune.search_table(spark, found, errors).drop("error").withColumn("adopted", F.col("model").isin(list(models)))
+    return rounded(table, "best_score")
+
+
 def _knn_scores(p: int) -> str:
     dist = "sum(abs(a.v - b.v))" if p == 1 else "sqrt(sum((a.v - b.v) * (a.v - b.v)))"
     return f"""

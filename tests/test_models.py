@@ -184,6 +184,49 @@ def test_search_refits_the_winner(docs):
     assert found.summary().count() == 1
 
 
+def test_candidates_share_fits_and_failures_stay_apart(docs, monkeypatch):
+    fits = []
+    original = Classifier.fit.__func__
+
+    def counting(cls, name, train, target, key, params=None):
+        fits.append(params)
+        if params.get("max_depth") == 2:
+            raise RuntimeError("this depth fails")
+        return original(cls, name, train, target, key, params)
+
+    monkeypatch.setattr(Classifier, "fit", classmethod(counting))
+    space = {"max_depth": [1, 2], "min_samples_split": [2, 20, 10_000]}
+    found = tune.search("Decision Tree", docs.train, "label", "id", cv=2, space=space, refit=False)
+    assert len(fits) == 2 + 3 * 2  # one fit a fold for all good candidates, every bad one tried by itself
+    scores = {(r["candidate"], r["fold"]): r["score"] for r in found.scores.collect()}
+    assert len(scores) == 12 and {c for (c, _), v in scores.items() if v is None} == {3, 4, 5} == set(found.errors)
+    assert found.best_params["max_depth"] == 1 and "this depth fails" in found.errors[3]
+    with pytest.raises(ValueError, match="could be scored"):
+        tune.search("Decision Tree", docs.train, "label", "id", cv=2, space={"max_depth": [2]}, refit=False)
+
+
+def test_a_shared_fit_equals_its_own(docs):
+    base = Classifier.fit("Decision Tree", docs.train, "label", "id", {"max_depth": 5})
+    for least in (2, 15, 60):
+        own = Classifier.fit("Decision Tree", docs.train, "label", "id", {"max_depth": 5, "min_samples_split": least})
+        shared = base.sharing(docs.train.sparkSession, {"min_samples_split": least})
+        assert shared.score(docs.test).select("id", "prediction").exceptAll(own.score(docs.test).select("id", "prediction")).count() == 0
+    with pytest.raises(ValueError):
+        base.sharing(docs.train.sparkSession, {"max_depth": 3})
+
+
+def test_predictions_are_timed_and_failures_recorded(docs):
+    from tabwright.operators.classify import score_all
+
+    good = Classifier.fit("Naive Bayes", docs.train, "label", "id")
+    bad = Classifier("K-Nearest Neighbors", {"n_neighbors": 3, "weights": "uniform", "p": 2}, good.classes, "id")
+    results, seconds = score_all({"good": good, "bad": bad}, docs.test)
+    table = evaluate.compare_models({n: evaluate.metrics(r) if not isinstance(r, str) else r for n, r in results.items()}, seconds)
+    rows = {r["model"]: r for r in table.collect()}
+    assert rows["good"]["predict_seconds"] > 0 and rows["good"]["train_seconds"] > 0 and rows["good"]["error"] is None
+    assert rows["bad"]["error"] and rows["bad"]["predict_seconds"] is None
+
+
 def test_random_search_takes_the_whole_small_grid():
     assert len(tune.random_candidates(tune.SPACES["Naive Bayes"], 20)) == 3
     assert len({i for i, _ in tune.random_candidates(tune.SPACES["Decision Tree"], 20)}) == 20
