@@ -61,8 +61,17 @@ def test_empty_table_and_repeated_ids(spark):
         assert dict(P.STAGES)[name](spark, twice, "").count() <= docs.count()
 
 
+def test_columns_of_any_name_and_without_n_chars(spark):
+    docs = documents(spark).limit(15).drop("n_chars")
+    clash = docs.withColumns({"_of": docs.doc_id, "_KEPT": docs.text, "token_ids": docs.doc_id, "least_": docs.lang})
+    for name, stage in P.STAGES:
+        plain, odd = stage(spark, docs, "/root/testdata/sf0.001"), stage(spark, clash, "/root/testdata/sf0.001")
+        assert sorted(map(repr, odd.select(*plain.columns).collect())) == sorted(map(repr, plain.collect()))
+        assert name == "tokenize" or odd.columns == clash.columns
+
+
 def test_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
     assert importlib.import_module("tabwright.llm")
