@@ -19,6 +19,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.recognised(docs, trees, LEAST_SCORE)
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of the documents has them (Spark does not tell upper from lower case)."""
+    taken = {c.lower() for c in docs.columns}
+    return [next(n + "_" * i for i in range(len(taken) + 1) if (n + "_" * i).lower() not in taken) for n in names]
+
+
 def _one_each(docs: DataFrame) -> DataFrame:
     """Documents with an id, one row each, as the operators see them; the texts are only shuffled if an id repeats."""
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
@@ -28,19 +34,29 @@ def _one_each(docs: DataFrame) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Delete blocks of lines that earlier documents have; documents without any word left go."""
+    """Delete blocks of lines that earlier documents have; documents without any word left go, as do rows without an id.
+
+    One row stays of an id that repeats. `n_chars` follows the text where there is such a column. An empty table stays empty.
+    """
     docs = _one_each(docs)
-    kept = line_dedup.dedup_lines(docs).select(F.col("doc_id").alias("_of"), F.col("text").alias("_kept"))
-    out = docs.join(kept, F.col("_of") == F.col("doc_id")).where(r"_kept rlike '[^\\s]'")
-    changed = {"text": F.col("_kept"), "n_chars": F.char_length("_kept").cast(docs.schema["n_chars"].dataType)}
+    of, text = _free(docs, "_of", "_kept")
+    kept = line_dedup.dedup_lines(docs).select(F.col("doc_id").alias(of), F.col("text").alias(text))
+    out = docs.join(kept, F.col(of) == F.col("doc_id")).where(F.col(text).rlike(r"[^\s]"))
+    changed = {"text": F.col(text)}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)
     return out.select(*(changed[c].alias(c) if c in changed else quoted(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that five-word shingles link at 0.8 or more, directly or over others, the one with the least id stays."""
+    """Of documents that five-word shingles link at 0.8 or more, directly or over others, the one with the least id stays.
+
+    Documents without a word are linked with nothing and stay; rows without an id go, and one row stays of an id that repeats.
+    """
     docs = _one_each(docs)
-    gone = hyperminhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_of"))
-    return docs.join(gone, F.col("_of") == F.col("doc_id"), "left_anti")
+    of, = _free(docs, "_of")
+    gone = hyperminhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias(of))
+    return docs.join(gone, F.col(of) == F.col("doc_id"), "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +65,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the ids of their tokens."""
-    return sentencepiece_codec.encode(docs)
+    """All documents with the ids of their tokens, which replace a column of that name; a null text has none."""
+    return sentencepiece_codec.encode(docs.drop("token_ids"))
 
 
 STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("tokenize", tokenize)]
