@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabwright.llm.bytesvec import Chunk, chunks, lower
@@ -23,6 +24,7 @@ from tabwright.llm.documents import quoted
 
 ORDER = 3
 SAMPLE_BYTES = 2_000_000
+LEAST_DOCUMENTS = 20
 NONE = "und"
 CLOSED = 1 << 32
 _SLOTS = 21
@@ -123,20 +125,29 @@ def _count_batches(order: int):
     return run
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, sample_bytes: int = SAMPLE_BYTES) -> Trees:
-    """Count the trees on about `sample_bytes` of each language (each document is in or out by its hash).
+def _drawn(rows: DataFrame, sample_bytes: int, least: int) -> DataFrame:
+    """Documents (text, lang) of every language, in the order of their draws: about `sample_bytes`, and at least `least` documents where there are that many."""
+    rows = rows.where("octet_length(text) > 0").withColumn("draw", F.shiftrightunsigned("draw", 1))
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))  # tasks pass on their own first rows only
+    first = rows.select("lang", "draw").withColumn("place", place).where(f"place <= {least}").groupBy("lang").agg(F.max("draw").alias("nth"))
+    share = F.least(F.lit(1.0), F.lit(float(sample_bytes)) / F.col("bytes")) * float(2 ** 63)
+    upto = sizes.join(first, "lang").select(F.col("lang").alias("of"), F.greatest("nth", share.cast("long")).alias("upto"))
+    return rows.join(F.broadcast(upto), F.col("of") == F.col("lang")).where("draw <= upto").select("text", "lang")
 
-    Rows without text or language teach nothing. Contexts of three bytes are kept if they make up at least 1/65,536 of a language's sampled bytes
-    (their counts always serve the shorter contexts), so that the model is bounded per language whatever the sample holds.
+
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, sample_bytes: int = SAMPLE_BYTES, least_documents: int = LEAST_DOCUMENTS) -> Trees:
+    """Count the trees on about `sample_bytes` of each language, and on at least `least_documents` documents of it (all, if it has fewer).
+
+    A document is drawn by a hash of its whole row, so copies with other ids are drawn one by one, rows that repeat as a whole together. Rows without text or
+    language teach nothing; every other language is learned. Contexts of three bytes are kept if they make up at least 1/65,536 of a language's sampled bytes
+    (their counts always serve the shorter contexts), so that the model is bounded per language whatever the sample holds. It has a column of costs per
+    language, so `lang` must name languages and not be free text. An empty table gives trees without a language.
     """
     if not 0 <= order <= 3:
         raise ValueError("order must be 0 to 3")
     rows = labelled.select(quoted(text).alias("text"), quoted(lang).alias("lang"), F.xxhash64(*map(quoted, labelled.columns)).alias("draw")).where("text is not null and lang is not null")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).where("n > 0").collect()}
-    if not sizes:
-        return Trees([], order, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    share = F.create_map(*(x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample_bytes / n)))))
-    chosen = rows.where((F.expr("pmod(draw, 1048576)") / 1048576) < share[F.col("lang")]).select("text", "lang")
+    chosen = _drawn(rows, sample_bytes, least_documents)
     counts = chosen.mapInArrow(_count_batches(order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     if order > 2:
         context = F.shiftright("gram", 8)

@@ -59,7 +59,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = F.coalesce(F.expr(HELD_OUT_HASH.format(id="doc_id") + " % 3 = 1"), F.lit(False))
-    trees = langid.train(docs.where(~held_out & F.col("doc_id").isNotNull()).select("text", "lang"))
+    trees = langid.train(docs.where(~held_out & F.col("doc_id").isNotNull()).select("text", "lang", "doc_id"))  # the id only tells copies apart when documents are drawn
     return langid.predict(docs, trees, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 

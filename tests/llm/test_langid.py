@@ -75,6 +75,21 @@ def test_nothing_to_learn_from(spark):
 
 def test_sample_is_bounded(spark):
     df = frame(spark, sample(spark, 200))
-    small = langid.train(df, sample_bytes=20_000)
+    small = langid.train(df, sample_bytes=20_000, least_documents=1)
     whole = langid.train(df, sample_bytes=10 ** 9)
     assert small.languages and sum(map(len, small.strings)) < 0.75 * sum(map(len, whole.strings))
+
+
+def test_every_language_is_learned_under_a_small_bound(spark):
+    """Few long documents a language, one language with many: none is lost, and draws go in the order of the hashes."""
+    rows = [(100 * g + i, f"{chr(97 + g)} word{g} " * 3000, f"l{g}") for g in range(12) for i in range(3)]
+    rows += [(5000 + i, "many copies of one text", "many") for i in range(300)]
+    df = frame(spark, rows)
+    assert langid.train(df, sample_bytes=1000).languages == sorted({g for _, _, g in rows})
+    keyed = df.withColumn("draw", langid.F.xxhash64("doc_id", "text")).select("text", "lang", "draw")
+    for size, least in ((1000, 20), (1, 1), (3000, 20), (10 ** 9, 20)):
+        got = Counter(r.lang for r in langid._drawn(keyed, size, least).collect())
+        for g in {g for _, _, g in rows}:
+            draws = sorted((r.draw % 2 ** 64) >> 1 for r in keyed.where(f"lang = '{g}'").collect())
+            share = min(1.0, size / sum(len(t) for _, t, x in rows if x == g)) * 2.0 ** 63
+            assert got[g] == sum(d <= max(share, draws[min(least, len(draws)) - 1]) for d in draws) >= min(least, len(draws))
