@@ -1,7 +1,7 @@
-"""Removal of repeated byte strings by distributed prefix doubling over suffix positions.
+"""Removal of repeated byte strings by anchors and content hashes of two lengths, in place of the sorted ranks of prefix doubling.
 
 A position p is removed material if the `length` bytes from p also start earlier (in a smaller document, or earlier in the same one).
-Sorting every position is wasteful: most are unique after a few bytes. So the first round ranks sampled positions only. In every
+Sorting every position is wasteful: most are unique after a few bytes. So nothing is ranked again at growing offsets; the first round groups sampled positions only. In every
 string of `length` bytes the position with the least hash of its first `seed` bytes is the anchor, hence equal strings have equal anchors
 at equal offsets, and a string can only repeat where its anchor's rank does.
 
