@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tabwright.functions.exprs import BLANKS, NUMBER_TEXT, col
+from tabwright.sources import spanning
 
 OVERFLOW = "_overflow"
 # Texts that stand for a missing cell.
@@ -72,8 +73,9 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",", multi_line: b
     """Read a CSV file or folder with a header line.
 
     Rows with too many cells are skipped and counted, short ones padded. Bytes that are not UTF-8 make the
-    whole input read as Latin-1. One pass over the raw lines finds the encoding and whether quoted cells span lines (only
-    then a file cannot be split among tasks); state both to save it. One pass over the cells counts rows and
+    whole input read as Latin-1. One pass over the raw lines finds the encoding and whether quoted cells span lines;
+    state both to save it. Where they do, records are found in all byte ranges at once (`spanning`), at the price of two more passes;
+    only an encoding other than UTF-8, ASCII and Latin-1 then makes every file one task. One pass over the cells counts rows and
     finds the types that `schema` (column to type) does not give.
     """
     warnings: list[str] = []
@@ -126,6 +128,11 @@ def read_scoring_csv(spark: SparkSession, path: str, schema: dict[str, str], sep
 
 def _raw(spark: SparkSession, path: str, names: list[str], options: dict) -> DataFrame:
     """All cells as text, and one more column that only rows with too many cells fill."""
+    if options["multiLine"] and options["encoding"].upper() in spanning.ENCODINGS:
+        fields = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+        records = spanning.records(spark, path, options["sep"], options["encoding"])
+        cells = records.select(F.from_csv("record", fields, {k: str(v) for k, v in options.items() if k != "encoding"}).alias("r"))
+        return cells.select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate([*names, OVERFLOW])])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, OVERFLOW]])
     return spark.read.options(**options, header=True).schema(schema).csv(path)
 
