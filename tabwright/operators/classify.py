@@ -10,31 +10,27 @@ import json
 import time
 from dataclasses import dataclass, field, replace
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.classification import (DecisionTreeClassificationModel, DecisionTreeClassifier, LinearSVC,
-                                       LinearSVCModel, LogisticRegression, LogisticRegressionModel, OneVsRest,
-                                       OneVsRestModel)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabwright.functions.exprs import col
 from tabwright.operators.bayes import GaussianBayes
+from tabwright.operators.kernel import Landmarks, Pairs
 from tabwright.operators.neighbors import neighbours, votes
 from tabwright.operators.split import SEED, class_sizes
 from tabwright.sources.local import small_table
 from tabwright.sources.shared import durable, fresh_path
 
-MAX_DEPTH = 30       # deepest tree the library grows; stands for "unlimited"
-RBF_FEATURES = 512   # random Fourier features per kernel map
+MAX_DEPTH = 30  # deepest tree the library grows; stands for "unlimited"
 
 # Model names and their default parameters.
 DEFAULTS = {
     "Logistic Regression": {"C": 1.0, "class_weight": None, "max_iter": 1000},
     "K-Nearest Neighbors": {"n_neighbors": 5, "weights": "uniform", "p": 2},
     "Support Vector Machine": {"C": 1.0, "kernel": "rbf", "gamma": "scale", "class_weight": None,
-                               "max_iter": 100},
+                               "max_iter": 100, "kernel_error": 0.01, "max_landmarks": 512},
     "Decision Tree": {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "criterion": "gini",
                       "max_bins": 128},
     "Naive Bayes": {"var_smoothing": 1e-9},
@@ -56,10 +52,10 @@ def class_weights(sizes: dict, balanced: str | None) -> Column:
 
 
 def fit_key(name: str, params: dict) -> tuple:
-    """What of the parameters changes the fit. A tree is grown in full and cut back to min_samples_split; a line has no gamma."""
+    """What of the parameters changes the fit. A tree is grown in full and cut back to min_samples_split; a line has no kernel."""
     unused = {"min_samples_split"} if name == "Decision Tree" else set()
     if name == "Support Vector Machine" and params.get("kernel") == "linear":
-        unused = {"gamma"}
+        unused = {"gamma", "kernel_error", "max_landmarks"}
     return tuple(sorted((k, str(v)) for k, v in params.items() if k not in unused and k != "solver"))
 
 
@@ -72,8 +68,9 @@ class Classifier:
     classes: list
     key: str                     # row key column
     state: dict = field(default_factory=dict)
-    model: object = None         # library model
+    model: object = None         # library model, or machines of all pairs of classes
     points: DataFrame | None = None  # training rows of the neighbour family, slots of naive Bayes
+    landmarks: Landmarks | None = None  # of the machines with a kernel
     train_seconds: float = 0.0
 
     @classmethod
@@ -111,31 +108,15 @@ class Classifier:
             facts = rows.agg(Summarizer.metrics("mean", "variance").summary(F.col("features")).alias("s")).first()["s"]
             mean, var = facts["mean"].toArray(), facts["variance"].toArray() * (n - 1) / n
             total = float((var + mean ** 2).mean() - mean.mean() ** 2)
-            self.state["dims"] = len(mean)
-            self.state["gamma"] = (1.0 / (len(mean) * total) if total else 1.0) if p["gamma"] == "scale" else 1.0 / len(mean)
-        mapped = durable(self._mapped(rows).withColumn("weight", class_weights(sizes, p["class_weight"])), "mapped")
-        svc = LinearSVC(regParam=1.0 / (p["C"] * n), standardization=False, maxIter=p["max_iter"], weightCol="weight")
-        if len(self.classes) == 2:
-            self.model = svc.fit(mapped)
-        else:
-            self.model = OneVsRest(classifier=svc, weightCol="weight", parallelism=4).fit(mapped)
-
-    def _mapped(self, df: DataFrame) -> DataFrame:
-        """Random Fourier features, whose inner products approach the RBF kernel (Rahimi and Recht, 2007)."""
-        if self.params["kernel"] != "rbf":
-            return df
-        gamma, dims = self.state["gamma"], self.state["dims"]
-        rng = np.random.default_rng(SEED)
-        w = rng.normal(0.0, np.sqrt(2.0 * gamma), (dims, RBF_FEATURES))
-        b = rng.uniform(0.0, 2.0 * np.pi, RBF_FEATURES)
-
-        @F.pandas_udf("array<double>")
-        def fourier(v: pd.Series) -> pd.Series:
-            if not len(v):
-                return pd.Series([], dtype=object)
-            return pd.Series(list(np.sqrt(2.0 / RBF_FEATURES) * np.cos(np.stack(v.to_numpy()) @ w + b)))
-
-        return df.withColumn("features", array_to_vector(fourier(vector_to_array("features"))))
+            gamma = (1.0 / (len(mean) * total) if total else 1.0) if p["gamma"] == "scale" else 1.0 / len(mean)
+            self.landmarks = Landmarks.fit(rows, self.key, gamma, p["kernel_error"], p["max_landmarks"])
+            self.state["kernel_error"] = self.landmarks.error
+            rows = self.landmarks.mapped(rows)
+        weighted = rows.withColumn("weight", class_weights(sizes, p["class_weight"]))
+        weights = [n / len(sizes)] * len(sizes) if p["class_weight"] else list(sizes.values())
+        # a folder per class, so that each pair of classes reads its own rows
+        mapped = durable(weighted.select("features", "weight", "label"), "mapped", by=["label"])
+        self.model = Pairs.fit(mapped, weights, p["C"], p["max_iter"])
 
     def _fit_tree(self, rows: DataFrame, sizes: dict) -> None:
         p = self.params
@@ -190,12 +171,11 @@ class Classifier:
                 total = F.aggregate("_n", F.lit(0.0), lambda a, v: a + v)
                 out = out.withColumn("probability", F.transform("_n", lambda v: v / total))
                 winner = F.array_position("_n", F.array_max("_n")) - 1
+        elif self.name == "Support Vector Machine":
+            out, winner = self.model.winner(self.landmarks.mapped(df) if self.landmarks else df)
+            out = out.withColumn("probability", F.lit(None).cast("array<double>"))
         else:
-            linear = self.name == "Logistic Regression"
-            ready = df if linear else self._mapped(df)
-            out = self.model.copy().setPredictionCol("_p").transform(ready)
-            out = out.withColumn("probability", vector_to_array("probability") if linear
-                                 else F.lit(None).cast("array<double>"))
+            out = self.model.copy().setPredictionCol("_p").transform(df).withColumn("probability", vector_to_array("probability"))
             winner = F.col("_p").cast("int")
         named = F.get(F.array(*[F.lit(c) for c in self.classes]), winner.cast("int"))
         return out.withColumn("prediction", named).select(*[col(c) for c in keep], "prediction", "probability")
@@ -215,7 +195,11 @@ class Classifier:
                  "state": self.state, "kind": type(self.model).__name__}
         small_table(spark, [(json.dumps(facts),)], "facts string").coalesce(1).write.mode("overwrite").text(
             f"{path}/facts")
-        if self.model is not None:
+        if self.landmarks is not None:
+            self.landmarks.save(spark, f"{path}/landmarks")
+        if self.name == "Support Vector Machine":
+            self.model.save(f"{path}/model")
+        elif self.model is not None:
             self.model.write().overwrite().save(f"{path}/model")
         if self.points is not None:
             self.points.write.mode("overwrite").parquet(f"{path}/points")
@@ -225,12 +209,15 @@ class Classifier:
         facts = json.loads(spark.read.text(f"{path}/facts").first()[0])
         kind = facts.pop("kind")
         self = cls(**facts)
-        readers = {k.__name__: k for k in (LogisticRegressionModel, LinearSVCModel, OneVsRestModel,
-                                           DecisionTreeClassificationModel)}
+        readers = {k.__name__: k for k in (LogisticRegressionModel, DecisionTreeClassificationModel)}
         if kind in readers:
             self.model = readers[kind].load(f"{path}/model")
         if self.name in ("K-Nearest Neighbors", "Naive Bayes"):
             self.points = spark.read.parquet(f"{path}/points")
+        if self.name == "Support Vector Machine":
+            self.model = Pairs.load(f"{path}/model", len(self.classes))
+            if self.params["kernel"] == "rbf":
+                self.landmarks = Landmarks.load(spark, f"{path}/landmarks")
         return self
 
 

@@ -262,6 +262,25 @@ def svm_rbf_predict(spark, sf):
     return model.score(rows).select("id", "prediction")
 
 
+@query("svm_three_rings", "select c_custkey as id, (c_custkey % 3)::integer as prediction from customer")
+def svm_three_rings(spark, sf):
+    """Three rings around each other: no class can be parted from both others by a line, and each pair of classes votes."""
+    rows = load(spark, sf, "customer").selectExpr("c_custkey as id", "c_custkey % 3 as label", "1 + c_custkey % 3 * 2D as r", "c_custkey * 0.7D as t")
+    rows = rows.select("id", "label", array_to_vector(F.array(F.col("r") * F.cos("t"), F.col("r") * F.sin("t"))).alias("features"))
+    model = Classifier.fit("Support Vector Machine", rows, "label", "id", {"gamma": "auto", "kernel_error": 0.001})
+    return model.score(rows).select("id", "prediction")
+
+
+@query("svm_modes", """
+    with said as (select o_orderkey, o_orderpriority as label from orders)
+    select o_orderkey as id, label as prediction from said""")
+def svm_modes(spark, sf):
+    """Five classes in five corners, parted by ten machines without a kernel."""
+    rows = load(spark, sf, "orders").selectExpr("o_orderkey as id", "o_orderpriority as label", "cast(left(o_orderpriority, 1) as double) as p", "o_custkey % 50 / 100D as noise")
+    rows = rows.select("id", "label", array_to_vector(F.array(10 * F.cos(F.col("p") * 1.2566) + F.col("noise"), 10 * F.sin(F.col("p") * 1.2566) - F.col("noise"))).alias("features"))
+    return Classifier.fit("Support Vector Machine", rows, "label", "id", {"kernel": "linear"}).score(rows).select("id", "prediction")
+
+
 TREE_LABEL = "case when l_quantity + l_orderkey % 17 > 40 then 'large' when l_quantity + l_orderkey % 23 > 24 then 'medium' else 'small' end"
 
 

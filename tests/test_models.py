@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabwright.operators import evaluate, tune
 from tabwright.operators.classify import Classifier, train_all, training_table
+from tabwright.operators.kernel import Landmarks
 from tabwright.operators.prep import PrepConfig, preprocess
 from tabwright.operators.score import Scorer
 from tabwright.plans.catalog import load
@@ -65,6 +66,60 @@ def test_svm_learns_embeddings(vectors):
     assert "probability" not in model.probability_columns(scored).columns
 
 
+def rings(spark, n, classes):
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(0)
+    turns = rng.uniform(0, 2 * math.pi, n)
+    rows = [(i, Vectors.dense([(1.0 + 2 * (i % classes)) * math.cos(t), (1.0 + 2 * (i % classes)) * math.sin(t)]), f"ring {i % classes}") for i, t in enumerate(turns)]
+    return spark.createDataFrame(rows, ["id", "features", "label"])
+
+
+def test_landmarks_keep_the_kernel_as_well_as_asked(spark):
+    df = rings(spark, 300, 3)
+    x = np.array([r["features"].toArray() for r in df.orderBy("id").collect()])
+    exact = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(axis=2))
+    sizes = []
+    for error in (0.2, 0.001):
+        found = Landmarks.fit(df, "id", 0.5, error, 512)
+        phi = np.array([r["features"].toArray() for r in found.mapped(df).orderBy("id").collect()])
+        residual = np.maximum(1 - (phi * phi).sum(axis=1), 0)
+        assert found.error <= error and abs(found.error - residual.mean()) < 1e-9
+        gap = np.abs(exact - phi @ phi.T)
+        assert (gap <= np.sqrt(np.outer(residual, residual)) + 1e-5).all() and gap.mean() <= found.error + 1e-6
+        sizes.append(len(found.points))
+    assert sizes[0] < sizes[1] < 300
+    assert len(Landmarks.fit(df, "id", 0.5, 0.0, 40).points) == 40                      # the limit wins, and the error says so
+    copies = df.unionByName(df.withColumn("id", F.col("id") + 1000)).where("id % 1000 < 5")
+    assert len(Landmarks.fit(copies, "id", 0.5, 0.0, 512).points) == 5                  # copies add nothing
+
+
+@pytest.mark.parametrize("weight", [None, "balanced"])
+def test_pairs_of_classes_vote_and_come_back_from_storage(spark, weight):
+    df = rings(spark, 400, 3)
+    model = Classifier.fit("Support Vector Machine", df, "label", "id", {"gamma": "auto", "class_weight": weight})
+    assert len(model.model.models) == 3 and model.state["kernel_error"] <= 0.01
+    assert accuracy(model, df) > 0.95
+    path = fresh_path(spark, "rings")
+    model.save(spark, path)
+    again = Classifier.load(spark, path).score(df).select("id", F.col("prediction").alias("p"))
+    assert model.score(df).join(again, "id").where("prediction <> p or p is null").count() == 0
+
+
+def test_tied_votes_go_to_the_first_class(spark):
+    from pyspark.ml.linalg import Vectors
+
+    df = rings(spark, 90, 3)
+    model = Classifier.fit("Support Vector Machine", df, "label", "id", {"kernel": "linear"})
+    at = spark.createDataFrame([(0, Vectors.dense([0.0, 0.0]))], ["id", "features"])
+    df, winner = model.model.winner(at)
+    got = df.select("*", winner.alias("w")).first()
+    counts = [0, 0, 0]
+    for i, (a, b) in enumerate([(0, 1), (0, 2), (1, 2)]):
+        counts[b if got[f"_vote{i}"] else a] += 1
+    assert got["w"] == counts.index(max(counts))
+
+
 def test_rbf_separates_rings(spark):
     from pyspark.ml.linalg import Vectors
 
