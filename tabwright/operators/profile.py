@@ -88,8 +88,9 @@ def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int |
             facts: Facts | None = None) -> DataFrame:
     """(col_a, col_b, n, corr) over rows where both are present; constant columns give NULL.
 
-    Columns are first shifted by their mean, so plain sums are stable. A pass then needs one sum per pair plus
-    those per column, and a pair's own sums only where a column has gaps. No shuffle beyond one row per task.
+    Columns are first shifted by their mean, so plain sums are stable. A pass then needs one sum per pair plus those per column;
+    a pair with gaps is measured on its own rows, which may lie far from that mean. Whether a column is constant is told by its
+    ends, since rounding leaves it some variance. No shuffle beyond one row per task.
     """
     df = nan_to_null(df)
     columns, _ = capped(columns or numeric_columns(df), max_features, "Correlation")
@@ -102,6 +103,7 @@ def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int |
     centre = [facts.mean[c] or 0.0 for c in columns]
     shifted = df.select(*[(col(c).cast("double") - F.lit(centre[i])).alias(f"x{i}") for c, i in at.items()])
     full = {i for c, i in at.items() if facts.count[c] == facts.rows}
+    constant = {i for c, i in at.items() if facts.low[c] == facts.high[c]}
     parts = []
     for start in range(0, len(pairs), per_pass):
         chunk = [(at[a], at[b]) for a, b in pairs[start:start + per_pass]]
@@ -109,32 +111,34 @@ def pearson(df: DataFrame, columns: list[str] | None = None, max_features: int |
         structs = []
         for i, j in chunk:
             x, y = F.col(f"x{i}"), F.col(f"x{j}")
-            sums[f"xy_{i}_{j}"] = F.sum(x * y)
-            tag = "" if i in full and j in full else f"_{i}_{j}"
-            if tag:
+            if i in full and j in full:
+                sums[f"xy_{i}_{j}"] = F.sum(x * y)
+                for k, v in ((i, x), (j, y)):
+                    sums[f"s{k}"] = F.sum(v)
+                    sums[f"q{k}"] = F.sum(v * v)
+            else:
                 both = x.isNotNull() & y.isNotNull()
-                sums[f"n{tag}"] = F.count_if(both)
-                x, y = F.when(both, x), F.when(both, y)
-            for k, v in ((i, x), (j, y)):
-                sums[f"s{k}{tag}"] = F.sum(v)
-                sums[f"q{k}{tag}"] = F.sum(v * v)
-            structs.append((i, j, tag))
+                sums[f"n_{i}_{j}"] = F.count_if(both)
+                sums[f"cov_{i}_{j}"] = F.covar_pop(x, y)
+                for k, v in ((i, F.when(both, x)), (j, F.when(both, y))):
+                    sums[f"std{k}_{i}_{j}"] = F.when(F.min(v) < F.max(v), F.stddev_pop(v))
+            structs.append((i, j))
         wide = shifted.agg(*[e.alias(name) for name, e in sums.items()])
 
-        def corr(i: int, j: int, tag: str) -> Column:
-            n = F.nullif(F.col(f"n{tag}").cast("double"), F.lit(0.0))
-            mean = {k: F.col(f"s{k}{tag}") / n for k in (i, j)}
-            var = {k: F.col(f"q{k}{tag}") / n - mean[k] * mean[k] for k in (i, j)}
+        def shown(i: int, j: int) -> list[Column]:
+            if not (i in full and j in full):
+                scale = F.col(f"std{i}_{i}_{j}") * F.col(f"std{j}_{i}_{j}")
+                return [F.col(f"n_{i}_{j}").alias("n"), F.try_divide(F.col(f"cov_{i}_{j}"), scale).alias("corr")]
+            n = F.nullif(F.col("n").cast("double"), F.lit(0.0))
+            mean = {k: F.col(f"s{k}") / n for k in (i, j)}
+            var = {k: F.col(f"q{k}") / n - mean[k] * mean[k] for k in (i, j)}
             cov = F.col(f"xy_{i}_{j}") / n - mean[i] * mean[j]
-            # a variance that is rounding dust of the shifted squares belongs to a constant column
-            flat = [var[k] <= F.lit(1e-24) * (F.col(f"q{k}{tag}") / n + F.lit(centre[k] ** 2))
-                    for k in (i, j)]
-            return F.when(~(flat[0] | flat[1]), F.try_divide(cov, F.sqrt(var[i] * var[j])))
+            flat = F.lit(bool({i, j} & constant)) | (var[i] <= 0) | (var[j] <= 0)
+            return [F.col("n"), F.when(~flat, F.try_divide(cov, F.sqrt(var[i] * var[j]))).alias("corr")]
 
         parts.append(wide.select(F.inline(F.array(*[
-            F.struct(F.lit(columns[i]).alias("col_a"), F.lit(columns[j]).alias("col_b"),
-                     F.col(f"n{tag}").alias("n"), corr(i, j, tag).alias("corr"))
-            for i, j, tag in structs]))))
+            F.struct(F.lit(columns[i]).alias("col_a"), F.lit(columns[j]).alias("col_b"), *shown(i, j))
+            for i, j in structs]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)

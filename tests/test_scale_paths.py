@@ -256,3 +256,17 @@ def test_pearson_equals_ml_stat(spark, sf):
     m = Correlation.corr(vec, "v").first()[0].toArray()
     for r in profile.pearson(df).collect():
         assert r["corr"] == pytest.approx(m[df.columns.index(r["col_a"]), df.columns.index(r["col_b"])], abs=1e-9)
+
+
+def test_column_constant_in_the_rows_of_a_pair_has_no_correlation(spark):
+    """The mean of the whole column, by which it is shifted, leaves dust in sums over the rows of the pair."""
+    rows = spark.range(0, 900_000, 1, 7)
+    df = rows.select(F.expr("case when id % 4 = 1 then id % 1009 end").alias("a"), F.expr("cast(id % 20 = 0 as double)").alias("b"),
+                     F.expr("case when id % 4 = 1 then 0.1D + id * 0 end").alias("c"), F.lit(0.1).alias("d"))
+    assert {r["corr"] for r in profile.pearson(df).collect()} == {None}
+
+
+def test_rows_of_a_pair_far_from_the_mean_of_their_column(spark):
+    df = spark.range(0, 9_000, 1, 4).selectExpr("case when id < 1000 then id % 7 end as a", "case when id < 1000 then id % 5 else 1e9 end as b")
+    expected = df.where("a is not null").select(F.corr("a", F.col("b"))).first()[0]
+    assert abs(profile.pearson(df).first()["corr"] - expected) < 1e-9
