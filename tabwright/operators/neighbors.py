@@ -19,7 +19,11 @@ from tabwright.sources.shared import durable
 
 MAX_PIVOTS = 256
 BLOCK_CELLS = 1_000_000   # numbers in one side of a block
-BLOCK_ROWS = 4_000
+BLOCK_ROWS = 16_000
+GROUP_ROWS = 4_000        # training rows per pivot, on average
+STRIP_CELLS = 1_000_000   # distances held at a time
+TILE = 2_048              # training rows of a strip that are added up together
+USELESS = 0.5             # share of all visits from which groups are not worth their copies
 DIGITS = 9                # distances equal to this many digits count as ties, decided by row key
 
 
@@ -33,34 +37,113 @@ def _distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
     return out
 
 
-def _fast_distances(a: np.ndarray, b: np.ndarray, p: int) -> tuple[np.ndarray, float]:
-    """Distances that may be off by the returned margin; by matrix product where p allows."""
-    if p == 1:
-        return _distances(a, b, 1), 0.0
-    aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
-    squares = np.maximum(aa[:, None] + bb[None, :] - 2.0 * (a @ b.T), 0.0)
-    scale = float(aa.max(initial=0.0) + bb.max(initial=0.0))
-    return np.sqrt(squares), math.sqrt(1e-12 * scale * max(a.shape[1], 1) / 16)
+def _rough_manhattan(a: np.ndarray, b_t: np.ndarray) -> np.ndarray:
+    """Sums of |x - y| as twice the larger less both, a feature at a time over tiles that stay in the cache. Whole numbers may wrap on the way."""
+    out = np.empty((len(a), b_t.shape[1]), a.dtype)
+    for at in range(0, b_t.shape[1], TILE):
+        side = b_t[:, at:at + TILE]
+        sums, larger = np.zeros((len(a), side.shape[1]), a.dtype), np.empty((len(a), side.shape[1]), a.dtype)
+        for x, y in zip(a.T, side, strict=True):
+            sums += np.maximum(x[:, None], y[None, :], out=larger)
+        sums *= a.dtype.type(2)
+        sums -= a.sum(axis=1, dtype=a.dtype)[:, None]
+        sums -= side.sum(axis=0, dtype=a.dtype)[None, :]
+        out[:, at:at + TILE] = sums
+    return out
+
+
+def _manhattan_kinds(t_t: np.ndarray, q: np.ndarray, plain: bool):
+    """Both sides in growing precision, with the size of a unit and the margin, in units, by which a rough distance may be off.
+
+    16-bit codes come first: a code is off by half a step at most, and sums over all features fit.
+    """
+    d = len(t_t)
+    ends = [f(x) for f, x in ((np.min, t_t), (np.max, t_t), (np.min, q), (np.max, q)) if x.size]
+    step = (max(ends) - min(ends)) / (65_534 // max(d, 1)) if plain and ends and d <= 1_024 else 0.0
+    if step > 0 and np.isfinite(step):
+        code = lambda x: np.rint((x - min(ends)) / step).astype(np.uint16)
+        yield code(t_t), code(q), step, d * (1 + 1e-6) + 1
+    scale = np.abs(q).sum(axis=1).max(initial=0.0) + np.abs(t_t).sum(axis=0).max(initial=0.0)
+    for dtype in (np.float32, np.float64) if plain else (np.float64,):
+        yield t_t.astype(dtype), q.astype(dtype), 1.0, 4.0 * (d + 4) * float(np.finfo(dtype).eps) * float(scale)
+
+
+def _rough_squares(a: np.ndarray, b_t: np.ndarray) -> tuple[np.ndarray, float]:
+    """Squared distances by a matrix product; off by at most the margin."""
+    aa, bb = (a * a).sum(axis=1), (b_t * b_t).sum(axis=0)
+    out = a @ b_t
+    out *= -2.0
+    out += aa[:, None]
+    out += bb[None, :]
+    return out, 1e-12 * float(aa.max(initial=0.0) + bb.max(initial=0.0)) * max(a.shape[1], 1) / 16
+
+
+def _kth_or_above(rough: np.ndarray, k: int) -> np.ndarray:
+    """For each row a number that at least k of its cells do not exceed: the k-th least of the minima of many groups of cells."""
+    n = rough.shape[1]
+    if n <= k:
+        return np.full(len(rough), np.inf)
+    groups = 16 * k
+    if n >= 4 * groups:
+        whole = n // groups * groups
+        rough = rough[:, :whole].reshape(len(rough), -1, groups).min(axis=1)
+    return np.partition(rough, k - 1, axis=1)[:, k - 1].astype(float)
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in values]) if len(values) else np.empty((0, 0))
 
 
+def _near(q: np.ndarray, t_t: np.ndarray, k: int, p: int, same: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, training row) among which are the k nearest of every query; `same` marks pairs that do not count."""
+    plain = max(np.abs(t_t).max(initial=0.0), np.abs(q).max(initial=0.0)) < 1e30
+    tie = 2 * 10.0 ** -DIGITS
+    for side, some, unit, margin in _manhattan_kinds(t_t, q, plain) if p == 1 else [(t_t, q, 1.0, 0.0)]:
+        if p == 1:
+            rough = _rough_manhattan(some, side)
+        else:
+            rough, margin = _rough_squares(some, side)
+        codes = rough.dtype == np.uint16
+        if same is not None:
+            rough[same] = 65_535 if codes else np.inf
+        kth = _kth_or_above(rough, k)
+        limit = kth + 2 * margin + tie / unit if p == 1 else (np.sqrt(np.maximum(kth, 0.0) + margin) + tie) ** 2 + margin
+        if codes:
+            limit = np.minimum(limit, 65_535).astype(np.uint16)
+        elif rough.dtype == np.float32:
+            limit = np.nextafter(limit.astype(np.float32), np.float32(np.inf))
+        i, j = np.nonzero(rough <= limit[:, None])
+        if rough.dtype == np.float64 or len(i) <= 32 * k * len(q):
+            break
+    return (i, j) if same is None else (i[~same[i, j]], j[~same[i, j]])
+
+
 def nearest_rows(t_keys: np.ndarray, t: np.ndarray, q: np.ndarray, k: int, p: int,
                  t_group: np.ndarray | None = None, q_group: np.ndarray | None = None):
-    """For each query row of a block: positions of its k nearest training rows and their distances."""
-    rough, margin = _fast_distances(q, t, p)
-    if t_group is not None:
-        rough[q_group[:, None] == t_group[None, :]] = np.inf
-    for i in range(len(q)):
-        row = rough[i]
-        kth = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
-        near = np.flatnonzero((row <= kth + 2 * margin + 2 * 10.0 ** -DIGITS) & np.isfinite(row))
-        if len(near):
-            exact = _distances(q[i:i + 1], t[near], p)[0]
-            first = np.lexsort((t_keys[near], np.round(exact, DIGITS)))[:k]
-            yield i, near[first], exact[first]
+    """For stretches of query rows of a block: positions of queries and of their k nearest training rows, and the distances.
+
+    Rough distances of a few queries at a time leave few pairs, which are measured exactly; rough ones that leave too many are repeated in
+    a higher precision. Memory depends on STRIP_CELLS, not on the rows of the blocks.
+    """
+    # rows that are not finite are near to none
+    t_at, q_at = (np.flatnonzero(np.isfinite(x).all(axis=1)) if x.size else np.arange(0) for x in (t, q))
+    middle = t[t_at].mean(axis=0) if len(t_at) else 0.0   # distances do not depend on it, rounding does
+    t_t = np.ascontiguousarray((t[t_at] - middle).T)
+    step = max(1, STRIP_CELLS // max(len(t_at), 1))
+    few = max(1, STRIP_CELLS // max(t.shape[1], 1))
+    for at in range(0, len(q_at) if len(t_at) else 0, step):
+        here = q_at[at:at + step]
+        same = q_group[here][:, None] == t_group[t_at][None, :] if t_group is not None else None
+        i, j = _near(q[here] - middle, t_t, k, p, same)
+        i, j = here[i], t_at[j]
+        exact = np.empty(len(i))
+        for lot in range(0, len(i), few):
+            gap = np.abs(q[i[lot:lot + few]] - t[j[lot:lot + few]])
+            exact[lot:lot + few] = gap.sum(axis=1) if p == 1 else np.sqrt((gap * gap).sum(axis=1))
+        order = np.lexsort((t_keys[j], np.round(exact, DIGITS), i))
+        i, j, exact = i[order], j[order], exact[order]
+        first = np.arange(len(i)) - np.searchsorted(i, i) < k
+        yield i[first], j[first], exact[first]
 
 
 def _pick(table: dict[int, int], size: int) -> Column:
@@ -134,16 +217,18 @@ def neighbours(train: DataFrame, queries: DataFrame, key: str, k: int, p: int =
     if not n:
         raise ValueError("no training rows")
     block = block_rows or max(1, min(BLOCK_ROWS, BLOCK_CELLS // d))
-    n_pivots = max(1, min(MAX_PIVOTS, BLOCK_CELLS // d, n // block))
+    n_pivots = max(1, min(MAX_PIVOTS, BLOCK_CELLS // d, n // min(block, GROUP_ROWS)))
     by_group = group is not None
     points = arrays(queries)
-    if n_pivots == 1:  # few enough rows that no group can be ruled out
-        placed, reached = kept.withColumn("cell", F.lit(0)), points.withColumn("cells", F.array(F.lit(0)))
-        sizes, visits = {0: n}, {0: queries.count()}
-    else:
+    n_queries = queries.count()
+    if n_pivots > 1:
         pivots = _matrix(pd.Series(
             [r["v"] for r in kept.orderBy(row_hash(["key"], 0), "key").limit(n_pivots).collect()]))
         placed, reached, sizes, visits = _grouped(kept, points, pivots, k, p, by_group)
+    if n_pivots == 1 or sum(visits.values()) > USELESS * n_queries * len(sizes):  # few rows, or groups that rule out little
+        n_pivots = 1
+        placed, reached = kept.withColumn("cell", F.lit(0)), points.withColumn("cells", F.array(F.lit(0)))
+        sizes, visits = {0: n}, {0: n_queries}
     # small inputs still make a few blocks per core, since the work per byte is large
     spark = train.sparkSession
     q_block = max(1, min(block, math.ceil(sum(visits.values()) / (4 * spark.sparkContext.defaultParallelism))))
@@ -169,10 +254,8 @@ def neighbours(train: DataFrame, queries: DataFrame, key: str, k: int, p: int =
         found = list(nearest_rows(t_keys, _matrix(t["v"]), _matrix(q["v"]), k, p, *groups))
         if not found:
             return pd.DataFrame(columns=names)
-        at = np.concatenate([rows for _, rows, _ in found])
-        return pd.DataFrame({
-            "query": np.concatenate([np.repeat(q_keys[i], len(rows)) for i, rows, _ in found]),
-            "neighbour": t_keys[at], "label": labels[at], "dist": np.concatenate([x for _, _, x in found])})
+        i, j, dist = (np.concatenate(x) for x in zip(*found))
+        return pd.DataFrame({"query": q_keys[i], "neighbour": t_keys[j], "label": labels[j], "dist": dist})
 
     block_key = ["cell", "tb", "qb"]
     # a fixed number of tasks: by bytes alone, adaptive execution would merge this work into a few

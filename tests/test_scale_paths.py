@@ -270,3 +270,25 @@ def test_rows_of_a_pair_far_from_the_mean_of_their_column(spark):
     df = spark.range(0, 9_000, 1, 4).selectExpr("case when id < 1000 then id % 7 end as a", "case when id < 1000 then id % 5 else 1e9 end as b")
     expected = df.where("a is not null").select(F.corr("a", F.col("b"))).first()[0]
     assert abs(profile.pearson(df).first()["corr"] - expected) < 1e-9
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_a_block_search_holds_a_strip_of_distances(p):
+    """Memory of a task does not grow with the square of its block, and rough distances lose no neighbour, far from zero or beside an outlier."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    t, q = rng.normal(size=(12_000, 8)) + 1e6, rng.normal(size=(600, 8)) + 1e6
+    t[5], t[7], q[3] = 1e12, np.nan, t[9]
+    keys, groups = rng.permutation(len(t)), (rng.integers(0, 3, len(t)), rng.integers(0, 3, len(q)))
+    tracemalloc.start()
+    found = list(neighbors.nearest_rows(keys, t, q, 5, p, *groups))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    i, j, dist = (np.concatenate(x) for x in zip(*found))
+    assert peak < 60e6
+    for n in range(0, len(q), 7):
+        gap = np.abs(t - q[n])
+        d = np.where(groups[0] == groups[1][n], np.nan, gap.sum(axis=1) if p == 1 else np.sqrt((gap * gap).sum(axis=1)))
+        want = np.lexsort((keys, np.round(d, neighbors.DIGITS)))[:5]
+        assert j[i == n].tolist() == want.tolist() and np.allclose(dist[i == n], d[want], rtol=1e-12)
