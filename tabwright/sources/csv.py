@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tabwright.functions.exprs import BLANKS, NUMBER_TEXT, col
 from tabwright.sources import spanning
+from tabwright.sources.shared import durable
 
 OVERFLOW = "_overflow"
 # Texts that stand for a missing cell.
@@ -130,7 +131,8 @@ def _raw(spark: SparkSession, path: str, names: list[str], options: dict) -> Dat
     """All cells as text, and one more column that only rows with too many cells fill."""
     if options["multiLine"] and options["encoding"].upper() in spanning.ENCODINGS:
         fields = ", ".join(f"c{i} string" for i in range(len(names) + 1))
-        records = spanning.records(spark, path, options["sep"], options["encoding"])
+        # stored, since the types and every use of the rows would cut all lines into records again
+        records = durable(spanning.records(spark, path, options["sep"], options["encoding"]), "records")
         cells = records.select(F.from_csv("record", fields, {k: str(v) for k, v in options.items() if k != "encoding"}).alias("r"))
         return cells.select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate([*names, OVERFLOW])])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, OVERFLOW]])

@@ -13,12 +13,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabwright.sources.shared import durable
 
 ENCODINGS = {"UTF-8": None, "UTF8": None, "US-ASCII": "US-ASCII", "ISO-8859-1": "ISO-8859-1", "LATIN-1": "ISO-8859-1", "LATIN1": "ISO-8859-1"}
 _SPLITS = "spark.sql.files.minPartitionNum"
+STRETCH = 4_000_000  # bytes of lines that a task turns into records at a time
 _OUT, _IN, _CLOSED, _LINE_START = 0, 1, 2, 3  # a reader: in plain text, inside quotes, just behind a quote that closed, at a line's start
 _BLOCKS = "file string, start long, end0 boolean, begins0 boolean, end1 boolean, begins1 boolean"
 
@@ -151,6 +153,13 @@ def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=[c.split()[0] for c in _PIECES.split(", ")])
 
 
+def _stretches(line: pa.Array, a: int, b: int) -> list[tuple[int, int]]:
+    """Lines a to b in stretches of about STRETCH bytes, so that records are put together from few lines at a time."""
+    sizes = pc.fill_null(pc.binary_length(line[a:b]), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // STRETCH)) + 1 + a
+    return list(zip([a, *cuts.tolist()], [*cuts.tolist(), b], strict=True))
+
+
 def _piece_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole records with a null file, and pieces of records that cross a border with the range they began in."""
     cutter = None
@@ -164,11 +173,14 @@ def _piece_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 if cutter:
                     yield _piece_batch(cutter.finish())
                 cutter = _Cutter(key, inside[a].as_py(), owner[a].as_py())
-            whole = cutter.add(line[a:b], o[a:b], i[a:b])
-            rows, cutter.rows = cutter.rows, []
-            yield _piece_batch(rows)
-            none = [pa.nulls(len(whole), t) for t in (pa.string(), pa.int64(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([whole.cast(pa.string()), *none, pa.array(np.zeros(len(whole), bool))], names=[c.split()[0] for c in _PIECES.split(", ")])
+            for x, y in _stretches(line, a, b):
+                whole = cutter.add(line[x:y], o[x:y], i[x:y])
+                rows, cutter.rows = cutter.rows, []
+                if rows:
+                    yield _piece_batch(rows)
+                if len(whole):
+                    none = [pa.nulls(len(whole), t) for t in (pa.string(), pa.int64(), pa.int64())]
+                    yield pa.RecordBatch.from_arrays([whole.cast(pa.string()), *none, pa.array(np.zeros(len(whole), bool))], names=[c.split()[0] for c in _PIECES.split(", ")])
     if cutter:
         yield _piece_batch(cutter.finish())
 

@@ -89,3 +89,25 @@ def test_ranges_that_changed_are_an_error(spark, tmp_path):
     with small_ranges(spark, 333):
         with pytest.raises(Exception, match="split in another way"):
             records.select("record").where("record <> 'x'").collect()
+
+
+def test_a_large_batch_is_cut_in_stretches():
+    """What a task holds of records that span lines does not depend on the size of the batches it is given."""
+    import numpy as np
+    import pyarrow as pa
+
+    n = 3_000
+    lines = [x for k in range(n) for x in (f'{k},"' + "x" * 3_000, "y" * 3_000, 'z"')]
+    o = np.array([True, False, False] * n)  # from outside: the first line of a record opens a cell
+    i = np.array([False, True, False] * n)  # from inside: the last one closes it
+    batch = pa.RecordBatch.from_arrays([pa.array(["f"] * 3 * n), pa.array([7] * 3 * n), pa.array(lines), pa.array(o), pa.array(i),
+                                        pa.array([False] * 3 * n), pa.array([-1] * 3 * n)], names=list("abcdefg"))
+    out = list(spanning._piece_batches(iter([batch])))
+    assert max(b.nbytes for b in out) < 2 * spanning.STRETCH
+    assert [r for b in out for r in b.column(0).to_pylist()] == ["\n".join(lines[k:k + 3]) for k in range(0, 3 * n, 3)]
+
+
+def test_records_are_cut_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,note\n" + '1,"two\nlines"\n' * 400)
+    rows = csv.read_csv(spark, str(tmp_path)).rows
+    assert "MapInArrow" not in rows._jdf.queryExecution().toString() and rows.count() == 400
