@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tabwright.functions.exprs import col, row_hash
 from tabwright.operators.ordered import hash_cuts, not_after
+from tabwright.sources.shared import durable
 
 SEED = 42
 COPY = "_copy"
@@ -20,14 +21,15 @@ COPY = "_copy"
 def distinct_keys(df: DataFrame, ids: list[str]) -> tuple[DataFrame, list[str]]:
     """The table and its row keys; where keys repeat, a counter among rows of one key is added to them.
 
-    Only the keys are counted. The counter follows the order of the rows' contents, so it is the same under any plan.
+    Only the keys are counted. The counter follows the order of the rows' contents, so it is the same under any plan. The table with the
+    counter is stored, since every pass over it would sort all rows again.
     """
     hashed = df.select(F.xxhash64(*[col(i) for i in ids]).alias("h"))
     if hashed.groupBy("h").count().where("count > 1").isEmpty():
         return df, ids
     rest = [c for c in df.columns if c not in ids]
     w = Window.partitionBy(*[col(i) for i in ids]).orderBy(F.xxhash64(*[col(c) for c in rest]) if rest else F.lit(0), *[col(c) for c in rest])
-    return df.withColumn(COPY, F.row_number().over(w)), [*ids, COPY]
+    return durable(df.withColumn(COPY, F.row_number().over(w)), "keys"), [*ids, COPY]
 
 
 def class_sizes(df: DataFrame, target: str) -> dict:

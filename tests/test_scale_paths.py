@@ -292,3 +292,12 @@ def test_a_block_search_holds_a_strip_of_distances(p):
         d = np.where(groups[0] == groups[1][n], np.nan, gap.sum(axis=1) if p == 1 else np.sqrt((gap * gap).sum(axis=1)))
         want = np.lexsort((keys, np.round(d, neighbors.DIGITS)))[:5]
         assert j[i == n].tolist() == want.tolist() and np.allclose(dist[i == n], d[want], rtol=1e-12)
+
+
+def test_rows_of_repeated_keys_are_told_apart_once(spark):
+    from tabwright.operators import split
+
+    df = spark.range(900).selectExpr("id % 300 as key", "id as content", "id % 2 as t")
+    train, test, _ = split.train_test_split(df, ["key"], "t", 0.25)
+    assert "Window" not in train._jdf.queryExecution().toString() and train.columns == df.columns
+    assert test.count() == 225 and train.unionAll(test).exceptAll(df).count() == 0 and train.count() == 675
