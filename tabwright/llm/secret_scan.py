@@ -19,13 +19,22 @@ from pyspark.sql import functions as F
 from tabwright.llm.documents import quoted
 from tabwright.sources.shared import durable
 
+# Looking back has a fixed width in every alternative, which each engine reads alike, and comes after a look at the last one or two characters,
+# which rules out nearly every place at once.
+NAMES = ["pwd", "token", "passwd|secret|apikey", "api[_-]key|authkey", "password|auth[_-]key", "accesskey", "passphrase|credential|privatekey|access[_-]key", "private[_-]key"]
+NAME = "(?:" + "|".join(f"(?<=(?:{n}){end})" for end in ("", "s", "[_-]key", "[_-]id") for n in NAMES) + ")"
+BETWEEN = r"[\x22\x27\x20\t=:>]"
+ASSIGNS = r"[\x22\x27]?[\x20\t]{0,8}(?:=>|:=|=|:)[\x20\t]{0,8}[\x22\x27]?"
+# behind a name and all that stands between it and the place, which holds one sign of assignment
+ASSIGNED = "(?i:" + "|".join(rf"(?<=(?={ASSIGNS}(?!{BETWEEN})){NAME}{BETWEEN}{{{n}}})" for n in range(1, 21)) + ")"
+USER = "(?:" + "|".join(rf"(?<=://[A-Za-z0-9._%+-]{{{n}}}:)" for n in range(1, 65)) + ")"
 #: Forms of proposals, in the order in which they are tried at a place. Quantifiers are possessive or bounded, so that no text takes more than linear time.
 FORMS = {
-    "key_block": r"-----BEGIN [A-Z ]{0,40}+PRIVATE KEY-----[A-Za-z0-9/+=\s]*+",
+    "key_block": r"-----BEGIN [A-Z ]{0,40}+PRIVATE KEY-----[A-Za-z0-9/+=\x20\x09-\x0D]*+",
     "web_token": r"(?<![A-Za-z0-9/+_.-])eyJ[A-Za-z0-9_-]{5,}+\.eyJ[A-Za-z0-9_-]{5,}+\.[A-Za-z0-9_-]*+",
-    "connection": r"(?<=://[A-Za-z0-9._%+-]{1,64}:)[^\s:/@\x22\x27<>]{3,}+(?=@)",
-    "assigned": r"(?<=(?i:passwd|password|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|credential)(?i:s|[_-]key|[_-]id)?[\x22\x27]?[\x20\t]{0,8}(?:=|:|:=|=>)[\x20\t]{0,8}[\x22\x27]?)"
-                r"(?![=>])(?!eyJ[A-Za-z0-9_-]{5,}+\.eyJ)[^\s\x22\x27<>,;(){}\[\]:=][^\s\x22\x27<>,;(){}\[\]]{5,}+",
+    "connection": rf"(?<=:){USER}[^\x20\x09-\x0D:/@\x22\x27<>]{{3,}}+(?=@)",
+    "assigned": rf"(?<={BETWEEN})(?<![^\x22\x27\x20\t=:>][\x20\t])(?!eyJ[A-Za-z0-9_-]{{5,}}+\.eyJ)(?=[^\x20\x09-\x0D\x22\x27<>,;(){{}}\[\]:=]){ASSIGNED}"
+                r"[^\x20\x09-\x0D\x22\x27<>,;(){}\[\]]{6,}+",
     "run": r"(?<![A-Za-z0-9/+_-])(?=[A-Za-z/+_-]*+[0-9])[A-Za-z0-9/+_-]{16,}+={0,2}+",
 }
 PROPOSAL = "(?:" + "|".join(FORMS.values()) + ")"

@@ -55,3 +55,15 @@ def test_native_and_awkward(spark):
     assert "Python" not in plan and "Arrow" not in plan
     assert {r.doc_id: r.is_secret for r in df.collect()}.get(None) is True
     assert S.scan(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_values_behind_names_match_python(spark):
+    rng, rows = random.Random(9), []
+    names = ["password", "PWD", "api_key", "apikey", "Access-Key", "secret_id", "tokens", "private-key_key", "credential", "word", "auth", "postgres://joe:", "http://a:b:", "://:"]
+    between = ["=", ":", ":=", "=>", "==", ' = "', '": "', "\t:\t'", "  =  ", " " * 8 + "=" + " " * 8, " " * 9 + "=", "=" + " " * 9, " ", "", "=:", '"" =']
+    values = ["abcdef", "abcde", "s3cret-Value/9", "=abcdefg", "pa55w@host", "eyJabcdef.eyJabcdef.zz", "a:b=c:d=e", "[abcdef]", "é漢字😀xyz", "x\u00a0yzxyz", "ſecret=abcdefg", "token=abcdefg"]
+    for i in range(3000):
+        rows.append((i, " ".join(rng.choice(names) + rng.choice(between) + rng.choice(values) + rng.choice(["", "\n", "'", '"']) for _ in range(rng.randint(1, 4))), "en"))
+    got = sorted((r.doc_id, r.start, r.stop, r.value) for r in S.proposals(frame(spark, rows)).collect())
+    assert got == sorted((d, m.start(), m.end(), m.group()) for d, t, _ in rows for m in re.finditer(S.PROPOSAL, t, re.ASCII))
+    assert len(got) > 2000 and {"eyJabcdef.eyJabcdef.zz", "pa55w", "a:b=c:d=e", "s3cret-Value/9", "é漢字😀xyz"} <= {v for *_, v in got}
