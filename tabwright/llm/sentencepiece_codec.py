@@ -14,6 +14,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,8 @@ from tabwright.llm.documents import quoted
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_LIMIT = 64 << 20
 CHUNK = 1 << 20
-CACHED = 100_000
+CACHED = 1_000_000   # words; a hash, two places, two flags and on average some four ids each
+IDS_PER_WORD = 16
 BLANK = "▁"
 # Fixed values of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
@@ -132,7 +134,9 @@ class Codec:
         self.model = parse(data)
         self.parts = build(self.model, parts=True) if splits(self.model) else None
         self.plain = not self.model.charsmap and not self.model.squeeze
-        self.known: dict[str, bytes] = {}  # ids, and a last byte for whether they decode to the word
+        # the cache: sorted hashes of words and their places; by place, where the ids begin, whether they decode to the word, whether it came again
+        self.codes, self.place, self.begin = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.ids, self.same, self.again = np.zeros(0, np.int32), np.zeros(0, bool), np.zeros(0, bool)
 
     @cached_property
     def whole(self):
@@ -174,26 +178,59 @@ class Codec:
         start[offsets[:-1][sizes > 0]] = True
         at = np.flatnonzero(start)
         ends = np.append(at[1:], len(buf))
-        _, first, back = np.unique(segment_hash(prefix_hash(buf), at, ends, buf), return_index=True, return_inverse=True)
-        words = cut(buf, at[first], ends[first]).cast(pa.string()).to_pylist()
-        if len(self.known) > CACHED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 1 << 16):
-            part = new[i:i + (1 << 16)]
-            ids = [e.ids for e in self.parts.encode_batch_fast(part, add_special_tokens=False)]
-            texts = self.parts.decode_batch(ids, skip_special_tokens=False)
-            self.known.update((w, np.array(x, "<i4").tobytes() + (b"\1" if t == w else b"\0")) for w, x, t in zip(part, ids, texts, strict=True))
-        got = [self.known[w] for w in words]
-        n = np.fromiter((len(x) // 4 for x in got), np.int64, len(got))
-        flat = np.frombuffer(b"".join([x[:-1] for x in got]), np.int32)
-        begin, count = np.cumsum(n) - n, n[back]
+        codes, first, back = np.unique(segment_hash(prefix_hash(buf), at, ends, buf), return_index=True, return_inverse=True)
+        held = self._held(codes, lambda i: cut(buf, at[first[i]], ends[first[i]]).cast(pa.string()).to_pylist())
+        begin, count = self.begin[held], (self.begin[held + 1] - self.begin[held])[back]
         total = np.concatenate([[0], np.cumsum(count)])
-        ids = flat[np.arange(total[-1]) + np.repeat(begin[back] - total[:-1], count)]
-        same = np.concatenate([[0], np.cumsum(~np.array([x[-1] == 1 for x in got], bool)[back])])
+        ids = self.ids[np.arange(total[-1]) + np.repeat(begin[back] - total[:-1], count)]
+        same = np.concatenate([[0], np.cumsum(~self.same[held][back])])
         edge = np.searchsorted(at, offsets)
         return total[edge], ids, same[edge[1:]] == same[edge[:-1]]
 
+    def _held(self, codes: np.ndarray, words) -> np.ndarray:
+        """Places of words, given by their sorted hashes, in the cache; words(i): those at i of them, asked for what has to be encoded."""
+        if len(self.codes) > CACHED or len(self.ids) > IDS_PER_WORD * CACHED:
+            self._forget()
+        at = np.searchsorted(self.codes, codes)
+        has = at < len(self.codes)
+        has[has] = self.codes[at[has]] == codes[has]
+        self.again[self.place[at[has]]] = True
+        if len(new := np.flatnonzero(~has)):
+            ids, n, same = self._encoded(words(new))
+            place = np.arange(len(self.same), len(self.same) + len(new))
+            self.codes, self.place = np.insert(self.codes, at[new], codes[new]), np.insert(self.place, at[new], place)
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(n)])
+            self.ids, self.same = np.concatenate([self.ids, ids]), np.concatenate([self.same, same])
+            self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        return self.place[np.searchsorted(self.codes, codes)]
+
+    def _forget(self) -> None:
+        """Keep the words that came again since the last time, if they are at most half of what is held."""
+        n = np.diff(self.begin)
+        if 2 * self.again.sum() > CACHED or 2 * n[self.again].sum() > IDS_PER_WORD * CACHED:
+            self.again[:] = False
+        stay = self.again[self.place]
+        self.codes, self.place = self.codes[stay], (np.cumsum(self.again) - 1)[self.place[stay]]
+        self.ids, self.same = self.ids[np.repeat(self.again, n)], self.same[self.again]
+        self.begin = np.concatenate([[0], np.cumsum(n[self.again])])
+        self.again = np.zeros(len(self.same), bool)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of words, how many each has, and whether they decode to it. Pieces spell the word, save for unknown ones, signs that stand for
+        blanks, and pieces that look like bytes; only words with these are decoded."""
+        found = []
+        for i in range(0, len(words), 1 << 16):
+            part = words[i:i + (1 << 16)]
+            lists = [e.ids for e in self.parts.encode_batch_fast(part, add_special_tokens=False)]
+            n = np.fromiter(map(len, lists), np.int64, len(lists))
+            ids = np.fromiter(chain.from_iterable(lists), np.int32, n.sum())
+            odd = np.fromiter((BLANK in w or "<0x" in w for w in part), bool, len(part))
+            odd[np.repeat(np.arange(len(part)), n)[ids == self.model.unknown]] = True
+            at, same = np.flatnonzero(odd), ~odd
+            same[at] = [part[j] == t for j, t in zip(at, self.parts.decode_batch([lists[j] for j in at], skip_special_tokens=False), strict=True)]
+            found.append((ids, n, same))
+        return tuple(map(np.concatenate, zip(*found)))
+
 
 _built: dict[bytes, Codec] = {}
 

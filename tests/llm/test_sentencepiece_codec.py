@@ -82,3 +82,39 @@ def test_encode_and_decode_tables(spark):
     assert C.encode(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         C.encode(out)
+
+
+class Counted:
+    """A tokenizer that counts the words it encodes and decodes."""
+
+    def __init__(self, inner):
+        self.inner, self.encoded, self.decoded = inner, 0, 0
+
+    def encode_batch_fast(self, words, **more):
+        self.encoded += len(words)
+        return self.inner.encode_batch_fast(words, **more)
+
+    def decode_batch(self, ids, **more):
+        self.decoded += len(ids)
+        return self.inner.decode_batch(ids, **more)
+
+
+def test_words_are_encoded_once_and_only_odd_ones_decoded():
+    codec = C.Codec(C.model_bytes(C.MODEL))
+    codec.parts = counted = Counted(codec.parts)
+    texts = [" ".join(f"w{i}x" for i in range(a, a + 30_000)) for a in (0, 30_000, 60_000, 90_000, 0, 30_000)] + ["▁ and <0x41>"]
+    for t in texts:
+        encoded(codec, [t])
+    assert counted.encoded == 120_003 and counted.decoded == 2
+
+
+def test_a_full_cache_changes_nothing(texts, monkeypatch):
+    data = C.model_bytes(C.MODEL)
+    plain = [list(x) for x in zip(*((o.tolist(), i.tolist(), s.tolist()) for _, _, o, i, s in C.Codec(data).encode(pa.array(texts * 3, pa.string()))))]
+    monkeypatch.setattr(C, "CHUNK", 2000)
+    for size in (0, 50, 400):
+        monkeypatch.setattr(C, "CACHED", size)
+        codec = C.Codec(data)
+        assert encoded(codec, texts * 3) == encoded(C.Codec(data), texts) * 3
+        same = np.concatenate([s for *_, s in codec.encode(pa.array(texts * 3, pa.string()))])
+        assert same.tolist() == sum(plain[2], []) and same.tolist() == ["▁" not in (t or "") for t in texts] * 3
