@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabwright.functions.exprs import col
+from tabwright.functions.exprs import col, row_hash
 from tabwright.operators.bayes import GaussianBayes
 from tabwright.operators.kernel import Landmarks, Pairs
 from tabwright.operators.neighbors import neighbours, votes
@@ -115,8 +115,9 @@ class Classifier:
         weighted = rows.withColumn("weight", class_weights(sizes, p["class_weight"]))
         weights = [n / len(sizes)] * len(sizes) if p["class_weight"] else list(sizes.values())
         # a folder per class, so that each pair of classes reads its own rows
-        mapped = durable(weighted.select("features", "weight", "label"), "mapped", by=["label"])
-        self.model = Pairs.fit(mapped, weights, p["C"], p["max_iter"])
+        draw = (F.conv(row_hash([self.key], SEED + 1), 16, 10).cast("double") + 0.5) / float(1 << 32)
+        mapped = durable(weighted.select("features", "weight", "label", draw.alias("draw")), "mapped", by=["label"])
+        self.model = Pairs.fit(mapped, weights, list(sizes.values()), p["C"], p["max_iter"])
 
     def _fit_tree(self, rows: DataFrame, sizes: dict) -> None:
         p = self.params

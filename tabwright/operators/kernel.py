@@ -8,6 +8,7 @@ Landmarks are added in growing rounds, drawn with a chance in proportion to the
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from itertools import combinations
 from multiprocessing.pool import ThreadPool
@@ -22,11 +23,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tabwright.functions.exprs import row_hash
 from tabwright.operators.split import SEED
 from tabwright.sources.local import small_table
+from tabwright.sources.shared import durable
 
 FIRST_ROUND = 32
 GROWTH = 4
 CELLS = 8_000_000   # numbers in all landmarks together; what a task holds stays below 64 MB at any width
 PARALLEL = 4        # pairs of classes fitted at a time
+WORKING_ROWS = 10_000  # of each class that a machine is fitted on at first
+ROWS_A_TASK = 40_000   # of these; a step over so few rows is shorter than the start of a task
+ROUNDS = 8          # of rows added to these before all are taken
+GAP = 0.01         # share of what a machine minimises that the rows left out may add to it
 
 
 def _kernel(x: np.ndarray, points: np.ndarray, gamma: float) -> np.ndarray:
@@ -101,6 +107,38 @@ class Landmarks:
         return df.withColumn("features", array_to_vector(self._udf(df.sparkSession)(vector_to_array("features"))))
 
 
+def _machine(rows: DataFrame, sizes: list[float], counts: list[int], c: float, max_iter: int, a: int, b: int) -> LinearSVCModel:
+    """The machine of two classes, fitted on the rows that hold it: those drawn first and all that came to lie inside its margin since.
+
+    A row beyond the margin adds nothing to what is minimised, so leaving it out changes nothing. What the rows left out add all the same is
+    summed up over every one of them, and is the most by which the sum misses its least value; the machine is taken once that is at most GAP of
+    the sum. If half of the rows are needed, all are taken.
+    """
+    def fit(part: DataFrame, size: float) -> LinearSVCModel:
+        return LinearSVC(regParam=1.0 / (c * size), standardization=False, maxIter=max_iter, weightCol="weight").fit(part)
+
+    two = rows.where(F.col("label").isin(float(a), float(b))).withColumn("label", (F.col("label") == b).cast("double"))
+    n = counts[a] + counts[b]
+    share = F.when(F.col("label") == 0, WORKING_ROWS / counts[a]).otherwise(WORKING_ROWS / counts[b])
+    known, inside = two, F.col("draw") < share
+    for i in range(ROUNDS if n > 4 * WORKING_ROWS else 0):
+        part = durable(known.where(inside).select("features", "weight", "label"), "working")
+        held, size = part.agg(F.count("*"), F.sum("weight")).first()
+        if 2 * held > n:
+            break
+        model = fit(part.coalesce(math.ceil(held / ROWS_A_TASK)), size)
+        # beside the columns the machine's loss of every row
+        known = model.copy().setPredictionCol("").setRawPredictionCol("_raw").transform(known)
+        known = known.withColumn(f"_loss{i}", F.greatest(F.lit(0.0), 1 - (2 * F.col("label") - 1) * vector_to_array("_raw")[1])).drop("_raw")
+        loss = F.col("weight") * F.col(f"_loss{i}")
+        seen, left = known.agg(F.sum(F.when(inside, loss)), F.sum(F.when(~inside, loss))).first()
+        w = model.coefficients.toArray()
+        if (left or 0.0) <= GAP * ((seen or 0.0) + float(w @ w) / (2 * c)):
+            return model
+        inside = inside | (F.col(f"_loss{i}") > 0)
+    return fit(two, sizes[a] + sizes[b])
+
+
 @dataclass
 class Pairs:
     """A linear machine for every two classes; the class with most votes wins, the first one of equals."""
@@ -109,16 +147,13 @@ class Pairs:
     n_classes: int
 
     @classmethod
-    def fit(cls, rows: DataFrame, sizes: list[float], c: float, max_iter: int) -> Pairs:
-        """From rows with label, features and weight; sizes: the sum of weights by class. A machine reads the rows of its two classes only."""
-        def machine(pair: tuple[int, int]) -> LinearSVCModel:
-            a, b = pair
-            two = rows.where(F.col("label").isin(float(a), float(b))).withColumn("label", (F.col("label") == b).cast("double"))
-            return LinearSVC(regParam=1.0 / (c * (sizes[a] + sizes[b])), standardization=False, maxIter=max_iter, weightCol="weight").fit(two)
-
+    def fit(cls, rows: DataFrame, sizes: list[float], counts: list[int], c: float, max_iter: int) -> Pairs:
+        """From rows with label, features, weight and draw (even from 0 to 1); sizes and counts: weights and rows by class. A machine reads the rows
+        of its two classes only."""
         pairs = list(combinations(range(len(sizes)), 2))
+        work = lambda pair: _machine(rows, sizes, counts, c, max_iter, *pair)
         with ThreadPool(min(PARALLEL, len(pairs))) as pool:
-            return cls(pool.map(inheritable_thread_target(rows.sparkSession)(machine), pairs), len(sizes))
+            return cls(pool.map(inheritable_thread_target(rows.sparkSession)(work), pairs), len(sizes))
 
     def winner(self, df: DataFrame) -> tuple[DataFrame, Column]:
         """`df` with one more column per pair, and the winning class as an expression over them; a margin of zero is a vote for the first."""

@@ -106,6 +106,17 @@ def test_pairs_of_classes_vote_and_come_back_from_storage(spark, weight):
     assert model.score(df).join(again, "id").where("prediction <> p or p is null").count() == 0
 
 
+def test_machines_fitted_on_the_rows_that_hold_them_predict_all(spark, monkeypatch):
+    from tabwright.operators import kernel
+
+    df = rings(spark, 900, 3)
+    monkeypatch.setattr(kernel, "WORKING_ROWS", 40)
+    seen = []
+    monkeypatch.setattr(kernel.LinearSVC, "fit", lambda self, part, fit=kernel.LinearSVC.fit: seen.append(part.count()) or fit(self, part))
+    model = Classifier.fit("Support Vector Machine", df, "label", "id", {"gamma": "auto"})
+    assert min(seen) < 300 and accuracy(model, df) > 0.95
+
+
 def test_tied_votes_go_to_the_first_class(spark):
     from pyspark.ml.linalg import Vectors
 
