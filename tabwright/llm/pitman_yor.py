@@ -9,7 +9,9 @@ never seen after another one from how often it opened tables elsewhere.
 Seating is sampled by Gibbs sweeps. A sweep takes all customers of a dish out of a restaurant and seats them again, each opening a table with
 its conditional probability given everything else; beyond forty customers those of the next five per cent are seated by one
 draw. Draws depend on the dish and the sweep alone, so a lost task repeats the same seating. Predictive probabilities are averaged over the
-sweeps after burn-in. Words, previous words and pairs of them cover all training documents and stay distributed tables, without a cut. The driver and
+sweeps after burn-in. Words, previous words and pairs of them cover all training documents, without a cut. Pairs are dealt to buckets by their rare word,
+once to be counted and once more, with the places of their documents, to be scored beside the figures of the bucket's words; a task adds up what its buckets
+have for a document. In between only pairs seen twice or more stay a table, since one seen once has one table in every sweep. The driver and
 the tasks hold spelling cells, frequent words and frequent pairs, all bounded by shares: contexts of three and four bytes have a restaurant if they
 make up 1/65,536 of all spelled bytes, of two bytes always, so there are 65,536 of each at most; words and pairs go to the tasks if
 they make up 1/200,000 of all tokens. All rarer ones meet their figures in joins, so no key of a join is hot.
@@ -17,16 +19,20 @@ they make up 1/200,000 of all tokens. All rarer ones meet their figures in joins
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.bytesvec import chunks, cut, lower, mix, prefix_hash, segment_hash, words
+from tabwright.llm.bytesvec import chunks, cut, give_back, lower, mix, prefix_hash, segment_hash, words
 from tabwright.llm.documents import HELD_OUT_HASH, one_row_per_id
-from tabwright.sources.shared import durable
+from tabwright.sources.shared import durable, release, spent_shuffles
 
 FREQUENT = 200_000
 SWEEPS = 4
@@ -36,6 +42,11 @@ SPELL_DISCOUNT = 0.5
 STRENGTH = 1.0
 _END = b"\n"
 _FLUSH = 1_000_000
+LARGE = 50_000           # words of a batch
+BLOCK = 1_000_000        # tokens of a block of documents
+BUCKET = 1_000_000       # tokens of a bucket, on average
+TASK = 64_000_000        # tokens of a task that holds buckets, if there are more than for two tasks a core
+HELD_DOCS = 8_000_000    # documents whose sums a task holds
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -208,6 +219,30 @@ class Seating:
         return np.log10(total / (SWEEPS - BURN_IN))
 
 
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of LARGE, since most cells of many words are the same."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        if (size := size + batch.num_rows) >= LARGE:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+            give_back()
+    if size:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of every distinct key, and for every key which of these it is."""
+    order = np.argsort(keys)
+    sorted_ = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = sorted_[1:] != sorted_[:-1]
+    back = np.empty(len(keys), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return order[new], back
+
+
 def _codes(column: pa.Array) -> np.ndarray:
     """A hash per word, for its draws."""
     out = [segment_hash(prefix_hash(c.buf), c.offsets[:-1], c.offsets[1:], c.buf) for c in chunks(column)]
@@ -216,8 +251,8 @@ def _codes(column: pa.Array) -> np.ndarray:
 
 def _merged(found: list[tuple]) -> tuple[np.ndarray, pa.Array]:
     code, n, word = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]), pa.concat_arrays([x[2] for x in found])
-    _, at, back = np.unique(code, return_index=True, return_inverse=True)
-    return np.bincount(back, n).astype(np.int64), word.take(pa.array(at)), code[at]
+    at, back = _distinct(code)
+    return np.bincount(back, n, len(at)).astype(np.int64), word.take(pa.array(at)), code[at]
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,8 +269,9 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for chunk in chunks(batch.column(0)):
             low = lower(chunk.buf)
             starts, ends, first = words(chunk)
-            code, at, back = np.unique(segment_hash(prefix_hash(low), starts, ends, low), return_index=True, return_inverse=True)
-            n = np.bincount(back, np.repeat(learn[chunk.first:chunk.last], np.diff(first)), len(code))
+            code = segment_hash(prefix_hash(low), starts, ends, low)
+            at, back = _distinct(code)
+            code, n = code[at], np.bincount(back, np.repeat(learn[chunk.first:chunk.last], np.diff(first)), len(at))
             held.append((code, n, cut(low, starts[at], ends[at])))
             size += len(code)
             if size > 4 * _FLUSH:
@@ -253,10 +289,13 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _cell_batches(model: Seating, sweep: int):
     """Customers of every spelling cell after a sweep over the words; under key -1 the number of tables."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        held, size = [(np.zeros(0, np.int64), np.zeros(0))], 0
+
+        def merged():
+            keys, back = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+            return keys, np.bincount(back, np.concatenate([x[1] for x in held]), len(keys))
+
+        for batch in _larger(batches):
             column, c = batch.column(0), batch.column(1).to_numpy()
             t = (c > 0).astype(np.float64)
             if sweep:
@@ -264,18 +303,22 @@ def _cell_batches(model: Seating, sweep: int):
                 part = column.take(pa.array(some))
                 t[some] = model.tables_of(model.spelled(part, range(sweep - 1, sweep)), c[some], _codes(part), sweep)
             cells, first = _spelled(column)
+            lengths = np.diff(np.append(first, len(cells)))
+            cells, back = np.unique(cells, return_inverse=True)
+            sums = np.bincount(back, np.repeat(t, lengths), len(cells))
             if model.contexts:
                 cells = model.levelled(cells)
-            lengths = np.diff(np.append(first, len(cells)))
-            keys, back = np.unique(np.concatenate([keys, cells, [-1]]), return_inverse=True)
-            counts = np.bincount(back, np.concatenate([counts, np.repeat(t, lengths), [t.sum()]]))
+            held.append((np.append(cells, -1), np.append(sums, t.sum())))
+            if (size := size + len(cells)) > _FLUSH:
+                held, size = [merged()], 0
+        keys, counts = merged()
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], names=["cell", "n"])
     return run
 
 
 def _probability_batches(model: Seating):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _larger(batches):
             column, c = batch.column(0), batch.column(1).to_numpy()
             logp = model.log10(model.spelled(column, range(SWEEPS)), c, _codes(column))
             yield pa.RecordBatch.from_arrays([column, batch.column(1), pa.array(logp)], names=["word", "n", "logp"])
@@ -320,13 +363,22 @@ def _id_batches(often: np.ndarray):
     return run
 
 
+def _pair_order(u, w):
+    """An order in which equal pairs are neighbours, and where a new one begins."""
+    code = _pair_code(u, w)
+    order = np.argsort(code)
+    starts = lambda x, y: np.append(np.ones(min(len(x), 1), bool), (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
+    code, new = code[order], starts(u[order], w[order])
+    if (new[1:] & (code[1:] == code[:-1])).any():  # two pairs of one code may lie in turns
+        order = np.lexsort((w, u))
+        new = starts(u[order], w[order])
+    return order, new
+
+
 def _pair_sums(u, w, n):
-    order = np.lexsort((w, u))
-    u, w, n = u[order], w[order], n[order]
-    new = np.ones(len(u), bool)
-    new[1:] = (u[1:] != u[:-1]) | (w[1:] != w[:-1])
+    order, new = _pair_order(u, w)
     at = np.flatnonzero(new)
-    return u[at], w[at], np.add.reduceat(n, at) if len(at) else n
+    return u[order[at]], w[order[at]], np.add.reduceat(n[order], at) if len(at) else n
 
 
 def _pair_batches(often: np.ndarray):
@@ -352,12 +404,14 @@ def _pair_batches(often: np.ndarray):
 
 
 def _word_batches(model: Seating, sweep: int, total: float):
-    """Predictive probability of every word in one sweep, from its customers in that sweep."""
+    """Words (w, word, n, spelled, ...) with their spelling in this sweep and, after all columns, their predictive probability from n customers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _larger(batches):
             column, c = batch.column(1), batch.column(2).to_numpy()
-            p = model.probability(model.spelled(column, range(max(sweep - 1, 0), sweep + 1)), c, total, _codes(column), sweep)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], names=["w", "p"])
+            spelled = model.spelled(column, range(sweep, sweep + 1)) | {sweep - 1: batch.column(3).to_numpy()}
+            p = model.probability(spelled, c, total, _codes(column), sweep)
+            kept = [pa.array(spelled[sweep]) if i == 3 else x for i, x in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(p)], names=[*batch.schema.names, f"p{sweep}"])
     return run
 
 
@@ -377,52 +431,254 @@ def _draw_batches(often: np.ndarray, discount: float, sweep: int):
     return run
 
 
+def _pair_scores(often: np.ndarray, discount: float, u: np.ndarray, w: np.ndarray, n: np.ndarray, contexts: np.ndarray, words_: np.ndarray) -> np.ndarray:
+    """log10 of the averaged predictive probability of pairs, from figures (customers, tables by sweep) and (count, probability by sweep)."""
+    code, sum_ = _pair_code(_hashes(often, u), _hashes(often, w)), np.zeros(len(u))
+    for i in range(BURN_IN, SWEEPS):
+        t = _pair_tables(code, n, contexts[:, i], words_[:, i], discount, i)
+        sum_ += (n - discount * t + (STRENGTH + discount * contexts[:, 1 + i]) * words_[:, 1 + i]) / (STRENGTH + contexts[:, 0])
+    return np.log10(sum_ / (SWEEPS - BURN_IN))
+
+
 def _pair_probability_batches(often: np.ndarray, discount: float):
     """Of (u, w, n, known, base, c, t0.., p0..) the averaged predictive probability."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, w, n = (batch.column(i).to_numpy() for i in range(3))
-            c = batch.column(5).to_numpy()
-            opened, p = ([batch.column(6 + k * SWEEPS + i).to_numpy() for i in range(SWEEPS)] for k in (0, 1))
-            code, sum_ = _pair_code(_hashes(often, u), _hashes(often, w)), np.zeros(len(u))
-            for i in range(BURN_IN, SWEEPS):
-                t = _pair_tables(code, n, opened[i - 1], p[i - 1], discount, i)
-                sum_ += (n - discount * t + (STRENGTH + discount * opened[i]) * p[i]) / (STRENGTH + c)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(np.log10(sum_ / (SWEEPS - BURN_IN)))], names=["u", "w", "n", "known", "base", "logp"])
+            contexts, words_ = (np.stack([batch.column(i).to_numpy().astype(np.float64) for i in at], axis=1)
+                                for at in (range(5, 6 + SWEEPS), (2, *range(6 + SWEEPS, 6 + 2 * SWEEPS))))
+            logp = _pair_scores(often, discount, u, w, n, contexts, words_)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(logp)], names=["u", "w", "n", "known", "base", "logp"])
     return run
 
 
-def _score_batches(often: np.ndarray, codes: np.ndarray, base: np.ndarray, logp: np.ndarray, seen: np.ndarray):
-    """Per document its tokens and the sums over frequent pairs; besides, each rarer pair with its count."""
+def _own_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(ids.view(np.uint64) + _GOLDEN) % np.uint64(buckets)).astype(np.int32)
+
+
+def _bucket(u: np.ndarray, w: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a pair: that of its rare word, of the second one if both are, and by both words if none is."""
+    return _own_bucket(np.where(w < 0, w, np.where(u < 0, u, _pair_code(u, w).view(np.int64))), buckets)
+
+
+_PAIRS = (np.int64, np.uint32, np.int64, np.uint32)  # previous words, pairs of each, words, numbers of each pair
+_COUNTED, _PLACED = (*_PAIRS, np.int64), (*_PAIRS, np.uint32)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns in one compressed piece, byte by byte: the high bytes are mostly zero."""
+    sizes = np.array([len(c) for c in columns], np.int64).tobytes()
+    body = b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns)
+    return sizes + (pa.compress(body, codec="zstd", asbytes=True) if body else b"")
+
+
+def _unpack(piece: bytes, types: tuple) -> list[np.ndarray]:
+    sizes = np.frombuffer(piece, np.int64, len(types)).tolist()
+    total = sum(n * np.dtype(t).itemsize for n, t in zip(sizes, types))
+    body = np.frombuffer(pa.decompress(piece[8 * len(types):], total, codec="zstd", asbytes=True) if total else b"", np.uint8)
+    out, at = [], 0
+    for n, t in zip(sizes, types):
+        width = np.dtype(t).itemsize
+        out.append(np.ascontiguousarray(body[at:at + n * width].reshape(width, n).T).view(t).ravel())
+        at += n * width
+    return out
+
+
+def _pieces(u: np.ndarray, w: np.ndarray, buckets: int, of_token: np.ndarray, counted: bool) -> Iterator[tuple[int, bytes]]:
+    """Pairs of a block by bucket, previous words and pairs named once, with the numbers of their tokens or, `counted`, the sum of these."""
+    k = _bucket(u, w, buckets)
+    near = lambda x: mix(x.view(np.uint64)) >> np.uint64(40)
+    order = np.argsort(k.astype(np.uint64) << np.uint64(48) | near(u) << np.uint64(24) | near(w))
+    k, u, w, of_token = k[order], u[order], w[order], of_token[order]
+    other_u, other = np.ones(len(u), bool), np.ones(len(u), bool)
+    other_u[1:] = (u[1:] != u[:-1]) | (k[1:] != k[:-1])
+    other[1:] = other_u[1:] | (w[1:] != w[:-1])
+    pairs, runs = np.flatnonzero(other), np.flatnonzero(other_u)
+    per_pair, per_u = np.diff(np.append(pairs, len(u))), np.diff(np.append(np.searchsorted(pairs, runs), len(pairs)))
+    if counted:
+        of_token = np.add.reduceat(of_token, pairs)
+        per_pair = np.ones(len(pairs), np.int64)
+    ends = np.append(np.flatnonzero(np.diff(k)) + 1, len(k))
+    for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist()):
+        (i, j), (x, y) = (np.searchsorted(at, (a, b)) for at in (pairs, runs))
+        tokens = slice(i, j) if counted else slice(a, b)
+        yield int(k[a]), _pack(u[runs[x:y]], per_u[x:y].astype(np.uint32), w[pairs[i:j]], per_pair[i:j].astype(np.uint32), of_token[tokens])
+
+
+_BLOCK_ROWS = "k int, kind int, id long, n long, piece binary"
+_WORD, _CONTEXT, _PIECE, _DOCS = range(4)  # kinds of rows in a bucket
+
+
+def _block_rows(k, kind: int, id, n, pieces) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(np.full(len(k), kind, np.int32)), pa.array(id, pa.int64()), pa.array(n, pa.int64()),
+                                       pa.array(pieces, pa.binary())], names=[c.split()[0] for c in _BLOCK_ROWS.split(", ")])
+
+
+def _block_batches(often: np.ndarray, buckets: int, counted: bool):
+    """Pairs of neighbouring tokens (text, learn[, doc_id]) in blocks of some million tokens: a row per block and bucket. `counted`: pairs with their
+    count in training documents; else the place of each token's document in the block and whether it is learnt from, and a row with the block's documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, docs, block = [], 0, 0, TaskContext.get().partitionId() << 32
+
+        def out():
+            u, w, of_token = (np.concatenate([x[i] for x in held]) for i in range(3))
+            k, pieces = zip(*_pieces(u, w, buckets, of_token, counted))
+            yield _block_rows(k, _PIECE, np.full(len(k), block), np.full(len(k), docs), pieces)
+            if not counted:
+                ids, n_tokens = (np.concatenate([x[i] for x in held]) for i in (3, 4))
+                yield _block_rows([block % buckets], _DOCS, [block], [docs], [np.concatenate([ids, n_tokens]).tobytes()])
+
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for chunk in chunks(batch.column(1)):
+            learn = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for chunk in chunks(batch.column(0)):
                 doc, u, w = _tokens(chunk, often)
-                code = _pair_code(u, w)
-                at, hit = _find(codes, code)
-                own = ids[chunk.first:chunk.last]
-                sums = (np.bincount(doc[hit], x[at[hit]], len(own)) for x in (seen, base, logp))
-                known, base_sum, sum_ = sums if len(codes) else [np.zeros(len(own))] * 3
-                none = np.zeros(len(own), np.int64)
-                yield _score_rows(own, np.full(len(own), _NO_WORD), own, np.bincount(doc, minlength=len(own)), known.astype(np.int64), base_sum.astype(float), sum_.astype(float), none)
-                rare = np.flatnonzero(~hit)
-                order = rare[np.lexsort((code[rare], doc[rare]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (code[order][1:] != code[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-                place = np.flatnonzero(new)
-                n, order = np.diff(np.append(place, len(order))), order[place]
-                none = np.zeros(len(order), np.int64)
-                yield _score_rows(u[order], w[order], own[doc[order]], none, none, none * 0.0, none * 0.0, n)
+                of_token = learn[chunk.first:chunk.last][doc]
+                if counted:
+                    held.append((u, w, of_token))
+                else:
+                    ids = batch.column(2).to_numpy()[chunk.first:chunk.last]
+                    held.append((u, w, ((docs + doc) * 2 + of_token).astype(np.uint32), ids, np.bincount(doc, minlength=len(ids))))
+                size, docs = size + len(u), docs + len(chunk)
+                if size > BLOCK:
+                    yield from out()
+                    held, size, docs, block = [], 0, 0, block + 1
+                    give_back()
+        if held:
+            yield from out()
+            held = []
+            give_back()
     return run
 
 
-_NO_WORD = np.int64(2 ** 62)  # a document's own row has a number that is no word's
-_SCORES = "u long, w long, doc_id long, n_tokens long, n_known long, base double, score double, n long"
+def _dealt(rows: DataFrame, tasks: int) -> DataFrame:
+    """Rows of a bucket one after the other in one of the tasks, figures first."""
+    return rows.repartitionById(tasks, F.expr(f"k % {tasks}")).sortWithinPartitions("k", "kind")
 
 
-def _score_rows(*columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[x.split()[0] for x in _SCORES.split(", ")])
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    held, last = [], None
+    for batch in batches:
+        k = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(k)) + 1).tolist(), len(k)] if len(k) else []
+        for a, b in zip(cuts, cuts[1:]):
+            if held and k[a] != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = int(k[a])
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
+_COUNTS = "kind int, a long, b long, c long, d long"
+_SEVERAL, _OF_U, _OF_W, _ELSEWHERE = range(4)
+
+
+def _bucket_counts(key: tuple[pa.Scalar], table: pa.Table) -> pa.Table:
+    """Of a bucket: pairs seen twice or more (u, w, n); previous words (u, n, pairs, pairs seen once); words (w, pairs, pairs seen once);
+    and previous words whose figures are needed here although their own bucket is another one (bucket, u)."""
+    def rows(kind, *columns):
+        none = pa.array(np.zeros(len(columns[0]), np.int64))
+        columns = [pa.array(c.astype(np.int64)) for c in columns]
+        return pa.table([pa.array(np.full(len(none), kind, np.int32)), *(columns + [none] * 4)[:4]], names=[c.split()[0] for c in _COUNTS.split(", ")])
+
+    found = [_unpack(x, _COUNTED) for x in table["piece"].to_pylist()]
+    u, w, n = _pair_sums(np.concatenate([np.repeat(x[0], x[1]) for x in found]), *(np.concatenate([x[i] for x in found]) for i in (2, 4)))
+    far = np.unique(u[(u < 0) & (w < 0)])
+    out = [rows(_ELSEWHERE, np.full(len(far), key[0].as_py()), far)]
+    u, w, n = (x[n > 0] for x in (u, w, n))
+    if len(u):
+        out.append(rows(_SEVERAL, *(x[n > 1] for x in (u, w, n))))
+        at, back = _distinct(u)
+        out.append(rows(_OF_U, u[at], np.bincount(back, n), np.bincount(back), np.bincount(back, n == 1)))
+        at, back = _distinct(w)
+        out.append(rows(_OF_W, w[at], np.bincount(back), np.bincount(back, n == 1)))
+    give_back()
+    return pa.concat_tables(out)
+
+
+_FIGURES = (np.int64, np.uint32, *[np.float64] * SWEEPS)  # word, count, a number by sweep
+
+
+def _figure_batches(buckets: int, kind: int):
+    """Figures of rare words (id, n, four numbers) in a piece for their own bucket, or for the bucket in a last column."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _larger(batches):
+            columns = [batch.column(i).to_numpy() for i in range(batch.num_columns)]
+            k = columns[2 + SWEEPS] if len(columns) > 2 + SWEEPS else _own_bucket(columns[0], buckets)
+            order = np.argsort(k)
+            k, columns = k[order], [c[order].astype(t) for c, t in zip(columns, _FIGURES)]
+            ends = np.append(np.flatnonzero(np.diff(k)) + 1, len(k))
+            spans = list(zip(np.append(0, ends[:-1]).tolist(), ends.tolist()))
+            yield _block_rows([k[a] for a, _ in spans], kind, [0] * len(spans), [0] * len(spans), [_pack(*(c[a:b] for c in columns)) for a, b in spans])
+    return run
+
+
+def _figures(often: np.ndarray, frequent: pa.Table) -> np.ndarray:
+    """Numbers of frequent words (id, n, four numbers), a row for each; zeros for one that has none."""
+    out = np.zeros((len(often), 1 + SWEEPS))
+    out[frequent.column(0).to_numpy()] = np.stack([frequent.column(1 + i).to_numpy().astype(np.float64) for i in range(1 + SWEEPS)], axis=1)
+    return out
+
+
+def _looked_up(ids: np.ndarray, frequent: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+    """Rows of figures of words; zeros for those without any."""
+    out = np.zeros((len(ids), 1 + SWEEPS))
+    out[ids >= 0] = frequent[ids[ids >= 0]]
+    if pieces:
+        keys, *own = (np.concatenate(x) for x in zip(*(_unpack(x, _FIGURES) for x in pieces)))
+        order, rare = np.argsort(keys), np.flatnonzero(ids < 0)
+        at, has = _find(keys[order], ids[rare])
+        at, rare = order[at[has]], rare[has]
+        for i, x in enumerate(own):
+            out[rare, i] = x[at]
+    return out
+
+
+def _score_buckets(often: np.ndarray, contexts: np.ndarray, words_: np.ndarray, discount: float, tokens: int, types: int):
+    """Per block and task the sums over its documents' pairs of this task: known tokens, base and model. Rows of documents pass through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        out = lambda kind, ids, pieces: pa.RecordBatch.from_arrays([
+            pa.array(ids, pa.int64()), pa.array(np.full(len(ids), kind, np.int32)), pa.array(pieces, pa.binary())], names=["block", "kind", "piece"])
+        for _, table in _by_bucket(batches):
+            kinds = table["kind"].to_numpy()
+            of = [table.take(pa.array(np.flatnonzero(kinds == i))) for i in range(4)]
+            if len(of[_DOCS]):
+                yield out(_DOCS, of[_DOCS]["id"].to_pylist(), of[_DOCS]["piece"].to_pylist())
+            if not len(of[_PIECE]):
+                continue
+            found = [_unpack(x, _PLACED) for x in of[_PIECE]["piece"].to_pylist()]
+            u, w = np.concatenate([np.repeat(x[0], x[1]) for x in found]), np.concatenate([x[2] for x in found])
+            n = np.concatenate([np.add.reduceat((x[4] & 1).astype(np.int64), np.cumsum(x[3], dtype=np.int64) - x[3]) for x in found])
+            order, new = _pair_order(u, w)
+            at, pair = np.flatnonzero(new), np.empty(len(u), np.int64)
+            pair[order] = np.cumsum(new) - 1
+            u, w, n = u[order[at]], w[order[at]], np.add.reduceat(n[order], at)
+            values = _pair_scores(often, discount, u, w, n, _looked_up(u, contexts, of[_CONTEXT]["piece"].to_pylist()),
+                                  words := _looked_up(w, words_, of[_WORD]["piece"].to_pylist()))
+            values = np.stack([words[:, 0] > 0, np.log10((words[:, 0] + 0.1) / (tokens + 0.1 * (types + 1))), values])
+            first = 0
+            for block, docs, x in zip(of[_PIECE]["id"].to_pylist(), of[_PIECE]["n"].to_pylist(), found):
+                mine = values[:, np.repeat(pair[first:first + len(x[2])], x[3])]
+                first += len(x[2])
+                add = np.stack([np.bincount(x[4] >> 1, v, docs) for v in mine])
+                sums[block] = sums[block] + add if block in sums else add
+            give_back()
+            if sum(x.shape[1] for x in sums.values()) > HELD_DOCS:
+                yield out(_PIECE, list(sums), [_pack(x[0].astype(np.uint32), x[1], x[2]) for x in sums.values()])
+                sums = {}
+        if sums:
+            yield out(_PIECE, list(sums), [_pack(x[0].astype(np.uint32), x[1], x[2]) for x in sums.values()])
+    return run
+
+
+def _scored_block(table: pa.Table) -> pa.Table:
+    """The documents of a block with the sums of all tasks."""
+    docs, sums = (table.filter(pc.equal(table["kind"], i))["piece"].to_pylist() for i in (_DOCS, _PIECE))
+    ids, n_tokens = np.frombuffer(docs[0], np.int64).reshape(2, -1)
+    known, base, score = (sum(x) for x in zip(*(_unpack(x, (np.uint32, np.float64, np.float64)) for x in sums)))
+    return pa.table({"doc_id": ids, "n_tokens": n_tokens, "n_known": known.astype(np.int64), "base": base, "score": score})
 
 
 def _open_contexts(cells: DataFrame) -> dict[int, np.ndarray]:
@@ -487,39 +743,76 @@ def _joined(pairs: DataFrame, contexts: DataFrame, words_: DataFrame) -> DataFra
     return out
 
 
-def train_pairs(texts: DataFrame) -> tuple[Seating, np.ndarray, DataFrame]:
-    """Learn from a table (text, learn). Returns the sampled model of words, the hashes of frequent words, and of all pairs of neighbouring tokens the table
-    (u, w, n, known, base, logp): previous word, word, count in what is to learn, whether the word is in it, its add-0.1 unigram, and the model's probability."""
+@dataclass
+class Restaurants:
+    """A fitted model of pairs: `contexts` (u, c, t0..) has a previous word's customers and its tables by sweep, `words` (w, seen, p0..) a word's count
+    and probability by sweep. `elsewhere` (k, u) has buckets other than its own that need a previous word's figures."""
+
+    seating: Seating
+    often: np.ndarray
+    discount: float
+    buckets: int
+    tasks: int
+    contexts: DataFrame
+    words: DataFrame
+    elsewhere: DataFrame
+
+
+def fit(texts: DataFrame) -> Restaurants:
+    """Learn from a table (text, learn). Pairs are counted in buckets; only those seen twice or more are seated again in a sweep, the others have one table."""
+    spark = texts.sparkSession
     vocabulary = _vocabulary(texts)
     tokens, types, _, _ = _totals(vocabulary)
     often = np.unique(_codes(vocabulary.where(f"n > 0 and n * {FREQUENT} >= {tokens}").select("word").toArrow().combine_chunks()["word"]))
-    pairs = durable(texts.mapInArrow(_pair_batches(often), "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "pairs")
-    _, _, once, twice = _totals(pairs)
-    discount = _discount(once, twice)
-    tables = (F.count("*").alias("t0"), F.count_if(F.col("n") == 1).alias("one"))
-    contexts = durable(pairs.where("n > 0").groupBy("u").agg(F.sum("n").alias("c"), *tables), "contexts")
-    customers = pairs.where("n > 0").groupBy(F.col("w").alias("of")).agg(*tables)
-    named = vocabulary.mapInArrow(_id_batches(often), "w long, word binary, n long")
-    words_ = durable(named.join(customers, F.col("of") == F.col("w"), "left").selectExpr("w", "word", "n as seen", "coalesce(t0, 0L) as n", "coalesce(one, 0L) as one"), "words")
+    tasks = max(2 * spark.sparkContext.defaultParallelism, math.ceil(tokens / TASK))
+    buckets = tasks * max(1, math.ceil(tokens / BUCKET / tasks))
+    blocks = texts.mapInArrow(_block_batches(often, buckets, True), _BLOCK_ROWS).select("k", "piece")
+    counts = durable(blocks.groupBy("k").applyInArrow(_bucket_counts, _COUNTS), "counts", by=["kind"])
+    of = lambda kind: counts.where(f"kind = {kind}")
+    elsewhere = durable(of(_ELSEWHERE).selectExpr("cast(a as int) as k", "b as u"), "elsewhere")
+    pairs = durable(of(_SEVERAL).selectExpr("a as u", "b as w", "c as n"), "pairs")
+    contexts = durable(of(_OF_U).groupBy(F.col("a").alias("u")).agg(F.sum("b").alias("c"), F.sum("c").alias("t0"), F.sum("d").alias("one")), "contexts")
+    customers = of(_OF_W).groupBy(F.col("a").alias("of")).agg(F.sum("b").alias("t0"), F.sum("c").alias("one"))
+    discount = _discount(contexts.agg(F.sum("one")).first()[0] or 0, pairs.where("n = 2").count())
+    named = vocabulary.mapInArrow(_id_batches(often), "w long, word binary, n long").withColumnRenamed("n", "seen")
+    words_ = durable(named.join(customers, F.col("of") == F.col("w"), "left").selectExpr(
+        "w", "word", "coalesce(t0, 0L) as n", "0D as spelled", "seen", "coalesce(one, 0L) as one"), "words")
+    release(vocabulary, counts)
     total, _, once, twice = _totals(words_)
     model = Seating(tokens, types, _discount(once, twice), {})
     for sweep in range(SWEEPS):
         if sweep:
-            several = _joined(pairs.where("n > 1"), contexts.select("u", f"t{sweep - 1}"), words_.select("w", f"p{sweep - 1}"))
+            several = _joined(pairs, contexts.select("u", f"t{sweep - 1}"), words_.select("w", f"p{sweep - 1}"))
             several = several.selectExpr("u", "w", "n", f"cast(t{sweep - 1} as double)", f"p{sweep - 1}")
             drawn = durable(several.mapInArrow(_draw_batches(often, discount, sweep), "u long, w long, t long"), "drawn")
             of_u, of_w = (drawn.groupBy(F.col(x).alias("of")).agg(F.sum("t").alias("t")) for x in "uw")
+            before = contexts, words_, drawn
             contexts = durable(contexts.join(of_u, F.col("of") == F.col("u"), "left").select(*contexts.columns, F.expr(f"one + coalesce(t, 0L) as t{sweep}")), "contexts")
-            words_ = words_.drop("n").join(of_w, F.col("of") == F.col("w"), "left").select(*[c for c in words_.columns if c != "n"], F.expr("one + coalesce(t, 0L) as n"))
-            words_ = durable(words_, "words")
+            words_ = durable(words_.join(of_w, F.col("of") == F.col("w"), "left").select(
+                *[F.expr("one + coalesce(t, 0L) as n") if c == "n" else c for c in words_.columns]), "words")
+            release(*before)
             total = words_.agg(F.sum("n")).first()[0] or 0
         _sweep(model, words_.select("word", "n"), sweep)
-        p = words_.select("w", "word", "n").mapInArrow(_word_batches(model, sweep, total), "w long, p double").withColumnsRenamed({"w": "of", "p": f"p{sweep}"})
-        words_ = durable(words_.join(p, F.col("of") == F.col("w")).drop("of"), "words")
-    figures = words_.selectExpr("w", "cast(seen > 0 as long) as known", f"log10((seen + 0.1D) / ({tokens} + 0.1D * ({types} + 1))) as base", *(f"p{i}" for i in range(SWEEPS)))
-    all_ = _joined(pairs, contexts.drop("one"), figures).selectExpr(
+        before = words_
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words_.schema)
+        words_ = words_.mapInArrow(_word_batches(model, sweep, total), f"{schema}, p{sweep} double")
+        words_ = durable(words_.select("w", "seen", *(f"p{i}" for i in range(SWEEPS))) if sweep == SWEEPS - 1 else words_, "words")
+        release(before)
+    release(pairs)
+    return Restaurants(model, often, discount, buckets, tasks, contexts, words_, elsewhere)
+
+
+def train_pairs(texts: DataFrame) -> tuple[Seating, np.ndarray, DataFrame]:
+    """Learn from a table (text, learn). Returns the sampled model of words, the hashes of frequent words, and of all pairs of neighbouring tokens the table
+    (u, w, n, known, base, logp): previous word, word, count in what is to learn, whether the word is in it, its add-0.1 unigram, and the model's probability."""
+    model = fit(texts)
+    pairs = durable(texts.mapInArrow(_pair_batches(model.often), "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "pairs")
+    unigram = f"log10((seen + 0.1D) / ({model.seating.tokens} + 0.1D * ({model.seating.types} + 1))) as base"
+    figures = model.words.selectExpr("w", "cast(seen > 0 as long) as known", unigram, *(f"p{i}" for i in range(SWEEPS)))
+    all_ = _joined(pairs, model.contexts.drop("one"), figures).selectExpr(
         "u", "w", "n", "known", "base", "coalesce(c, 0L) as c", *(f"coalesce(cast(t{i} as double), 0D) as t{i}" for i in range(SWEEPS)), *(f"p{i}" for i in range(SWEEPS)))
-    return model, often, durable(all_.mapInArrow(_pair_probability_batches(often, discount), "u long, w long, n long, known long, base double, logp double"), "probabilities")
+    schema = "u long, w long, n long, known long, base double, logp double"
+    return model.seating, model.often, durable(all_.mapInArrow(_pair_probability_batches(model.often, model.discount), schema), "probabilities")
 
 
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 10) -> DataFrame:
@@ -531,15 +824,19 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
     """
     docs = one_row_per_id(docs, id, text).withColumn("doc_id", F.col("doc_id").cast("long"))
     held_out = F.expr(f"{HELD_OUT_HASH.format(id='doc_id')} % {folds} = 0")
-    model, often, table = train_pairs(docs.select("text", (~held_out).alias("learn")))
-    hot = f"n > 0 and n * {FREQUENT} >= {model.tokens}"
-    frequent = table.where(hot).toArrow()
-    u, w, known, base, logp = (frequent[x].to_numpy() for x in ("u", "w", "known", "base", "logp"))
-    order = np.argsort(codes := _pair_code(u, w))
-    parts = docs.mapInArrow(_score_batches(often, codes[order], base[order], logp[order], known[order]), _SCORES)
-    rare = table.where(f"not ({hot})").selectExpr("u as of_u", "w as of_w", "known", "base as base_logp", "logp")
-    joined = parts.join(rare, (F.col("of_u") == F.col("u")) & (F.col("of_w") == F.col("w")), "left")
-    return joined.groupBy("doc_id").agg(
-        F.sum("n_tokens").alias("n_tokens"), F.expr("sum(n_known + n * coalesce(known, 0L))").alias("n_known"),
-        F.expr("sum(base + n * coalesce(base_logp, 0D))").alias("base_score"), F.expr("sum(score + n * coalesce(logp, 0D))").alias("score"),
-    ).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    with spent_shuffles(docs.sparkSession):
+        model = fit(docs.select("text", (~held_out).alias("learn")))
+        contexts = model.contexts.selectExpr("u", "c", *(f"cast(t{i} as double) as t{i}" for i in range(SWEEPS)))
+        frequent = [_figures(model.often, x.toArrow()) for x in (contexts.where("u >= 0"), model.words.where("w >= 0"))]
+        # their join is done here, so that its shuffles are gone before the texts' pairs are dealt
+        elsewhere = durable(contexts.join(model.elsewhere, "u").select(*contexts.columns, "k").mapInArrow(_figure_batches(model.buckets, _CONTEXT), _BLOCK_ROWS), "elsewhere")
+        release(model.elsewhere)
+    rows = docs.select("text", (~held_out).alias("learn"), "doc_id").mapInArrow(_block_batches(model.often, model.buckets, False), _BLOCK_ROWS)
+    for kind, figures in ((_WORD, model.words.where("w < 0")), (_CONTEXT, contexts.where("u < 0"))):
+        rows = rows.unionAll(figures.mapInArrow(_figure_batches(model.buckets, kind), _BLOCK_ROWS))
+    rows = rows.unionAll(elsewhere)
+    run = _score_buckets(model.often, *frequent, model.discount, model.seating.tokens, model.seating.types)
+    sums = _dealt(rows, model.tasks).mapInArrow(run, "block long, kind int, piece binary")
+    scored = sums.groupBy("block").applyInArrow(_scored_block, "doc_id long, n_tokens long, n_known long, base double, score double")
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.seating.tokens).cast("long").alias("train_tokens"),
+                         F.col("base").alias("base_score"), "score")

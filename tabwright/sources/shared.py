@@ -75,4 +75,25 @@ def durable(df: DataFrame, label: str = "stage", by: list[str] | None = None) ->
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.partitionBy(*(by or [])).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that `durable` gave and that nothing reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df.written_to)
+        _written.remove(df.written_to)
+
+
+@contextmanager
+def spent_shuffles(spark: SparkSession):
+    """Let Spark delete the shuffle files of what is run inside as soon as its result is there."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from tabwright.llm import pitman_yor as P
+from tabwright.sources import shared
 from tests.llm.fixtures import awkward, frame, repeated, sample, words
 
 
@@ -115,3 +116,29 @@ def test_words_after_every_word_sum_to_one(spark):
     for u in ("aa", "ab", "b", "\n"):
         total = sum(10 ** got[id_of[u], i].logp for i in id_of.values())
         assert sum(back.values()) < total < 1
+
+
+def test_blocks_and_buckets_do_not_change_scores(spark, monkeypatch):
+    df = frame(spark, sample(spark, 60) + awkward())
+    monkeypatch.setattr(P, "FREQUENT", 500)
+    whole = {r.doc_id: r for r in P.score(df).collect()}
+    for name, size in (("BLOCK", 300), ("BUCKET", 200), ("TASK", 500), ("HELD_DOCS", 5)):
+        monkeypatch.setattr(P, name, size)
+    cut = {r.doc_id: r for r in P.score(df).collect()}
+    assert cut.keys() == whole.keys()
+    for d, r in whole.items():
+        assert (cut[d].n_tokens, cut[d].n_known) == (r.n_tokens, r.n_known)
+        assert math.isclose(cut[d].score, r.score, rel_tol=1e-9) and math.isclose(cut[d].base_score, r.base_score, rel_tol=1e-9)
+
+
+def test_sums_of_pairs_hold_where_codes_collide(monkeypatch):
+    monkeypatch.setattr(P, "_pair_code", lambda u, w: np.zeros(len(u), np.uint64))
+    u, w, n = np.array([1, 2, 1, 2, 1]), np.array([5, 5, 5, 5, -6]), np.array([1, 1, 1, 0, 1])
+    assert sorted(zip(*(x.tolist() for x in P._pair_sums(u, w, n)))) == [(1, -6, 1), (1, 5, 2), (2, 5, 1)]
+
+
+def test_tables_of_finished_sweeps_and_their_shuffles_are_deleted(spark):
+    before = set(shared._written)
+    P.score(frame(spark, sample(spark, 20))).collect()
+    assert len(set(shared._written) - before) <= 4
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
