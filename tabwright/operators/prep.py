@@ -11,7 +11,9 @@ import math
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tabwright.functions.exprs import col, is_numeric, nan_to_null
 from tabwright.operators.coltypes import resolve_types
@@ -212,6 +214,8 @@ class Preparation:
             out = out.withColumns({f"code_{c}": F.coalesce(F.col(f"`code_{c}`"), F.lit(-1)).cast("double")
                                    for c in self.categorical})
             inputs += [f"code_{c}" for c in self.categorical]
+        elif self.categorical and self.width() > WIDE_COLUMNS:
+            return out.select(*[col(k) for k in keep], self._wide_vector().alias("features"))
         elif self.categorical:
             # an unknown category takes the index after the last; "keep" and dropLast make that all zeros
             out = out.withColumns({f"code_{c}": F.coalesce(F.col(f"`code_{c}`"), F.lit(self.sizes[c])).cast("double")
@@ -225,6 +229,18 @@ class Preparation:
         out = VectorAssembler(inputCols=inputs, outputCol="features").transform(out)
         return out.select(*[col(k) for k in keep], "features")
 
+    def _wide_vector(self) -> Column:
+        """The one-hot vector without a name for every slot, which the library's encoder would put into the schema, and the schema into every file."""
+        cell = lambda slot, x: F.struct(slot.cast("int").alias("slot"), x.cast("double").alias("x"))
+        missing = F.raise_error(F.lit("a number is missing in a row to encode"))
+        cells, at = [cell(F.lit(i), F.coalesce(F.col(f"`num_{c}`"), missing)) for i, c in enumerate(self.numeric)], len(self.numeric)
+        for c in self.categorical:
+            cells.append(cell(F.col(f"`code_{c}`") + at, F.lit(1.0)))  # an unknown category has no code
+            at += self.sizes[c]
+        stored = F.filter(F.array(*cells), lambda c: c["slot"].isNotNull() & (c["x"] != 0))
+        vector = F.struct(F.lit(0).alias("type"), F.lit(at).alias("size"), stored["slot"].alias("indices"), stored["x"].alias("values"))
+        return F.from_json(F.to_json(F.struct(vector.alias("v"))), StructType([StructField("v", VectorUDT())]))["v"]
+
     def width(self) -> int:
         return len(self.numeric) + (len(self.categorical) if self.config.encoder == "label"
                                     else sum(self.sizes[c] for c in self.categorical))

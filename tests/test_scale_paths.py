@@ -301,3 +301,21 @@ def test_rows_of_repeated_keys_are_told_apart_once(spark):
     train, test, _ = split.train_test_split(df, ["key"], "t", 0.25)
     assert "Window" not in train._jdf.queryExecution().toString() and train.columns == df.columns
     assert test.count() == 225 and train.unionAll(test).exceptAll(df).count() == 0 and train.count() == 675
+
+
+def test_wide_vectors_equal_narrow_ones_and_name_no_slot(spark, monkeypatch):
+    made = [(i, i % 3, float(i % 7) / 3 - 1, 0.0 if i % 2 else 1e-300 * i, f"name {i % 90}", f"kind {i % 70}") for i in range(400)]
+    df = spark.createDataFrame(made, "id long, label int, x double, y double, name string, kind string")
+    config = prep.PrepConfig(target="label", feature_columns=["x", "y", "name", "kind"], scaler="none")
+
+    def vectors():
+        p = prep.preprocess(df, config, ["id"])
+        assert p.preparation.width() == 162
+        unknown = df.withColumn("name", F.lit("never seen"))
+        return p.train, [{r.id: r.features for r in t.collect()} for t in (p.train, p.test, p.preparation.transform(unknown, ["id"]))]
+
+    _, narrow = vectors()
+    monkeypatch.setattr(prep, "WIDE_COLUMNS", 100)
+    rows, wide = vectors()
+    assert wide == narrow and sum(map(len, wide)) == 800
+    assert not rows.schema["features"].metadata
