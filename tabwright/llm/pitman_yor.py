@@ -19,6 +19,7 @@ they make up 1/200,000 of all tokens. All rarer ones meet their figures in joins
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -107,6 +108,10 @@ class _Level:
         self.back = (STRENGTH + d * self.opened) / (STRENGTH + self.total)
         self.own = np.maximum(customers - d * self.tables, 0) / (STRENGTH + self.total[self.of])
 
+    def __getstate__(self) -> dict:
+        """What tasks need: a model is a file on every executor."""
+        return {name: getattr(self, name) for name in ("keys", "contexts", "back", "own")}
+
     def probability(self, keys: np.ndarray, parents: np.ndarray) -> np.ndarray:
         at, has = _find(self.contexts, keys >> 8)
         p = parents * np.where(has, self.back[at], 1.0) if len(self.contexts) else parents
@@ -122,6 +127,35 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == keys
 
 
+class _Hashes:
+    """A sorted table of hashes. High bits, after those that all have in common, lead to the few places where a hash can be."""
+
+    def __init__(self, table: np.ndarray, common: int = 0):
+        self.table, self.common = table, np.uint64(common)
+        bits = int(len(table)).bit_length() + 1
+        self.drop = np.uint64(64 - bits)
+        self.first = np.append(0, np.cumsum(np.bincount(self._slot(table), minlength=1 << bits))).astype(np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys << self.common) >> self.drop).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of keys, and which are there."""
+        if not len(self.table):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        slot = self._slot(keys)
+        at = self.first[slot]
+        beyond = self.first[slot + 1]
+        at = np.minimum(at, np.int32(len(self.table) - 1))
+        has = self.table[at] == keys
+        left = np.flatnonzero(~has & (beyond - at > 1))
+        while len(left):
+            at[left] += 1
+            has[left] = self.table[at[left]] == keys[left]
+            left = left[~has[left] & (beyond[left] - at[left] > 1)]
+        return at, has
+
+
 def _mask(order: int) -> int:
     """Keeps the byte and the `order` bytes before it."""
     return (1 << 8 * (order + 1)) - 1
@@ -183,6 +217,13 @@ class Seating:
         self.tokens, self.types, self.discount, self.contexts = tokens, types, discount, contexts
         self.spelling: list[Spelling] = []
         self.tables: list[float] = []
+        self.still = np.zeros(0, np.int64), np.zeros(0)
+
+    def lean(self, *sweeps: int) -> Seating:
+        """The model with the spelling of some sweeps only."""
+        out = copy.copy(self)
+        out.spelling, out.still = [x if i in sweeps else None for i, x in enumerate(self.spelling)], None
+        return out
 
     def levelled(self, cells: np.ndarray) -> np.ndarray:
         """Cells at their longest open context, with its order in the high bits."""
@@ -270,8 +311,11 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             low = lower(chunk.buf)
             starts, ends, first = words(chunk)
             code = segment_hash(prefix_hash(low), starts, ends, low)
-            at, back = _distinct(code)
-            code, n = code[at], np.bincount(back, np.repeat(learn[chunk.first:chunk.last], np.diff(first)), len(at))
+            order = np.argsort(code)
+            code = code[order]
+            new = np.flatnonzero(np.append(True, code[1:] != code[:-1])[:len(code)])
+            n = np.add.reduceat(np.repeat(learn[chunk.first:chunk.last], np.diff(first))[order], new) if len(new) else np.zeros(0, np.int64)
+            code, at = code[new], order[new]
             held.append((code, n, cut(low, starts[at], ends[at])))
             size += len(code)
             if size > 4 * _FLUSH:
@@ -286,33 +330,47 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array([_END], pa.binary()), pa.array([ends_of_training])], names=["word", "n"])
 
 
+_CELLS = "cell long, n long, still long"
+
+
 def _cell_batches(model: Seating, sweep: int):
-    """Customers of every spelling cell after a sweep over the words; under key -1 the number of tables."""
+    """Customers of every spelling cell after a sweep over the words (word, n, still[, spelled in the sweep before]), and those of them that still words send,
+    which are the same after every sweep; under key -1 the number of tables."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [(np.zeros(0, np.int64), np.zeros(0))], 0
+        held, size = [(np.zeros(0, np.int64), np.zeros((2, 0)))], 0
 
         def merged():
             keys, back = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-            return keys, np.bincount(back, np.concatenate([x[1] for x in held]), len(keys))
+            return keys, np.stack([np.bincount(back, n, len(keys)) for n in np.concatenate([x[1] for x in held], axis=1)])
 
         for batch in _larger(batches):
-            column, c = batch.column(0), batch.column(1).to_numpy()
+            column, c, still = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
             t = (c > 0).astype(np.float64)
             if sweep:
                 some = np.flatnonzero(c > 1)
                 part = column.take(pa.array(some))
-                t[some] = model.tables_of(model.spelled(part, range(sweep - 1, sweep)), c[some], _codes(part), sweep)
+                spelled = {sweep - 1: batch.column(3).to_numpy()[some]} if batch.num_columns > 3 else model.spelled(part, range(sweep - 1, sweep))
+                t[some] = model.tables_of(spelled, c[some], _codes(part), sweep)
             cells, first = _spelled(column)
             lengths = np.diff(np.append(first, len(cells)))
             cells, back = np.unique(cells, return_inverse=True)
-            sums = np.bincount(back, np.repeat(t, lengths), len(cells))
+            sums = np.stack([np.bincount(back, np.repeat(x, lengths), len(cells)) for x in (t, t * still)])
             if model.contexts:
                 cells = model.levelled(cells)
-            held.append((np.append(cells, -1), np.append(sums, t.sum())))
+            held.append((np.append(cells, -1), np.append(sums, [[t.sum()], [(t * still).sum()]], axis=1)))
             if (size := size + len(cells)) > _FLUSH:
                 held, size = [merged()], 0
         keys, counts = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(n.astype(np.int64)) for n in counts)], names=["cell", "n", "still"])
+    return run
+
+
+def _levelled_batches(model: Seating):
+    """Cells at their longest open context."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(np.where(cells < 0, cells, model.levelled(cells))), *batch.columns[1:]], names=batch.schema.names)
     return run
 
 
@@ -325,9 +383,9 @@ def _probability_batches(model: Seating):
     return run
 
 
-def _ids(often: np.ndarray, codes: np.ndarray) -> np.ndarray:
+def _ids(often: np.ndarray | _Hashes, codes: np.ndarray) -> np.ndarray:
     """A number per word: its place among the frequent ones, or a negative one from its hash."""
-    at, hit = _find(often, codes)
+    at, hit = (often if isinstance(often, _Hashes) else _Hashes(often)).find(codes)
     return np.where(hit, at, (codes | np.uint64(1 << 63)).view(np.int64))
 
 
@@ -342,7 +400,7 @@ def _pair_code(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(mix(u.view(np.uint64) + _GOLDEN) + w.view(np.uint64))
 
 
-def _tokens(chunk, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tokens(chunk, often: _Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, previous word and word of every token, each document's end included."""
     low = lower(chunk.buf)
     starts, ends, first = words(chunk)
@@ -384,7 +442,7 @@ def _pair_sums(u, w, n):
 def _pair_batches(often: np.ndarray):
     """Every pair of neighbouring tokens with its count in training documents, summed up for some million tokens at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, hashes = [], 0, _Hashes(often)
 
         def out():
             return pa.RecordBatch.from_arrays([pa.array(x) for x in _pair_sums(*map(np.concatenate, zip(*held)))], names=["u", "w", "n"])
@@ -392,7 +450,7 @@ def _pair_batches(often: np.ndarray):
         for batch in batches:
             learn = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for chunk in chunks(batch.column(0)):
-                doc, u, w = _tokens(chunk, often)
+                doc, u, w = _tokens(chunk, hashes)
                 held.append(_pair_sums(u, w, learn[chunk.first:chunk.last][doc]))
                 size += len(held[-1][0])
                 if size > _FLUSH:
@@ -415,6 +473,17 @@ def _word_batches(model: Seating, sweep: int, total: float):
     return run
 
 
+def _still_batches(model: Seating, totals: list[float]):
+    """Of still words (w, seen, word, n) the predictive probability in every sweep."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _larger(batches):
+            column, c = batch.column(2), batch.column(3).to_numpy()
+            spelled, codes = model.spelled(column, range(SWEEPS)), _codes(column)
+            p = [pa.array(model.probability(spelled, c, totals[s], codes, s)) for s in range(SWEEPS)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *p], names=["w", "seen", *(f"p{s}" for s in range(SWEEPS))])
+    return run
+
+
 def _pair_tables(code, n, opened, p, discount: float, sweep: int) -> np.ndarray:
     """Tables of every pair in its context's restaurant; opened and p are those of the sweep before."""
     if not sweep:
@@ -422,15 +491,6 @@ def _pair_tables(code, n, opened, p, discount: float, sweep: int) -> np.ndarray:
     return seat(n, (STRENGTH + discount * opened) * p, discount, mix(code + np.uint64(sweep << 50)))
 
 
-def _draw_batches(often: np.ndarray, discount: float, sweep: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            u, w, n, opened, p = (batch.column(i).to_numpy() for i in range(5))
-            t = _pair_tables(_pair_code(_hashes(often, u), _hashes(often, w)), n, opened, p, discount, sweep)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(t.astype(np.int64))], names=["u", "w", "t"])
-    return run
-
-
 def _pair_scores(often: np.ndarray, discount: float, u: np.ndarray, w: np.ndarray, n: np.ndarray, contexts: np.ndarray, words_: np.ndarray) -> np.ndarray:
     """log10 of the averaged predictive probability of pairs, from figures (customers, tables by sweep) and (count, probability by sweep)."""
     code, sum_ = _pair_code(_hashes(often, u), _hashes(often, w)), np.zeros(len(u))
@@ -453,16 +513,17 @@ def _pair_probability_batches(often: np.ndarray, discount: float):
 
 
 def _own_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(ids.view(np.uint64) + _GOLDEN) % np.uint64(buckets)).astype(np.int32)
+    return ((ids.view(np.uint64) * _GOLDEN >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
 
 
 def _bucket(u: np.ndarray, w: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of a pair: that of its rare word, of the second one if both are, and by both words if none is."""
-    return _own_bucket(np.where(w < 0, w, np.where(u < 0, u, _pair_code(u, w).view(np.int64))), buckets)
+    return _own_bucket(np.where(w < 0, w, np.where(u < 0, u, (u + 1 << 32) + w)), buckets)
 
 
 _PAIRS = (np.int64, np.uint32, np.int64, np.uint32)  # previous words, pairs of each, words, numbers of each pair
 _COUNTED, _PLACED = (*_PAIRS, np.int64), (*_PAIRS, np.uint32)
+_SEATED = (*_PAIRS[:3], np.int64)                      # and the count of each pair
 
 
 def _pack(*columns: np.ndarray) -> bytes:
@@ -487,22 +548,24 @@ def _unpack(piece: bytes, types: tuple) -> list[np.ndarray]:
 def _pieces(u: np.ndarray, w: np.ndarray, buckets: int, of_token: np.ndarray, counted: bool) -> Iterator[tuple[int, bytes]]:
     """Pairs of a block by bucket, previous words and pairs named once, with the numbers of their tokens or, `counted`, the sum of these."""
     k = _bucket(u, w, buckets)
-    near = lambda x: mix(x.view(np.uint64)) >> np.uint64(40)
+    near = lambda x: x.view(np.uint64) * _GOLDEN >> np.uint64(40)
     order = np.argsort(k.astype(np.uint64) << np.uint64(48) | near(u) << np.uint64(24) | near(w))
-    k, u, w, of_token = k[order], u[order], w[order], of_token[order]
+    per_k = np.bincount(k)
+    ends = np.cumsum(per_k)[per_k > 0]
+    u, w, of_token = u[order], w[order], of_token[order]
     other_u, other = np.ones(len(u), bool), np.ones(len(u), bool)
-    other_u[1:] = (u[1:] != u[:-1]) | (k[1:] != k[:-1])
+    other_u[1:] = u[1:] != u[:-1]
+    other_u[ends[:-1]] = True
     other[1:] = other_u[1:] | (w[1:] != w[:-1])
     pairs, runs = np.flatnonzero(other), np.flatnonzero(other_u)
     per_pair, per_u = np.diff(np.append(pairs, len(u))), np.diff(np.append(np.searchsorted(pairs, runs), len(pairs)))
     if counted:
         of_token = np.add.reduceat(of_token, pairs)
         per_pair = np.ones(len(pairs), np.int64)
-    ends = np.append(np.flatnonzero(np.diff(k)) + 1, len(k))
-    for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist()):
+    for bucket, a, b in zip(np.flatnonzero(per_k).tolist(), np.append(0, ends[:-1]).tolist(), ends.tolist()):
         (i, j), (x, y) = (np.searchsorted(at, (a, b)) for at in (pairs, runs))
         tokens = slice(i, j) if counted else slice(a, b)
-        yield int(k[a]), _pack(u[runs[x:y]], per_u[x:y].astype(np.uint32), w[pairs[i:j]], per_pair[i:j].astype(np.uint32), of_token[tokens])
+        yield bucket, _pack(u[runs[x:y]], per_u[x:y].astype(np.uint32), w[pairs[i:j]], per_pair[i:j].astype(np.uint32), of_token[tokens])
 
 
 _BLOCK_ROWS = "k int, kind int, id long, n long, piece binary"
@@ -518,7 +581,7 @@ def _block_batches(often: np.ndarray, buckets: int, counted: bool):
     """Pairs of neighbouring tokens (text, learn[, doc_id]) in blocks of some million tokens: a row per block and bucket. `counted`: pairs with their
     count in training documents; else the place of each token's document in the block and whether it is learnt from, and a row with the block's documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, docs, block = [], 0, 0, TaskContext.get().partitionId() << 32
+        held, size, docs, block, hashes = [], 0, 0, TaskContext.get().partitionId() << 32, _Hashes(often)
 
         def out():
             u, w, of_token = (np.concatenate([x[i] for x in held]) for i in range(3))
@@ -531,7 +594,7 @@ def _block_batches(often: np.ndarray, buckets: int, counted: bool):
         for batch in batches:
             learn = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for chunk in chunks(batch.column(0)):
-                doc, u, w = _tokens(chunk, often)
+                doc, u, w = _tokens(chunk, hashes)
                 of_token = learn[chunk.first:chunk.last][doc]
                 if counted:
                     held.append((u, w, of_token))
@@ -570,25 +633,33 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Tabl
         yield last, pa.Table.from_batches(held)
 
 
-_COUNTS = "kind int, a long, b long, c long, d long"
+_COUNTS = "kind int, a long, b long, c long, d long, piece binary"
 _SEVERAL, _OF_U, _OF_W, _ELSEWHERE = range(4)
 
 
 def _bucket_counts(key: tuple[pa.Scalar], table: pa.Table) -> pa.Table:
-    """Of a bucket: pairs seen twice or more (u, w, n); previous words (u, n, pairs, pairs seen once); words (w, pairs, pairs seen once);
-    and previous words whose figures are needed here although their own bucket is another one (bucket, u)."""
-    def rows(kind, *columns):
-        none = pa.array(np.zeros(len(columns[0]), np.int64))
-        columns = [pa.array(c.astype(np.int64)) for c in columns]
-        return pa.table([pa.array(np.full(len(none), kind, np.int32)), *(columns + [none] * 4)[:4]], names=[c.split()[0] for c in _COUNTS.split(", ")])
-
+    """Of a bucket: pairs seen twice or more in one piece (bucket, those seen twice); previous words (u, n, pairs, pairs seen once); words (w, pairs, pairs seen once);
+    and previous words whose figures are needed here although their own bucket is another one (bucket, u, whether for a pair seen twice or more)."""
+    def rows(kind, *columns, piece=None):
+        none = np.zeros(len(columns[0]), np.int64)
+        columns = [pa.array(np.asarray(c).astype(np.int64)) for c in (*columns, none, none, none)[:4]]
+        return pa.table([pa.array(np.full(len(none), kind, np.int32)), *columns, pa.array([piece] * len(none), pa.binary())], names=[c.split()[0] for c in _COUNTS.split(", ")])
+
+    k = key[0].as_py()
     found = [_unpack(x, _COUNTED) for x in table["piece"].to_pylist()]
     u, w, n = _pair_sums(np.concatenate([np.repeat(x[0], x[1]) for x in found]), *(np.concatenate([x[i] for x in found]) for i in (2, 4)))
-    far = np.unique(u[(u < 0) & (w < 0)])
-    out = [rows(_ELSEWHERE, np.full(len(far), key[0].as_py()), far)]
+    rare = np.flatnonzero((u < 0) & (w < 0))
+    far, back = np.unique(u[rare], return_inverse=True)
+    again = np.bincount(back, n[rare] > 1, len(far)) > 0
+    out = [rows(_ELSEWHERE, np.full(len(far), k), far, again)]
     u, w, n = (x[n > 0] for x in (u, w, n))
     if len(u):
-        out.append(rows(_SEVERAL, *(x[n > 1] for x in (u, w, n))))
+        several = np.flatnonzero(n > 1)
+        if len(several):
+            several = several[np.argsort(u[several], kind="stable")]
+            runs = np.flatnonzero(np.append(True, np.diff(u[several]) != 0))
+            piece = _pack(u[several][runs], np.diff(np.append(runs, len(several))).astype(np.uint32), w[several], n[several])
+            out.append(rows(_SEVERAL, [k], [np.count_nonzero(n == 2)], piece=piece))
         at, back = _distinct(u)
         out.append(rows(_OF_U, u[at], np.bincount(back, n), np.bincount(back), np.bincount(back, n == 1)))
         at, back = _distinct(w)
@@ -598,16 +669,17 @@ def _bucket_counts(key: tuple[pa.Scalar], table: pa.Table) -> pa.Table:
 
 
 _FIGURES = (np.int64, np.uint32, *[np.float64] * SWEEPS)  # word, count, a number by sweep
+_FIGURE = (np.int64, np.float64)                          # word, the number of one sweep
 
 
-def _figure_batches(buckets: int, kind: int):
-    """Figures of rare words (id, n, four numbers) in a piece for their own bucket, or for the bucket in a last column."""
+def _figure_batches(buckets: int, kind: int, types: tuple = _FIGURES):
+    """Figures of rare words (id, numbers) in a piece for their own bucket, or for the bucket in a last column."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _larger(batches):
             columns = [batch.column(i).to_numpy() for i in range(batch.num_columns)]
-            k = columns[2 + SWEEPS] if len(columns) > 2 + SWEEPS else _own_bucket(columns[0], buckets)
+            k = columns[len(types)] if len(columns) > len(types) else _own_bucket(columns[0], buckets)
             order = np.argsort(k)
-            k, columns = k[order], [c[order].astype(t) for c, t in zip(columns, _FIGURES)]
+            k, columns = k[order], [c[order].astype(t) for c, t in zip(columns, types)]
             ends = np.append(np.flatnonzero(np.diff(k)) + 1, len(k))
             spans = list(zip(np.append(0, ends[:-1]).tolist(), ends.tolist()))
             yield _block_rows([k[a] for a, _ in spans], kind, [0] * len(spans), [0] * len(spans), [_pack(*(c[a:b] for c in columns)) for a, b in spans])
@@ -615,24 +687,53 @@ def _figure_batches(buckets: int, kind: int):
 
 
 def _figures(often: np.ndarray, frequent: pa.Table) -> np.ndarray:
-    """Numbers of frequent words (id, n, four numbers), a row for each; zeros for one that has none."""
-    out = np.zeros((len(often), 1 + SWEEPS))
-    out[frequent.column(0).to_numpy()] = np.stack([frequent.column(1 + i).to_numpy().astype(np.float64) for i in range(1 + SWEEPS)], axis=1)
+    """Numbers of frequent words (id, numbers), a row for each; zeros for one that has none."""
+    out = np.zeros((len(often), frequent.num_columns - 1))
+    out[frequent.column(0).to_numpy()] = np.stack([x.to_numpy().astype(np.float64) for x in frequent.columns[1:]], axis=1)
     return out
 
 
-def _looked_up(ids: np.ndarray, frequent: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+def _looked_up(ids: np.ndarray, frequent: np.ndarray, pieces: list[bytes], types: tuple = _FIGURES) -> np.ndarray:
     """Rows of figures of words; zeros for those without any."""
-    out = np.zeros((len(ids), 1 + SWEEPS))
-    out[ids >= 0] = frequent[ids[ids >= 0]]
-    if pieces:
-        keys, *own = (np.concatenate(x) for x in zip(*(_unpack(x, _FIGURES) for x in pieces)))
-        order, rare = np.argsort(keys), np.flatnonzero(ids < 0)
-        at, has = _find(keys[order], ids[rare])
-        at, rare = order[at[has]], rare[has]
-        for i, x in enumerate(own):
-            out[rare, i] = x[at]
-    return out
+    rare = np.flatnonzero(ids < 0)
+    keys, *own = (np.concatenate(x) for x in zip(*(_unpack(x, types) for x in pieces))) if pieces else [np.zeros(0, t) for t in types]
+    order = np.argsort(keys)
+    at, has = _Hashes(keys[order].view(np.uint64), 1).find(ids[rare].view(np.uint64))
+    table = np.zeros((len(frequent) + len(keys) + 1, len(types) - 1))
+    table[:len(frequent)] = frequent
+    for i, x in enumerate(own):
+        table[len(frequent):-1, i] = x[order]
+    place = ids.copy()
+    place[rare] = np.where(has, len(frequent) + at, len(table) - 1)
+    return table.take(place, axis=0)
+
+
+def _draw_buckets(often: np.ndarray, contexts: np.ndarray, words_: np.ndarray, discount: float, sweep: int):
+    """Seat the customers of a task's pairs again, from the tables of previous words and the probabilities of words in the sweep before; gives the tables
+    that are opened, by previous word and by word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(kind, ids, t):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids), pa.array(t.astype(np.int64))], names=["kind", "of", "t"])
+
+        sums = {kind: np.zeros(len(often)) for kind in (_OF_U, _OF_W)}
+        for _, table in _by_bucket(batches):
+            kinds = table["kind"].to_numpy()
+            of = [table.take(pa.array(np.flatnonzero(kinds == i)))["piece"].to_pylist() for i in (_WORD, _CONTEXT, _PIECE)]
+            for runs, per_u, w, n in (_unpack(x, _SEATED) for x in of[_PIECE]):
+                u = np.repeat(runs, per_u)
+                opened = np.repeat(_looked_up(runs, contexts, of[_CONTEXT], _FIGURE)[:, 0], per_u)
+                p = _looked_up(w, words_, of[_WORD], _FIGURE)[:, 0]
+                t = _pair_tables(_pair_code(_hashes(often, u), _hashes(often, w)), n, opened, p, discount, sweep)
+                for kind, ids in ((_OF_U, u), (_OF_W, w)):
+                    sums[kind] += np.bincount(ids[ids >= 0], t[ids >= 0], len(often))
+                    rare, t_rare = ids[ids < 0], t[ids < 0]
+                    at, back = _distinct(rare)
+                    if len(at):
+                        yield out(kind, rare[at], np.bincount(back, t_rare, len(at)))
+            give_back()
+        for kind, t in sums.items():
+            yield out(kind, np.flatnonzero(t), t[t > 0])
+    return run
 
 
 def _score_buckets(often: np.ndarray, contexts: np.ndarray, words_: np.ndarray, discount: float, tokens: int, types: int):
@@ -683,7 +784,7 @@ def _scored_block(table: pa.Table) -> pa.Table:
 
 def _open_contexts(cells: DataFrame) -> dict[int, np.ndarray]:
     """Contexts of three and four bytes with a share of at least 1 / CONTEXTS of all spelled bytes: no more than CONTEXTS each."""
-    cells = durable(cells.where("cell >= 0"), "cells")
+    cells = cells.where("cell >= 0")
     all_ = cells.agg(F.sum("n")).first()[0] or 0
     out = {}
     for k in (3, 4):
@@ -698,14 +799,26 @@ def _discount(once: int, twice: int) -> float:
 
 
 def _sweep(model: Seating, vocabulary: DataFrame, sweep: int) -> None:
-    """Seat the customers of a table (word, n), and those that their tables send to the spelling restaurants."""
-    cells = vocabulary.mapInArrow(_cell_batches(model, sweep), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    """Seat the customers of a table (word, n, still[, spelled in the sweep before]), and those that their tables send to the spelling restaurants.
+
+    Still words, which have at most one customer in all sweeps and so the same tables, only count in the first one.
+    """
+    added = lambda cells: cells.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("still").alias("still"))
+    lean = model.lean() if "spelled" in vocabulary.columns else model.lean(sweep - 1)
+    cells = added((vocabulary.where("not still") if sweep else vocabulary).mapInArrow(_cell_batches(lean, sweep), _CELLS))
     if not sweep:
+        cells = durable(cells, "cells")
         model.contexts = _open_contexts(cells)
-        cells = vocabulary.mapInArrow(_cell_batches(model, sweep), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    table = cells.toArrow()
-    order = np.argsort(keys := table["cell"].to_numpy())
-    keys, n = keys[order], table["n"].to_numpy()[order].astype(np.float64)
+        table = added(cells.mapInArrow(_levelled_batches(model.lean()), _CELLS)).toArrow()
+        release(cells)
+        model.still = table["cell"].to_numpy(), table["still"].to_numpy().astype(np.float64)
+        keys, n = table["cell"].to_numpy(), table["n"].to_numpy().astype(np.float64)
+    else:
+        table = cells.toArrow()
+        keys, n = (np.concatenate(x) for x in zip((table["cell"].to_numpy(), table["n"].to_numpy().astype(np.float64)), model.still))
+    keys, back = np.unique(keys, return_inverse=True)
+    n = np.bincount(back, n, len(keys))
+    keys, n = keys[n > 0], n[n > 0]
     has = int(len(keys) > 0 and keys[0] == -1)
     model.tables.append(float(n[0]) if has else 0.0)
     model.spelling.append(Spelling(keys[has:], n[has:], model.spelling[-1] if sweep else None, sweep))
@@ -727,7 +840,7 @@ def train(texts: DataFrame) -> tuple[Seating, DataFrame]:
     tokens, types, once, twice = _totals(vocabulary)
     model = Seating(tokens, types, _discount(once, twice), {})
     for sweep in range(SWEEPS):
-        _sweep(model, vocabulary, sweep)
+        _sweep(model, vocabulary.select("word", "n", F.expr("n <= 1").alias("still")), sweep)
     return model, durable(vocabulary.mapInArrow(_probability_batches(model), "word binary, n long, logp double"), "probabilities")
 
 
@@ -746,7 +859,8 @@ def _joined(pairs: DataFrame, contexts: DataFrame, words_: DataFrame) -> DataFra
 @dataclass
 class Restaurants:
     """A fitted model of pairs: `contexts` (u, c, t0..) has a previous word's customers and its tables by sweep, `words` (w, seen, p0..) a word's count
-    and probability by sweep. `elsewhere` (k, u) has buckets other than its own that need a previous word's figures."""
+    and probability by sweep, and `still` those of rare still words, computed when it is read. `elsewhere` (k, u) has buckets other than its own that need a
+    previous word's figures. Nothing but `contexts` and `elsewhere` reads the tables `behind`."""
 
     seating: Seating
     often: np.ndarray
@@ -755,7 +869,19 @@ class Restaurants:
     tasks: int
     contexts: DataFrame
     words: DataFrame
+    still: DataFrame
     elsewhere: DataFrame
+    behind: list[DataFrame]
+
+
+def _drawn(pairs: DataFrame, elsewhere: DataFrame, contexts: DataFrame, words_: DataFrame, often: np.ndarray, discount: float, buckets: int, tasks: int, sweep: int) -> DataFrame:
+    """Tables (kind, of, t) that a sweep opens for pairs, added up in tasks; from (u, t) and (w, p) of the sweep before."""
+    frequent = [_figures(often, x.toArrow()) for x in (contexts.where("u >= 0"), words_.where("w >= 0"))]
+    rows = pairs.selectExpr("k", f"{_PIECE} as kind", "0L as id", "0L as n", "piece")
+    far = elsewhere.where("again").join(contexts, "u").select(*contexts.columns, "k")
+    for kind, figures in ((_WORD, words_.where("w < 0")), (_CONTEXT, contexts.where("u < 0")), (_CONTEXT, far)):
+        rows = rows.unionAll(figures.mapInArrow(_figure_batches(buckets, kind, _FIGURE), _BLOCK_ROWS))
+    return _dealt(rows, tasks).mapInArrow(_draw_buckets(often, *frequent, discount, sweep), "kind int, of long, t long")
 
 
 def fit(texts: DataFrame) -> Restaurants:
@@ -769,37 +895,49 @@ def fit(texts: DataFrame) -> Restaurants:
     blocks = texts.mapInArrow(_block_batches(often, buckets, True), _BLOCK_ROWS).select("k", "piece")
     counts = durable(blocks.groupBy("k").applyInArrow(_bucket_counts, _COUNTS), "counts", by=["kind"])
     of = lambda kind: counts.where(f"kind = {kind}")
-    elsewhere = durable(of(_ELSEWHERE).selectExpr("cast(a as int) as k", "b as u"), "elsewhere")
-    pairs = durable(of(_SEVERAL).selectExpr("a as u", "b as w", "c as n"), "pairs")
+    elsewhere = durable(of(_ELSEWHERE).selectExpr("cast(a as int) as k", "b as u", "c > 0 as again"), "elsewhere")
+    pairs = durable(of(_SEVERAL).selectExpr("cast(a as int) as k", "b as twice", "piece"), "pairs")
     contexts = durable(of(_OF_U).groupBy(F.col("a").alias("u")).agg(F.sum("b").alias("c"), F.sum("c").alias("t0"), F.sum("d").alias("one")), "contexts")
     customers = of(_OF_W).groupBy(F.col("a").alias("of")).agg(F.sum("b").alias("t0"), F.sum("c").alias("one"))
-    discount = _discount(contexts.agg(F.sum("one")).first()[0] or 0, pairs.where("n = 2").count())
+    discount = _discount(contexts.agg(F.sum("one")).first()[0] or 0, pairs.agg(F.sum("twice")).first()[0] or 0)
     named = vocabulary.mapInArrow(_id_batches(often), "w long, word binary, n long").withColumnRenamed("n", "seen")
-    words_ = durable(named.join(customers, F.col("of") == F.col("w"), "left").selectExpr(
-        "w", "word", "coalesce(t0, 0L) as n", "0D as spelled", "seen", "coalesce(one, 0L) as one"), "words")
+    all_words = durable(named.join(customers, F.col("of") == F.col("w"), "left").selectExpr(
+        "w", "word", "coalesce(t0, 0L) as n", "0D as spelled", "seen", "coalesce(one, 0L) as one", "w < 0 and coalesce(t0 = one and t0 <= 1, true) as still"), "words")
     release(vocabulary, counts)
-    total, _, once, twice = _totals(words_)
-    model = Seating(tokens, types, _discount(once, twice), {})
+    total, _, once, twice = _totals(all_words)
+    model, totals = Seating(tokens, types, _discount(once, twice), {}), []
+    # what all sweeps leave as it is takes no part in them: previous words without a pair seen twice, and rare words after one word, once
+    of_still = all_words.where("still").agg(F.sum("n")).first()[0] or 0
+    words_, all_contexts, contexts = all_words, contexts, contexts.where("t0 > one")
     for sweep in range(SWEEPS):
         if sweep:
-            several = _joined(pairs, contexts.select("u", f"t{sweep - 1}"), words_.select("w", f"p{sweep - 1}"))
-            several = several.selectExpr("u", "w", "n", f"cast(t{sweep - 1} as double)", f"p{sweep - 1}")
-            drawn = durable(several.mapInArrow(_draw_batches(often, discount, sweep), "u long, w long, t long"), "drawn")
-            of_u, of_w = (drawn.groupBy(F.col(x).alias("of")).agg(F.sum("t").alias("t")) for x in "uw")
-            before = contexts, words_, drawn
+            drawn = durable(_drawn(pairs, elsewhere, contexts.select("u", F.col(f"t{sweep - 1}").cast("double").alias("t")), words_.select("w", f"p{sweep - 1}"),
+                                   often, discount, buckets, tasks, sweep), "drawn")
+            of_u, of_w = (drawn.where(f"kind = {kind}").groupBy("of").agg(F.sum("t").alias("t")) for kind in (_OF_U, _OF_W))
+            before = [words_, drawn, *([contexts] if sweep > 1 else [])]
             contexts = durable(contexts.join(of_u, F.col("of") == F.col("u"), "left").select(*contexts.columns, F.expr(f"one + coalesce(t, 0L) as t{sweep}")), "contexts")
             words_ = durable(words_.join(of_w, F.col("of") == F.col("w"), "left").select(
                 *[F.expr("one + coalesce(t, 0L) as n") if c == "n" else c for c in words_.columns]), "words")
             release(*before)
-            total = words_.agg(F.sum("n")).first()[0] or 0
-        _sweep(model, words_.select("word", "n"), sweep)
+            total = of_still + (words_.agg(F.sum("n")).first()[0] or 0)
+        totals.append(total)
+        _sweep(model, words_.select("word", "n", "still", "spelled"), sweep)
         before = words_
+        words_ = words_.where("not still")
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words_.schema)
-        words_ = words_.mapInArrow(_word_batches(model, sweep, total), f"{schema}, p{sweep} double")
-        words_ = durable(words_.select("w", "seen", *(f"p{i}" for i in range(SWEEPS))) if sweep == SWEEPS - 1 else words_, "words")
-        release(before)
+        words_ = words_.mapInArrow(_word_batches(model.lean(sweep), sweep, total), f"{schema}, p{sweep} double")
+        if sweep == SWEEPS - 1:
+            of_sweeps = [f"p{i}" for i in range(SWEEPS)]
+            still = all_words.where("still").select("w", "seen", "word", "n").mapInArrow(
+                _still_batches(model.lean(*range(SWEEPS)), totals), "w long, seen long, " + ", ".join(f"{p} double" for p in of_sweeps))
+            words_ = words_.select("w", "seen", *of_sweeps)
+        words_ = durable(words_, "words")
+        if sweep:
+            release(before)
     release(pairs)
-    return Restaurants(model, often, discount, buckets, tasks, contexts, words_, elsewhere)
+    behind = [all_contexts, contexts, elsewhere]
+    contexts = contexts.unionAll(all_contexts.where("t0 = one").select("u", "c", "t0", "one", *(F.col("t0").alias(f"t{i}") for i in range(1, SWEEPS))))
+    return Restaurants(model, often, discount, buckets, tasks, contexts, words_, still, elsewhere, behind)
 
 
 def train_pairs(texts: DataFrame) -> tuple[Seating, np.ndarray, DataFrame]:
@@ -808,7 +946,7 @@ def train_pairs(texts: DataFrame) -> tuple[Seating, np.ndarray, DataFrame]:
     model = fit(texts)
     pairs = durable(texts.mapInArrow(_pair_batches(model.often), "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "pairs")
     unigram = f"log10((seen + 0.1D) / ({model.seating.tokens} + 0.1D * ({model.seating.types} + 1))) as base"
-    figures = model.words.selectExpr("w", "cast(seen > 0 as long) as known", unigram, *(f"p{i}" for i in range(SWEEPS)))
+    figures = model.words.unionAll(model.still).selectExpr("w", "cast(seen > 0 as long) as known", unigram, *(f"p{i}" for i in range(SWEEPS)))
     all_ = _joined(pairs, model.contexts.drop("one"), figures).selectExpr(
         "u", "w", "n", "known", "base", "coalesce(c, 0L) as c", *(f"coalesce(cast(t{i} as double), 0D) as t{i}" for i in range(SWEEPS)), *(f"p{i}" for i in range(SWEEPS)))
     schema = "u long, w long, n long, known long, base double, logp double"
@@ -828,13 +966,15 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
         model = fit(docs.select("text", (~held_out).alias("learn")))
         contexts = model.contexts.selectExpr("u", "c", *(f"cast(t{i} as double) as t{i}" for i in range(SWEEPS)))
         frequent = [_figures(model.often, x.toArrow()) for x in (contexts.where("u >= 0"), model.words.where("w >= 0"))]
-        # their join is done here, so that its shuffles are gone before the texts' pairs are dealt
-        elsewhere = durable(contexts.join(model.elsewhere, "u").select(*contexts.columns, "k").mapInArrow(_figure_batches(model.buckets, _CONTEXT), _BLOCK_ROWS), "elsewhere")
-        release(model.elsewhere)
+        # the join is done here, so that its shuffles are gone before the texts' pairs are dealt
+        far = contexts.join(model.elsewhere.select("k", "u"), "u").select(*contexts.columns, "k")
+        figures = durable(far.mapInArrow(_figure_batches(model.buckets, _CONTEXT), _BLOCK_ROWS).unionAll(
+            contexts.where("u < 0").mapInArrow(_figure_batches(model.buckets, _CONTEXT), _BLOCK_ROWS)), "figures")
+        release(*model.behind)
     rows = docs.select("text", (~held_out).alias("learn"), "doc_id").mapInArrow(_block_batches(model.often, model.buckets, False), _BLOCK_ROWS)
-    for kind, figures in ((_WORD, model.words.where("w < 0")), (_CONTEXT, contexts.where("u < 0"))):
-        rows = rows.unionAll(figures.mapInArrow(_figure_batches(model.buckets, kind), _BLOCK_ROWS))
-    rows = rows.unionAll(elsewhere)
+    for words_ in (model.words.where("w < 0"), model.still):
+        rows = rows.unionAll(words_.mapInArrow(_figure_batches(model.buckets, _WORD), _BLOCK_ROWS))
+    rows = rows.unionAll(figures)
     run = _score_buckets(model.often, *frequent, model.discount, model.seating.tokens, model.seating.types)
     sums = _dealt(rows, model.tasks).mapInArrow(run, "block long, kind int, piece binary")
     scored = sums.groupBy("block").applyInArrow(_scored_block, "doc_id long, n_tokens long, n_known long, base double, score double")

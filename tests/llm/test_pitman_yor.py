@@ -1,4 +1,5 @@
 import math
+import pickle
 import zlib
 from collections import Counter
 
@@ -142,3 +143,41 @@ def test_tables_of_finished_sweeps_and_their_shuffles_are_deleted(spark):
     P.score(frame(spark, sample(spark, 20))).collect()
     assert len(set(shared._written) - before) <= 4
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_sweeps_leave_out_what_they_cannot_change(spark, monkeypatch):
+    rows, seen = sample(spark, 60) + awkward(), []
+    whole = {r.doc_id: r.score for r in P.score(frame(spark, rows)).collect()}
+    sweep = P._sweep
+
+    def counted(model, vocabulary, i):
+        seen.append(vocabulary.count() if i else vocabulary.where("not still").count())
+        sweep(model, vocabulary, i)
+
+    monkeypatch.setattr(P, "_sweep", counted)
+    monkeypatch.setattr(P, "FREQUENT", 500)
+    got = {r.doc_id: r.score for r in P.score(frame(spark, rows)).collect()}
+    all_words = Counter(w for d, t, _ in rows if zlib.crc32(str(d).encode()) % 10 for w in [*words(t), "\n"])
+    assert len(set(seen)) == 1 and seen[0] <= sum(n > 1 for n in all_words.values()) < len(all_words)
+    assert all(math.isclose(got[d], whole[d], rel_tol=1e-9) for d in whole)
+
+
+def test_hashes_are_found_where_high_bits_are_equal():
+    table = np.sort(np.concatenate([np.arange(40, dtype=np.uint64), P.mix(np.arange(500, dtype=np.uint64))]))
+    table = np.unique(table)
+    keys = np.concatenate([table, table + np.uint64(1), np.array([2 ** 64 - 1], np.uint64)])
+    at, has = P._Hashes(table).find(keys)
+    assert has.tolist() == np.isin(keys, table).tolist() and (table[at[has]] == keys[has]).all()
+    assert not P._Hashes(table[:0]).find(keys)[1].any()
+
+
+def test_tasks_get_only_the_sweeps_they_need():
+    keys = np.unique(P._spelled(pa.array([f"word{i}".encode() for i in range(500)], pa.binary()))[0])
+    model = P.Seating(500, 500, 0.5, {3: np.unique((keys & P._mask(3)) >> 8), 4: np.unique(keys >> 8)})
+    for sweep in range(P.SWEEPS):
+        model.tables.append(500.0)
+        model.spelling.append(P.Spelling(np.unique(model.levelled(keys)), np.ones(len(keys)), model.spelling[-1] if sweep else None, sweep))
+    sent = pickle.dumps(model.lean(2))
+    assert len(sent) < len(pickle.dumps(model)) / 2
+    words_ = pa.array([b"word7", b"other"], pa.binary())
+    assert pickle.loads(sent).spelled(words_, range(2, 3))[2].tolist() == model.spelled(words_, range(2, 3))[2].tolist()
