@@ -493,9 +493,10 @@ def _pair_tables(code, n, opened, p, discount: float, sweep: int) -> np.ndarray:
 
 def _pair_scores(often: np.ndarray, discount: float, u: np.ndarray, w: np.ndarray, n: np.ndarray, contexts: np.ndarray, words_: np.ndarray) -> np.ndarray:
     """log10 of the averaged predictive probability of pairs, from figures (customers, tables by sweep) and (count, probability by sweep)."""
-    code, sum_ = _pair_code(_hashes(often, u), _hashes(often, w)), np.zeros(len(u))
+    several, sum_ = np.flatnonzero(n > 1), np.zeros(len(u))  # all others have one table or none
+    code, t = _pair_code(_hashes(often, u[several]), _hashes(often, w[several])), (n > 0).astype(np.float64)
     for i in range(BURN_IN, SWEEPS):
-        t = _pair_tables(code, n, contexts[:, i], words_[:, i], discount, i)
+        t[several] = _pair_tables(code, n[several], contexts[several, i], words_[several, i], discount, i)
         sum_ += (n - discount * t + (STRENGTH + discount * contexts[:, 1 + i]) * words_[:, 1 + i]) / (STRENGTH + contexts[:, 0])
     return np.log10(sum_ / (SWEEPS - BURN_IN))
 
@@ -763,7 +764,8 @@ def _score_buckets(often: np.ndarray, contexts: np.ndarray, words_: np.ndarray,
             for block, docs, x in zip(of[_PIECE]["id"].to_pylist(), of[_PIECE]["n"].to_pylist(), found):
                 mine = values[:, np.repeat(pair[first:first + len(x[2])], x[3])]
                 first += len(x[2])
-                add = np.stack([np.bincount(x[4] >> 1, v, docs) for v in mine])
+                place = (x[4] >> 1).astype(np.int64)
+                add = np.stack([np.bincount(place, v, docs) for v in mine])
                 sums[block] = sums[block] + add if block in sums else add
             give_back()
             if sum(x.shape[1] for x in sums.values()) > HELD_DOCS:
@@ -859,7 +861,7 @@ def _joined(pairs: DataFrame, contexts: DataFrame, words_: DataFrame) -> DataFra
 @dataclass
 class Restaurants:
     """A fitted model of pairs: `contexts` (u, c, t0..) has a previous word's customers and its tables by sweep, `words` (w, seen, p0..) a word's count
-    and probability by sweep, and `still` those of rare still words, computed when it is read. `elsewhere` (k, u) has buckets other than its own that need a
+    and probability by sweep, `still` (w, seen, word, n) rare still words, whose probabilities follow from the `totals` of all sweeps. `elsewhere` (k, u) has buckets other than its own that need a
     previous word's figures. Nothing but `contexts` and `elsewhere` reads the tables `behind`."""
 
     seating: Seating
@@ -870,6 +872,7 @@ class Restaurants:
     contexts: DataFrame
     words: DataFrame
     still: DataFrame
+    totals: list[float]
     elsewhere: DataFrame
     behind: list[DataFrame]
 
@@ -927,17 +930,14 @@ def fit(texts: DataFrame) -> Restaurants:
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words_.schema)
         words_ = words_.mapInArrow(_word_batches(model.lean(sweep), sweep, total), f"{schema}, p{sweep} double")
         if sweep == SWEEPS - 1:
-            of_sweeps = [f"p{i}" for i in range(SWEEPS)]
-            still = all_words.where("still").select("w", "seen", "word", "n").mapInArrow(
-                _still_batches(model.lean(*range(SWEEPS)), totals), "w long, seen long, " + ", ".join(f"{p} double" for p in of_sweeps))
-            words_ = words_.select("w", "seen", *of_sweeps)
+            words_ = words_.select("w", "seen", *(f"p{i}" for i in range(SWEEPS)))
         words_ = durable(words_, "words")
         if sweep:
             release(before)
     release(pairs)
     behind = [all_contexts, contexts, elsewhere]
     contexts = contexts.unionAll(all_contexts.where("t0 = one").select("u", "c", "t0", "one", *(F.col("t0").alias(f"t{i}") for i in range(1, SWEEPS))))
-    return Restaurants(model, often, discount, buckets, tasks, contexts, words_, still, elsewhere, behind)
+    return Restaurants(model, often, discount, buckets, tasks, contexts, words_, all_words.where("still").select("w", "seen", "word", "n"), totals, elsewhere, behind)
 
 
 def train_pairs(texts: DataFrame) -> tuple[Seating, np.ndarray, DataFrame]:
@@ -946,7 +946,8 @@ def train_pairs(texts: DataFrame) -> tuple[Seating, np.ndarray, DataFrame]:
     model = fit(texts)
     pairs = durable(texts.mapInArrow(_pair_batches(model.often), "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "pairs")
     unigram = f"log10((seen + 0.1D) / ({model.seating.tokens} + 0.1D * ({model.seating.types} + 1))) as base"
-    figures = model.words.unionAll(model.still).selectExpr("w", "cast(seen > 0 as long) as known", unigram, *(f"p{i}" for i in range(SWEEPS)))
+    still = model.still.mapInArrow(_still_batches(model.seating, model.totals), "w long, seen long, " + ", ".join(f"p{i} double" for i in range(SWEEPS)))
+    figures = model.words.unionAll(still).selectExpr("w", "cast(seen > 0 as long) as known", unigram, *(f"p{i}" for i in range(SWEEPS)))
     all_ = _joined(pairs, model.contexts.drop("one"), figures).selectExpr(
         "u", "w", "n", "known", "base", "coalesce(c, 0L) as c", *(f"coalesce(cast(t{i} as double), 0D) as t{i}" for i in range(SWEEPS)), *(f"p{i}" for i in range(SWEEPS)))
     schema = "u long, w long, n long, known long, base double, logp double"
@@ -972,9 +973,10 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
             contexts.where("u < 0").mapInArrow(_figure_batches(model.buckets, _CONTEXT), _BLOCK_ROWS)), "figures")
         release(*model.behind)
     rows = docs.select("text", (~held_out).alias("learn"), "doc_id").mapInArrow(_block_batches(model.often, model.buckets, False), _BLOCK_ROWS)
-    for words_ in (model.words.where("w < 0"), model.still):
-        rows = rows.unionAll(words_.mapInArrow(_figure_batches(model.buckets, _WORD), _BLOCK_ROWS))
-    rows = rows.unionAll(figures)
+    of_words, of_still = _figure_batches(model.buckets, _WORD), _still_batches(model.seating.lean(*range(SWEEPS)), model.totals)
+    rows = rows.unionAll(model.words.where("w < 0").mapInArrow(of_words, _BLOCK_ROWS))
+    # both steps in one worker: a second one at a time would take as much memory again
+    rows = rows.unionAll(model.still.mapInArrow(lambda batches: of_words(of_still(batches)), _BLOCK_ROWS)).unionAll(figures)
     run = _score_buckets(model.often, *frequent, model.discount, model.seating.tokens, model.seating.types)
     sums = _dealt(rows, model.tasks).mapInArrow(run, "block long, kind int, piece binary")
     scored = sums.groupBy("block").applyInArrow(_scored_block, "doc_id long, n_tokens long, n_known long, base double, score double")
