@@ -294,6 +294,71 @@ def test_a_block_search_holds_a_strip_of_distances(p):
         assert j[i == n].tolist() == want.tolist() and np.allclose(dist[i == n], d[want], rtol=1e-12)
 
 
+def block_of(rng, n, d, keys, far):
+    v = rng.normal(size=(n, d)) + 1e3
+    v[n // 2:n // 2 + 9] = v[0]
+    return {"keys": keys, "v": v, "far": np.full(n, far), "may": rng.random(n) < 0.9, "g": rng.integers(0, 3, n).astype(float)}
+
+
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("d, far, outlier", [(7, np.inf, None), (16, 9.0, None), (16, 9.0, 1e9), (16, 30.0, 1e9), (300, 900.0, None)])
+def test_a_distance_serves_both_rows_of_a_pair(monkeypatch, p, d, far, outlier):
+    rng, far = np.random.default_rng(5), far / (4 if p == 2 else 1)
+    keys = rng.permutation(2_700)
+    a, b = block_of(rng, 300, d, keys[:300], far), block_of(rng, 2_400, d, keys[300:], far)
+    b["v"][:40] = a["v"][:40]
+    b["v"][50] = np.nan
+    if outlier:
+        a["v"][7, 2] = b["v"][9, 3] = outlier
+    screens, cells = neighbors._mutual_screens, []
+
+    def counted(*args):
+        for number, screen in enumerate(screens(*args)):
+            yield lambda i, j, x, y, number=number, screen=screen: (cells.append((number, len(x) * len(y))), screen(i, j, x, y))[1]
+
+    monkeypatch.setattr(neighbors, "_mutual_screens", counted)
+    sides = neighbors.mutual_rows(a, b, 4, p)
+    if far in (9.0, 9.0 / 4) and not outlier:  # few pairs are near, so the first test is enough
+        assert {n for n, _ in cells} == {0} and sum(c for _, c in cells) == 300 * 2_399
+    for (i, j, dist), own, other in zip(sides, (a, b), (b, a)):
+        for n in range(0, len(own["v"]), 11):
+            gap = np.abs(other["v"] - own["v"][n])
+            dists = gap.sum(axis=1) if p == 1 else np.sqrt((gap * gap).sum(axis=1))
+            dists = np.where(other["may"] & (other["g"] != own["g"][n]) & (dists <= far), dists, np.nan)
+            want = np.lexsort((other["keys"], np.round(dists, neighbors.DIGITS)))[:min(4, np.isfinite(dists).sum())]
+            assert j[i == n].tolist() == want.tolist() and np.array_equal(dist[i == n], dists[want])
+
+
+@pytest.mark.parametrize("n, m, d", [(3, 8, 4), (5, 9, 7), (1, 1, 1), (130, 2048, 256)])
+def test_sums_of_short_codes(n, m, d):
+    rng = np.random.default_rng(2)
+    a, b_t = rng.integers(0, 128, (n, d)).astype(np.uint8), rng.integers(0, 128, (d, m)).astype(np.uint8)
+    a[0], b_t[:, 0] = 127, 0
+    want = np.abs(a[:, :, None].astype(int) - b_t[None].astype(int)).sum(axis=1)
+    assert np.array_equal(neighbors._rough_manhattan(a, b_t), want)
+
+
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("groups", [None, "few", "many"])
+def test_a_table_searched_for_its_own_rows_equals_brute_force(spark, monkeypatch, p, groups):
+    """Blocks of one group do not meet, others once; early meetings narrow the limits of the later ones; copies ask but do not answer."""
+    for name, value in (("MUTUAL_CELLS", 12 * 25), ("MUTUAL_ROWS", 10), ("LIMIT_ROWS", 40), ("SEPARATE", 4)):
+        monkeypatch.setattr(neighbors, name, value)
+    rng = np.random.default_rng(9)
+    train = []
+    for i in range(320):
+        v = [0.5] * 12 if i % 8 == 0 else rng.normal(0, 1, 12).round(3).tolist()
+        train.append((i, v, i % 4, 0 if groups is None else i % 3 if groups == "few" else i % 7))
+    df = spark.createDataFrame([(i, Vectors.dense(v), c, g) for i, v, c, g in train], ["id", "features", "label", "fold"])
+    near = neighbors.neighbours(df, df, "id", 5, p, "fold" if groups else None)
+    assert "CoGroupsInArrow" in near._jdf.queryExecution().toString()
+    got = {}
+    for r in near.orderBy("query", "rank").collect():
+        assert r["label"] == r["neighbour"] % 4
+        got.setdefault(r["query"], []).append(r["neighbour"])
+    assert got == brute_neighbours(train, [(i, v, g) for i, v, _, g in train], 5, p, groups is not None)
+
+
 def test_rows_of_repeated_keys_are_told_apart_once(spark):
     from tabwright.operators import split
 
